@@ -129,3 +129,76 @@ def q_breakout_pivot(spark, sf_dir):
 @register("global_listeners", lambda: O.global_listeners_sql())
 def q_global_listeners(spark, sf_dir):
     return report.global_listeners(driver_star(spark, sf_dir), AS_OF, Q4_WINDOW_DAYS)
+
+
+# ---- audits ----------------------------------------------------------------------
+
+from .operators import quality  # noqa: E402
+
+
+@register("row_counts_staging", O.row_counts_staging_sql)
+def q_row_counts_staging(spark, sf_dir):
+    return quality.row_counts_staging(driver_staging_tables(spark, sf_dir))
+
+
+@register("dim_date_range", O.dim_date_range_sql)
+def q_dim_date_range(spark, sf_dir):
+    return quality.dim_date_range(driver_star(spark, sf_dir).dim_date)
+
+
+@register("null_event_ids", O.null_event_ids_sql)
+def q_null_event_ids(spark, sf_dir):
+    return quality.null_event_ids(driver_staging_tables(spark, sf_dir).events)
+
+
+@register("orphan_song_ids", O.orphan_song_ids_sql)
+def q_orphan_song_ids(spark, sf_dir):
+    stg = driver_staging_tables(spark, sf_dir)
+    return quality.orphan_song_ids(stg.events, stg.songs)
+
+
+@register("staging_skip_rate", O.staging_skip_rate_sql)
+def q_staging_skip_rate(spark, sf_dir):
+    stg = driver_staging_tables(spark, sf_dir)
+    return quality.staging_skip_rate(stg.events, stg.users)
+
+
+@register("row_counts_analytics", O.row_counts_analytics_sql)
+def q_row_counts_analytics(spark, sf_dir):
+    return quality.row_counts_analytics(driver_star(spark, sf_dir))
+
+
+@register("load_reconciliation", O.load_reconciliation_sql)
+def q_load_reconciliation(spark, sf_dir):
+    stg = driver_staging_tables(spark, sf_dir)
+    return quality.load_reconciliation(stg.events, driver_star(spark, sf_dir).fact_streams)
+
+
+@register("fact_sample", O.fact_sample_sql)
+def q_fact_sample(spark, sf_dir):
+    return quality.fact_sample(driver_star(spark, sf_dir))
+
+
+@register("completion_distribution", O.completion_distribution_sql)
+def q_completion_distribution(spark, sf_dir):
+    return quality.completion_distribution(driver_star(spark, sf_dir).fact_streams)
+
+
+@register("genre_skip_preview", O.genre_skip_preview_sql)
+def q_genre_skip_preview(spark, sf_dir):
+    return quality.genre_skip_preview(driver_star(spark, sf_dir))
+
+
+@register("fk_audit", O.fk_audit_sql)
+def q_fk_audit(spark, sf_dir):
+    return quality.fk_audit(driver_star(spark, sf_dir))
+
+
+@register("not_null_audit", O.not_null_audit_sql)
+def q_not_null_audit(spark, sf_dir):
+    return quality.not_null_audit(driver_staging_tables(spark, sf_dir))
+
+
+@register("quality_contracts", O.quality_contracts_sql)
+def q_quality_contracts(spark, sf_dir):
+    return quality.quality_contracts(driver_staging_tables(spark, sf_dir))
