@@ -1,8 +1,9 @@
 """Dimension builds: staging -> cleaned, deduplicated, keyed dimensions.
 
-Each build is incremental in the reference's sense: rows whose natural key is
-already in the existing dimension are skipped (first seen wins, attributes are
-never updated) and new rows get keys after the existing maximum.
+Each build returns the rows to append, in the reference's insert-if-absent
+sense: rows whose natural key is already in the existing dimension are skipped
+(first seen wins, attributes are never updated) and new rows get keys after the
+existing maximum.
 """
 
 from __future__ import annotations
@@ -15,10 +16,6 @@ from .joins import lookup_join
 from .keys import insert_if_absent
 
 
-def _append(existing: DataFrame | None, new: DataFrame) -> DataFrame:
-    return new if existing is None else existing.select(*new.columns).unionByName(new)
-
-
 def clean_artists(stg_artists: DataFrame) -> DataFrame:
     """T1 projection: trim name, upper country, lower genre (no NULLIF)."""
     return stg_artists.where(F.col("artist_id").isNotNull()).select(
@@ -61,16 +58,16 @@ def clean_songs(stg_songs: DataFrame, dim_artists: DataFrame) -> DataFrame:
 
 
 def build_dim_artists(stg_artists: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    new = insert_if_absent(clean_artists(stg_artists), existing, "artist_id", "artist_key")
-    return _append(existing, new)
+    """New keyed artists (natural keys absent from ``existing``)."""
+    return insert_if_absent(clean_artists(stg_artists), existing, "artist_id", "artist_key")
 
 
 def build_dim_users(stg_users: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    new = insert_if_absent(clean_users(stg_users), existing, "user_id", "user_key")
-    return _append(existing, new)
+    """New keyed users (natural keys absent from ``existing``)."""
+    return insert_if_absent(clean_users(stg_users), existing, "user_id", "user_key")
 
 
 def build_dim_songs(stg_songs: DataFrame, dim_artists: DataFrame,
                     existing: DataFrame | None = None) -> DataFrame:
-    new = insert_if_absent(clean_songs(stg_songs, dim_artists), existing, "song_id", "song_key")
-    return _append(existing, new)
+    """New keyed songs; ``dim_artists`` must hold all artists (existing and new)."""
+    return insert_if_absent(clean_songs(stg_songs, dim_artists), existing, "song_id", "song_key")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import cleaning as C
 from ..functions.exact import bp_to_decimal, completion_bp
 from .joins import lookup_join
-from .keys import insert_if_absent
+from .keys import insert_if_absent, max_key
 
 
 def quality_filter(events: DataFrame) -> DataFrame:
@@ -53,8 +53,21 @@ def resolve_events(stg_events: DataFrame, dim_users: DataFrame, dim_songs: DataF
 
 def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: DataFrame,
                        dim_date: DataFrame, existing: DataFrame | None = None,
-                       num_partitions: int | None = None) -> DataFrame:
-    """New fact rows (keyed), skipping event ids already in ``existing``."""
+                       num_partitions: int | None = None, same_day_dedup: bool = False) -> DataFrame:
+    """New fact rows (keyed), skipping event ids already in ``existing``.
+
+    With ``same_day_dedup`` a re-sent event is assumed to keep its timestamp, so
+    the event-id check reads only the existing fact partitions of the days in
+    this batch (a broadcast semi-join on the partition column: at most one row
+    per calendar day, and the fact scan is pruned to those days).
+    """
     resolved = resolve_events(stg_events, dim_users, dim_songs, dim_date)
-    return insert_if_absent(resolved, existing, "event_id", "stream_key",
-                            order_cols=["date_key", "event_id"], num_partitions=num_partitions)
+    start = None
+    scope = existing
+    if existing is not None and same_day_dedup:
+        start = max_key(existing, "stream_key")
+        days = resolved.select("date_key").distinct()
+        scope = existing.join(F.broadcast(days), "date_key", "left_semi")
+    return insert_if_absent(resolved, scope, "event_id", "stream_key",
+                            order_cols=["date_key", "event_id"], num_partitions=num_partitions,
+                            start=start)

@@ -105,11 +105,16 @@ def new_rows(incoming: DataFrame, existing: DataFrame | None, nk: str | Sequence
 
 def insert_if_absent(incoming: DataFrame, existing: DataFrame | None, nk: str | Sequence[str],
                      key: str, order_cols: str | Sequence[str] | None = None,
-                     num_partitions: int | None = None) -> DataFrame:
-    """The keyed rows to append: first row per new natural key, keys after max(existing)."""
+                     num_partitions: int | None = None, start: int | None = None) -> DataFrame:
+    """The keyed rows to append: first row per new natural key, keys after max(existing).
+
+    ``existing`` is what the batch is deduplicated against; pass ``start`` when
+    that is only a slice of the table (the largest key of the whole table).
+    """
     nk = _as_list(nk)
     batch = dedup_first(incoming, nk)
     fresh = new_rows(batch, existing, nk)
-    start = max_key(existing, key)
+    if start is None:
+        start = max_key(existing, key)
     return assign_dense_keys(fresh, order_cols or nk, key, start=start,
                              num_partitions=num_partitions)

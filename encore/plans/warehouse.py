@@ -38,19 +38,39 @@ class Star(NamedTuple):
         return getattr(self, name)
 
 
-def build_star(spark: SparkSession, staging: Staging, existing: Star | None = None,
-               fact_partitions: int | None = None) -> Star:
-    """Dimensions in dependency order, then the fact (new rows appended to ``existing``)."""
+def build_star_delta(spark: SparkSession, staging: Staging, existing: Star | None = None,
+                     fact_partitions: int | None = None) -> Star:
+    """Only the rows to add: new natural keys of each dimension, new event ids.
+
+    Dimensions are built in dependency order; the song build resolves artists
+    against existing and new artists, the fact against existing and new users
+    and songs.
+    """
     dates = existing.dim_date if existing is not None else make_dim_date(spark)
-    artists = build_dim_artists(staging.artists, existing.dim_artists if existing else None)
-    users = build_dim_users(staging.users, existing.dim_users if existing else None)
-    songs = build_dim_songs(staging.songs, artists, existing.dim_songs if existing else None)
-    new_fact = build_fact_streams(staging.events, users, songs, dates,
-                                  existing.fact_streams if existing else None,
+    old = existing or Star(None, None, None, None, None)
+    new_artists = build_dim_artists(staging.artists, old.dim_artists)
+    all_artists = _union(old.dim_artists, new_artists)
+    new_users = build_dim_users(staging.users, old.dim_users)
+    new_songs = build_dim_songs(staging.songs, all_artists, old.dim_songs)
+    new_fact = build_fact_streams(staging.events, _union(old.dim_users, new_users),
+                                  _union(old.dim_songs, new_songs), dates, old.fact_streams,
                                   num_partitions=fact_partitions)
-    fact = new_fact if existing is None else \
-        existing.fact_streams.select(*new_fact.columns).unionByName(new_fact)
-    return Star(dates, artists, users, songs, fact)
+    return Star(dates, new_artists, new_users, new_songs, new_fact)
+
+
+def _union(existing: DataFrame | None, new: DataFrame) -> DataFrame:
+    return new if existing is None else existing.select(*new.columns).unionByName(new)
+
+
+def build_star(spark: SparkSession, staging: Staging, existing: Star | None = None,
+               fact_partitions: int | None = None) -> Star:
+    """The whole star schema after loading ``staging`` on top of ``existing``."""
+    delta = build_star_delta(spark, staging, existing, fact_partitions)
+    if existing is None:
+        return delta
+    return Star(existing.dim_date, *[_union(existing.table(n), delta.table(n))
+                                     for n in ("dim_artists", "dim_users", "dim_songs",
+                                               "fact_streams")])
 
 
 def write_star(star: Star, root: str, mode: str = "overwrite") -> str:
@@ -88,17 +108,22 @@ _BUILT: dict[tuple[str, str], str] = {}
 
 
 def driver_warehouse(spark: SparkSession, sf_dir: str) -> str:
-    """Build (once per application) the warehouse of the driver tables; its root."""
+    """Build (once per application) the warehouse of the driver tables; its root.
+
+    driver tables -> JSON Lines source files (``sources/``) -> JSON ingest with
+    the loader's defaults -> staging Parquet -> star schema.
+    """
     from ..sources.driver_tables import staging as driver_staging
+    from ..sources.json_source import ingest_staging, write_sources
+    from ..sources.staging import from_parquet
 
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     root = _BUILT.get(key)
     if root is None:
         root = scratch_path(spark, "warehouse")
-        stg = driver_staging(spark, sf_dir)
-        write_staging(stg, root)
-        from ..sources.staging import from_parquet
+        write_sources(driver_staging(spark, sf_dir), f"{root}/sources")
+        write_staging(ingest_staging(spark, f"{root}/sources"), root)
         star = build_star(spark, from_parquet(spark, root))
         write_star(star, root)
         _BUILT[key] = root

@@ -202,3 +202,94 @@ def q_not_null_audit(spark, sf_dir):
 @register("quality_contracts", O.quality_contracts_sql)
 def q_quality_contracts(spark, sf_dir):
     return quality.quality_contracts(driver_staging_tables(spark, sf_dir))
+
+
+# ---- loads, keys, streaming ----------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from .operators.keys import assign_dense_keys, insert_if_absent  # noqa: E402
+from .plans import loads  # noqa: E402
+from .plans.warehouse import driver_warehouse  # noqa: E402
+from .schemas import FACT_COLUMNS  # noqa: E402
+from .session import scratch_path  # noqa: E402
+from .sources.json_source import ingest_report  # noqa: E402
+from .sources.staging import Staging  # noqa: E402
+
+LINE_KEY = ["l_orderkey", "l_linenumber"]
+LINE_COLS = [c.strip() for c in O.LINE_COLS.split(",")]
+
+
+@register("ingest_json", O.ingest_json_sql)
+def q_ingest_json(spark, sf_dir):
+    return ingest_report(spark, f"{driver_warehouse(spark, sf_dir)}/sources")
+
+
+@register("full_refresh", O.full_refresh_sql)
+def q_full_refresh(spark, sf_dir):
+    events = driver_staging_tables(spark, sf_dir).events
+    table = scratch_path(spark, "stg_stream_events")
+    loads.full_refresh(events, table)
+    loads.full_refresh(events, table)   # a second full load replaces, never adds
+    return loads.read_current(spark, table)
+
+
+def _lineitem(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(*LINE_COLS)
+
+
+@register("insert_if_absent", O.insert_if_absent_sql)
+def q_insert_if_absent(spark, sf_dir):
+    lines = _lineitem(spark, sf_dir)
+    table = scratch_path(spark, "lines")
+    early = lines.where(F.col("l_shipdate") < F.lit(O.FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+    insert_if_absent(early, None, LINE_KEY, "line_key").write.parquet(table)
+    added = insert_if_absent(lines, spark.read.parquet(table), LINE_KEY, "line_key")
+    added.write.mode("append").parquet(table)
+    return spark.read.parquet(table)
+
+
+@register("surrogate_keys", O.surrogate_keys_sql)
+def q_surrogate_keys(spark, sf_dir):
+    keys = _lineitem(spark, sf_dir).select(*LINE_KEY).distinct()
+    return assign_dense_keys(keys, LINE_KEY, "line_key")
+
+
+INCREMENTAL_CUT = _dt.datetime(2024, 1, 16)
+
+
+@register("incremental_load", O.incremental_load_sql)
+def q_incremental_load(spark, sf_dir):
+    stg = driver_staging_tables(spark, sf_dir)
+    root = scratch_path(spark, "incremental")
+    first = Staging(stg.artists, stg.songs, stg.users,
+                    stg.events.where(F.col("listened_at") < F.lit(INCREMENTAL_CUT).cast("timestamp")))
+    loads.land(first, f"{root}/staging", _dt.datetime(2024, 1, 16, 1, 0, tzinfo=_dt.timezone.utc))
+    loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse")
+    # The next batch re-sends everything: only the unseen events are added.
+    loads.land(stg, f"{root}/staging", _dt.datetime(2024, 1, 31, 1, 0, tzinfo=_dt.timezone.utc))
+    return loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse").fact_streams
+
+
+@register("partitioned_fact", O.partitioned_fact_sql)
+def q_partitioned_fact(spark, sf_dir):
+    fact = driver_star(spark, sf_dir).fact_streams
+    path = scratch_path(spark, "fact-by-month")
+    loads.write_fact_by_month(fact, path)
+    # Rewrite one month: dynamic overwrite leaves the other months' files alone.
+    january = fact.where((F.col("date_key") >= 20240101) & (F.col("date_key") < 20240201))
+    loads.write_fact_by_month(january, path)
+    return spark.read.parquet(path).select(*FACT_COLUMNS, "year_month")
+
+
+@register("stream_ingest", O.stream_ingest_sql)
+def q_stream_ingest(spark, sf_dir):
+    from .streaming.ingest import run_stream_ingest
+
+    root = driver_warehouse(spark, sf_dir)
+    out = scratch_path(spark, "streamed")
+    run_stream_ingest(spark, f"{root}/sources/stream_events.json", out, dims_root=root,
+                      max_files_per_trigger=2)
+    return spark.read.parquet(f"{out}/fact_streams").select(*FACT_COLUMNS[1:])
