@@ -55,7 +55,7 @@ def json_objects(spark: SparkSession, path: str, layout: str = "lines") -> DataF
     if layout == "lines":
         return spark.read.text(path).where(F.length(F.trim("value")) > 0)
     if layout == "array":
-        files = spark.read.option("wholetext", True).text(path)
+        files = spark.read.text(path, wholetext=True)
         return files.select(F.explode(F.from_json("value", "array<string>")).alias("value"))
     raise ValueError(f"unknown JSON layout {layout!r}")
 
