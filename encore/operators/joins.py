@@ -42,6 +42,11 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return size is not None and size <= (broadcast_limit(df) if limit is None else limit)
 
 
+def all_fit_broadcast(*dfs: DataFrame, limit: int | None = None) -> bool:
+    """True when every frame passes the broadcast size check."""
+    return all(fits_broadcast(df, limit) for df in dfs)
+
+
 def hot_keys(fact: DataFrame, key: str, hot_share: float = DEFAULT_HOT_SHARE,
              sample_fraction: float = DEFAULT_SAMPLE_FRACTION, seed: int = 17) -> list:
     """Keys holding at least ``hot_share`` of a sample of ``fact`` (≤ 1/hot_share keys)."""

@@ -13,9 +13,13 @@ Plan notes
   otherwise a shuffle join with hot keys split off).
 * Rank is computed after the top-k, on at most k rows: no global sort of all
   groups into one partition.
-* Q3 filters each per-subscription ranking to its first row before joining
-  (no fan-out), and Q4 builds its two distinct counts from one shared
-  distinct (artist, genre, country, window, user) set.
+* When a dimension fails the broadcast check, the fact is first reduced to
+  one row per join key (per song and listener, per genre and listener, per
+  artist key and listener) so the shuffle join never sees raw plays.
+* Q3 reads the fact once (grouping sets per listener and platform / hour),
+  joins users on per-listener rows only, and filters each ranking to its first
+  row before joining (no fan-out). Q4 builds its two distinct counts from one
+  shared distinct (artist, genre, country, window, user) set.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exact import decimal_to_bp, half_up, half_up_units, pct
 from .dates import date_window, labelled_windows
-from .joins import lookup_join
+from .joins import all_fit_broadcast, fits_broadcast, lookup_join
 
 
 def _as_date(as_of) -> dt.date:
@@ -61,17 +65,26 @@ def fact_in_window(star, as_of, days: int) -> DataFrame:
 
 def trending_songs(star, as_of, days: int = 7, k: int = 10) -> DataFrame:
     """Top ``k`` (artist, song, genre) by unique listeners over the last ``days`` days."""
-    fact = fact_in_window(star, as_of, days).select(
-        "song_key", "artist_key", "user_key", "was_skipped",
-        decimal_to_bp("completion_pct").alias("bp"))
+    fact = fact_in_window(star, as_of, days)
     songs = star.dim_songs.select("song_key", F.col("title").alias("song"), "genre")
     artists = star.dim_artists.select("artist_key", F.col("name").alias("artist"))
-    joined = lookup_join(lookup_join(fact, songs, "song_key"), artists, "artist_key")
+    skipped = F.col("was_skipped")
+    bp = decimal_to_bp("completion_pct")
+    if all_fit_broadcast(songs, artists):
+        # Dimensions are broadcast: join map-side, aggregate once.
+        rows = fact.select("song_key", "artist_key", "user_key", F.lit(1).alias("plays"),
+                           bp.alias("bp"), skipped.cast("int").alias("skips"))
+    else:
+        # Large dimensions: one row per (song, listener) before the shuffle joins.
+        rows = fact.groupBy("song_key", "artist_key", "user_key").agg(
+            F.count(F.lit(1)).alias("plays"), F.sum(bp).alias("bp"),
+            F.count_if(skipped).alias("skips"))
+    joined = lookup_join(lookup_join(rows, songs, "song_key"), artists, "artist_key")
     groups = joined.groupBy("artist", "song", "genre").agg(
         F.count_distinct("user_key").alias("unique_listeners"),
-        F.count(F.lit(1)).alias("total_plays"),
+        F.sum("plays").alias("total_plays"),
         F.sum("bp").alias("sum_bp"),
-        F.count_if("was_skipped").alias("skip_count"),
+        F.sum("skips").alias("skip_count"),
     )
     order = [F.col("unique_listeners").desc(), F.col("artist").asc_nulls_last(),
              F.col("song").asc_nulls_last(), F.col("genre").asc_nulls_last()]
@@ -92,22 +105,34 @@ def trending_songs(star, as_of, days: int = 7, k: int = 10) -> DataFrame:
 # Q2 genre skip rates
 # ---------------------------------------------------------------------------
 
+_Q2_MEASURES = ("plays", "skips", "kept_bp", "kept")
+
+
+def _sum_measures(df: DataFrame, keys, measures) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+
+
 def genre_skip_rates(star) -> DataFrame:
     """Skip rates per genre, overall and split free / premium; listen depth; length."""
-    fact = star.fact_streams.select(
-        "song_key", "user_key", "was_skipped", decimal_to_bp("completion_pct").alias("bp"))
-    # Pre-aggregate per (song, user) before the dimension joins: the joins then
-    # see one row per listener of a song instead of one row per play.
     skipped = F.col("was_skipped")
-    pre = fact.groupBy("song_key", "user_key").agg(
-        F.count(F.lit(1)).alias("plays"),
-        F.count_if(skipped).alias("skips"),
-        F.sum(F.when(~skipped, F.col("bp"))).alias("kept_bp"),
-        F.count_if(~skipped).alias("kept"),
-    )
+    bp = decimal_to_bp("completion_pct")
+    plays = star.fact_streams.select(
+        "song_key", "user_key", F.lit(1).alias("plays"), skipped.cast("int").alias("skips"),
+        F.when(~skipped, bp).alias("kept_bp"), (~skipped).cast("int").alias("kept"))
     songs = star.dim_songs.select("song_key", "genre", "duration_ms")
     users = star.dim_users.select("user_key", "subscription_type")
-    joined = lookup_join(lookup_join(pre, songs, "song_key"), users, "user_key")
+    if not fits_broadcast(songs):
+        # One row per (song, listener) before the shuffle join with songs.
+        plays = _sum_measures(plays, ["song_key", "user_key"], _Q2_MEASURES)
+    rows = lookup_join(plays, songs, "song_key").select(
+        "genre", "user_key", *_Q2_MEASURES,
+        (F.col("duration_ms").cast("long") * F.col("plays")).alias("sum_ms"),
+        F.when(F.col("duration_ms").isNotNull(), F.col("plays")).alias("n_ms"))
+    measures = _Q2_MEASURES + ("sum_ms", "n_ms")
+    if not fits_broadcast(users):
+        # One row per (genre, listener) before the shuffle join with users.
+        rows = _sum_measures(rows, ["genre", "user_key"], measures)
+    joined = lookup_join(rows, users, "user_key")
     sub = F.col("subscription_type")
     g = joined.groupBy("genre").agg(
         F.sum("plays").alias("total_plays"),
@@ -118,8 +143,8 @@ def genre_skip_rates(star) -> DataFrame:
         F.sum(F.when(sub == "premium", F.col("skips"))).alias("premium_skips"),
         F.sum("kept_bp").alias("kept_bp"),
         F.sum("kept").alias("kept"),
-        F.sum(F.col("duration_ms").cast("long") * F.col("plays")).alias("sum_ms"),
-        F.sum(F.when(F.col("duration_ms").isNotNull(), F.col("plays"))).alias("n_ms"),
+        F.sum("sum_ms").alias("sum_ms"),
+        F.sum("n_ms").alias("n_ms"),
     )
     return g.select(
         "genre",
@@ -136,42 +161,63 @@ def genre_skip_rates(star) -> DataFrame:
 # Q3 free vs premium
 # ---------------------------------------------------------------------------
 
-def _fact_with_subscription(star) -> DataFrame:
-    users = star.dim_users.select("user_key", "subscription_type")
-    return lookup_join(star.fact_streams, users, "user_key")
+_BY_PLATFORM = 1   # grouping_id of the (user_key, platform) set: hour rolled up
+_BY_HOUR = 2       # grouping_id of the (user_key, hour) set: platform rolled up
 
 
-def user_stats(star) -> DataFrame:
-    """Per listener: plays, rounded average completion and skip rate, genres."""
+def _listener_sets(star) -> DataFrame:
+    """One pass over the fact: per (listener, platform) and per (listener, hour).
+
+    Grouping sets share one scan and one shuffle; the per-listener rows are then
+    joined with users once (subscription type), never the raw fact rows.
+    """
     fact = star.fact_streams.select(
-        "user_key", "song_key", "was_skipped", decimal_to_bp("completion_pct").alias("bp"))
-    per_song = fact.groupBy("user_key", "song_key").agg(
+        "user_key", "platform", F.hour("listened_at").cast("long").alias("hour"),
+        "was_skipped", decimal_to_bp("completion_pct").alias("bp"))
+    sets = fact.groupingSets([["user_key", "platform"], ["user_key", "hour"]],
+                             "user_key", "platform", "hour").agg(
+        F.grouping_id().alias("gid"),
         F.count(F.lit(1)).alias("plays"),
-        F.sum("bp").alias("bp"),
         F.count_if("was_skipped").alias("skips"),
-    )
-    songs = star.dim_songs.select("song_key", "genre")
-    with_genre = lookup_join(per_song, songs, "song_key")
-    per_user = with_genre.groupBy("user_key").agg(
-        F.sum("plays").alias("plays"),
-        F.sum("bp").alias("bp"),
-        F.sum("skips").alias("skips"),
-        F.count_distinct("genre").alias("unique_genres"),
-    )
+        F.sum("bp").alias("bp"))
     users = star.dim_users.select("user_key", "subscription_type")
-    joined = lookup_join(per_user, users, "user_key")
+    return lookup_join(sets, users, "user_key")
+
+
+def _listener_genres(star) -> DataFrame:
+    """Distinct genres per listener: (listener, song) pairs first, then the song lookup."""
+    pairs = star.fact_streams.select("user_key", "song_key").distinct()
+    songs = star.dim_songs.select("song_key", "genre")
+    return (lookup_join(pairs, songs, "song_key")
+            .groupBy("user_key").agg(F.count_distinct("genre").alias("unique_genres")))
+
+
+def _user_stats(sets: DataFrame, genres: DataFrame) -> DataFrame:
+    # Grouped by user_key alone (the subscription depends on it), so the join
+    # with the per-listener genre counts reuses the same hash partitioning.
+    per_user = (sets.where(F.col("gid") == _BY_PLATFORM)
+                .groupBy("user_key")
+                .agg(F.max("subscription_type").alias("subscription_type"),
+                     F.sum("plays").alias("plays"), F.sum("bp").alias("bp"),
+                     F.sum("skips").alias("skips")))
+    joined = per_user.join(genres, "user_key", "left")
     return joined.select(
         F.col("user_key").cast("long").alias("user_key"),
         "subscription_type",
         F.col("plays").cast("long").alias("plays"),
         half_up_units(F.col("bp"), F.col("plays") * 100, 2).alias("avg_completion_units"),
         half_up_units(F.col("skips") * 100, F.col("plays"), 2).alias("skip_rate_units"),
-        F.col("unique_genres").cast("long").alias("unique_genres"),
+        F.coalesce(F.col("unique_genres"), F.lit(0)).cast("long").alias("unique_genres"),
     )
 
 
+def user_stats(star) -> DataFrame:
+    """Per listener: plays, rounded average completion and skip rate (as units), genres."""
+    return _user_stats(_listener_sets(star), _listener_genres(star))
+
+
 def user_stats_report(star) -> DataFrame:
-    """``user_stats`` with its rounded values as decimals-as-doubles."""
+    """``user_stats`` with its rounded values as doubles."""
     us = user_stats(star)
     return us.select(
         "user_key", "subscription_type", "plays",
@@ -182,29 +228,40 @@ def user_stats_report(star) -> DataFrame:
 
 
 def _ranked_per_subscription(counts: DataFrame, item: str, count_col: str) -> DataFrame:
+    # A handful of rows per subscription type: the window partitions are tiny.
     w = Window.partitionBy("subscription_type").orderBy(
         F.col(count_col).desc(), F.col(item).asc_nulls_last())
     return counts.withColumn("rn", F.row_number().over(w).cast("long"))
 
 
+def _platform_rank(sets: DataFrame) -> DataFrame:
+    counts = (sets.where(F.col("gid") == _BY_PLATFORM)
+              .groupBy("subscription_type", "platform")
+              .agg(F.sum("plays").cast("long").alias("play_count")))
+    return _ranked_per_subscription(counts, "platform", "play_count")
+
+
+def _peak_hour(sets: DataFrame) -> DataFrame:
+    counts = (sets.where(F.col("gid") == _BY_HOUR)
+              .groupBy("subscription_type", "hour")
+              .agg(F.sum("plays").cast("long").alias("cnt")))
+    return _ranked_per_subscription(counts, "hour", "cnt")
+
+
 def platform_rank(star) -> DataFrame:
     """Plays per (subscription, platform), ranked within the subscription."""
-    counts = _fact_with_subscription(star).groupBy("subscription_type", "platform").agg(
-        F.count(F.lit(1)).cast("long").alias("play_count"))
-    return _ranked_per_subscription(counts, "platform", "play_count")
+    return _platform_rank(_listener_sets(star))
 
 
 def peak_hour(star) -> DataFrame:
     """Plays per (subscription, UTC hour), ranked within the subscription."""
-    counts = (_fact_with_subscription(star)
-              .groupBy("subscription_type", F.hour("listened_at").cast("long").alias("hour"))
-              .agg(F.count(F.lit(1)).cast("long").alias("cnt")))
-    return _ranked_per_subscription(counts, "hour", "cnt")
+    return _peak_hour(_listener_sets(star))
 
 
 def free_vs_premium(star) -> DataFrame:
     """Listening behaviour per subscription type (user-weighted averages)."""
-    us = user_stats(star)
+    sets = _listener_sets(star)
+    us = _user_stats(sets, _listener_genres(star))
     per_sub = us.groupBy("subscription_type").agg(
         F.count(F.lit(1)).alias("total_users"),
         F.sum("plays").alias("plays"),
@@ -214,9 +271,9 @@ def free_vs_premium(star) -> DataFrame:
     )
     # Keep only the first-ranked row of each ranking before joining: one row per
     # subscription on each side, so the join cannot fan out.
-    top_platform = platform_rank(star).where(F.col("rn") == 1).select(
+    top_platform = _platform_rank(sets).where(F.col("rn") == 1).select(
         "subscription_type", F.col("platform").alias("top_platform"))
-    top_hour = peak_hour(star).where(F.col("rn") == 1).select(
+    top_hour = _peak_hour(sets).where(F.col("rn") == 1).select(
         "subscription_type", F.col("hour").alias("peak_hour_utc"))
     joined = (per_sub.join(top_platform, "subscription_type", "left")
               .join(top_hour, "subscription_type", "left"))
@@ -249,9 +306,12 @@ def _listeners(star, as_of, window_days: int) -> DataFrame:
     fact = (star.fact_streams.where((F.col("date_key") >= lo) & (F.col("date_key") < hi))
             .select("date_key", "artist_key", "country_code", "user_key"))
     # At most 2 * window_days calendar rows: broadcast.
-    fact = fact.join(F.broadcast(windows), "date_key")
+    fact = fact.join(F.broadcast(windows), "date_key").drop("date_key")
     artists = star.dim_artists.select("artist_key", F.col("name").alias("artist"),
                                       F.col("primary_genre").alias("genre"))
+    if not fits_broadcast(artists):
+        # Distinct listeners per artist key first: the shuffle join sees no repeats.
+        fact = fact.distinct()
     joined = lookup_join(fact, artists, "artist_key")
     return joined.select("artist", "genre", "country_code", "window_label", "user_key").distinct()
 
