@@ -27,7 +27,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (None when not available)."""
     try:
         stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
+        return int(str(stats.sizeInBytes()))
     except Exception:  # noqa: BLE001 - e.g. Spark Connect sessions
         return None
 

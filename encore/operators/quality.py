@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.exact import decimal_to_bp, half_up, pct
-from .joins import lookup_join
+from .joins import fits_broadcast, lookup_join
 
 # Completion bucket labels and their upper edges (percent).
 COMPLETION_BUCKETS = (
@@ -53,22 +53,42 @@ def null_event_ids(stg_events: DataFrame) -> DataFrame:
     return stg_events.agg(F.count_if(F.col("event_id").isNull()).cast("long").alias("null_event_ids"))
 
 
+def count_missing(child: DataFrame, parents: DataFrame, col: str) -> DataFrame:
+    """Rows of ``child`` whose ``col`` has no match in ``parents`` (NULL counts as missing).
+
+    With a small parent key set, a broadcast anti-join on the child rows; else
+    the child is first reduced to one count per key, so the shuffle anti-join
+    sees each key once.
+    """
+    keys = parents.select(col).where(F.col(col).isNotNull()).distinct()
+    if fits_broadcast(keys):
+        missing = lookup_join(child.select(col), keys, col, "left_anti")
+        return missing.agg(F.count(F.lit(1)).cast("long").alias("missing"))
+    per_key = child.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    missing = lookup_join(per_key, keys, col, "left_anti")
+    return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("missing"))
+
+
 def orphan_song_ids(stg_events: DataFrame, stg_songs: DataFrame) -> DataFrame:
     """Events whose song is not in the catalogue (a NULL song counts as orphan)."""
-    catalogue = stg_songs.select("song_id").where(F.col("song_id").isNotNull()).distinct()
-    orphans = lookup_join(stg_events.select("song_id"), catalogue, "song_id", "left_anti")
-    return orphans.agg(F.count(F.lit(1)).cast("long").alias("orphan_events"))
+    return count_missing(stg_events, stg_songs, "song_id").select(
+        F.col("missing").alias("orphan_events"))
 
 
 def staging_skip_rate(stg_events: DataFrame, stg_users: DataFrame) -> DataFrame:
     """Skip rate per raw subscription value (staging users are not unique)."""
     users = stg_users.select("user_id", "subscription_type")
-    events = stg_events.select("user_id", "was_skipped")
-    # Staging user ids are not unique: a plain join (duplicates multiply).
-    joined = events.join(users, "user_id")
+    events = stg_events.select("user_id", F.col("was_skipped").cast("int").alias("skips"),
+                               F.lit(1).alias("n"))
+    if fits_broadcast(users):
+        # Staging user ids are not unique: duplicates multiply (plain join).
+        joined = events.join(F.broadcast(users), "user_id")
+    else:
+        # One row per user id before the shuffle join.
+        per_user = events.groupBy("user_id").agg(F.sum("skips").alias("skips"), F.sum("n").alias("n"))
+        joined = per_user.join(users, "user_id")
     g = joined.groupBy("subscription_type").agg(
-        F.count_if(F.col("was_skipped")).alias("skips"),
-        F.count(F.lit(1)).alias("total_events"))
+        F.sum("skips").alias("skips"), F.sum("n").alias("total_events"))
     return g.select("subscription_type", pct(F.col("skips"), F.col("total_events"), 2).alias("skip_pct"),
                     F.col("total_events").cast("long").alias("total_events"))
 
@@ -133,9 +153,15 @@ def genre_skip_preview(star) -> DataFrame:
     fact = star.fact_streams.select("song_key", "was_skipped",
                                     decimal_to_bp("completion_pct").alias("bp"))
     songs = star.dim_songs.select("song_key", "genre")
-    g = lookup_join(fact, songs, "song_key").groupBy("genre").agg(
-        F.count(F.lit(1)).alias("total_plays"),
-        F.count_if(F.col("was_skipped")).alias("skips"),
+    rows = fact.select("song_key", F.lit(1).alias("plays"),
+                       F.col("was_skipped").cast("int").alias("skips"), "bp")
+    if not fits_broadcast(songs):
+        # One row per song before the shuffle join.
+        rows = rows.groupBy("song_key").agg(F.sum("plays").alias("plays"),
+                                            F.sum("skips").alias("skips"), F.sum("bp").alias("bp"))
+    g = lookup_join(rows, songs, "song_key").groupBy("genre").agg(
+        F.sum("plays").alias("total_plays"),
+        F.sum("skips").alias("skips"),
         F.sum("bp").alias("sum_bp"))
     return g.select("genre", F.col("total_plays").cast("long").alias("total_plays"),
                     F.col("skips").cast("long").alias("skips"),
@@ -158,11 +184,10 @@ def fk_audit(star) -> DataFrame:
     """Per foreign key: rows whose key has no parent row (NULL counts as missing)."""
     out = None
     for child, col, parent in FOREIGN_KEYS:
-        parents = star.table(parent).select(col).where(F.col(col).isNotNull()).distinct()
-        missing = lookup_join(star.table(child).select(col), parents, col, "left_anti")
-        one = missing.agg(F.count(F.lit(1)).cast("long").alias("violations")).select(
+        missing = count_missing(star.table(child), star.table(parent), col)
+        one = missing.select(
             F.lit(child).alias("table_name"), F.lit(col).alias("column_name"),
-            F.lit(parent).alias("parent_table"), "violations")
+            F.lit(parent).alias("parent_table"), F.col("missing").alias("violations"))
         out = one if out is None else out.unionByName(one)
     return out
 
