@@ -3,10 +3,15 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Prints one JSON line. Phases:
-  ingest     driver tables -> JSON Lines sources -> JSON ingest -> staging Parquet
+  land_sources  driver tables -> JSON Lines source files (the data generator's role)
+  load       JSON sources -> field-wise parse with loader defaults -> staging Parquet
   transform  staging -> dimensions + keyed fact, written (fact partitioned by day)
   q1..q4     the weekly report over the written warehouse (collected)
 Each query is run ``BENCH_REPEAT`` times (default 3) and the best time kept.
+``value`` is load + transform + q1..q4 (the reference's load, transform and
+report phases); land_sources is reported separately. The pipeline first runs
+once untimed on ``BENCH_WARMUP_DIR`` (default sf0.001) so that JVM start-up
+and code generation are not counted.
 """
 
 from __future__ import annotations
@@ -20,10 +25,10 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from encore.operators import report  # noqa: E402
-from encore.plans.warehouse import build_star, read_star, write_staging, write_star  # noqa: E402
+from encore.plans.warehouse import build_star, read_star, write_star  # noqa: E402
 from encore.session import build_session, scratch_path  # noqa: E402
 from encore.sources.driver_tables import staging as driver_staging  # noqa: E402
-from encore.sources.json_source import ingest_staging, write_sources  # noqa: E402
+from encore.sources.json_source import land_staging, write_sources  # noqa: E402
 from encore.sources.staging import from_parquet  # noqa: E402
 
 AS_OF = "2024-01-31"
@@ -35,20 +40,14 @@ def timed(fn):
     return out, time.perf_counter() - t0
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus),
-                          extra={"spark.driver.memory": "16g"})
+def run_pipeline(spark, sf_dir: str, repeat: int) -> tuple[dict[str, float], dict]:
     root = scratch_path(spark, "bench")
     times: dict[str, float] = {}
-
-    def ingest():
-        write_sources(driver_staging(spark, sf_dir), f"{root}/sources")
-        write_staging(ingest_staging(spark, f"{root}/sources"), root)
-
-    _, times["ingest"] = timed(ingest)
+    # The generator's role: driver tables -> JSON Lines source files.
+    _, times["land_sources"] = timed(
+        lambda: write_sources(driver_staging(spark, sf_dir), f"{root}/sources"))
+    # The reference's load phase: JSON source files -> typed staging tables.
+    _, times["load"] = timed(lambda: land_staging(spark, f"{root}/sources", root))
 
     def transform():
         write_star(build_star(spark, from_parquet(spark, root)), root)
@@ -67,14 +66,33 @@ def main() -> None:
             _, t = timed(lambda: build().collect())
             best = t if best is None else min(best, t)
         times[name] = best
-    fact_rows = star.fact_streams.count()
-    total = sum(times.values())
+    counts = {"fact_rows": star.fact_streams.count(),
+              "staged_events": from_parquet(spark, root).events.count()}
+    return times, counts
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    warmup_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001").rstrip("/")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus),
+                          extra={"spark.driver.memory": "16g"})
+    # Steady state: one pass of the same pipeline on the smallest tables first
+    # (JVM class loading and code generation), not timed.
+    warmed = bool(warmup_dir) and warmup_dir != sf_dir and os.path.isdir(warmup_dir)
+    if warmed:
+        run_pipeline(spark, warmup_dir, 1)
+    times, counts = run_pipeline(spark, sf_dir, repeat)
+    # land_sources stands in for the data generator: reported, not in the total.
+    total = sum(v for k, v in times.items() if k != "land_sources")
     print(json.dumps({
         "metric": "pipeline_wall_time", "value": round(total, 3), "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": os.path.basename(sf_dir).replace("sf", ""),
-        "fact_rows": fact_rows, "cpus": cpus,
-        "events_per_sec_transform": round(fact_rows / times["transform"], 1) if times["transform"] else None,
+        **counts, "cpus": cpus, "warmup": os.path.basename(warmup_dir) if warmed else None,
+        "load_events_per_sec": round(counts["staged_events"] / times["load"], 1),
+        "transform_events_per_sec": round(counts["staged_events"] / times["transform"], 1),
     }))
     spark.stop()
 

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
 from ..functions.exact import bp_to_decimal, completion_bp
-from .joins import lookup_join
-from .keys import insert_if_absent, max_key
+from .joins import estimated_bytes, lookup_join
+from .keys import insert_if_absent, max_key, partitions_for
 
 
 def quality_filter(events: DataFrame) -> DataFrame:
@@ -62,6 +62,10 @@ def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: D
     per calendar day, and the fact scan is pruned to those days).
     """
     resolved = resolve_events(stg_events, dim_users, dim_songs, dim_date)
+    if num_partitions is None:
+        # Sized from the staging scan: Catalyst's estimate of the joined frame
+        # is a product of its inputs without cost-based statistics.
+        num_partitions = partitions_for(estimated_bytes(stg_events), stg_events.sparkSession)
     start = None
     scope = existing
     if existing is not None and same_day_dedup:

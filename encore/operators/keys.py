@@ -58,6 +58,26 @@ def dedup_first(df: DataFrame, keys: str | Sequence[str],
             .select(*df.columns))
 
 
+BYTES_PER_PARTITION = 128 * 1024 * 1024
+UNKNOWN_SIZE = 2 ** 62
+MAX_PARTITIONS = 1_000_000
+
+
+def default_partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def partitions_for(size_bytes: int | None, spark) -> int:
+    """Range partitions for an input of ``size_bytes`` (scan estimate): ~128 MB each,
+    never fewer than the session's shuffle partitions."""
+    base = default_partitions(spark)
+    # No estimate, or Catalyst's "unknown" default (Long.MaxValue): keep the base.
+    if not size_bytes or size_bytes >= UNKNOWN_SIZE:
+        return base
+    per = int(spark.conf.get("encore.keys.bytesPerPartition", str(BYTES_PER_PARTITION)))
+    return min(MAX_PARTITIONS, max(base, -(-int(size_bytes) // per)))
+
+
 def max_key(existing: DataFrame | None, key: str) -> int:
     """Largest existing surrogate key (0 for an empty or absent table)."""
     if existing is None:
@@ -72,7 +92,7 @@ def assign_dense_keys(df: DataFrame, order_cols: str | Sequence[str], key: str,
     order_cols = _as_list(order_cols)
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or default_partitions(spark)
     ranged = (df.repartitionByRange(n, *order_cols)
                 .sortWithinPartitions(*order_cols)
                 .withColumn(_PID, F.spark_partition_id())

@@ -21,6 +21,7 @@ from ..operators.dates import dim_date as make_dim_date
 from ..operators.dimensions import build_dim_artists, build_dim_songs, build_dim_users
 from ..operators.fact import build_fact_streams
 from ..session import configure, scratch_path
+from .parallel import run_all
 from ..sources.staging import Staging
 
 DIMENSIONS = ("dim_date", "dim_artists", "dim_users", "dim_songs")
@@ -75,10 +76,12 @@ def build_star(spark: SparkSession, staging: Staging, existing: Star | None = No
 
 def write_star(star: Star, root: str, mode: str = "overwrite") -> str:
     root = root.rstrip("/")
-    for name in DIMENSIONS:
-        star.table(name).write.mode(mode).parquet(f"{root}/{name}")
+    writes = [(lambda n=name: star.table(n).write.mode(mode).parquet(f"{root}/{n}"))
+              for name in DIMENSIONS]
     # Rows are range-clustered by (date_key, event_id): few files per day.
-    star.fact_streams.write.mode(mode).partitionBy("date_key").parquet(f"{root}/{FACT}")
+    writes.append(lambda: star.fact_streams.write.mode(mode).partitionBy("date_key")
+                  .parquet(f"{root}/{FACT}"))
+    run_all(writes, max_workers=len(writes))
     return root
 
 
@@ -94,10 +97,8 @@ def read_star(spark: SparkSession, root: str) -> Star:
 
 def write_staging(staging: Staging, root: str, mode: str = "overwrite") -> str:
     root = root.rstrip("/")
-    staging.artists.write.mode(mode).parquet(f"{root}/stg_artists")
-    staging.songs.write.mode(mode).parquet(f"{root}/stg_songs")
-    staging.users.write.mode(mode).parquet(f"{root}/stg_users")
-    staging.events.write.mode(mode).parquet(f"{root}/stg_stream_events")
+    run_all((lambda n=name: staging.table(n).write.mode(mode).parquet(f"{root}/{n}"))
+            for name in ("stg_artists", "stg_songs", "stg_users", "stg_stream_events"))
     return root
 
 
@@ -111,10 +112,11 @@ def driver_warehouse(spark: SparkSession, sf_dir: str) -> str:
     """Build (once per application) the warehouse of the driver tables; its root.
 
     driver tables -> JSON Lines source files (``sources/``) -> JSON ingest with
-    the loader's defaults -> staging Parquet -> star schema.
+    the loader's defaults -> staging Parquet (accepted / rejected partitions)
+    -> star schema.
     """
     from ..sources.driver_tables import staging as driver_staging
-    from ..sources.json_source import ingest_staging, write_sources
+    from ..sources.json_source import land_staging, write_sources
     from ..sources.staging import from_parquet
 
     configure(spark)
@@ -123,7 +125,7 @@ def driver_warehouse(spark: SparkSession, sf_dir: str) -> str:
     if root is None:
         root = scratch_path(spark, "warehouse")
         write_sources(driver_staging(spark, sf_dir), f"{root}/sources")
-        write_staging(ingest_staging(spark, f"{root}/sources"), root)
+        land_staging(spark, f"{root}/sources", root)
         star = build_star(spark, from_parquet(spark, root))
         write_star(star, root)
         _BUILT[key] = root

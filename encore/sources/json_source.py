@@ -62,12 +62,13 @@ def json_objects(spark: SparkSession, path: str, layout: str = "lines") -> DataF
 
 def parse_objects(objects: DataFrame, schema: T.StructType,
                   defaults: dict | None = None) -> DataFrame:
-    """Typed columns of ``schema`` plus ``_rejected`` (fields whose value did not cast)."""
+    """Typed columns of ``schema``, ``_n_bad`` (failed fields, -1 for a malformed
+    record) and ``_rejected`` (their names)."""
     defaults = defaults or {}
     raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     parsed = objects.select(F.from_json("value", raw_schema).alias("r"),
                             F.json_object_keys("value").alias("_keys"))
-    cols, bad = [], []
+    cols, bad, flags = [], [], []
     for f in schema.fields:
         raw = F.col(f"r.{f.name}")
         typed = raw.try_cast(f.dataType)
@@ -75,10 +76,15 @@ def parse_objects(objects: DataFrame, schema: T.StructType,
             absent = ~F.coalesce(F.array_contains("_keys", f.name), F.lit(False))
             typed = F.when(absent, F.lit(defaults[f.name]).cast(f.dataType)).otherwise(typed)
         cols.append(typed.alias(f.name))
-        bad.append(F.when(raw.isNotNull() & typed.isNull(), F.lit(f.name)))
-    malformed = F.when(F.col("_keys").isNull(), F.array(F.lit("_record")))
-    rejected = F.coalesce(malformed, F.filter(F.array(*bad), lambda x: x.isNotNull()))
-    return parsed.select(*cols, rejected.alias("_rejected"))
+        failed = raw.isNotNull() & typed.isNull()
+        bad.append(F.when(failed, F.lit(f.name)))
+        flags.append(failed.cast("int"))
+    malformed = F.col("_keys").isNull()
+    # Integer count for the accept / reject split (code-generated arithmetic);
+    # the list of failed fields is only computed where rejects are read.
+    n_bad = F.when(malformed, F.lit(-1)).otherwise(sum(flags[1:], flags[0]))
+    detail = F.when(malformed, F.array(F.lit("_record"))).otherwise(F.array_compact(F.array(*bad)))
+    return parsed.select(*cols, n_bad.alias("_n_bad"), detail.alias("_rejected"))
 
 
 def ingest(spark: SparkSession, path: str, table: str, layout: str = "lines") -> DataFrame:
@@ -88,15 +94,44 @@ def ingest(spark: SparkSession, path: str, table: str, layout: str = "lines") ->
     target = schemas.STAGING[table]
     cols = [F.col(f.name) if f.name in parsed.columns else F.lit(None).cast(f.dataType).alias(f.name)
             for f in target.fields]
-    return parsed.select(*cols, "_rejected")
+    return parsed.select(*cols, "_n_bad", "_rejected")
 
 
 def accepted(df: DataFrame) -> DataFrame:
-    return df.where(F.size("_rejected") == 0).drop("_rejected")
+    return df.where(F.col("_n_bad") == 0).drop("_n_bad", "_rejected")
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    return df.where(F.size("_rejected") > 0)
+    return df.where(F.col("_n_bad") != 0).drop("_n_bad")
+
+
+LOAD_STATUS = "_load_status"
+
+
+def land_staging(spark: SparkSession, sources_root: str, staging_root: str,
+                 layout: str = "lines", mode: str = "overwrite") -> str:
+    """Parse each source once and write it partitioned by load status.
+
+    ``<table>/_load_status=accepted`` is the staging table,
+    ``<table>/_load_status=rejected`` the quarantine (with the failed fields).
+    Splitting by a partition column instead of filtering keeps the parse to one
+    evaluation per record: a filter on the parse result would be pushed below
+    it and re-parse every record.
+    """
+    from ..plans.parallel import run_all
+
+    sources_root, staging_root = sources_root.rstrip("/"), staging_root.rstrip("/")
+
+    def land(table: str, name: str):
+        parsed = ingest(spark, f"{sources_root}/{name}.json", table, layout)
+        ok = F.col("_n_bad") == 0
+        out = (parsed.withColumn("_rejected", F.when(~ok, F.col("_rejected")))
+               .withColumn(LOAD_STATUS, F.when(ok, F.lit("accepted")).otherwise(F.lit("rejected")))
+               .drop("_n_bad"))
+        return lambda: out.write.mode(mode).partitionBy(LOAD_STATUS).parquet(f"{staging_root}/{table}")
+
+    run_all(land(t, n) for t, n in SOURCE_FILES.items())
+    return staging_root
 
 
 def ingest_staging(spark: SparkSession, root: str, layout: str = "lines") -> Staging:
@@ -115,7 +150,7 @@ def ingest_report(spark: SparkSession, root: str, layout: str = "lines") -> Data
     for table, name in SOURCE_FILES.items():
         df = ingest(spark, f"{root}/{name}.json", table, layout)
         one = df.agg(F.count(F.lit(1)).cast("long").alias("records"),
-                     F.count_if(F.size("_rejected") > 0).cast("long").alias("rejected")).select(
+                     F.count_if(F.col("_n_bad") != 0).cast("long").alias("rejected")).select(
             F.lit(f"{name}.json").alias("source_file"), "records", "rejected")
         out = one if out is None else out.unionByName(one)
     return out
@@ -129,9 +164,13 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_sources(staging: Staging, root: str, mode: str = "overwrite") -> str:
     """Land staging-shaped records as the four JSON Lines source folders."""
+    from ..plans.parallel import run_all
+
     root = root.rstrip("/")
-    for table, name in SOURCE_FILES.items():
-        df = staging.table(table)
-        source_cols = [f.name for f in SOURCE_SCHEMAS[table].fields]
-        write_json_lines(df.select(*source_cols), f"{root}/{name}.json", mode)
+
+    def land(table: str, name: str):
+        df = staging.table(table).select(*[f.name for f in SOURCE_SCHEMAS[table].fields])
+        return lambda: write_json_lines(df, f"{root}/{name}.json", mode)
+
+    run_all(land(t, n) for t, n in SOURCE_FILES.items())
     return root

@@ -34,14 +34,27 @@ def conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*cols)
 
 
+LOAD_STATUS = "_load_status"
+
+
+def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A staging table; of a status-partitioned landing, the accepted records."""
+    from pyspark.sql import functions as F
+
+    df = spark.read.parquet(path)
+    if LOAD_STATUS in df.columns:
+        df = df.where(F.col(LOAD_STATUS) == "accepted")
+    return conform(df, schema)
+
+
 def from_parquet(spark: SparkSession, root: str) -> Staging:
     """Read a staging layer that was landed as Parquet under ``root``."""
     root = root.rstrip("/")
     return Staging(
-        artists=spark.read.schema(schemas.STG_ARTISTS).parquet(f"{root}/stg_artists"),
-        songs=spark.read.schema(schemas.STG_SONGS).parquet(f"{root}/stg_songs"),
-        users=spark.read.schema(schemas.STG_USERS).parquet(f"{root}/stg_users"),
-        events=spark.read.schema(schemas.STG_EVENTS).parquet(f"{root}/stg_stream_events"),
+        artists=read_table(spark, f"{root}/stg_artists", schemas.STG_ARTISTS),
+        songs=read_table(spark, f"{root}/stg_songs", schemas.STG_SONGS),
+        users=read_table(spark, f"{root}/stg_users", schemas.STG_USERS),
+        events=read_table(spark, f"{root}/stg_stream_events", schemas.STG_EVENTS),
     )
 
 

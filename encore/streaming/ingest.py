@@ -36,7 +36,7 @@ from ..operators.joins import lookup_join
 from ..plans.loads import list_dirs, path_exists
 from ..plans.warehouse import FACT
 from ..session import scratch_path
-from ..sources.json_source import DEFAULTS_WHEN_ABSENT, parse_objects
+from ..sources.json_source import DEFAULTS_WHEN_ABSENT, accepted, parse_objects, rejected
 
 RAW_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
@@ -67,9 +67,8 @@ def make_batch_writer(warehouse_root: str, dims_root: str, max_retries: int = 3)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bad = batch.where(F.size("_rejected") > 0)
-        events = (batch.where(F.size("_rejected") == 0).drop("_rejected")
-                  .withColumn("_attempts", F.lit(0)))
+        bad = rejected(batch)
+        events = accepted(batch).withColumn("_attempts", F.lit(0))
         if not bad.isEmpty():
             bad.write.mode("append").json(f"{root}/_quarantine/batch={batch_id}")
         pending = _latest_pending(spark, root)
