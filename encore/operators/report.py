@@ -168,20 +168,18 @@ _BY_HOUR = 2       # grouping_id of the (user_key, hour) set: platform rolled up
 def _listener_sets(star) -> DataFrame:
     """One pass over the fact: per (listener, platform) and per (listener, hour).
 
-    Grouping sets share one scan and one shuffle; the per-listener rows are then
-    joined with users once (subscription type), never the raw fact rows.
+    Grouping sets share one scan and one shuffle; everything after works on
+    per-listener rows, never on raw plays.
     """
     fact = star.fact_streams.select(
         "user_key", "platform", F.hour("listened_at").cast("long").alias("hour"),
         "was_skipped", decimal_to_bp("completion_pct").alias("bp"))
-    sets = fact.groupingSets([["user_key", "platform"], ["user_key", "hour"]],
+    return fact.groupingSets([["user_key", "platform"], ["user_key", "hour"]],
                              "user_key", "platform", "hour").agg(
         F.grouping_id().alias("gid"),
         F.count(F.lit(1)).alias("plays"),
         F.count_if("was_skipped").alias("skips"),
         F.sum("bp").alias("bp"))
-    users = star.dim_users.select("user_key", "subscription_type")
-    return lookup_join(sets, users, "user_key")
 
 
 def _listener_genres(star) -> DataFrame:
@@ -192,15 +190,18 @@ def _listener_genres(star) -> DataFrame:
             .groupBy("user_key").agg(F.count_distinct("genre").alias("unique_genres")))
 
 
-def _user_stats(sets: DataFrame, genres: DataFrame) -> DataFrame:
-    # Grouped by user_key alone (the subscription depends on it), so the join
-    # with the per-listener genre counts reuses the same hash partitioning.
-    per_user = (sets.where(F.col("gid") == _BY_PLATFORM)
-                .groupBy("user_key")
-                .agg(F.max("subscription_type").alias("subscription_type"),
-                     F.sum("plays").alias("plays"), F.sum("bp").alias("bp"),
+def _subscriptions(star) -> DataFrame:
+    return star.dim_users.select("user_key", "subscription_type")
+
+
+def _user_stats(star, sets: DataFrame) -> DataFrame:
+    # Numeric per-listener sums (hash aggregate), joined with the per-listener
+    # genre counts on the same key, then with users for the subscription.
+    per_user = (sets.where(F.col("gid") == _BY_PLATFORM).groupBy("user_key")
+                .agg(F.sum("plays").alias("plays"), F.sum("bp").alias("bp"),
                      F.sum("skips").alias("skips")))
-    joined = per_user.join(genres, "user_key", "left")
+    joined = lookup_join(per_user.join(_listener_genres(star), "user_key", "left"),
+                         _subscriptions(star), "user_key")
     return joined.select(
         F.col("user_key").cast("long").alias("user_key"),
         "subscription_type",
@@ -213,7 +214,7 @@ def _user_stats(sets: DataFrame, genres: DataFrame) -> DataFrame:
 
 def user_stats(star) -> DataFrame:
     """Per listener: plays, rounded average completion and skip rate (as units), genres."""
-    return _user_stats(_listener_sets(star), _listener_genres(star))
+    return _user_stats(star, _listener_sets(star))
 
 
 def user_stats_report(star) -> DataFrame:
@@ -234,34 +235,36 @@ def _ranked_per_subscription(counts: DataFrame, item: str, count_col: str) -> Da
     return counts.withColumn("rn", F.row_number().over(w).cast("long"))
 
 
-def _platform_rank(sets: DataFrame) -> DataFrame:
-    counts = (sets.where(F.col("gid") == _BY_PLATFORM)
-              .groupBy("subscription_type", "platform")
-              .agg(F.sum("plays").cast("long").alias("play_count")))
+def _counts_by_subscription(star, sets: DataFrame, gid: int, item: str, name: str) -> DataFrame:
+    rows = sets.where(F.col("gid") == gid).select("user_key", item, "plays")
+    return (lookup_join(rows, _subscriptions(star), "user_key")
+            .groupBy("subscription_type", item).agg(F.sum("plays").cast("long").alias(name)))
+
+
+def _platform_rank(star, sets: DataFrame) -> DataFrame:
+    counts = _counts_by_subscription(star, sets, _BY_PLATFORM, "platform", "play_count")
     return _ranked_per_subscription(counts, "platform", "play_count")
 
 
-def _peak_hour(sets: DataFrame) -> DataFrame:
-    counts = (sets.where(F.col("gid") == _BY_HOUR)
-              .groupBy("subscription_type", "hour")
-              .agg(F.sum("plays").cast("long").alias("cnt")))
+def _peak_hour(star, sets: DataFrame) -> DataFrame:
+    counts = _counts_by_subscription(star, sets, _BY_HOUR, "hour", "cnt")
     return _ranked_per_subscription(counts, "hour", "cnt")
 
 
 def platform_rank(star) -> DataFrame:
     """Plays per (subscription, platform), ranked within the subscription."""
-    return _platform_rank(_listener_sets(star))
+    return _platform_rank(star, _listener_sets(star))
 
 
 def peak_hour(star) -> DataFrame:
     """Plays per (subscription, UTC hour), ranked within the subscription."""
-    return _peak_hour(_listener_sets(star))
+    return _peak_hour(star, _listener_sets(star))
 
 
 def free_vs_premium(star) -> DataFrame:
     """Listening behaviour per subscription type (user-weighted averages)."""
     sets = _listener_sets(star)
-    us = _user_stats(sets, _listener_genres(star))
+    us = _user_stats(star, sets)
     per_sub = us.groupBy("subscription_type").agg(
         F.count(F.lit(1)).alias("total_users"),
         F.sum("plays").alias("plays"),
@@ -270,13 +273,14 @@ def free_vs_premium(star) -> DataFrame:
         F.sum("unique_genres").alias("genres"),
     )
     # Keep only the first-ranked row of each ranking before joining: one row per
-    # subscription on each side, so the join cannot fan out.
-    top_platform = _platform_rank(sets).where(F.col("rn") == 1).select(
+    # subscription type on each side (the cleaned domain has three values), so
+    # the join cannot fan out and both sides are broadcast.
+    top_platform = _platform_rank(star, sets).where(F.col("rn") == 1).select(
         "subscription_type", F.col("platform").alias("top_platform"))
-    top_hour = _peak_hour(sets).where(F.col("rn") == 1).select(
+    top_hour = _peak_hour(star, sets).where(F.col("rn") == 1).select(
         "subscription_type", F.col("hour").alias("peak_hour_utc"))
-    joined = (per_sub.join(top_platform, "subscription_type", "left")
-              .join(top_hour, "subscription_type", "left"))
+    joined = (per_sub.join(F.broadcast(top_platform), "subscription_type", "left")
+              .join(F.broadcast(top_hour), "subscription_type", "left"))
     n = F.col("total_users")
     return joined.select(
         "subscription_type",
@@ -356,7 +360,12 @@ def breakout_artists(star, as_of, window_days: int = 30, min_recent: int = 20,
     growth = Fraction(str(min_growth))
     r, p = F.col("recent_listeners"), F.col("prev_listeners")
     # The growth test on exact integers: r / p > num / den  <=>  r * den > p * num.
-    kept = (lookup_join(pivot, totals, "artist")
+    # ``totals`` has at most one row per artist: it fits whenever the artist
+    # dimension does.
+    artists = star.dim_artists.select("artist_key", "name", "primary_genre")
+    joined = (pivot.join(F.broadcast(totals), "artist") if fits_broadcast(artists)
+              else lookup_join(pivot, totals, "artist"))
+    kept = (joined
             .where((r >= min_recent) & (p >= min_prev) &
                    (r * growth.denominator > p * growth.numerator)))
     scored = kept.select(
