@@ -9,7 +9,9 @@ Dedup (first row wins)
 
 Dense surrogate keys
     ``SERIAL`` values become dense keys ordered by the natural key, starting at
-    ``max(existing) + 1``. No global ``row_number()``: the frame is range
+    ``max(existing) + 1``. A frame under a size check (16 MB estimate) is
+    numbered by one ordered ``row_number()``. Above it, no global
+    ``row_number()``: the frame is range
     partitioned on the natural key and sorted within partitions; a
     monotonically increasing id gives each row its index inside its partition;
     the frame is checkpointed (reliable, to the shared checkpoint folder) so
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
-from .joins import lookup_join
+from .joins import fits_broadcast, lookup_join
 
 _PID = "_k_pid"
 _MID = "_k_mid"
@@ -58,11 +60,16 @@ def dedup_first(df: DataFrame, keys: str | Sequence[str],
             .select(*df.columns))
 
 
+SMALL_FRAME_BYTES = 16 * 1024 * 1024
 BYTES_PER_PARTITION = 128 * 1024 * 1024
 UNKNOWN_SIZE = 2 ** 62
 MAX_PARTITIONS = 1_000_000
 
 
+def small_frame_limit(spark) -> int:
+    return int(spark.conf.get("encore.keys.smallFrameBytes", str(SMALL_FRAME_BYTES)))
+
+
 def default_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -91,6 +98,11 @@ def assign_dense_keys(df: DataFrame, order_cols: str | Sequence[str], key: str,
     """Add ``key`` = start + 1, 2, ... in ``order_cols`` order (unique values)."""
     order_cols = _as_list(order_cols)
     spark = df.sparkSession
+    if num_partitions is None and fits_broadcast(df, small_frame_limit(spark)):
+        # Small (size-checked) frame: one ordered pass is bounded and
+        # deterministic (unique keys), no checkpoint needed.
+        rank = F.row_number().over(Window.orderBy(*order_cols))
+        return df.select((F.lit(int(start)) + rank).cast("long").alias(key), *df.columns)
     checkpoint_root(spark)
     n = num_partitions or default_partitions(spark)
     ranged = (df.repartitionByRange(n, *order_cols)
