@@ -34,8 +34,10 @@ def resolve_events(stg_events: DataFrame, dim_users: DataFrame, dim_songs: DataF
     ev = ev.withColumn("date_key", C.date_key_of("listened_at"))
     users = dim_users.select("user_id", "user_key")
     songs = dim_songs.select("song_id", "song_key", "artist_key")
-    ev = lookup_join(ev, users, "user_id", "inner")
-    ev = lookup_join(ev, songs, "song_id", "inner")
+    # Hot keys are sampled from the staging scan, not from the joined frame.
+    raw = stg_events.select("user_id", "song_id")
+    ev = lookup_join(ev, users, "user_id", "inner", hot_from=raw)
+    ev = lookup_join(ev, songs, "song_id", "inner", hot_from=raw)
     # One row per calendar day (a few thousand rows): always broadcast.
     ev = ev.join(F.broadcast(dim_date.select("date_key")), "date_key", "inner")
     dur = F.greatest(F.col("duration_ms"), F.lit(0))

@@ -67,10 +67,13 @@ def hot_keys(fact: DataFrame, key: str, hot_share: float = DEFAULT_HOT_SHARE,
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "inner",
                 limit: int | None = None, hot_share: float = DEFAULT_HOT_SHARE,
                 sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
-                split_hot: bool | None = None) -> DataFrame:
+                split_hot: bool | None = None, hot_from: DataFrame | None = None) -> DataFrame:
     """Join ``fact`` to ``dim`` (unique on ``on``), many-to-one.
 
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. ``hot_from``
+    is the frame whose ``on`` column is sampled for hot keys (default ``fact``);
+    pass the cheapest frame that carries the raw key (a table scan rather than
+    a joined or aggregated frame that would be recomputed for the sample).
     """
     if fits_broadcast(dim, limit):
         return fact.join(F.broadcast(dim), on, how)
@@ -78,7 +81,7 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "inner",
         split_hot = fact.sparkSession.conf.get("encore.join.splitHotKeys", "true") == "true"
     if not split_hot:
         return fact.join(dim, on, how)
-    hot = hot_keys(fact, on, hot_share, sample_fraction)
+    hot = hot_keys(fact if hot_from is None else hot_from, on, hot_share, sample_fraction)
     if not hot:
         return fact.join(dim, on, how)
     is_hot = F.col(on).isin(hot)

@@ -131,7 +131,8 @@ def new_rows(incoming: DataFrame, existing: DataFrame | None, nk: str | Sequence
         not_null = not_null & F.col(c).isNotNull()
     known = existing.select(*nk).where(not_null)
     if len(nk) == 1:
-        return lookup_join(incoming, known.distinct(), nk[0], "left_anti")
+        # ``incoming`` is deduplicated: one row per key, nothing hot to split.
+        return lookup_join(incoming, known.distinct(), nk[0], "left_anti", split_hot=False)
     return incoming.join(known.distinct(), nk, "left_anti")
 
 

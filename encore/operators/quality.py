@@ -65,7 +65,8 @@ def count_missing(child: DataFrame, parents: DataFrame, col: str) -> DataFrame:
         missing = lookup_join(child.select(col), keys, col, "left_anti")
         return missing.agg(F.count(F.lit(1)).cast("long").alias("missing"))
     per_key = child.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    missing = lookup_join(per_key, keys, col, "left_anti")
+    # One row per key on both sides: nothing hot to split off.
+    missing = lookup_join(per_key, keys, col, "left_anti", split_hot=False)
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("missing"))
 
 

@@ -79,7 +79,9 @@ def trending_songs(star, as_of, days: int = 7, k: int = 10) -> DataFrame:
         rows = fact.groupBy("song_key", "artist_key", "user_key").agg(
             F.count(F.lit(1)).alias("plays"), F.sum(bp).alias("bp"),
             F.count_if(skipped).alias("skips"))
-    joined = lookup_join(lookup_join(rows, songs, "song_key"), artists, "artist_key")
+    keys = fact.select("song_key", "artist_key")
+    joined = lookup_join(lookup_join(rows, songs, "song_key", hot_from=keys), artists,
+                         "artist_key", hot_from=keys)
     groups = joined.groupBy("artist", "song", "genre").agg(
         F.count_distinct("user_key").alias("unique_listeners"),
         F.sum("plays").alias("total_plays"),
@@ -124,7 +126,8 @@ def genre_skip_rates(star) -> DataFrame:
     if not fits_broadcast(songs):
         # One row per (song, listener) before the shuffle join with songs.
         plays = _sum_measures(plays, ["song_key", "user_key"], _Q2_MEASURES)
-    rows = lookup_join(plays, songs, "song_key").select(
+    keys = star.fact_streams.select("song_key", "user_key")
+    rows = lookup_join(plays, songs, "song_key", hot_from=keys).select(
         "genre", "user_key", *_Q2_MEASURES,
         (F.col("duration_ms").cast("long") * F.col("plays")).alias("sum_ms"),
         F.when(F.col("duration_ms").isNotNull(), F.col("plays")).alias("n_ms"))
@@ -132,7 +135,7 @@ def genre_skip_rates(star) -> DataFrame:
     if not fits_broadcast(users):
         # One row per (genre, listener) before the shuffle join with users.
         rows = _sum_measures(rows, ["genre", "user_key"], measures)
-    joined = lookup_join(rows, users, "user_key")
+    joined = lookup_join(rows, users, "user_key", hot_from=keys)
     sub = F.col("subscription_type")
     g = joined.groupBy("genre").agg(
         F.sum("plays").alias("total_plays"),
@@ -186,7 +189,7 @@ def _listener_genres(star) -> DataFrame:
     """Distinct genres per listener: (listener, song) pairs first, then the song lookup."""
     pairs = star.fact_streams.select("user_key", "song_key").distinct()
     songs = star.dim_songs.select("song_key", "genre")
-    return (lookup_join(pairs, songs, "song_key")
+    return (lookup_join(pairs, songs, "song_key", hot_from=star.fact_streams)
             .groupBy("user_key").agg(F.count_distinct("genre").alias("unique_genres")))
 
 
@@ -201,7 +204,7 @@ def _user_stats(star, sets: DataFrame) -> DataFrame:
                 .agg(F.sum("plays").alias("plays"), F.sum("bp").alias("bp"),
                      F.sum("skips").alias("skips")))
     joined = lookup_join(per_user.join(_listener_genres(star), "user_key", "left"),
-                         _subscriptions(star), "user_key")
+                         _subscriptions(star), "user_key", hot_from=star.fact_streams)
     return joined.select(
         F.col("user_key").cast("long").alias("user_key"),
         "subscription_type",
@@ -237,7 +240,7 @@ def _ranked_per_subscription(counts: DataFrame, item: str, count_col: str) -> Da
 
 def _counts_by_subscription(star, sets: DataFrame, gid: int, item: str, name: str) -> DataFrame:
     rows = sets.where(F.col("gid") == gid).select("user_key", item, "plays")
-    return (lookup_join(rows, _subscriptions(star), "user_key")
+    return (lookup_join(rows, _subscriptions(star), "user_key", hot_from=star.fact_streams)
             .groupBy("subscription_type", item).agg(F.sum("plays").cast("long").alias(name)))
 
 
@@ -313,10 +316,11 @@ def _listeners(star, as_of, window_days: int) -> DataFrame:
     fact = fact.join(F.broadcast(windows), "date_key").drop("date_key")
     artists = star.dim_artists.select("artist_key", F.col("name").alias("artist"),
                                       F.col("primary_genre").alias("genre"))
+    keys = fact.select("artist_key")
     if not fits_broadcast(artists):
         # Distinct listeners per artist key first: the shuffle join sees no repeats.
         fact = fact.distinct()
-    joined = lookup_join(fact, artists, "artist_key")
+    joined = lookup_join(fact, artists, "artist_key", hot_from=keys)
     return joined.select("artist", "genre", "country_code", "window_label", "user_key").distinct()
 
 
@@ -363,8 +367,9 @@ def breakout_artists(star, as_of, window_days: int = 30, min_recent: int = 20,
     # ``totals`` has at most one row per artist: it fits whenever the artist
     # dimension does.
     artists = star.dim_artists.select("artist_key", "name", "primary_genre")
+    # ``pivot`` holds one row per (artist, genre, country): no hot artist rows.
     joined = (pivot.join(F.broadcast(totals), "artist") if fits_broadcast(artists)
-              else lookup_join(pivot, totals, "artist"))
+              else lookup_join(pivot, totals, "artist", split_hot=False))
     kept = (joined
             .where((r >= min_recent) & (p >= min_prev) &
                    (r * growth.denominator > p * growth.numerator)))
