@@ -129,14 +129,16 @@ def incremental_load(spark: SparkSession, staging_root: str, warehouse_root: str
     if new_mark is None:
         return read_star(spark, root)
     staging = Staging(*[batch[n].drop("loaded_at") for n in STAGING_TABLES])
+    from ..operators.dates import populate_once
+
+    # Populate-once guard: the calendar is written only if it is not there yet.
+    dates_path = f"{root}/dim_date"
+    current = spark.read.parquet(dates_path) if path_exists(spark, f"{dates_path}/_SUCCESS") else None
+    dates = populate_once(current, spark)
+    if current is None:
+        dates.write.mode("overwrite").parquet(dates_path)
     existing = read_star(spark, root) if path_exists(spark, f"{root}/{FACT}") else None
-    if existing is None:
-        from ..operators.dates import dim_date
-        dim_date(spark).write.mode("errorifexists").parquet(f"{root}/dim_date")
-        existing_for_build = None
-    else:
-        existing_for_build = existing
-    delta = build_star_delta(spark, staging, existing_for_build)
+    delta = build_star_delta(spark, staging, existing)
     for name in ("dim_artists", "dim_users", "dim_songs"):
         delta.table(name).write.mode("append").parquet(f"{root}/{name}")
     delta.fact_streams.write.mode("append").partitionBy("date_key").parquet(f"{root}/{FACT}")

@@ -75,6 +75,9 @@ def build_star(spark: SparkSession, staging: Staging, existing: Star | None = No
 
 
 def write_star(star: Star, root: str, mode: str = "overwrite") -> str:
+    from ..operators.quality import assert_no_pii
+
+    assert_no_pii(star)   # personal data never reaches the analytics layer
     root = root.rstrip("/")
     writes = [(lambda n=name: star.table(n).write.mode(mode).parquet(f"{root}/{n}"))
               for name in DIMENSIONS]

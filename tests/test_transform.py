@@ -152,3 +152,16 @@ def test_fact_keys_direct(spark, make_staging):
     fact = build_fact_streams(stg.events, users, songs, dim_date(spark))
     # keys follow (date_key, event_id)
     assert _rows(fact, "stream_key", "event_id") == [(1, "b"), (2, "a")]
+
+
+def test_pii_never_written(spark, make_staging):
+    import pytest
+
+    from encore.plans.warehouse import Star, write_star
+    from encore.session import scratch_path
+    stg = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")],
+                       events=[event("e1")])
+    star = build_star(spark, stg)
+    leaky = Star(star.dim_date, star.dim_artists, stg.users, star.dim_songs, star.fact_streams)
+    with pytest.raises(AssertionError, match="personal data"):
+        write_star(leaky, scratch_path(spark, "never"))
