@@ -103,12 +103,13 @@ def row_counts_analytics(star) -> DataFrame:
 
 
 def load_reconciliation(stg_events: DataFrame, fact: DataFrame) -> DataFrame:
-    """Staged vs loaded events. Two one-row aggregates combined side by side."""
-    staged = stg_events.agg(F.count(F.lit(1)).alias("staging_rows")).withColumn("_j", F.lit(1))
-    loaded = fact.agg(F.count(F.lit(1)).alias("analytics_rows")).withColumn("_j", F.lit(1))
-    both = staged.join(loaded, "_j")
+    """Staged vs loaded events: two labelled counts folded into one row (no join)."""
+    counts = _labelled_counts([("staged", stg_events), ("loaded", fact)], "side", "n")
+    label = F.col("side")
+    row = counts.agg(F.sum(F.when(label == "staged", F.col("n"))).alias("staging_rows"),
+                     F.sum(F.when(label == "loaded", F.col("n"))).alias("analytics_rows"))
     s, a = F.col("staging_rows"), F.col("analytics_rows")
-    return both.select(
+    return row.select(
         F.lit("stream_events").alias("source"),
         s.cast("long").alias("staging_rows"), a.cast("long").alias("analytics_rows"),
         (s - a).cast("long").alias("filtered_out"),

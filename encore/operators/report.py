@@ -16,9 +16,9 @@ Plan notes
 * When a dimension fails the broadcast check, the fact is first reduced to
   one row per join key (per song and listener, per genre and listener, per
   artist key and listener) so the shuffle join never sees raw plays.
-* Q3 reads the fact once (grouping sets per listener and platform / hour),
-  joins users on per-listener rows only, and filters each ranking to its first
-  row before joining (no fan-out). Q4 builds its two distinct counts from one
+* Q3 reads the fact once into per (listener, platform, hour) cells joined
+  once with users; listener stats and both rankings roll up from that frame,
+  and each ranking is filtered to its first row before joining (no fan-out). Q4 builds its two distinct counts from one
   shared distinct (artist, genre, country, window, user) set.
 """
 
@@ -164,25 +164,22 @@ def genre_skip_rates(star) -> DataFrame:
 # Q3 free vs premium
 # ---------------------------------------------------------------------------
 
-_BY_PLATFORM = 1   # grouping_id of the (user_key, platform) set: hour rolled up
-_BY_HOUR = 2       # grouping_id of the (user_key, hour) set: platform rolled up
+def _listener_cells(star) -> DataFrame:
+    """Plays per (listener, platform, hour), with the listener's subscription.
 
-
-def _listener_sets(star) -> DataFrame:
-    """One pass over the fact: per (listener, platform) and per (listener, hour).
-
-    Grouping sets share one scan and one shuffle; everything after works on
-    per-listener rows, never on raw plays.
+    One aggregate over the fact (a listener has a few platforms and hours, so
+    this is far smaller than the plays), joined once with users. The listener
+    stats, the platform ranking and the hour ranking are all rolled up from
+    this same frame, so the fact is scanned and shuffled once for all three.
     """
     fact = star.fact_streams.select(
         "user_key", "platform", F.hour("listened_at").cast("long").alias("hour"),
         "was_skipped", decimal_to_bp("completion_pct").alias("bp"))
-    return fact.groupingSets([["user_key", "platform"], ["user_key", "hour"]],
-                             "user_key", "platform", "hour").agg(
-        F.grouping_id().alias("gid"),
+    cells = fact.groupBy("user_key", "platform", "hour").agg(
         F.count(F.lit(1)).alias("plays"),
         F.count_if("was_skipped").alias("skips"),
         F.sum("bp").alias("bp"))
+    return lookup_join(cells, _subscriptions(star), "user_key", hot_from=star.fact_streams)
 
 
 def _listener_genres(star) -> DataFrame:
@@ -197,14 +194,10 @@ def _subscriptions(star) -> DataFrame:
     return star.dim_users.select("user_key", "subscription_type")
 
 
-def _user_stats(star, sets: DataFrame) -> DataFrame:
-    # Numeric per-listener sums (hash aggregate), joined with the per-listener
-    # genre counts on the same key, then with users for the subscription.
-    per_user = (sets.where(F.col("gid") == _BY_PLATFORM).groupBy("user_key")
-                .agg(F.sum("plays").alias("plays"), F.sum("bp").alias("bp"),
-                     F.sum("skips").alias("skips")))
-    joined = lookup_join(per_user.join(_listener_genres(star), "user_key", "left"),
-                         _subscriptions(star), "user_key", hot_from=star.fact_streams)
+def _user_stats(star, cells: DataFrame) -> DataFrame:
+    per_user = cells.groupBy("user_key", "subscription_type").agg(
+        F.sum("plays").alias("plays"), F.sum("bp").alias("bp"), F.sum("skips").alias("skips"))
+    joined = per_user.join(_listener_genres(star), "user_key", "left")
     return joined.select(
         F.col("user_key").cast("long").alias("user_key"),
         "subscription_type",
@@ -217,7 +210,7 @@ def _user_stats(star, sets: DataFrame) -> DataFrame:
 
 def user_stats(star) -> DataFrame:
     """Per listener: plays, rounded average completion and skip rate (as units), genres."""
-    return _user_stats(star, _listener_sets(star))
+    return _user_stats(star, _listener_cells(star))
 
 
 def user_stats_report(star) -> DataFrame:
@@ -238,36 +231,31 @@ def _ranked_per_subscription(counts: DataFrame, item: str, count_col: str) -> Da
     return counts.withColumn("rn", F.row_number().over(w).cast("long"))
 
 
-def _counts_by_subscription(star, sets: DataFrame, gid: int, item: str, name: str) -> DataFrame:
-    rows = sets.where(F.col("gid") == gid).select("user_key", item, "plays")
-    return (lookup_join(rows, _subscriptions(star), "user_key", hot_from=star.fact_streams)
-            .groupBy("subscription_type", item).agg(F.sum("plays").cast("long").alias(name)))
-
-
-def _platform_rank(star, sets: DataFrame) -> DataFrame:
-    counts = _counts_by_subscription(star, sets, _BY_PLATFORM, "platform", "play_count")
+def _platform_rank(cells: DataFrame) -> DataFrame:
+    counts = cells.groupBy("subscription_type", "platform").agg(
+        F.sum("plays").cast("long").alias("play_count"))
     return _ranked_per_subscription(counts, "platform", "play_count")
 
 
-def _peak_hour(star, sets: DataFrame) -> DataFrame:
-    counts = _counts_by_subscription(star, sets, _BY_HOUR, "hour", "cnt")
+def _peak_hour(cells: DataFrame) -> DataFrame:
+    counts = cells.groupBy("subscription_type", "hour").agg(F.sum("plays").cast("long").alias("cnt"))
     return _ranked_per_subscription(counts, "hour", "cnt")
 
 
 def platform_rank(star) -> DataFrame:
     """Plays per (subscription, platform), ranked within the subscription."""
-    return _platform_rank(star, _listener_sets(star))
+    return _platform_rank(_listener_cells(star))
 
 
 def peak_hour(star) -> DataFrame:
     """Plays per (subscription, UTC hour), ranked within the subscription."""
-    return _peak_hour(star, _listener_sets(star))
+    return _peak_hour(_listener_cells(star))
 
 
 def free_vs_premium(star) -> DataFrame:
     """Listening behaviour per subscription type (user-weighted averages)."""
-    sets = _listener_sets(star)
-    us = _user_stats(star, sets)
+    cells = _listener_cells(star)
+    us = _user_stats(star, cells)
     per_sub = us.groupBy("subscription_type").agg(
         F.count(F.lit(1)).alias("total_users"),
         F.sum("plays").alias("plays"),
@@ -278,9 +266,9 @@ def free_vs_premium(star) -> DataFrame:
     # Keep only the first-ranked row of each ranking before joining: one row per
     # subscription type on each side (the cleaned domain has three values), so
     # the join cannot fan out and both sides are broadcast.
-    top_platform = _platform_rank(star, sets).where(F.col("rn") == 1).select(
+    top_platform = _platform_rank(cells).where(F.col("rn") == 1).select(
         "subscription_type", F.col("platform").alias("top_platform"))
-    top_hour = _peak_hour(star, sets).where(F.col("rn") == 1).select(
+    top_hour = _peak_hour(cells).where(F.col("rn") == 1).select(
         "subscription_type", F.col("hour").alias("peak_hour_utc"))
     joined = (per_sub.join(F.broadcast(top_platform), "subscription_type", "left")
               .join(F.broadcast(top_hour), "subscription_type", "left"))

@@ -38,9 +38,6 @@ from ..plans.warehouse import FACT
 from ..session import scratch_path
 from ..sources.json_source import DEFAULTS_WHEN_ABSENT, accepted, parse_objects, rejected
 
-RAW_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
-
-
 def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.format("text")
     if max_files_per_trigger:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from conftest import SF_SMALL, artist, song, user
+from conftest import SF_SMALL, artist
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

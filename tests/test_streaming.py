@@ -38,7 +38,7 @@ def test_stream_retries_events_of_late_users(spark, make_staging):
     assert [r.event_id for r in spark.read.parquet(f"{out}/fact_streams").collect()] == ["e1"]
     # the user arrives; the next micro-batch resolves the parked event
     users = spark.read.parquet(f"{dims}/dim_users")
-    extra = users.limit(1).selectExpr("2 AS user_key", "'u2' AS user_id", "country_code",
+    extra = users.limit(1).selectExpr("CAST(2 AS BIGINT) AS user_key", "'u2' AS user_id", "country_code",
                                       "subscription_type", "age_group", "signup_date")
     extra.write.mode("append").parquet(f"{dims}/dim_users")
     batch2 = make_staging(events=[event("e3")])
