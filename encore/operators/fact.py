@@ -3,10 +3,11 @@
 Plan shape: the quality filter runs on the staging scan (below the joins);
 the user and song lookups are size-checked broadcast joins, or shuffle joins
 with hot keys split off; the date lookup is a broadcast of a bounded
-(one row per day) dimension. Duplicate event ids collapse through a partial
-aggregate, and stream keys come from the dense-key operator ordered by
-(date_key, event_id), so the keyed frame is already clustered by day for a
-``date_key``-partitioned write.
+(one row per day) dimension. Duplicate event ids are found by a narrow count
+per id; only the rows of repeated ids go through the first-row-wins aggregate
+(partial aggregation collapses copies map-side), and stream keys come from the
+dense-key operator ordered by (date_key, event_id), so the keyed frame is
+already clustered by day for a ``date_key``-partitioned write.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from .joins import estimated_bytes, lookup_join
 from .keys import insert_if_absent, max_key, partitions_for
 
 
+RARE_DEDUP_MIN_BYTES = 256 * 1024 * 1024
+
+
 def quality_filter(events: DataFrame) -> DataFrame:
     """``0 <= duration_ms <= song_duration_ms + 5000`` (NULL in either drops)."""
     d = F.col("duration_ms").cast("long")
@@ -64,10 +68,15 @@ def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: D
     per calendar day, and the fact scan is pruned to those days).
     """
     resolved = resolve_events(stg_events, dim_users, dim_songs, dim_date)
+    staged_bytes = estimated_bytes(stg_events)
     if num_partitions is None:
         # Sized from the staging scan: Catalyst's estimate of the joined frame
         # is a product of its inputs without cost-based statistics.
-        num_partitions = partitions_for(estimated_bytes(stg_events), stg_events.sparkSession)
+        num_partitions = partitions_for(staged_bytes, stg_events.sparkSession)
+    # Large inputs: find repeated event ids with a narrow count first, so full
+    # rows are shuffled once (for the keys). Small inputs: one dedup shuffle
+    # costs less than the extra counting job.
+    rare = staged_bytes is None or staged_bytes >= RARE_DEDUP_MIN_BYTES
     start = None
     scope = existing
     if existing is not None and same_day_dedup:
@@ -76,4 +85,4 @@ def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: D
         scope = existing.join(F.broadcast(days), "date_key", "left_semi")
     return insert_if_absent(resolved, scope, "event_id", "stream_key",
                             order_cols=["date_key", "event_id"], num_partitions=num_partitions,
-                            start=start)
+                            start=start, rare_duplicates=rare)

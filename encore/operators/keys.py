@@ -85,6 +85,34 @@ def partitions_for(size_bytes: int | None, spark) -> int:
     return min(MAX_PARTITIONS, max(base, -(-int(size_bytes) // per)))
 
 
+MAX_DUPLICATE_KEYS = 100_000
+
+
+def dedup_first_rare(df: DataFrame, key: str, order: Sequence[str] | None = None,
+                     max_duplicate_keys: int = MAX_DUPLICATE_KEYS) -> DataFrame:
+    """``dedup_first`` for inputs where duplicated keys are rare.
+
+    A narrow pass counts rows per key (partial aggregation, only the key is
+    shuffled). When at most ``max_duplicate_keys`` keys repeat, their ids (a
+    bounded list) select the rows that need the first-row-wins aggregate; all
+    other rows pass through without a shuffle. Otherwise the whole frame is
+    deduplicated. The result is the same either way.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = counts.where(F.col("_n") > 1).select(key).limit(max_duplicate_keys + 1).collect()
+    if not repeated:
+        return df
+    if len(repeated) > max_duplicate_keys:
+        return dedup_first(df, key, order)
+    ids = [r[0] for r in repeated if r[0] is not None]
+    # NULL keys form one group, as in ``dedup_first``; keep NULL out of the IN
+    # list (``k IN (..., NULL)`` is NULL, not false, for every other key).
+    hot = F.coalesce(F.col(key).isin(ids), F.lit(False)) if ids else F.lit(False)
+    if len(ids) < len(repeated):
+        hot = hot | F.col(key).isNull()
+    return df.where(~hot).unionByName(dedup_first(df.where(hot), key, order))
+
+
 def max_key(existing: DataFrame | None, key: str) -> int:
     """Largest existing surrogate key (0 for an empty or absent table)."""
     if existing is None:
@@ -138,14 +166,20 @@ def new_rows(incoming: DataFrame, existing: DataFrame | None, nk: str | Sequence
 
 def insert_if_absent(incoming: DataFrame, existing: DataFrame | None, nk: str | Sequence[str],
                      key: str, order_cols: str | Sequence[str] | None = None,
-                     num_partitions: int | None = None, start: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None, start: int | None = None,
+                     rare_duplicates: bool = False) -> DataFrame:
     """The keyed rows to append: first row per new natural key, keys after max(existing).
 
     ``existing`` is what the batch is deduplicated against; pass ``start`` when
     that is only a slice of the table (the largest key of the whole table).
+    ``rare_duplicates`` picks the dedup that shuffles only the key column unless
+    many keys repeat (single-column natural keys).
     """
     nk = _as_list(nk)
-    batch = dedup_first(incoming, nk)
+    if rare_duplicates and len(nk) == 1:
+        batch = dedup_first_rare(incoming, nk[0])
+    else:
+        batch = dedup_first(incoming, nk)
     fresh = new_rows(batch, existing, nk)
     if start is None:
         start = max_key(existing, key)

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from encore.operators.joins import hot_keys, lookup_join
-from encore.operators.keys import assign_dense_keys, dedup_first, insert_if_absent
+from encore.operators.keys import assign_dense_keys, dedup_first, dedup_first_rare, insert_if_absent
 
 
 def test_dense_keys_equal_global_row_number(spark):
@@ -68,3 +68,13 @@ def test_lookup_join_broadcasts_small_dimension(spark):
     dim = spark.createDataFrame([(str(i), i) for i in range(10)], "key string, v long")
     plan = lookup_join(fact, dim, "key")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_dedup_first_rare_equals_full_dedup(spark):
+    rows = [(f"k{i}", i, "x") for i in range(200)] + [("k7", -1, "y"), ("k7", 5, "a"),
+                                                      ("k9", 3, None), (None, 1, "n"), (None, 0, "m")]
+    df = spark.createDataFrame(rows, "k string, a int, b string").repartition(4)
+    full = sorted(map(tuple, dedup_first(df, "k").collect()), key=str)
+    assert sorted(map(tuple, dedup_first_rare(df, "k").collect()), key=str) == full
+    # too many repeated keys for the list: falls back to the full dedup
+    assert sorted(map(tuple, dedup_first_rare(df, "k", max_duplicate_keys=1).collect()), key=str) == full
