@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The subscription domain accepted by the user dimension.
-SUBSCRIPTION_TYPES = ("free", "premium")
-UNKNOWN_SUBSCRIPTION = "unknown"
+from ..rules import SUBSCRIPTION_TYPES, UNKNOWN_SUBSCRIPTION
 
 
 def _c(value) -> Column:

@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import date_key_of_date
-
-# The calendar range of the date dimension.
-DATE_START = dt.date(2020, 1, 1)
-DATE_END = dt.date(2027, 12, 31)
+from ..rules import CALENDAR_END as DATE_END
+from ..rules import CALENDAR_START as DATE_START
 
 
 def dim_date(spark: SparkSession, start: dt.date = DATE_START, end: dt.date = DATE_END) -> DataFrame:

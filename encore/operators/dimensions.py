@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
+from ..rules import MIN_SONG_DURATION_MS
 from .joins import lookup_join
 from .keys import insert_if_absent
 
@@ -42,7 +43,7 @@ def clean_users(stg_users: DataFrame) -> DataFrame:
 
 def clean_songs(stg_songs: DataFrame, dim_artists: DataFrame) -> DataFrame:
     """T3 projection: resolve the artist key (inner), drop songs of 10 s or less."""
-    songs = stg_songs.where((F.col("duration_ms") > 10000) & F.col("song_id").isNotNull())
+    songs = stg_songs.where((F.col("duration_ms") > MIN_SONG_DURATION_MS) & F.col("song_id").isNotNull())
     artists = dim_artists.select("artist_id", "artist_key")
     joined = lookup_join(songs, artists, "artist_id", "inner")
     return joined.select(

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cleaning as C
 from ..functions.exact import bp_to_decimal, completion_bp
+from ..rules import PLAY_OVERRUN_MS
 from .joins import estimated_bytes, lookup_join
 from .keys import insert_if_absent, max_key, partitions_for
 
@@ -28,7 +29,7 @@ def quality_filter(events: DataFrame) -> DataFrame:
     """``0 <= duration_ms <= song_duration_ms + 5000`` (NULL in either drops)."""
     d = F.col("duration_ms").cast("long")
     s = F.col("song_duration_ms").cast("long")
-    return events.where((d >= 0) & (d <= s + 5000))
+    return events.where((d >= 0) & (d <= s + PLAY_OVERRUN_MS))
 
 
 def resolve_events(stg_events: DataFrame, dim_users: DataFrame, dim_songs: DataFrame,

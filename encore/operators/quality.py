@@ -17,14 +17,8 @@ from .. import schemas
 from ..functions.exact import decimal_to_bp, half_up, pct
 from .joins import fits_broadcast, lookup_join
 
-# Completion bucket labels and their upper edges (percent).
-COMPLETION_BUCKETS = (
-    (25, "a) 0–25%   (early bail)"),
-    (50, "b) 25–50%  (halfway)"),
-    (75, "c) 50–75%  (most of it)"),
-    (95, "d) 75–95%  (almost full)"),
-    (None, "e) 95–100% (full listen)"),
-)
+from ..rules import (COMPLETION_BUCKETS, MIN_SONG_DURATION_MS, PLATFORMS, PLAY_OVERRUN_MS,
+                     SAMPLE_ROWS, SUBSCRIPTION_TYPES)
 
 
 def _labelled_counts(frames: Sequence[tuple[str, DataFrame]], label: str, count: str) -> DataFrame:
@@ -116,7 +110,7 @@ def load_reconciliation(stg_events: DataFrame, fact: DataFrame) -> DataFrame:
         pct(a, s, 2).alias("pct_loaded"))
 
 
-def fact_sample(star, n: int = 10) -> DataFrame:
+def fact_sample(star, n: int = SAMPLE_ROWS) -> DataFrame:
     """Star join of the first ``n`` fact rows (by stream key) with all four dimensions."""
     first = star.fact_streams.orderBy("stream_key").limit(n)
     users = star.dim_users.select("user_key", "subscription_type")
@@ -242,13 +236,14 @@ def contract_rules(table: str) -> list[tuple[str, str, Column]]:
             ("song_id", "not_null", c("song_id").isNull()),
             ("title", "not_null", c("title").isNull()),
             ("artist_id", "not_null", c("artist_id").isNull()),
-            ("duration_ms", "over_10s", c("duration_ms").isNull() | (c("duration_ms") <= 10000)),
+            ("duration_ms", "over_10s",
+             c("duration_ms").isNull() | (c("duration_ms") <= MIN_SONG_DURATION_MS)),
             ("is_explicit", "not_null", c("is_explicit").isNull()),
         ],
         "stg_users": [
             ("user_id", "not_null", c("user_id").isNull()),
-            ("subscription_type", "in_domain", ~F.coalesce(lt("subscription_type").isin("free", "premium"),
-                                                           F.lit(False))),
+            ("subscription_type", "in_domain",
+             ~F.coalesce(lt("subscription_type").isin(*SUBSCRIPTION_TYPES), F.lit(False))),
             ("is_active", "not_null", c("is_active").isNull()),
         ],
         "stg_stream_events": [
@@ -256,10 +251,9 @@ def contract_rules(table: str) -> list[tuple[str, str, Column]]:
             ("listened_at", "not_null", c("listened_at").isNull()),
             ("duration_ms", "non_negative", c("duration_ms").isNull() | (c("duration_ms") < 0)),
             ("duration_ms", "within_song_plus_5s",
-             c("duration_ms").cast("long") > c("song_duration_ms").cast("long") + 5000),
+             c("duration_ms").cast("long") > c("song_duration_ms").cast("long") + PLAY_OVERRUN_MS),
             ("song_duration_ms", "not_null", c("song_duration_ms").isNull()),
-            ("platform", "in_domain", ~F.coalesce(lt("platform").isin("ios", "android", "web", "desktop"),
-                                                  F.lit(False))),
+            ("platform", "in_domain", ~F.coalesce(lt("platform").isin(*PLATFORMS), F.lit(False))),
         ],
     }
     return rules[table]

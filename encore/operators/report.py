@@ -30,6 +30,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import rules as R
 from ..functions.exact import decimal_to_bp, half_up, half_up_units, pct
 from .dates import date_window, labelled_windows
 from .joins import all_fit_broadcast, fits_broadcast, lookup_join
@@ -63,7 +64,7 @@ def fact_in_window(star, as_of, days: int) -> DataFrame:
 # Q1 trending songs
 # ---------------------------------------------------------------------------
 
-def trending_songs(star, as_of, days: int = 7, k: int = 10) -> DataFrame:
+def trending_songs(star, as_of, days: int = R.TRENDING_DAYS, k: int = R.TRENDING_TOP) -> DataFrame:
     """Top ``k`` (artist, song, genre) by unique listeners over the last ``days`` days."""
     fact = fact_in_window(star, as_of, days)
     songs = star.dim_songs.select("song_key", F.col("title").alias("song"), "genre")
@@ -289,7 +290,7 @@ def free_vs_premium(star) -> DataFrame:
 # Q4 regional breakout artists
 # ---------------------------------------------------------------------------
 
-def date_windows(star, as_of, window_days: int = 30) -> DataFrame:
+def date_windows(star, as_of, window_days: int = R.BREAKOUT_WINDOW_DAYS) -> DataFrame:
     return labelled_windows(star.dim_date, _as_date(as_of), window_days)
 
 
@@ -312,7 +313,7 @@ def _listeners(star, as_of, window_days: int) -> DataFrame:
     return joined.select("artist", "genre", "country_code", "window_label", "user_key").distinct()
 
 
-def regional_listeners(star, as_of, window_days: int = 30) -> DataFrame:
+def regional_listeners(star, as_of, window_days: int = R.BREAKOUT_WINDOW_DAYS) -> DataFrame:
     return (_listeners(star, as_of, window_days)
             .groupBy("artist", "genre", "country_code", "window_label")
             .agg(F.count(F.lit(1)).cast("long").alias("unique_listeners")))
@@ -327,7 +328,7 @@ def _pivot(regional: DataFrame) -> DataFrame:
     )
 
 
-def breakout_pivot(star, as_of, window_days: int = 30) -> DataFrame:
+def breakout_pivot(star, as_of, window_days: int = R.BREAKOUT_WINDOW_DAYS) -> DataFrame:
     return _pivot(regional_listeners(star, as_of, window_days))
 
 
@@ -337,12 +338,13 @@ def _global(listeners: DataFrame) -> DataFrame:
             .groupBy("artist").agg(F.count(F.lit(1)).cast("long").alias("global_listeners")))
 
 
-def global_listeners(star, as_of, window_days: int = 30) -> DataFrame:
+def global_listeners(star, as_of, window_days: int = R.BREAKOUT_WINDOW_DAYS) -> DataFrame:
     return _global(_listeners(star, as_of, window_days))
 
 
-def breakout_artists(star, as_of, window_days: int = 30, min_recent: int = 20,
-                     min_prev: int = 5, min_growth: float | str = "1.3", k: int = 15) -> DataFrame:
+def breakout_artists(star, as_of, window_days: int = R.BREAKOUT_WINDOW_DAYS,
+                     min_recent: int = R.BREAKOUT_MIN_RECENT, min_prev: int = R.BREAKOUT_MIN_PREVIOUS,
+                     min_growth: float | str = R.BREAKOUT_MIN_GROWTH, k: int = R.BREAKOUT_TOP) -> DataFrame:
     """Artists growing in one country: recent vs previous unique listeners."""
     listeners = _listeners(star, as_of, window_days)
     regional = listeners.groupBy("artist", "genre", "country_code", "window_label").agg(
