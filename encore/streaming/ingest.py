@@ -18,9 +18,10 @@ source system). The stream
    exists. Events of users that never become known (inactive users) are
    dropped after that, exactly as the batch transform drops them.
 
-No watermark-based late-data drop is used: the result must contain every
-valid event, however late. Dedup state is the fact table itself, so the
-stream needs no unbounded in-memory state. The checkpoint goes to the shared
+By default no watermark-based late-data drop is used: the result must contain
+every valid event, however late. Dedup state is the fact table itself, so the
+stream needs no unbounded in-memory state. An opt-in watermark dedup thins
+copies in the stream (see ``event_stream``). The checkpoint goes to the shared
 checkpoint folder.
 """
 
@@ -38,12 +39,26 @@ from ..plans.warehouse import FACT
 from ..session import scratch_path
 from ..sources.json_source import DEFAULTS_WHEN_ABSENT, accepted, parse_objects, rejected
 
-def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None,
+                 dedup_watermark: str | None = None) -> DataFrame:
+    """Parsed events from new files in ``source_dir``.
+
+    ``dedup_watermark`` (e.g. ``"1 hour"``) opts into in-stream dedup of event
+    ids with ``withWatermark`` + ``dropDuplicatesWithinWatermark``: copies
+    arriving within the delay are dropped before the sink, with state bounded by
+    the delay. Spark drops events that arrive later than the watermark, so
+    this trades completeness for state size and is off by default; the sink's
+    insert-if-absent keeps event ids unique for all time either way.
+    """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(source_dir).where(F.length(F.trim("value")) > 0)
-    return parse_objects(lines, schemas.EVENT_SOURCE, DEFAULTS_WHEN_ABSENT["stg_stream_events"])
+    parsed = parse_objects(lines, schemas.EVENT_SOURCE, DEFAULTS_WHEN_ABSENT["stg_stream_events"])
+    if dedup_watermark:
+        parsed = (parsed.withWatermark("listened_at", dedup_watermark)
+                  .dropDuplicatesWithinWatermark(["event_id"]))
+    return parsed
 
 
 PENDING_SCHEMA = T.StructType(schemas.STG_EVENTS.fields + [T.StructField("_attempts", T.IntegerType())])
@@ -93,10 +108,10 @@ def make_batch_writer(warehouse_root: str, dims_root: str, max_retries: int = 3)
 def run_stream_ingest(spark: SparkSession, source_dir: str, warehouse_root: str, dims_root: str,
                       checkpoint: str | None = None, max_files_per_trigger: int | None = None,
                       available_now: bool = True, processing_time: str | None = None,
-                      max_retries: int = 3):
+                      max_retries: int = 3, dedup_watermark: str | None = None):
     """Start the ingest; with ``available_now`` it processes what is there and stops."""
     checkpoint = checkpoint or scratch_path(spark, "stream-ingest-checkpoint")
-    writer = (event_stream(spark, source_dir, max_files_per_trigger).writeStream
+    writer = (event_stream(spark, source_dir, max_files_per_trigger, dedup_watermark).writeStream
               .foreachBatch(make_batch_writer(warehouse_root, dims_root, max_retries))
               .option("checkpointLocation", checkpoint))
     if available_now:

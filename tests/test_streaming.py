@@ -46,3 +46,15 @@ def test_stream_retries_events_of_late_users(spark, make_staging):
     run_stream_ingest(spark, f"{src}/*", out, dims_root=dims, checkpoint=ckpt)
     got = sorted(r.event_id for r in spark.read.parquet(f"{out}/fact_streams").collect())
     assert got == ["e1", "e2", "e3"]
+
+
+def test_watermark_dedup_drops_copies_in_stream(spark, make_staging):
+    dims = scratch_path(spark, "wm-dims")
+    stg = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")])
+    write_star(build_star(spark, stg), dims)
+    src, out = scratch_path(spark, "wm-src"), scratch_path(spark, "wm-out")
+    copies = make_staging(events=[event("e1"), event("e1"), event("e2", at="2024-01-20T11:00:00+00:00")])
+    write_json_lines(copies.events, f"{src}/b1")
+    run_stream_ingest(spark, f"{src}/*", out, dims_root=dims, dedup_watermark="1 hour")
+    got = sorted(r.event_id for r in spark.read.parquet(f"{out}/fact_streams").collect())
+    assert got == ["e1", "e2"]
