@@ -86,4 +86,4 @@ def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: D
         scope = existing.join(F.broadcast(days), "date_key", "left_semi")
     return insert_if_absent(resolved, scope, "event_id", "stream_key",
                             order_cols=["date_key", "event_id"], num_partitions=num_partitions,
-                            start=start, rare_duplicates=rare)
+                            start=start, rare_duplicates=rare, size_hint=staged_bytes)

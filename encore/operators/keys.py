@@ -122,11 +122,18 @@ def max_key(existing: DataFrame | None, key: str) -> int:
 
 
 def assign_dense_keys(df: DataFrame, order_cols: str | Sequence[str], key: str,
-                      start: int = 0, num_partitions: int | None = None) -> DataFrame:
-    """Add ``key`` = start + 1, 2, ... in ``order_cols`` order (unique values)."""
+                      start: int = 0, num_partitions: int | None = None,
+                      size_hint: int | None = None) -> DataFrame:
+    """Add ``key`` = start + 1, 2, ... in ``order_cols`` order (unique values).
+
+    ``size_hint`` is an upper bound of the input size in bytes (for instance the
+    scan a joined frame came from, whose own estimate Catalyst inflates).
+    """
     order_cols = _as_list(order_cols)
     spark = df.sparkSession
-    if num_partitions is None and fits_broadcast(df, small_frame_limit(spark)):
+    limit = small_frame_limit(spark)
+    small = (size_hint < limit) if size_hint is not None else fits_broadcast(df, limit)
+    if small and (num_partitions is None or size_hint is not None):
         # Small (size-checked) frame: one ordered pass is bounded and
         # deterministic (unique keys), no checkpoint needed.
         rank = F.row_number().over(Window.orderBy(*order_cols))
@@ -167,7 +174,7 @@ def new_rows(incoming: DataFrame, existing: DataFrame | None, nk: str | Sequence
 def insert_if_absent(incoming: DataFrame, existing: DataFrame | None, nk: str | Sequence[str],
                      key: str, order_cols: str | Sequence[str] | None = None,
                      num_partitions: int | None = None, start: int | None = None,
-                     rare_duplicates: bool = False) -> DataFrame:
+                     rare_duplicates: bool = False, size_hint: int | None = None) -> DataFrame:
     """The keyed rows to append: first row per new natural key, keys after max(existing).
 
     ``existing`` is what the batch is deduplicated against; pass ``start`` when
@@ -184,4 +191,4 @@ def insert_if_absent(incoming: DataFrame, existing: DataFrame | None, nk: str |
     if start is None:
         start = max_key(existing, key)
     return assign_dense_keys(fresh, order_cols or nk, key, start=start,
-                             num_partitions=num_partitions)
+                             num_partitions=num_partitions, size_hint=size_hint)
