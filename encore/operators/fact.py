@@ -77,7 +77,9 @@ def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: D
     # Large inputs: find repeated event ids with a narrow count first, so full
     # rows are shuffled once (for the keys). Small inputs: one dedup shuffle
     # costs less than the extra counting job.
-    rare = staged_bytes is None or staged_bytes >= RARE_DEDUP_MIN_BYTES
+    spark = stg_events.sparkSession
+    rare_min = int(spark.conf.get("encore.dedup.rareMinBytes", str(RARE_DEDUP_MIN_BYTES)))
+    rare = staged_bytes is None or staged_bytes >= rare_min
     start = None
     scope = existing
     if existing is not None and same_day_dedup:

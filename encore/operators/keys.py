@@ -132,7 +132,7 @@ def assign_dense_keys(df: DataFrame, order_cols: str | Sequence[str], key: str,
     order_cols = _as_list(order_cols)
     spark = df.sparkSession
     limit = small_frame_limit(spark)
-    small = (size_hint < limit) if size_hint is not None else fits_broadcast(df, limit)
+    small = limit > 0 and ((size_hint < limit) if size_hint is not None else fits_broadcast(df, limit))
     if small and (num_partitions is None or size_hint is not None):
         # Small (size-checked) frame: one ordered pass is bounded and
         # deterministic (unique keys), no checkpoint needed.

@@ -80,3 +80,20 @@ def test_shuffle_paths_equal_broadcast_paths(spark, skewed):
     finally:
         spark.conf.unset("encore.broadcast.limit.bytes")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_large_input_paths_give_the_same_star(spark, skewed):
+    """Range-partitioned keys, narrow-count dedup and shuffle joins: same star as small paths."""
+    small = build_star(spark, skewed)
+    expected = {n: _collect(small.table(n)) for n in ("dim_artists", "dim_users", "dim_songs", "fact_streams")}
+    spark.conf.set("encore.keys.smallFrameBytes", "0")
+    spark.conf.set("encore.broadcast.limit.bytes", "0")
+    spark.conf.set("encore.dedup.rareMinBytes", "0")
+    try:
+        large = build_star(spark, skewed)
+        for name, rows in expected.items():
+            assert _collect(large.table(name)) == rows, name
+    finally:
+        spark.conf.unset("encore.keys.smallFrameBytes")
+        spark.conf.unset("encore.broadcast.limit.bytes")
+        spark.conf.unset("encore.dedup.rareMinBytes")
