@@ -4,12 +4,12 @@
   the optimised plan, in bytes) against a configurable limit.
 * Above the limit the join is a shuffle join. A key that holds a large share of
   the fact rows (one user or one song with a third of all plays) would put all
-  those rows into one task, so hot keys are split off first: they are found on
-  a sample of the fact's key column, their number is bounded by construction
-  (a key must hold at least ``hot_share`` of the sampled rows, so there are at
-  most ``1 / hot_share`` of them), and their dimension rows - at most that many,
-  since the dimension is unique on the key - are broadcast. Only the cold rows
-  are shuffled. The result is exact either way; detection only affects speed.
+  those rows into one task, so hot keys are split off first: one pass of
+  Spark's frequent-items sketch over the raw key column finds every key above
+  ``hot_share`` of the rows, and returns at most ``1 / hot_share`` keys - a
+  bound by construction - so their dimension rows (at most that many, the
+  dimension being unique on the key) are broadcast. Only the cold rows are
+  shuffled. The result is exact either way; detection only affects speed.
 * AQE's skew-join split stays on as a second line of defence.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 DEFAULT_HOT_SHARE = 1e-3
-DEFAULT_SAMPLE_FRACTION = 0.01
+DEFAULT_SAMPLE_FRACTION = 1.0
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -48,20 +48,22 @@ def all_fit_broadcast(*dfs: DataFrame, limit: int | None = None) -> bool:
 
 
 def hot_keys(fact: DataFrame, key: str, hot_share: float = DEFAULT_HOT_SHARE,
-             sample_fraction: float = DEFAULT_SAMPLE_FRACTION, seed: int = 17) -> list:
-    """Keys holding at least ``hot_share`` of a sample of ``fact`` (≤ 1/hot_share keys)."""
-    sample = fact.select(key).where(F.col(key).isNotNull())
+             sample_fraction: float = 1.0, seed: int = 17) -> list:
+    """Keys that may hold at least ``hot_share`` of the rows of ``fact``.
+
+    One pass of Spark's frequent-items sketch over the key column: it keeps at
+    most ``1 / hot_share`` counters per task, returns every key above the
+    share (and possibly a few below it), so the list is bounded by
+    ``1 / hot_share`` and misses no hot key. ``sample_fraction`` < 1 trades
+    that guarantee for less work.
+    """
+    column = fact.select(key).where(F.col(key).isNotNull())
     if sample_fraction < 1.0:
-        sample = sample.sample(fraction=sample_fraction, seed=seed)
-    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total_row = counts.agg(F.sum("_n").alias("t")).collect()[0]
-    total = total_row["t"] or 0
-    if total == 0:
+        column = column.sample(fraction=sample_fraction, seed=seed)
+    found = column.stat.freqItems([key], support=max(hot_share, 1e-4)).collect()
+    if not found:
         return []
-    threshold = max(1, int(total * hot_share))
-    # At most total / threshold ≈ 1 / hot_share rows can pass: a proven bound.
-    rows = counts.where(F.col("_n") >= threshold).select(key).collect()
-    return [r[0] for r in rows]
+    return [k for k in found[0][0] if k is not None]
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "inner",

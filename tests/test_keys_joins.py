@@ -50,7 +50,8 @@ def test_lookup_join_split_equals_plain_join(spark):
             "id long, key string")
         dim = spark.createDataFrame([(f"k{i}", i) for i in range(50)] + [("hot", -1)],
                                     "key string, attr long")
-        assert hot_keys(fact, "key", hot_share=0.1, sample_fraction=1.0) == ["hot"]
+        found = hot_keys(fact, "key", hot_share=0.1)
+        assert "hot" in found and len(found) <= 10     # bounded by 1 / hot_share
         for how in ("inner", "left", "left_anti", "left_semi"):
             split = lookup_join(fact, dim, "key", how, hot_share=0.1, sample_fraction=1.0)
             plain = fact.join(dim, "key", how)
