@@ -170,8 +170,8 @@ def _listener_cells(star) -> DataFrame:
 
     One aggregate over the fact (a listener has a few platforms and hours, so
     this is far smaller than the plays), joined once with users. The listener
-    stats, the platform ranking and the hour ranking are all rolled up from
-    this same frame, so the fact is scanned and shuffled once for all three.
+    stats and both rankings roll up from it; the two rankings need only the
+    play counts, so Catalyst prunes their copy and they share one exchange.
     """
     fact = star.fact_streams.select(
         "user_key", "platform", F.hour("listened_at").cast("long").alias("hour"),

@@ -15,10 +15,10 @@ from encore.session import local_fs_path, scratch_path
 from encore.sources.json_source import accepted, ingest, rejected, write_json_lines
 
 
-def _write(path: str, lines: list[str]) -> str:
+def _write(path: str, lines: list[str], name: str = "part-0.json") -> str:
     local = local_fs_path(path)
     os.makedirs(local, exist_ok=True)
-    with open(os.path.join(local, "part-0.json"), "w") as f:
+    with open(os.path.join(local, name), "w") as f:
         f.write("\n".join(lines) + "\n")
     return path
 
@@ -116,3 +116,23 @@ def test_month_partitions_dynamic_overwrite(spark):
     loads.write_fact_by_month(fact.where("date_key < 20240200").withColumn("v", F.lit(9)), path)
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("date_key", "v", "year_month").collect())
     assert got == [(20240105, 9, 202401), (20240210, 2, 202402), (20240211, 3, 202402)]
+
+
+def test_landing_splits_accepted_and_rejected(spark, make_staging):
+    from encore.sources.json_source import land_staging, write_sources
+    from encore.sources.staging import from_parquet
+
+    stg = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")],
+                       events=[event("e1"), event("e2")])
+    root = scratch_path(spark, "landing")
+    write_sources(stg, f"{root}/sources")
+    # one more raw file with a bad value and a malformed line
+    _write(f"{root}/sources/stream_events.json", [
+        json.dumps({"event_id": "e3", "user_id": "u1", "song_id": "s1",
+                    "listened_at": "2024-01-02T00:00:00Z", "duration_ms": "12x"}),
+        "{not json",
+    ], name="part-extra.json")
+    land_staging(spark, f"{root}/sources", f"{root}/staging")
+    assert sorted(r.event_id for r in from_parquet(spark, f"{root}/staging").events.collect()) == ["e1", "e2"]
+    bad = spark.read.parquet(f"{root}/staging/stg_stream_events").where("_load_status = 'rejected'")
+    assert sorted(tuple(r._rejected) for r in bad.collect()) == [("_record",), ("duration_ms",)]
