@@ -13,6 +13,7 @@ partition pruning through the calendar join).
 
 from __future__ import annotations
 
+import threading
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,6 +110,7 @@ def write_staging(staging: Staging, root: str, mode: str = "overwrite") -> str:
 # registered queries share one build per session instead of rebuilding the
 # star schema for each report.
 _BUILT: dict[tuple[str, str], str] = {}
+_BUILD_LOCK = threading.Lock()
 
 
 def driver_warehouse(spark: SparkSession, sf_dir: str) -> str:
@@ -124,14 +126,15 @@ def driver_warehouse(spark: SparkSession, sf_dir: str) -> str:
 
     configure(spark)
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    root = _BUILT.get(key)
-    if root is None:
-        root = scratch_path(spark, "warehouse")
-        write_sources(driver_staging(spark, sf_dir), f"{root}/sources")
-        land_staging(spark, f"{root}/sources", root)
-        star = build_star(spark, from_parquet(spark, root))
-        write_star(star, root)
-        _BUILT[key] = root
+    with _BUILD_LOCK:
+        root = _BUILT.get(key)
+        if root is None:
+            root = scratch_path(spark, "warehouse")
+            write_sources(driver_staging(spark, sf_dir), f"{root}/sources")
+            land_staging(spark, f"{root}/sources", root)
+            star = build_star(spark, from_parquet(spark, root))
+            write_star(star, root)
+            _BUILT[key] = root
     return root
 
 
