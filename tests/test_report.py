@@ -133,3 +133,22 @@ def test_q4_window_labels(spark, make_staging):
 
     assert labels[key(-30)] == "recent" and labels[key(-31)] == "previous"
     assert labels[key(-60)] == "previous" and key(-61) not in labels and key(0) not in labels
+
+
+def test_same_named_artists_merge_and_null_genres_group(spark, make_staging):
+    # two artist ids share a name: Q4 groups and joins on the name (C10, D18)
+    stg = make_staging(
+        artists=[artist("a1", "Twin", genre="pop"), artist("a2", "Twin", genre="pop")],
+        songs=[song("s1", artist_id="a1", genre=None), song("s2", artist_id="a2", genre=None)],
+        users=[user(f"u{i}") for i in range(30)],
+        events=[event(f"r{i}", f"u{i}", "s1" if i % 2 else "s2", _day(-1 - i % 10)) for i in range(26)]
+        + [event(f"p{i}", f"u{i}", "s1", _day(-20 - i % 5)) for i in range(10)])
+    star = build_star(spark, stg)
+    out = report.breakout_artists(star, AS_OF, window_days=15).collect()
+    assert [(r.artist, r.recent_listeners, r.prev_listeners) for r in out] == [("Twin", 26, 10)]
+    assert out[0].breakout_score == 2.6 and out[0].regional_concentration_pct == 100.0
+    # NULL genre: one group in Q1 and Q2
+    q2 = report.genre_skip_rates(star).collect()
+    assert [(r.genre, r.total_plays) for r in q2] == [(None, 36)]
+    q1 = report.trending_songs(star, AS_OF, days=30).collect()
+    assert {(r.artist, r.song, r.genre) for r in q1} == {("Twin", "Song", None)}
