@@ -164,11 +164,12 @@ def new_rows(incoming: DataFrame, existing: DataFrame | None, nk: str | Sequence
     not_null = F.col(nk[0]).isNotNull()
     for c in nk[1:]:
         not_null = not_null & F.col(c).isNotNull()
+    # No distinct on the existing keys: repeats cannot change an anti-join.
     known = existing.select(*nk).where(not_null)
     if len(nk) == 1:
         # ``incoming`` is deduplicated: one row per key, nothing hot to split.
-        return lookup_join(incoming, known.distinct(), nk[0], "left_anti", split_hot=False)
-    return incoming.join(known.distinct(), nk, "left_anti")
+        return lookup_join(incoming, known, nk[0], "left_anti", split_hot=False)
+    return incoming.join(known, nk, "left_anti")
 
 
 def insert_if_absent(incoming: DataFrame, existing: DataFrame | None, nk: str | Sequence[str],

@@ -54,7 +54,8 @@ def count_missing(child: DataFrame, parents: DataFrame, col: str) -> DataFrame:
     the child is first reduced to one count per key, so the shuffle anti-join
     sees each key once.
     """
-    keys = parents.select(col).where(F.col(col).isNotNull()).distinct()
+    # No distinct: repeated parent keys cannot change an anti-join.
+    keys = parents.select(col).where(F.col(col).isNotNull())
     if fits_broadcast(keys):
         missing = lookup_join(child.select(col), keys, col, "left_anti")
         return missing.agg(F.count(F.lit(1)).cast("long").alias("missing"))
