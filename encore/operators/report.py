@@ -184,11 +184,20 @@ def _listener_cells(star) -> DataFrame:
 
 
 def _listener_genres(star) -> DataFrame:
-    """Distinct genres per listener: (listener, song) pairs first, then the song lookup."""
-    pairs = star.fact_streams.select("user_key", "song_key").distinct()
+    """Distinct genres per listener.
+
+    Songs broadcast: look the genre up on each play and shuffle distinct
+    (listener, genre) pairs (genres are few). Otherwise distinct (listener,
+    song) pairs first, so the shuffle join with songs sees each pair once.
+    """
     songs = star.dim_songs.select("song_key", "genre")
-    return (lookup_join(pairs, songs, "song_key", hot_from=star.fact_streams)
-            .groupBy("user_key").agg(F.count_distinct("genre").alias("unique_genres")))
+    plays = star.fact_streams.select("user_key", "song_key")
+    if fits_broadcast(songs):
+        pairs = plays.join(F.broadcast(songs), "song_key").select("user_key", "genre")
+    else:
+        pairs = lookup_join(plays.distinct(), songs, "song_key",
+                            hot_from=star.fact_streams).select("user_key", "genre")
+    return pairs.groupBy("user_key").agg(F.count_distinct("genre").alias("unique_genres"))
 
 
 def _subscriptions(star) -> DataFrame:
