@@ -165,3 +165,12 @@ def test_pii_never_written(spark, make_staging):
     leaky = Star(star.dim_date, star.dim_artists, stg.users, star.dim_songs, star.fact_streams)
     with pytest.raises(AssertionError, match="personal data"):
         write_star(leaky, scratch_path(spark, "never"))
+
+
+def test_calendar_is_populated_once(spark):
+    from encore.operators.dates import populate_once
+
+    assert populate_once(None, spark).count() == 2922
+    existing = dim_date(spark).where("year = 2024")
+    assert populate_once(existing, spark) is existing            # non-empty: kept as is
+    assert populate_once(existing.limit(0), spark).count() == 2922
