@@ -48,3 +48,50 @@ def test_no_cartesian_products_anywhere(spark):
               quality.fk_audit(star)]
     for df in frames:
         assert "CartesianProduct" not in _plan(df)
+
+
+def _large_dims(spark):
+    spark.conf.set("encore.broadcast.limit.bytes", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
+def _reset(spark):
+    spark.conf.unset("encore.broadcast.limit.bytes")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def _physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_dimensions_are_joined_after_pre_aggregation(spark):
+    star = driver_star(spark, SF_SMALL)
+    _large_dims(spark)
+    try:
+        plan = _physical(report.genre_skip_rates(star))
+    finally:
+        _reset(spark)
+    # every sort-merge join reads an aggregated side, never the raw fact scan
+    assert "SortMergeJoin" in plan
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "SortMergeJoin" in line:
+            below = "\n".join(lines[i:i + 12])
+            assert "HashAggregate" in below
+
+
+def test_hot_keys_are_broadcast_and_cold_keys_shuffled(spark):
+    from pyspark.sql import functions as F
+
+    from encore.operators.joins import lookup_join
+    fact = spark.range(4000).select((F.when(F.col("id") % 3 == 0, F.lit(7))
+                                     .otherwise(F.col("id") % 200)).alias("k"), "id")
+    dim = spark.range(200).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    _large_dims(spark)
+    try:
+        joined = lookup_join(fact, dim, "k", hot_share=0.05)
+        plan = _physical(joined)
+        assert joined.count() == 4000
+    finally:
+        _reset(spark)
+    assert "Union" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
