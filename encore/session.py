@@ -71,7 +71,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
-        # Bare session (tests): no cluster folder is configured.
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not shared by the executors of a cluster.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (for example on HDFS or "
+                               "object storage): checkpoints and scratch tables are written there")
+        # Bare local session (tests): no shared folder is configured.
         named = tempfile.mkdtemp(prefix="encore-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
