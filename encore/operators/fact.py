@@ -60,13 +60,16 @@ def resolve_events(stg_events: DataFrame, dim_users: DataFrame, dim_songs: DataF
 
 def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: DataFrame,
                        dim_date: DataFrame, existing: DataFrame | None = None,
-                       num_partitions: int | None = None, same_day_dedup: bool = False) -> DataFrame:
+                       num_partitions: int | None = None, same_day_dedup: bool = False,
+                       start: int | None = None) -> DataFrame:
     """New fact rows (keyed), skipping event ids already in ``existing``.
 
     With ``same_day_dedup`` a re-sent event is assumed to keep its timestamp, so
     the event-id check reads only the existing fact partitions of the days in
     this batch (a broadcast semi-join on the partition column: at most one row
-    per calendar day, and the fact scan is pruned to those days).
+    per calendar day, and the fact scan is pruned to those days). ``start`` is
+    the largest key already used, when the caller tracks it (else it is read
+    from ``existing``).
     """
     resolved = resolve_events(stg_events, dim_users, dim_songs, dim_date)
     staged_bytes = estimated_bytes(stg_events)
@@ -80,10 +83,10 @@ def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: D
     spark = stg_events.sparkSession
     rare_min = int(spark.conf.get("encore.dedup.rareMinBytes", str(RARE_DEDUP_MIN_BYTES)))
     rare = staged_bytes is None or staged_bytes >= rare_min
-    start = None
     scope = existing
     if existing is not None and same_day_dedup:
-        start = max_key(existing, "stream_key")
+        if start is None:
+            start = max_key(existing, "stream_key")
         days = resolved.select("date_key").distinct()
         scope = existing.join(F.broadcast(days), "date_key", "left_semi")
     return insert_if_absent(resolved, scope, "event_id", "stream_key",
