@@ -87,6 +87,7 @@ def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: D
     if existing is not None and same_day_dedup:
         if start is None:
             start = max_key(existing, "stream_key")
+        # At most one row per calendar day: a bounded broadcast.
         days = resolved.select("date_key").distinct()
         scope = existing.join(F.broadcast(days), "date_key", "left_semi")
     return insert_if_absent(resolved, scope, "event_id", "stream_key",

@@ -79,6 +79,34 @@ def read_current(spark: SparkSession, table_root: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# ---- stream-key high water -------------------------------------------------------------
+
+HIGH_WATER = "_key_high_water"
+
+
+def key_high_water(spark: SparkSession, root: str, existing: DataFrame | None) -> int:
+    """Largest stream key used so far, from the small reservation table.
+
+    Only the first load over a fact without reservations reads the fact's keys;
+    afterwards it is one row per earlier load.
+    """
+    path = f"{root.rstrip('/')}/{HIGH_WATER}"
+    if path_exists(spark, path):
+        return int(spark.read.parquet(path).agg(F.max("max_key")).collect()[0][0] or 0)
+    from ..operators.keys import max_key
+    return max_key(existing, "stream_key")
+
+
+def reserve_keys(spark: SparkSession, root: str, load_id: int, top: int) -> None:
+    """Record the key range a load is about to use, before its rows are appended.
+
+    A retry after a failure starts above the recorded range, so keys never
+    collide; a failure can only leave a gap, like a serial column.
+    """
+    (spark.createDataFrame([(int(load_id), int(top))], "load_id long, max_key long")
+     .write.mode("append").parquet(f"{root.rstrip('/')}/{HIGH_WATER}"))
+
+
 # ---- R1 incremental load --------------------------------------------------------------
 
 STAGING_TABLES = ("stg_artists", "stg_songs", "stg_users", "stg_stream_events")
@@ -109,8 +137,13 @@ def _since(spark: SparkSession, staging_root: str, name: str, mark) -> DataFrame
 
 
 def incremental_load(spark: SparkSession, staging_root: str, warehouse_root: str,
-                     retry_orphans: bool = False) -> Star:
-    """Process staging rows loaded after the last watermark; append to the warehouse."""
+                     retry_orphans: bool = False, same_day_dedup: bool = False) -> Star:
+    """Process staging rows loaded after the last watermark; append to the warehouse.
+
+    ``same_day_dedup`` assumes a re-sent event keeps its timestamp and checks
+    event ids only against the fact partitions of the days in the batch
+    (instead of every event id ever loaded).
+    """
     root = warehouse_root.rstrip("/")
     mark = watermark(spark, root)
     batch = {n: _since(spark, staging_root, n, mark) for n in STAGING_TABLES}
@@ -138,10 +171,16 @@ def incremental_load(spark: SparkSession, staging_root: str, warehouse_root: str
     if current is None:
         dates.write.mode("overwrite").parquet(dates_path)
     existing = read_star(spark, root) if path_exists(spark, f"{root}/{FACT}") else None
-    delta = build_star_delta(spark, staging, existing)
+    start = key_high_water(spark, root, existing.fact_streams if existing else None)
+    delta = build_star_delta(spark, staging, existing, fact_start=start,
+                             same_day_dedup=same_day_dedup)
     for name in ("dim_artists", "dim_users", "dim_songs"):
         delta.table(name).write.mode("append").parquet(f"{root}/{name}")
-    delta.fact_streams.write.mode("append").partitionBy("date_key").parquet(f"{root}/{FACT}")
+    top = delta.fact_streams.agg(F.max("stream_key")).collect()[0][0]
+    if top is not None:
+        load_id = int(new_mark.timestamp() * 1_000_000)
+        reserve_keys(spark, root, load_id, top)
+        delta.fact_streams.write.mode("append").partitionBy("date_key").parquet(f"{root}/{FACT}")
     (spark.createDataFrame([(new_mark,)], "loaded_at timestamp")
      .write.mode("append").parquet(f"{root}/_watermarks"))
     return read_star(spark, root)

@@ -41,7 +41,8 @@ class Star(NamedTuple):
 
 
 def build_star_delta(spark: SparkSession, staging: Staging, existing: Star | None = None,
-                     fact_partitions: int | None = None) -> Star:
+                     fact_partitions: int | None = None, fact_start: int | None = None,
+                     same_day_dedup: bool = False) -> Star:
     """Only the rows to add: new natural keys of each dimension, new event ids.
 
     Dimensions are built in dependency order; the song build resolves artists
@@ -56,7 +57,8 @@ def build_star_delta(spark: SparkSession, staging: Staging, existing: Star | Non
     new_songs = build_dim_songs(staging.songs, all_artists, old.dim_songs)
     new_fact = build_fact_streams(staging.events, _union(old.dim_users, new_users),
                                   _union(old.dim_songs, new_songs), dates, old.fact_streams,
-                                  num_partitions=fact_partitions)
+                                  num_partitions=fact_partitions, start=fact_start,
+                                  same_day_dedup=same_day_dedup)
     return Star(dates, new_artists, new_users, new_songs, new_fact)
 
 

@@ -34,8 +34,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.fact import build_fact_streams, quality_filter
 from ..operators.joins import lookup_join
-from ..operators.keys import max_key
-from ..plans.loads import list_dirs, path_exists
+from ..plans.loads import key_high_water, list_dirs, path_exists, reserve_keys
 from ..plans.warehouse import FACT
 from ..session import scratch_path
 from ..sources.json_source import DEFAULTS_WHEN_ABSENT, accepted, parse_objects, rejected
@@ -73,18 +72,6 @@ def _latest_pending(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.schema(PENDING_SCHEMA).parquet(f"{root}/_pending/{latest}")
 
 
-def _key_high_water(spark: SparkSession, root: str, existing: DataFrame | None) -> int:
-    """Largest stream key used so far, from the small reservation table.
-
-    Only the first batch over a fact without reservations reads the fact's
-    keys; afterwards each batch costs a read of one row per earlier batch.
-    """
-    path = f"{root}/_key_high_water"
-    if path_exists(spark, path):
-        return int(spark.read.parquet(path).agg(F.max("max_key")).collect()[0][0] or 0)
-    return max_key(existing, "stream_key")
-
-
 def make_batch_writer(warehouse_root: str, dims_root: str, max_retries: int = 3):
     """The ``foreachBatch`` function: resolve, insert-if-absent, park orphans.
 
@@ -110,13 +97,12 @@ def make_batch_writer(warehouse_root: str, dims_root: str, max_retries: int = 3)
         dates = spark.read.parquet(f"{dims}/dim_date")
         existing = (spark.read.parquet(f"{root}/{FACT}") if path_exists(spark, f"{root}/{FACT}")
                     else None)
-        start = _key_high_water(spark, root, existing)
+        start = key_high_water(spark, root, existing)
         new_rows = build_fact_streams(events, users, songs, dates, existing, same_day_dedup=True,
                                       start=start)
         top = new_rows.agg(F.max("stream_key")).collect()[0][0]
         if top is not None:
-            (spark.createDataFrame([(batch_id, int(top))], "batch_id long, max_key long")
-             .write.mode("append").parquet(f"{root}/_key_high_water"))
+            reserve_keys(spark, root, batch_id, top)
             new_rows.write.mode("append").partitionBy("date_key").parquet(f"{root}/{FACT}")
         # Valid events whose user or song is not known yet: retried next batch.
         valid = quality_filter(events.where(F.col("event_id").isNotNull()))

@@ -80,16 +80,21 @@ def test_full_refresh_versions(spark):
     assert loads.read_current(spark, table).count() == 3
 
 
-def test_incremental_load_matches_full_build(spark, make_staging):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("same_day", [False, True])
+def test_incremental_load_matches_full_build(spark, make_staging, same_day):
     events = [event(f"e{i:02d}", at=f"2024-01-{1 + i:02d}T10:00:00+00:00") for i in range(20)]
     full = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")], events=events)
     first = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")], events=events[:8])
     root = scratch_path(spark, "inc")
     loads.land(first, f"{root}/stg", dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc))
-    loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
+    loads.incremental_load(spark, f"{root}/stg", f"{root}/wh", same_day_dedup=same_day)
     loads.land(full, f"{root}/stg", dt.datetime(2024, 2, 2, tzinfo=dt.timezone.utc))
-    star = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
-    again = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")   # nothing new
+    star = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh", same_day_dedup=same_day)
+    # nothing new
+    again = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh", same_day_dedup=same_day)
     expected = build_star(spark, full).fact_streams
     cols = ["stream_key", "event_id", "date_key"]
     assert sorted(map(tuple, star.fact_streams.select(*cols).collect())) == \
