@@ -10,7 +10,9 @@ Incremental load
     Staging rows carry ``loaded_at``. A run processes only rows loaded after
     the previous run's watermark, appends new dimension rows and new fact rows
     (insert-if-absent on the natural keys), then records its watermark in an
-    append-only ``_watermarks`` table. Re-sent events are skipped. With
+    append-only ``_watermarks`` table. Stream keys continue from the
+    ``_key_high_water`` reservations (no scan of the fact). Re-sent events are
+    skipped. With
     ``retry_orphans`` the run also re-reads earlier staged events that still
     have no fact row (an anti-join on ``event_id``), so an event whose
     dimension row arrived late is picked up, as a re-run of the reference's
