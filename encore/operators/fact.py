@@ -66,8 +66,8 @@ def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: D
 
     With ``same_day_dedup`` a re-sent event is assumed to keep its timestamp, so
     the event-id check reads only the existing fact partitions of the days in
-    this batch (a broadcast semi-join on the partition column: at most one row
-    per calendar day, and the fact scan is pruned to those days). ``start`` is
+    this batch (a static filter on the partition column with the batch's days,
+    at most one per calendar day). ``start`` is
     the largest key already used, when the caller tracks it (else it is read
     from ``existing``).
     """
@@ -87,9 +87,10 @@ def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: D
     if existing is not None and same_day_dedup:
         if start is None:
             start = max_key(existing, "stream_key")
-        # At most one row per calendar day: a bounded broadcast.
-        days = resolved.select("date_key").distinct()
-        scope = existing.join(F.broadcast(days), "date_key", "left_semi")
+        # The batch's days (at most one per calendar day, a bounded list) as a
+        # static filter on the partition column: the fact scan is pruned to them.
+        days = [r[0] for r in resolved.select("date_key").distinct().collect()]
+        scope = existing.where(F.col("date_key").isin(days) if days else F.lit(False))
     return insert_if_absent(resolved, scope, "event_id", "stream_key",
                             order_cols=["date_key", "event_id"], num_partitions=num_partitions,
                             start=start, rare_duplicates=rare, size_hint=staged_bytes)
