@@ -85,7 +85,9 @@ def write_star(star: Star, root: str, mode: str = "overwrite") -> str:
     writes = [(lambda n=name: star.table(n).write.mode(mode).parquet(f"{root}/{n}"))
               for name in DIMENSIONS]
     # Rows are range-clustered by (date_key, event_id): few files per day.
-    writes.append(lambda: star.fact_streams.write.mode(mode).partitionBy("date_key")
+    # A full replace of the fact (static): no day of an earlier build survives.
+    writes.append(lambda: star.fact_streams.write.mode(mode)
+                  .option("partitionOverwriteMode", "static").partitionBy("date_key")
                   .parquet(f"{root}/{FACT}"))
     run_all(writes, max_workers=len(writes))
     return root

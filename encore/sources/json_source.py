@@ -128,7 +128,9 @@ def land_staging(spark: SparkSession, sources_root: str, staging_root: str,
         out = (parsed.withColumn("_rejected", F.when(~ok, F.col("_rejected")))
                .withColumn(LOAD_STATUS, F.when(ok, F.lit("accepted")).otherwise(F.lit("rejected")))
                .drop("_n_bad"))
-        return lambda: out.write.mode(mode).partitionBy(LOAD_STATUS).parquet(f"{staging_root}/{table}")
+        # A full replace: partitions absent from this load must not survive it.
+        return lambda: (out.write.mode(mode).option("partitionOverwriteMode", "static")
+                        .partitionBy(LOAD_STATUS).parquet(f"{staging_root}/{table}"))
 
     run_all(land(t, n) for t, n in SOURCE_FILES.items())
     return staging_root

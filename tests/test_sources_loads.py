@@ -141,3 +141,16 @@ def test_landing_splits_accepted_and_rejected(spark, make_staging):
     assert sorted(r.event_id for r in from_parquet(spark, f"{root}/staging").events.collect()) == ["e1", "e2"]
     bad = spark.read.parquet(f"{root}/staging/stg_stream_events").where("_load_status = 'rejected'")
     assert sorted(tuple(r._rejected) for r in bad.collect()) == [("_record",), ("duration_ms",)]
+
+
+def test_full_replace_leaves_no_stale_partitions(spark, make_staging):
+    from encore.plans.warehouse import read_star, write_star
+    root = scratch_path(spark, "replace")
+    two_days = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")],
+                            events=[event("e1", at="2024-01-02T10:00:00+00:00"),
+                                    event("e2", at="2024-01-03T10:00:00+00:00")])
+    write_star(build_star(spark, two_days), root)
+    one_day = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")],
+                           events=[event("e1", at="2024-01-02T10:00:00+00:00")])
+    write_star(build_star(spark, one_day), root)
+    assert [r.event_id for r in read_star(spark, root).fact_streams.collect()] == ["e1"]
