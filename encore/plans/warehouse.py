@@ -95,10 +95,12 @@ def write_star(star: Star, root: str, mode: str = "overwrite") -> str:
 
 def read_star(spark: SparkSession, root: str) -> Star:
     root = root.rstrip("/")
-    tables = {name: spark.read.parquet(f"{root}/{name}") for name in DIMENSIONS}
-    fact = spark.read.parquet(f"{root}/{FACT}")
-    from ..schemas import FACT_COLUMNS
-    fact = fact.select(*FACT_COLUMNS)
+    from .. import schemas as S
+
+    columns = {"dim_date": S.DIM_DATE_COLUMNS, "dim_artists": S.DIM_ARTISTS_COLUMNS,
+               "dim_users": S.DIM_USERS_COLUMNS, "dim_songs": S.DIM_SONGS_COLUMNS}
+    tables = {name: spark.read.parquet(f"{root}/{name}").select(*columns[name]) for name in DIMENSIONS}
+    fact = spark.read.parquet(f"{root}/{FACT}").select(*S.FACT_COLUMNS)
     return Star(tables["dim_date"], tables["dim_artists"], tables["dim_users"],
                 tables["dim_songs"], fact)
 

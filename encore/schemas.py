@@ -5,9 +5,8 @@ tables carry a dense surrogate key beside the natural key, and no personal
 data (``email`` stays in staging).
 """
 
-from pyspark.sql.types import (BooleanType, DateType, DecimalType, IntegerType,
-                               LongType, StringType, StructField, StructType,
-                               TimestampType)
+from pyspark.sql.types import (BooleanType, DateType, IntegerType, StringType, StructField,
+                               StructType, TimestampType)
 
 
 def _struct(*fields):
@@ -68,21 +67,8 @@ REQUIRED = {
 
 # ---- analytics layer -------------------------------------------------------
 
-DIM_DATE = StructType([
-    StructField("date_key", IntegerType(), False),
-    StructField("full_date", DateType(), False),
-    StructField("year", IntegerType(), False),
-    StructField("quarter", IntegerType(), False),
-    StructField("month", IntegerType(), False),
-    StructField("month_name", StringType(), False),
-    StructField("week_number", IntegerType(), False),
-    StructField("day_of_week", IntegerType(), False),
-    StructField("day_name", StringType(), False),
-    StructField("is_weekend", BooleanType(), False),
-])
-
-COMPLETION = DecimalType(5, 2)
-
+DIM_DATE_COLUMNS = ["date_key", "full_date", "year", "quarter", "month", "month_name",
+                    "week_number", "day_of_week", "day_name", "is_weekend"]
 DIM_ARTISTS_COLUMNS = ["artist_key", "artist_id", "name", "country", "primary_genre"]
 DIM_USERS_COLUMNS = ["user_key", "user_id", "country_code", "subscription_type",
                      "age_group", "signup_date"]
@@ -102,5 +88,3 @@ LENGTH_CONTRACT = {
                   "genre": 100, "subgenre": 100},
     "stg_artists": {"artist_id": 36, "name": 500, "country": 2, "primary_genre": 100},
 }
-
-ANALYTICS_KEY_TYPE = LongType()

@@ -8,7 +8,6 @@ in a bare test session, is a private temporary folder created.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -90,10 +89,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def local_fs_path(path: str) -> str:
     """Strip a ``file:`` scheme for python-side file access in tests."""
     return path[5:] if path.startswith("file:") else path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
