@@ -154,3 +154,20 @@ def test_full_replace_leaves_no_stale_partitions(spark, make_staging):
                            events=[event("e1", at="2024-01-02T10:00:00+00:00")])
     write_star(build_star(spark, one_day), root)
     assert [r.event_id for r in read_star(spark, root).fact_streams.collect()] == ["e1"]
+
+
+def test_key_reservation_survives_a_failed_append(spark, make_staging):
+    root = scratch_path(spark, "reserve")
+    first = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")],
+                         events=[event("e1"), event("e2")])
+    loads.land(first, f"{root}/stg", dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc))
+    star = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
+    assert sorted(r.stream_key for r in star.fact_streams.collect()) == [1, 2]
+    # a load reserved keys up to 7 and failed before appending its rows
+    loads.reserve_keys(spark, f"{root}/wh", 99, 7)
+    more = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")],
+                        events=[event("e3")])
+    loads.land(more, f"{root}/stg", dt.datetime(2024, 2, 2, tzinfo=dt.timezone.utc))
+    star = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
+    keys = {r.event_id: r.stream_key for r in star.fact_streams.collect()}
+    assert keys == {"e1": 1, "e2": 2, "e3": 8}        # a gap, never a reused key
