@@ -54,3 +54,16 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(cols) == sorted(dcols)
     want = [tuple(r[dcols.index(c)] for c in cols) for r in rel.fetchall()]
     assert Counter(tuple(map(_norm, r)) for r in got) == Counter(tuple(map(_norm, r)) for r in want)
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP",
+                 "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_column_types_match_oracle(spark, duck, name):
+    spark_types = dict(E.queries()[name](spark, SF_SMALL).dtypes)
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    for col, t in spark_types.items():
+        assert duck_types.get(col) == SPARK_TO_DUCK.get(t, t.upper()), (col, t, duck_types.get(col))
