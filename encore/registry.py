@@ -215,7 +215,7 @@ from .plans import loads  # noqa: E402
 from .plans.warehouse import driver_warehouse  # noqa: E402
 from .schemas import FACT_COLUMNS  # noqa: E402
 from .session import scratch_path  # noqa: E402
-from .sources.json_source import ingest_report  # noqa: E402
+from .sources.json_source import landing_report  # noqa: E402
 from .sources.staging import Staging  # noqa: E402
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
@@ -224,7 +224,7 @@ LINE_COLS = [c.strip() for c in O.LINE_COLS.split(",")]
 
 @register("ingest_json", O.ingest_json_sql)
 def q_ingest_json(spark, sf_dir):
-    return ingest_report(spark, f"{driver_warehouse(spark, sf_dir)}/sources")
+    return landing_report(spark, driver_warehouse(spark, sf_dir))
 
 
 @register("full_refresh", O.full_refresh_sql)

@@ -158,6 +158,20 @@ def ingest_report(spark: SparkSession, root: str, layout: str = "lines") -> Data
     return out
 
 
+def landing_report(spark: SparkSession, staging_root: str) -> DataFrame:
+    """Records read and rejected per source, from the landed (status-partitioned)
+    staging: counts of Parquet rows, no second parse of the raw text."""
+    staging_root = staging_root.rstrip("/")
+    out = None
+    for table, name in SOURCE_FILES.items():
+        landed = spark.read.parquet(f"{staging_root}/{table}").select(LOAD_STATUS)
+        one = landed.agg(F.count(F.lit(1)).cast("long").alias("records"),
+                         F.count_if(F.col(LOAD_STATUS) == "rejected").cast("long").alias("rejected")
+                         ).select(F.lit(f"{name}.json").alias("source_file"), "records", "rejected")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write records as JSON Lines; NULLs are kept as explicit ``null`` values."""
     (df.write.mode(mode).option("ignoreNullFields", False)

@@ -171,3 +171,17 @@ def test_key_reservation_survives_a_failed_append(spark, make_staging):
     star = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
     keys = {r.event_id: r.stream_key for r in star.fact_streams.collect()}
     assert keys == {"e1": 1, "e2": 2, "e3": 8}        # a gap, never a reused key
+
+
+def test_landing_report_counts_without_reparsing(spark, make_staging):
+    from encore.sources.json_source import ingest_report, land_staging, landing_report, write_sources
+
+    stg = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")],
+                       events=[event("e1"), event("e2")])
+    root = scratch_path(spark, "landing-report")
+    write_sources(stg, f"{root}/sources")
+    _write(f"{root}/sources/stream_events.json", ["{broken"], name="part-bad.json")
+    land_staging(spark, f"{root}/sources", f"{root}/staging")
+    got = sorted(map(tuple, landing_report(spark, f"{root}/staging").collect()))
+    assert got == sorted(map(tuple, ingest_report(spark, f"{root}/sources").collect()))
+    assert ("stream_events.json", 3, 1) in got
