@@ -7,13 +7,21 @@ computed column identically.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import oracle as O
-from .operators import report
-from .plans.warehouse import driver_staging_tables, driver_star
+from .operators import quality, report
+from .operators.keys import assign_dense_keys, insert_if_absent
+from .plans import loads
+from .plans.warehouse import driver_staging_tables, driver_star, driver_warehouse
+from .schemas import FACT_COLUMNS
+from .session import scratch_path
+from .sources.json_source import landing_report
+from .sources.staging import Staging
 
 AS_OF = O.AS_OF
 Q4_WINDOW_DAYS = O.Q4_WINDOW_DAYS
@@ -133,8 +141,6 @@ def q_global_listeners(spark, sf_dir):
 
 # ---- audits ----------------------------------------------------------------------
 
-from .operators import quality  # noqa: E402
-
 
 @register("row_counts_staging", O.row_counts_staging_sql)
 def q_row_counts_staging(spark, sf_dir):
@@ -206,17 +212,6 @@ def q_quality_contracts(spark, sf_dir):
 
 # ---- loads, keys, streaming ----------------------------------------------------------
 
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from .operators.keys import assign_dense_keys, insert_if_absent  # noqa: E402
-from .plans import loads  # noqa: E402
-from .plans.warehouse import driver_warehouse  # noqa: E402
-from .schemas import FACT_COLUMNS  # noqa: E402
-from .session import scratch_path  # noqa: E402
-from .sources.json_source import landing_report  # noqa: E402
-from .sources.staging import Staging  # noqa: E402
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_COLS = [c.strip() for c in O.LINE_COLS.split(",")]
