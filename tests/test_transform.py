@@ -174,3 +174,16 @@ def test_calendar_is_populated_once(spark):
     existing = dim_date(spark).where("year = 2024")
     assert populate_once(existing, spark) is existing            # non-empty: kept as is
     assert populate_once(existing.limit(0), spark).count() == 2922
+
+
+def test_fact_sample_with_and_without_dense_keys(spark, make_staging):
+    from pyspark.sql import functions as F
+
+    from encore.operators.quality import fact_sample
+    stg = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")],
+                       events=[event(f"e{i}", at=f"2024-01-{10 + i:02d}T10:00:00+00:00") for i in range(5)])
+    star = build_star(spark, stg)
+    assert sorted(r.stream_key for r in fact_sample(star, 3).collect()) == [1, 2, 3]
+    # keys that do not start at 1 (a gap): the full top-n is used
+    shifted = star._replace(fact_streams=star.fact_streams.withColumn("stream_key", F.col("stream_key") + 100))
+    assert sorted(r.stream_key for r in fact_sample(shifted, 3).collect()) == [101, 102, 103]
