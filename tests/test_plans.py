@@ -95,3 +95,9 @@ def test_hot_keys_are_broadcast_and_cold_keys_shuffled(spark):
     finally:
         _reset(spark)
     assert "Union" in plan and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+
+
+def test_fact_sample_pushes_the_key_bound_to_parquet(spark):
+    star = driver_star(spark, SF_SMALL)
+    plan = _physical(quality.fact_sample(star))
+    assert "LessThanOrEqual(stream_key,10)" in plan
