@@ -24,6 +24,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -212,20 +213,20 @@ def load(path: str) -> PrefixBpe:
 def encode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     """``docs`` with a column ``ids`` (binary, little-endian unsigned 32-bit)."""
     @F.pandas_udf("binary")
-    def ids(batches: Iterator) -> Iterator:
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load(tokenizer)
         for texts in batches:
-            yield texts.map(model.encode, na_action=None).astype(object)
+            yield pd.Series([model.encode(t) for t in texts], dtype=object)
     return docs.withColumn("ids", ids(F.col(text)))
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with a column ``decoded`` (the text its ids stand for)."""
     @F.pandas_udf("string")
-    def text(batches: Iterator) -> Iterator:
+    def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load(tokenizer)
         for column in batches:
-            yield column.map(lambda b: model.decode(b or b""))
+            yield pd.Series([model.decode(b or b"") for b in column], dtype=object)
     return encoded.withColumn("decoded", text(F.col(ids)))
 
 

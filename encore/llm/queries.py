@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact_dedup, token_store
-from .common import table
+from . import bpe, exact_dedup, langid, pii, quality, token_store, toxicity
+from .common import fold, table
+
+THRESHOLD = 0.3
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -42,3 +45,39 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def _with_fold(docs: DataFrame, folds: int, held: int) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (fold(F.col("doc_id"), folds) == held).alias("held_out"))
+
+
+def _scored(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "held_out", "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+@register("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(fold(F.col("doc_id"), 4) != 2))
+    return _scored(toxicity.with_score(_with_fold(docs, 4, 2), model))
+
+
+@register("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.filter(fold(F.col("doc_id"), 5) != 0))
+    return _scored(quality.with_score(_with_fold(docs, 5, 0), model))
+
+
+@register("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(fold(F.col("doc_id"), 3) != 1))
+    predicted = langid.predict(_with_fold(docs, 3, 1), model)
+    return predicted.select("doc_id", "held_out", "language.lang_pred", "language.score")
+
+
+@register("op9_pii")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
