@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact_dedup, langid, pii, quality, token_store, toxicity
+from . import bpe, exact_dedup, langid, mixing, pii, quality, token_store, toxicity
 from .common import fold, table
 
 THRESHOLD = 0.3
@@ -81,3 +81,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@register("op2_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.draws(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", mixing.taken(mix).alias("taken"), "source", "draws")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample
+from .common import labelled_sample, materialize
 
 WORD = re.compile(r"[^\W\d_]+")
 # Words that mark a quotation or report near a term.
@@ -149,20 +149,36 @@ class Evidence:
                 100 * (abuse + quoted + fuzzy) / (100 + len(words))]
 
 
-def learn_lexicon(sample: DataFrame, min_gain: float = 18.0, min_odds: float = 2.0, max_terms: int = 2000) -> Lexicon:
-    """Terms of ``sample`` (text, label): the log-likelihood ratio against chance is at least
-    ``min_gain`` and the log odds ratio ``min_odds``; the ``max_terms`` strongest."""
+def _terms(text: str | None) -> set[str]:
+    """Words of four letters or more, and with a star the beginnings of longer ones."""
+    words = {w for w in WORD.findall((text or "").lower()) if len(w) >= 4}
+    return words | {w[:n] + "*" for n in STEM_LENGTHS for w in words if len(w) > n}
+
+
+def learn_lexicon(sample: DataFrame, min_gain: float = 18.0, min_odds: float = 2.0, max_terms: int = 2000,
+                  redundancy: int = 3) -> Lexicon:
+    """Lexicon of ``sample`` (text, label).
+
+    Candidates: the ``max_terms`` terms with the strongest association beyond chance (log-likelihood
+    ratio at least ``min_gain``, log odds ratio at least ``min_odds``). Of these, strongest first, a
+    term stays if it marks three or more toxic texts that fewer than ``redundancy`` terms mark so
+    far: words that only ride along in copies of a toxic text add nothing and go."""
     texts = sample.groupBy("text").agg(F.max("label").alias("label"))
     totals = {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
         return Lexicon()
-    words = F.array_distinct(F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"), lambda w: F.length(w) >= 4))
-    stems = [F.transform(F.filter("words", lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")))
-             for n in STEM_LENGTHS]
-    terms = (texts.withColumn("words", words)
-             .select("label", F.explode(F.array_distinct(F.concat("words", *stems))).alias("term"))
-             .groupBy("term").agg(F.sum("label").cast("double").alias("p"), F.sum(1 - F.col("label")).cast("double").alias("q")))
+
+    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: dict[str, list[int]] = {}
+            for text, label in zip(batch["text"], batch["label"], strict=True):
+                for term in _terms(text):
+                    found.setdefault(term, [0, 0])[label == 1] += 1
+            yield pd.DataFrame({"term": list(found), "p": [v[1] for v in found.values()], "q": [v[0] for v in found.values()]})
+
+    terms = (texts.mapInPandas(count, "term string, p long, q long")
+             .groupBy("term").agg(F.sum("p").cast("double").alias("p"), F.sum("q").cast("double").alias("q")))
     base = n1 / (n1 + n0)
     share = F.col("p") / (F.col("p") + F.col("q"))
     gain = 2 * (F.col("p") * F.log(share / base)
@@ -171,16 +187,29 @@ def learn_lexicon(sample: DataFrame, min_gain: float = 18.0, min_odds: float = 2
     chosen = (terms.filter(F.col("p") >= 3).withColumns({"gain": gain, "odds": odds})
               .filter((F.col("gain") >= min_gain) & (F.col("odds") >= min_odds))
               .orderBy(F.desc("gain"), "term").limit(max_terms).collect())
-    lexicon_stems: dict[str, float] = {}
-    words_found = {r["term"]: r["odds"] for r in chosen if not r["term"].endswith("*")}
-    for r in sorted((r for r in chosen if r["term"].endswith("*")), key=lambda r: len(r["term"])):
-        stem = r["term"][:-1]
-        # A stem must cover more than the words it was seen through, and no shorter stem may hold it.
-        whole = max((w for w in words_found if w.startswith(stem)), key=words_found.get, default=None)
-        if any(stem[:n] in lexicon_stems for n in STEM_LENGTHS) or (whole and words_found[whole] >= r["odds"] - 0.1):
+    odds_of = {r["term"]: r["odds"] for r in chosen}
+    # A stem must reach beyond the words it is seen through.
+    known = [t for t in odds_of if not t.endswith("*") or odds_of[t] > 0.1 + max(
+        (o for w, o in odds_of.items() if not w.endswith("*") and w.startswith(t[:-1])), default=-math.inf)]
+    place = {t: i for i, t in enumerate(known)}
+
+    def mark(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"marks": [sorted(place[t] for t in _terms(text) if t in place) for text in batch["text"]]})
+
+    marked = [r["marks"] for r in texts.filter("label = 1").mapInPandas(mark, "marks array<int>").collect()]
+    where: dict[int, list[int]] = {}
+    for i, marks in enumerate(marked):
+        for k in marks:
+            where.setdefault(k, []).append(i)
+    covered, words, stems = [0] * len(marked), {}, {}
+    for k, term in enumerate(known):
+        if sum(covered[i] < redundancy for i in where.get(k, ())) < 3:
             continue
-        lexicon_stems[stem] = r["odds"]
-    return Lexicon(words_found, lexicon_stems)
+        for i in where[k]:
+            covered[i] += 1
+        (stems if term.endswith("*") else words)[term.rstrip("*")] = odds_of[term]
+    return Lexicon({w: o for w, o in words.items() if not any(w[:n] in stems for n in STEM_LENGTHS)}, stems)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 60) -> np.ndarray:
@@ -212,7 +241,7 @@ class ToxicityModel:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = 20_000) -> ToxicityModel:
     """Lexicon and weights from at most ``max_rows`` labelled rows (the caller's training rows)."""
-    sample = labelled_sample(docs, labels, label, max_rows).select("text", "label")
+    sample = materialize(labelled_sample(docs, labels, label, max_rows).select("text", "label"), "toxicity-sample")
     lexicon = learn_lexicon(sample)
 
     def evidence(batches: Iterable) -> Iterator:
