@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact_dedup, langid, mixing, pii, quality, token_store, toxicity
+from . import bpe, exact_dedup, fingerprints, langid, mixing, pii, quality, token_store, toxicity
 from .common import fold, table
 
 THRESHOLD = 0.3
@@ -87,3 +87,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.draws(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", mixing.taken(mix).alias("taken"), "source", "draws")
+
+
+@register("op8_fingerprints")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))

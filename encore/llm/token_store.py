@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from .common import parallelism
 
 SHARD_IDS = 1 << 20
-CACHE_CHUNKS, CACHED_LENGTH = 350_000, 48
+CACHE_CHUNKS, CACHED_LENGTH = 250_000, 48
 NULL_KEY = -(1 << 63)
 
 SHARD_SCHEMA = T.StructType([
@@ -160,12 +160,56 @@ class ChunkEncoder:
         self.dtype = "<u4" if self.wide else "<u2"
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.word_end = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.word_end[i] = token.endswith("</w>")
+        self.marks = {m: np.asarray(self.tokenizer.encode(m, add_special_tokens=False).ids, dtype=self.dtype).tobytes() for m in ("", ".", ",")}
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only, encoded together: each ends with its one word-end token."""
+        out: list[bytes] = []
+        for i in range(0, len(words), 1024):
+            part = words[i: i + 1024]
+            ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            ends = np.flatnonzero(self.word_end[ids]) + 1
+            if len(ends) != len(part) or (len(ids) and ends[-1] != len(ids)):
+                return [np.asarray(e.ids, dtype=self.dtype).tobytes()
+                        for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            packed, width, start = ids.tobytes(), ids.dtype.itemsize, 0
+            for end in ends.tolist():
+                out.append(packed[start * width: end * width])
+                start = end
+        return out
 
     def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        known = {p: self.old[p] for p in pieces if p in self.old}
-        new = [p for p in pieces if p not in known]
-        known.update(zip(new, [np.asarray(e.ids, dtype=self.dtype).tobytes()
-                               for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]))
+        """Ids of pieces that the cache lacks. A Latin-1 word, with or without a full stop or comma,
+        is put together from the ids of its lower-case letters and of the mark."""
+        known, split, words, other = {}, {}, set(), []
+        for p in pieces:
+            if (ids := self.old.get(p)) is not None:
+                known[p] = ids
+                continue
+            mark = p[-1] if p[-1] in ".," else ""
+            core = p[:-1] if mark else p
+            if len(core) <= CACHED_LENGTH and core.isalpha() and (core.isascii() or max(core) < "\u0100"):
+                core = core.lower()
+                split[p] = core, mark
+                if core not in self.words and core not in self.old_words:
+                    words.add(core)
+            else:
+                other.append(p)
+        new = list(words)
+        found = dict(zip(new, self._encode_words(new), strict=True))
+        known.update(zip(other, [np.asarray(e.ids, dtype=self.dtype).tobytes()
+                                 for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]))
+        self.words.update(found)
+        for p, (core, mark) in split.items():
+            ids = self.words.get(core)
+            known[p] = (self.old_words[core] if ids is None else ids) + self.marks[mark]
+        if len(self.words) > CACHE_CHUNKS:
+            self.old_words, self.words = self.words, {}
         self.young.update((p, b) for p, b in known.items() if len(p) <= CACHED_LENGTH)
         if len(self.young) > CACHE_CHUNKS:
             self.old, self.young = self.young, {"": b""}
