@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 from .common import parallelism
 
 #: Positions of a signature: GROUPS rows of GROUP_SAMPLES, so that generated methods stay small enough to be compiled.
-GROUPS, GROUP_SAMPLES = 6, 4
+GROUPS, GROUP_SAMPLES = 4, 4
 EMPTY_ITEM = "ffffff"
 BUCKETS_PER_PARTITION = 4
 
@@ -88,45 +88,66 @@ def _unit(bits: Column, shift: int, width: int) -> Column:
 
 def log_a(term: Column, group: Column, position: int, log_weight: Column) -> Column:
     """ln a of a term at one position of a group, with the given ln w."""
-    first, second, third = (F.xxhash64(term, group, F.lit(3 * position + i)) for i in range(3))
-    r = -F.ln(_unit(first, 0, 31) * _unit(first, 31, 31))
-    log_c = F.ln(-F.ln(_unit(second, 0, 31) * _unit(second, 31, 31)))
-    beta = _unit(third, 0, 48)
+    first, second = (F.xxhash64(term, group, F.lit(2 * position + i)) for i in range(2))
+    r = -F.ln(_unit(first, 0, 21) * _unit(first, 21, 21))
+    log_c = F.ln(-F.ln(_unit(second, 0, 21) * _unit(second, 21, 21)))
+    beta = (F.shiftrightunsigned(first, 42) * float(1 << 22) + F.shiftrightunsigned(second, 42) + F.lit(0.5)) / float(1 << 44)
     return log_c - r * (F.floor(log_weight / r + beta) - beta + F.lit(1.0))
 
 
-def term_weights(texts: DataFrame, body: str) -> DataFrame:
-    """``texts`` with a row for each distinct word of column ``body``: (term, weight), hash and count.
+def _words(body: Column, side: int) -> Column:
+    """Hashes of a text's words, repeats included, with the side in the lowest bit."""
+    trimmed = F.btrim(F.lower(F.coalesce(body, F.lit(""))), F.lit(" \t\n\x0b\x0c\r"))
+    empty = F.array().cast("array<bigint>")
+    hashes = F.transform(F.split(trimmed, r"[\x20\x09-\x0D]+"), lambda w: F.xxhash64(w).bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(side)))
+    return F.when(trimmed == "", empty).otherwise(hashes)
 
-    Words are hashed, sorted and run-length counted inside the row: no shuffle, and no state beyond one
-    document. A text without words keeps one row with null term."""
-    keep = [c for c in texts.columns if c != body]
-    words = F.filter(F.split(F.lower(F.col(body)), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    hashed = texts.select(*keep, F.array_sort(F.transform(words, lambda w: F.xxhash64(w))).alias("h"))
-    n = F.size("h")
-    starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(F.col("h"), i) != F.get(F.col("h"), i - 1)))
-    runs = hashed.select(*keep, "h", F.when(n > 0, starts).alias("s"))
-    ends = F.concat(F.slice("s", F.lit(2), F.greatest(F.size("s") - 1, F.lit(0))), F.array(F.size("h")))
-    terms = F.zip_with(F.col("s"), ends, lambda a, b: F.struct(F.get(F.col("h"), a).alias("term"), (b - a).cast("double").alias("weight")))
-    return runs.select(*keep, F.inline_outer(terms))
 
+def term_weights(texts: DataFrame, bodies: tuple[str, str]) -> DataFrame:
+    """``texts`` with a row for each distinct word of the two columns ``bodies``: term (a hash), and the
+    times w0 and w1 that it occurs in either.
 
-def signatures(texts: DataFrame, body: str, groups: int = GROUPS) -> DataFrame:
-    """``texts`` without ``body``, and ``items``: the signature, an array of six-digit hex strings.
+    Words are hashed, sorted and run-length counted inside the row: no shuffle, and no state beyond one
+    document. A row without words keeps one row with null term."""
+    keep = [c for c in texts.columns if c not in bodies]
+    h, v, s = F.col("h"), F.col("v"), F.col("s")
+    hashed = texts.select(*keep, F.sort_array(F.concat(*[_words(F.col(b), i) for i, b in enumerate(bodies)])).alias("h"))
+    # Where a run of equal hashes begins; then each run's hash. A term's runs of both sides are neighbours.
+    runs = hashed.select(*keep, "h", F.when(F.size("h") > 0, F.filter(
+        F.sequence(F.lit(0), F.size("h") - 1), lambda i: (i == 0) | (F.get(h, i) != F.get(h, i - 1)))).alias("s"))
+    valued = runs.select(*keep, F.concat("s", F.array(F.size("h"))).alias("s"), F.transform("s", lambda i: F.get(h, i)).alias("v"))
+    n = F.size("v")
+
+    def entry(i: Column) -> Column:
+        value, count = F.get(v, i), F.get(s, i + 1) - F.get(s, i)
+        odd = value.bitwiseAND(F.lit(1)) == 1
+        paired = ~odd & F.coalesce(F.get(v, i + 1) == value + 1, F.lit(False))
+        return F.struct(F.shiftright(value, 1).alias("term"), F.when(odd, 0).otherwise(count).alias("w0"),
+                        F.when(odd, count).when(paired, F.get(s, i + 2) - F.get(s, i + 1)).otherwise(0).alias("w1"))
+
+    leading = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(v, i).bitwiseAND(F.lit(1)) == 0)
+                       | (F.get(v, i) - 1 != F.get(v, i - 1)))
+    return valued.select(*keep, F.inline_outer(F.transform(F.when(n > 0, leading), entry)))
+
+
+def signatures(texts: DataFrame, bodies: tuple[str, str], groups: int = GROUPS) -> DataFrame:
+    """``texts`` without ``bodies``, and their signatures ``items0`` and ``items1``: arrays of hex strings.
 
     ``texts`` must be told apart by its other columns; if it is partitioned by some of them, nothing
-    is shuffled."""
-    key = [c for c in texts.columns if c != body]
-    log_weight = F.ln("weight")
-    sampled = (term_weights(texts, body).select(*key, "term", log_weight.alias("lw"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
-               .groupBy(*key, "g").agg(*[F.min(log_a(F.col("term"), F.col("g"), j, F.col("lw"))).alias(f"a{j}") for j in range(GROUP_SAMPLES)]))
+    is shuffled. A term's random numbers are made once for both texts."""
+    key = [c for c in texts.columns if c not in bodies]
+    sampled = (term_weights(texts, bodies)
+               .select(*key, "term", F.ln("w0").alias("lw0"), F.ln("w1").alias("lw1"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
+               .groupBy(*key, "g").agg(*[F.min(log_a(F.col("term"), F.col("g"), j, F.col(f"lw{i}"))).alias(f"a{i}_{j}")
+                                         for j in range(GROUP_SAMPLES) for i in (0, 1)]))
 
     def item(a: Column) -> Column:
         return F.when(a.isNull(), F.lit(EMPTY_ITEM)).otherwise(F.lower(F.lpad(F.hex(F.pmod(F.xxhash64(a), F.lit((1 << 24) - 1))), 6, "0")))
 
-    items = F.struct("g", F.array(*[item(F.col(f"a{j}")) for j in range(GROUP_SAMPLES)]).alias("items"))
+    items = F.struct("g", *[F.array(*[item(F.col(f"a{i}_{j}")) for j in range(GROUP_SAMPLES)]).alias(f"items{i}") for i in (0, 1)])
     return (sampled.groupBy(*key).agg(F.array_sort(F.collect_list(items)).alias("parts"))
-            .select(*key, F.flatten(F.transform("parts", lambda p: p["items"])).alias("items")))
+            .select(*key, *[F.flatten(F.transform("parts", lambda p: p["items0"])).alias("items0"),
+                            F.flatten(F.transform("parts", lambda p: p["items1"])).alias("items1")]))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -137,17 +158,11 @@ def likeness(a: Column, b: Column) -> Column:
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row of ``docs``: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     pairs = edited_neighbours(docs, doc_id, text)
-    sides = (pairs.select("bucket", "row", "guest", "doc_id", F.char_length("body").cast("long").alias("n_chars"),
-                          F.unhex(F.sha2(F.coalesce("edited", F.lit("")), 256)).alias("sha"),
-                          F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("body").alias("value")),
-                                            F.struct(F.lit(1).alias("side"), F.col("edited").alias("value")))).alias("v"))
-             .select("bucket", "row", "guest", "doc_id", "n_chars", "sha", "v.side", "v.value")
-             .filter("value is not null"))
-    key = ["bucket", "row", "guest", "doc_id", "n_chars", "sha"]
-    both = (signatures(sides, "value").groupBy(*key)
-            .agg(F.max(F.when(F.col("side") == 0, F.col("items"))).alias("own"), F.max(F.when(F.col("side") == 1, F.col("items"))).alias("changed")))
+    signed = signatures(pairs.withColumns({"n_chars": F.char_length("body").cast("long"),
+                                           "sha": F.unhex(F.sha2(F.coalesce("edited", F.lit("")), 256))}), ("body", "edited"))
     inside = Window.partitionBy("bucket").orderBy("row")
-    return (both.withColumn("following", F.lead("own").over(inside)).filter("guest = 0")
-            .select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), F.concat_ws("", "own").alias("fingerprint"),
-                    F.concat_ws("", "changed").alias("edited_fingerprint"), likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-                    likeness(F.col("own"), F.col("following")).alias("near_next")))
+    own, changed = F.col("items0"), F.col("items1")
+    return (signed.withColumn("following", F.lead("items0").over(inside)).filter("guest = 0")
+            .select("doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), F.concat_ws("", own).alias("fingerprint"),
+                    F.concat_ws("", changed).alias("edited_fingerprint"), likeness(own, changed).alias("near_edited"),
+                    likeness(own, F.col("following")).alias("near_next")))
