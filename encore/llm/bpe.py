@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -230,26 +231,29 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:
     return encoded.withColumn("decoded", text(F.col(ids)))
 
 
-def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text; one pass, no shuffle.
+def digests(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text, ``with_ids`` also the ids.
 
-    Encodes and decodes inside one Arrow map, so neither ids nor texts go back to the JVM.
+    One pass, no shuffle: encodes and decodes inside one Arrow map, so texts don't go back to the JVM.
     """
-    import pyarrow as pa
-
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(tokenizer)
         for batch in batches:
-            n, ids_sha, text_sha = [], [], []
+            n, ids_sha, text_sha, all_ids = [], [], [], []
             for value in batch.column(1):
                 ids = model.encode(value.as_py())
                 n.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(model.decode(ids).encode("utf-8")).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                if with_ids:
+                    all_ids.append(ids)
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                columns.append(pa.array(all_ids, pa.binary()))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact_dedup, fingerprints, langid, mixing, pii, quality, token_store, toxicity
+from . import bpe, exact_dedup, fingerprints, langid, mixing, ngram_join, pii, quality, token_store, toxicity
 from .common import fold, table
 
 THRESHOLD = 0.3
@@ -92,3 +92,30 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_fingerprints")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register("op1_ngram_join", r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+    FROM words, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i) WHERE len(w) > 0
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, min(r.b) AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id, s.n
+""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
