@@ -10,8 +10,9 @@ the merge brings up. Here:
             gives exact results, this one keeps lists of common passages out of the merge.
   merge     Spark shuffles the postings of the n - T + 1 shortest lists of every set. Sets that share no
             list there can't link.
-  star      inside a list, sets are not paired with each other: each is proposed to the list's least
-            set only, so a list of m sets gives m - 1 candidates.
+  star      inside a list, sets are not paired with each other: each is proposed to the least set of
+            one of its lists only, so a turn has no more candidates than there are sets.
+  bound     bitmaps of both sets bound their intersection from above; pairs that can't reach T go.
   probe     blocks of one query set and its candidates: a heap merges the block's short lists, the long
             ones are probed by binary search, candidates that reach T for the larger set are kept and
             compared with the exact bound.
@@ -109,6 +110,23 @@ def linked(common, n: int, m: int, percent: int) -> bool:
     return 100 * common >= percent * (n + m - common)
 
 
+def set_bits(hashes: np.ndarray) -> bytes:
+    """A bitmap of a set: two to four bits for each member, a power of two in all."""
+    size = 1 << max(3, int(2 * max(1, len(hashes)) - 1).bit_length())
+    bits = np.zeros(size, dtype=bool)
+    bits[(hashes & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def most_common(n: int, own: bytes, other: bytes) -> int:
+    """A bound, never too low, on the intersection of a set of n with another one: every bit that is set
+    for the one alone stands for a member the other lacks. Bitmaps fold onto the smaller size."""
+    a, b = np.frombuffer(own, np.uint8), np.frombuffer(other, np.uint8)
+    size = min(len(a), len(b))
+    a, b = np.bitwise_or.reduce(a.reshape(-1, size)), np.bitwise_or.reduce(b.reshape(-1, size))
+    return n - int(np.bitwise_count(a & ~b).sum())
+
+
 def set_key(hashes: np.ndarray) -> int:
     """64-bit name of a set."""
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -185,7 +203,7 @@ def _shared(postings: DataFrame) -> DataFrame:
 
 
 def _hashes_of(docs: DataFrame, sets: DataFrame, near: DataFrame, words: int) -> DataFrame:
-    """(x, hashes) of the sets in ``near``, made again from one document of each."""
+    """(x, n, bits, hashes) of the sets in ``near``, made again from one document of each."""
     chosen = sets.join(near, "x", "left_semi").groupBy("x").agg(F.min("doc_id").alias("doc_id"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,11 +213,10 @@ def _hashes_of(docs: DataFrame, sets: DataFrame, near: DataFrame, words: int) ->
             for x, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 h = shingle(value.as_py())
                 if len(h) and set_key(h) == x:  # an id may have several texts
-                    found.append((x, h.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([h for _, h in found], pa.binary())],
-                                             names=["x", "hashes"])
+                    found.append({"x": x, "n": len(h), "bits": set_bits(h), "hashes": h.tobytes()})
+            yield pa.RecordBatch.from_pylist(found, schema=pa.schema([("x", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("hashes", pa.binary())]))
 
-    return docs.join(chosen, "doc_id").select("x", "text").mapInArrow(run, "x long, hashes binary").dropDuplicates(["x"])
+    return docs.join(chosen, "doc_id").select("x", "text").mapInArrow(run, "x long, n long, bits binary, hashes binary")
 
 
 # ---- probing --------------------------------------------------------------------
@@ -253,16 +270,28 @@ def block_links(query: np.ndarray, members: list[np.ndarray], percent: int) -> l
     return [i for i, common in found.items() if linked(common, n, len(members[i]), percent)]
 
 
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` that may link by their bitmaps: an exact filter, a thirtieth of the hashes' size."""
+    @F.pandas_udf("boolean")
+    def may_link(an: pd.Series, a: pd.Series, bn: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([linked(min(most_common(n, x, y), most_common(m, y, x)), n, m, percent) for n, x, m, y in zip(an, a, bn, b)], dtype=bool)
+
+    side = lambda c: sets.select(F.col("x").alias(c), F.col("n").alias(f"{c}_n"), F.col("bits").alias(f"{c}_bits"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.filter(may_link("a_n", "a_bits", "b_n", "b_bits")).select("a", "b")
+
+
 def _probe(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of the candidate ``pairs`` (a, b) that link. ``sets``: (x, hashes).
+    """(a, b) of the candidate ``pairs`` (a, b) that link. ``sets``: (x, n, bits, hashes).
 
     A query's candidates are cut into blocks of about BLOCK, so a query set with many candidates is
     spread; its hashes go to each of its blocks, those of a candidate to each block that has it."""
+    pairs = materialize(_possible(pairs, sets, percent), "pairs")
     spread = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "a")
     spread = spread.withColumn("block", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("b"), F.col("blocks"))).otherwise(0).cast("int"))
     wanted = (spread.select(F.col("b").alias("x"), "a", "block", F.lit(1).alias("member"))
               .unionByName(spread.select(F.col("a").alias("x"), "a", "block", F.lit(0).alias("member")).distinct()))
-    rows = wanted.join(sets, "x")
+    rows = wanted.join(sets.select("x", "hashes"), "x")
 
     def run(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
         queries = block[block["member"] == 0]
@@ -329,8 +358,10 @@ def jaccard_components(docs: DataFrame, percent: int = 75, words: int = 5, doc_i
     for turn in range(2):
         at = _with_components(postings, comps)
         leader = at.groupBy("h").agg(F.min_by(F.struct("x", "n", "comp"), F.xxhash64("x", F.lit(turn))).alias("lead"))
+        # Of the least sets of its lists, a set is proposed to the one that it shares most lists with.
         pairs = (at.join(leader, "h").filter((F.col("comp") != F.col("lead.comp")) & _fits(F.col("n"), F.col("lead.n"), percent))
-                 .select(F.col("lead.x").alias("a"), F.col("x").alias("b")).distinct())
+                 .groupBy(F.col("x").alias("b"), F.col("lead.x").alias("a")).count()
+                 .groupBy("b").agg(F.max(F.struct("count", "a"))["a"].alias("a")).select("a", "b"))
         comps, links = _grow(links, _probe(pairs, members, percent))
     at = materialize(_with_components(postings, comps), "list-components")
     # The rest, exactly: in each list every set outside the list's largest component, against all sets outside its own.
