@@ -37,7 +37,6 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +46,7 @@ from .common import materialize, parallelism
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: A shingle in this many sampled sets counts as long; the sample is one set in SAMPLE.
-SAMPLE, LONG_IN_SAMPLE, MAX_LONG = 16, 3, 1 << 20
+SAMPLE, LONG_IN_SAMPLE, MAX_LONG = 16, 2, 1 << 20
 BLOCK = 256
 
 
@@ -137,10 +136,12 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
         for batch in batches:
-            sets = [shingle(value.as_py()) for value in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(h) for h in sets], pa.int64()),
-                pa.array([set_key(h) if len(h) else None for h in sets], pa.int64())], names=["doc_id", "n", "x"])
+            n, x = [], []
+            for value in batch.column(1):
+                h = shingle(value.as_py())
+                n.append(len(h))
+                x.append(set_key(h) if len(h) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(x, pa.int64())], names=["doc_id", "n", "x"])
 
     return docs.mapInArrow(run, "doc_id long, n long, x long")
 
@@ -158,8 +159,8 @@ def _long_shingles(docs: DataFrame, words: int) -> np.ndarray:
 
     sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SAMPLE)) == 0).select("text")
     rows = (sample.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= LONG_IN_SAMPLE)
-            .orderBy(F.desc("c"), "h").limit(MAX_LONG).select("h").toPandas())
-    return np.sort(rows["h"].to_numpy(dtype=np.int64).view(np.uint64))
+            .orderBy(F.desc("c"), "h").limit(MAX_LONG).select("h").toArrow())
+    return np.sort(rows["h"].to_numpy().astype(np.int64).view(np.uint64))
 
 
 def short_lists(h: np.ndarray, long: np.ndarray, percent: int) -> np.ndarray:
@@ -197,14 +198,32 @@ def _postings(docs: DataFrame, words: int, percent: int, long: np.ndarray) -> Da
 
 
 def _shared(postings: DataFrame) -> DataFrame:
-    """Postings of lists that hold two sets or more, each once. One shuffle, on h."""
+    """(list, x, lists): the lists that hold two sets or more, equal lists as one with their number.
+
+    The texts' postings are shuffled once, on h; lists are equal when their sets' hashes add up to
+    the same two sums. Shingles of one passage or of one group of near copies mostly share a list."""
     one = postings.repartition(parallelism(postings.sparkSession), "h").groupBy("h", "x").agg(F.lit(1).alias("one"))
-    return one.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("size > 1").select("h", "x")
+    own = Window.partitionBy("h")
+    named = (one.withColumns({"size": F.count(F.lit(1)).over(own),
+                              "one": F.sum(F.shiftright(F.xxhash64("x"), 20)).over(own), "two": F.sum(F.shiftright(F.xxhash64("x", F.lit(1)), 20)).over(own)})
+             .filter("size > 1"))
+    return named.groupBy(F.xxhash64("one", "two", "size").alias("h"), "x").agg(F.count(F.lit(1)).alias("lists"))
+
+
+#: Rows of two narrow columns (some 32 MB in memory) up to which a list of ids is broadcast.
+BROADCAST_IDS = 1 << 20
+
+
+def _checked(ids: DataFrame, name: str) -> DataFrame:
+    """Distinct ids, written and counted: broadcast up to BROADCAST_IDS, beyond that joined by shuffle."""
+    ids = materialize(ids, name)
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def _hashes_of(docs: DataFrame, sets: DataFrame, near: DataFrame, words: int) -> DataFrame:
     """(x, n, bits, hashes) of the sets in ``near``, made again from one document of each."""
     chosen = sets.join(near, "x", "left_semi").groupBy("x").agg(F.min("doc_id").alias("doc_id"))
+    chosen = _checked(chosen, "chosen")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
@@ -272,13 +291,16 @@ def block_links(query: np.ndarray, members: list[np.ndarray], percent: int) -> l
 
 def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` that may link by their bitmaps: an exact filter, a thirtieth of the hashes' size."""
-    @F.pandas_udf("boolean")
-    def may_link(an: pd.Series, a: pd.Series, bn: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([linked(min(most_common(n, x, y), most_common(m, y, x)), n, m, percent) for n, x, m, y in zip(an, a, bn, b)], dtype=bool)
+    def may_link(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [linked(min(most_common(n, x, y), most_common(m, y, x)), n, m, percent)
+                    for n, x, m, y in zip(*[batch.column(c).to_pylist() for c in ("a_n", "a_bits", "b_n", "b_bits")], strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    ids = _checked(pairs.select(F.col("a").alias("x")).unionByName(pairs.select(F.col("b").alias("x"))).distinct(), "asked")
+    sets = sets.select("x", "n", "bits").join(ids, "x", "left_semi")
     side = lambda c: sets.select(F.col("x").alias(c), F.col("n").alias(f"{c}_n"), F.col("bits").alias(f"{c}_bits"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.filter(may_link("a_n", "a_bits", "b_n", "b_bits")).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(may_link, "a long, b long")
 
 
 def _probe(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -286,23 +308,26 @@ def _probe(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     A query's candidates are cut into blocks of about BLOCK, so a query set with many candidates is
     spread; its hashes go to each of its blocks, those of a candidate to each block that has it."""
-    pairs = materialize(_possible(pairs, sets, percent), "pairs")
+    pairs = materialize(_possible(materialize(pairs, "candidates"), sets, percent), "pairs")
     spread = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "a")
     spread = spread.withColumn("block", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("b"), F.col("blocks"))).otherwise(0).cast("int"))
     wanted = (spread.select(F.col("b").alias("x"), "a", "block", F.lit(1).alias("member"))
               .unionByName(spread.select(F.col("a").alias("x"), "a", "block", F.lit(0).alias("member")).distinct()))
-    rows = wanted.join(sets.select("x", "hashes"), "x")
-
-    def run(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-        queries = block[block["member"] == 0]
-        members = block[block["member"] == 1]
-        if not len(queries):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        hashes = [np.frombuffer(b, np.uint64) for b in members["hashes"]]
-        found = block_links(np.frombuffer(queries["hashes"].iloc[0], np.uint64), hashes, percent)
-        return pd.DataFrame({"a": [key[0]] * len(found), "b": members["x"].iloc[found].to_numpy()}, columns=["a", "b"]).astype("int64")
+    ids = _checked(wanted.select("x").distinct(), "wanted")
+    rows = wanted.join(sets.select("x", "hashes").join(ids, "x", "left_semi"), "x")
+
+    def run(key: tuple, block: pa.Table) -> pa.Table:
+        query, members, names = None, [], []
+        for member, x, hashes in zip(*[block[c].to_pylist() for c in ("member", "x", "hashes")], strict=True):
+            if member:
+                members.append(np.frombuffer(hashes, np.uint64))
+                names.append(x)
+            else:
+                query = np.frombuffer(hashes, np.uint64)
+        found = [names[i] for i in block_links(query, members, percent)] if query is not None else []
+        return pa.table({"a": pa.array([key[0].as_py()] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
 
-    return rows.groupBy("a", "block").applyInPandas(run, "a long, b long")
+    return rows.groupBy("a", "block").applyInArrow(run, "a long, b long")
 
 
 # ---- components -----------------------------------------------------------------
@@ -360,8 +385,8 @@ def jaccard_components(docs: DataFrame, percent: int = 75, words: int = 5, doc_i
         leader = at.groupBy("h").agg(F.min_by(F.struct("x", "n", "comp"), F.xxhash64("x", F.lit(turn))).alias("lead"))
         # Of the least sets of its lists, a set is proposed to the one that it shares most lists with.
         pairs = (at.join(leader, "h").filter((F.col("comp") != F.col("lead.comp")) & _fits(F.col("n"), F.col("lead.n"), percent))
-                 .groupBy(F.col("x").alias("b"), F.col("lead.x").alias("a")).count()
-                 .groupBy("b").agg(F.max(F.struct("count", "a"))["a"].alias("a")).select("a", "b"))
+                 .groupBy(F.col("x").alias("b"), F.col("lead.x").alias("a")).agg(F.sum("lists").alias("lists"))
+                 .groupBy("b").agg(F.max(F.struct("lists", "a"))["a"].alias("a")).select("a", "b"))
         comps, links = _grow(links, _probe(pairs, members, percent))
     at = materialize(_with_components(postings, comps), "list-components")
     # The rest, exactly: in each list every set outside the list's largest component, against all sets outside its own.
