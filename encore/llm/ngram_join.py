@@ -227,13 +227,18 @@ def _hashes_of(docs: DataFrame, sets: DataFrame, near: DataFrame, words: int) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
+        schema = pa.schema([("x", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("hashes", pa.binary())])
         for batch in batches:
-            found = []
+            found, size = [], 0
             for x, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 h = shingle(value.as_py())
                 if len(h) and set_key(h) == x:  # an id may have several texts
                     found.append({"x": x, "n": len(h), "bits": set_bits(h), "hashes": h.tobytes()})
-            yield pa.RecordBatch.from_pylist(found, schema=pa.schema([("x", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("hashes", pa.binary())]))
+                    size += h.nbytes
+                if size > 4 << 20:  # small batches: the hashes are larger than the texts they come from
+                    yield pa.RecordBatch.from_pylist(found, schema=schema)
+                    found, size = [], 0
+            yield pa.RecordBatch.from_pylist(found, schema=schema)
 
     return docs.join(chosen, "doc_id").select("x", "text").mapInArrow(run, "x long, n long, bits binary, hashes binary")
 
