@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 15
 ORDERS = 3
 BATCH = 128
+#: Languages that can be learned, the commonest first.
+MAX_LANGUAGES = 1000
 UNDETERMINED = "und"
 
 
@@ -144,8 +146,9 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", doc_id: str =
     (4 kB a row)."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"),
                        F.col(text).cast("string").alias("text")).filter("lang is not null")
-    counts = rows.groupBy("lang").count()
-    rates = counts.select("lang", (F.lit(1.5 * per_language) / F.col("count")).alias("rate"))
+    # The MAX_LANGUAGES commonest values: a bounded table, so texts are not shuffled for it.
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    rates = F.broadcast(counts.select("lang", (F.lit(1.5 * per_language) / F.col("count")).alias("rate")))
     draw = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.join(rates, "lang").filter(draw < F.col("rate")).select("lang", "text", draw.alias("draw"))
 
