@@ -3,10 +3,10 @@
 Plan shape: the quality filter runs on the staging scan (below the joins);
 the user and song lookups are size-checked broadcast joins, or shuffle joins
 with hot keys split off; the date lookup is a broadcast of a bounded
-(one row per day) dimension. Duplicate event ids are found by a narrow count
-per id; only the rows of repeated ids go through the first-row-wins aggregate
-(partial aggregation collapses copies map-side), and stream keys come from the
-dense-key operator ordered by (date_key, event_id), so the keyed frame is
+(one row per day) dimension. In large inputs duplicate event ids are found by a
+narrow count per id over the resolved rows, written once; only the rows of
+repeated ids go through the first-row-wins aggregate (partial aggregation
+collapses copies map-side). Stream keys come from the dense-key operator ordered by (date_key, event_id), so the keyed frame is
 already clustered by day for a ``date_key``-partitioned write.
 """
 
@@ -19,7 +19,7 @@ from ..functions import cleaning as C
 from ..functions.exact import bp_to_decimal, completion_bp
 from ..rules import PLAY_OVERRUN_MS
 from .joins import estimated_bytes, lookup_join
-from .keys import insert_if_absent, max_key, partitions_for
+from .keys import insert_if_absent, max_key, partitions_for, written_once
 
 
 RARE_DEDUP_MIN_BYTES = 256 * 1024 * 1024
@@ -60,16 +60,11 @@ def resolve_events(stg_events: DataFrame, dim_users: DataFrame, dim_songs: DataF
 
 def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: DataFrame,
                        dim_date: DataFrame, existing: DataFrame | None = None,
-                       num_partitions: int | None = None, same_day_dedup: bool = False,
-                       start: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None, start: int | None = None) -> DataFrame:
     """New fact rows (keyed), skipping event ids already in ``existing``.
 
-    With ``same_day_dedup`` a re-sent event is assumed to keep its timestamp, so
-    the event-id check reads only the existing fact partitions of the days in
-    this batch (a static filter on the partition column with the batch's days,
-    at most one per calendar day). ``start`` is
-    the largest key already used, when the caller tracks it (else it is read
-    from ``existing``).
+    ``start`` is the largest key already used, when the caller tracks it (else
+    it is read from ``existing``).
     """
     resolved = resolve_events(stg_events, dim_users, dim_songs, dim_date)
     staged_bytes = estimated_bytes(stg_events)
@@ -77,20 +72,47 @@ def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: D
         # Sized from the staging scan: Catalyst's estimate of the joined frame
         # is a product of its inputs without cost-based statistics.
         num_partitions = partitions_for(staged_bytes, stg_events.sparkSession)
-    # Large inputs: find repeated event ids with a narrow count first, so full
-    # rows are shuffled once (for the keys). Small inputs: one dedup shuffle
-    # costs less than the extra counting job.
+    # Large inputs: the resolved rows are written once to shared scratch; repeated
+    # event ids are found by a narrow count there, so full rows are shuffled
+    # once (for the keys). Small inputs: one dedup shuffle costs less.
     spark = stg_events.sparkSession
     rare_min = int(spark.conf.get("encore.dedup.rareMinBytes", str(RARE_DEDUP_MIN_BYTES)))
     rare = staged_bytes is None or staged_bytes >= rare_min
-    scope = existing
-    if existing is not None and same_day_dedup:
+    if rare:
+        resolved = written_once(resolved, "resolved-events")
+    known = None
+    if existing is not None:
         if start is None:
             start = max_key(existing, "stream_key")
-        # The batch's days (at most one per calendar day, a bounded list) as a
-        # static filter on the partition column: the fact scan is pruned to them.
-        days = [r[0] for r in resolved.select("date_key").distinct().collect()]
-        scope = existing.where(F.col("date_key").isin(days) if days else F.lit(False))
-    return insert_if_absent(resolved, scope, "event_id", "stream_key",
+        known = known_ids(existing, resolved, "event_id")
+    return insert_if_absent(resolved, known, "event_id", "stream_key",
                             order_cols=["date_key", "event_id"], num_partitions=num_partitions,
-                            start=start, rare_duplicates=rare, size_hint=staged_bytes)
+                            start=start or 0, rare_duplicates=rare, size_hint=staged_bytes)
+
+
+def known_ids(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """Keys of ``existing`` that ``incoming`` holds too: a scan of the key column only, map-side
+    when the incoming keys pass the broadcast check, so a small batch never shuffles the whole table."""
+    return lookup_join(existing.select(key), incoming.select(key).distinct(), key, "left_semi", split_hot=False)
+
+
+def append_events(events: DataFrame, users: DataFrame, songs: DataFrame, dates: DataFrame,
+                  existing: DataFrame | None, start: int, append) -> DataFrame:
+    """Resolve ``events``, hand the keyed new rows to ``append(rows, top_key)``; returns the valid
+    events (staging shape) whose user or song is not known, each distinct row once.
+
+    The new rows are written once to shared scratch before their largest key is read. Events whose
+    id is loaded, now or before, are not returned.
+    """
+    new = written_once(build_fact_streams(events, users, songs, dates, existing, start=start), "new-events")
+    top = max_key(new, "stream_key")
+    if top:
+        append(new, top)
+    valid = quality_filter(events.where(F.col("event_id").isNotNull()))
+    unknown = (lookup_join(valid, users.select("user_id"), "user_id", "left_anti")
+               .unionByName(lookup_join(valid, songs.select("song_id"), "song_id", "left_anti")))
+    # Another copy of the same id may have been loaded with a known user and song.
+    unknown = lookup_join(unknown, new.select("event_id"), "event_id", "left_anti", split_hot=False)
+    if existing is not None:
+        unknown = lookup_join(unknown, known_ids(existing, unknown, "event_id"), "event_id", "left_anti", split_hot=False)
+    return unknown.distinct()

@@ -31,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, scratch_path
 from .joins import fits_broadcast, lookup_join
 
 _PID = "_k_pid"
@@ -85,32 +85,27 @@ def partitions_for(size_bytes: int | None, spark) -> int:
     return min(MAX_PARTITIONS, max(base, -(-int(size_bytes) // per)))
 
 
-MAX_DUPLICATE_KEYS = 100_000
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to shared scratch and read back: evaluated once, safe against lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dedup_first_rare(df: DataFrame, key: str, order: Sequence[str] | None = None,
-                     max_duplicate_keys: int = MAX_DUPLICATE_KEYS) -> DataFrame:
+def dedup_first_rare(df: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
     """``dedup_first`` for inputs where duplicated keys are rare.
 
     A narrow pass counts rows per key (partial aggregation, only the key is
-    shuffled). When at most ``max_duplicate_keys`` keys repeat, their ids (a
-    bounded list) select the rows that need the first-row-wins aggregate; all
-    other rows pass through without a shuffle. Otherwise the whole frame is
-    deduplicated. The result is the same either way.
+    shuffled) and writes the repeated keys. Their rows are picked by a size-checked
+    semi-join and go through the first-row-wins aggregate; all other rows pass
+    through an anti-join with the same keys. NULL keys form one group, as in
+    ``dedup_first``. The result is the same as that of ``dedup_first``.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = counts.where(F.col("_n") > 1).select(key).limit(max_duplicate_keys + 1).collect()
-    if not repeated:
-        return df
-    if len(repeated) > max_duplicate_keys:
-        return dedup_first(df, key, order)
-    ids = [r[0] for r in repeated if r[0] is not None]
-    # NULL keys form one group, as in ``dedup_first``; keep NULL out of the IN
-    # list (``k IN (..., NULL)`` is NULL, not false, for every other key).
-    hot = F.coalesce(F.col(key).isin(ids), F.lit(False)) if ids else F.lit(False)
-    if len(ids) < len(repeated):
-        hot = hot | F.col(key).isNull()
-    return df.where(~hot).unionByName(dedup_first(df.where(hot), key, order))
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = written_once(counts.where(F.col("_n") > 1).select(key), "repeated-keys")
+    twice = lookup_join(df, repeated, key, "left_semi").unionByName(df.where(F.col(key).isNull()))
+    once = lookup_join(df.where(F.col(key).isNotNull()), repeated, key, "left_anti")
+    return once.unionByName(dedup_first(twice, key, order))
 
 
 def max_key(existing: DataFrame | None, key: str) -> int:

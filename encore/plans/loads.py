@@ -7,16 +7,15 @@ Full refresh
     truncate + insert in one transaction, without deleting before writing.
 
 Incremental load
-    Staging rows carry ``loaded_at``. A run processes only rows loaded after
-    the previous run's watermark, appends new dimension rows and new fact rows
-    (insert-if-absent on the natural keys), then records its watermark in an
-    append-only ``_watermarks`` table. Stream keys continue from the
-    ``_key_high_water`` reservations (no scan of the fact). Re-sent events are
-    skipped. With
-    ``retry_orphans`` the run also re-reads earlier staged events that still
-    have no fact row (an anti-join on ``event_id``), so an event whose
-    dimension row arrived late is picked up, as a re-run of the reference's
-    transform would.
+    Each landed batch is a folder ``load=<id>`` per staging table, complete once
+    its marker under ``_loads`` exists. A run takes the *set* of complete loads
+    it has not processed (no timestamps, so arrival order is free), appends new
+    dimension rows, resolves the loads' events together with those still
+    pending, and appends the ones whose event id was never loaded. Valid events
+    without a user or song stay pending until the dimension row arrives; only
+    those that both are known for are resolved again. A run that failed is
+    simply run again: dimensions and events already appended are absent from
+    its delta, and it reads the pending version of the run before it.
 
 Month partitions
     The fact written partitioned by ``year_month`` with dynamic partition
@@ -31,8 +30,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.fact import append_events, build_fact_streams
+from ..operators.joins import lookup_join
+from ..operators.keys import written_once
 from ..sources.staging import Staging
-from .warehouse import FACT, Star, build_star_delta, read_star
+from .warehouse import DIMENSIONS, FACT, Star, build_dims_delta, read_star
 
 
 # ---- file-system helpers (Hadoop FileSystem through the session) -----------------
@@ -114,77 +116,91 @@ def reserve_keys(spark: SparkSession, root: str, load_id: int, top: int) -> None
 STAGING_TABLES = ("stg_artists", "stg_songs", "stg_users", "stg_stream_events")
 
 
-def land(staging: Staging, staging_root: str, loaded_at: dt.datetime | None = None) -> dt.datetime:
-    """Append one batch of staging rows, stamped with ``loaded_at``."""
-    loaded_at = loaded_at or dt.datetime.now(dt.timezone.utc)
-    stamp = F.lit(loaded_at).cast("timestamp")
+def land(staging: Staging, staging_root: str, loaded_at: dt.datetime | None = None,
+         load_id: str | None = None) -> str:
+    """Write one batch of staging rows, stamped with ``loaded_at``, as a load of its own; its id.
+
+    The load counts from the moment its marker is written, after all tables."""
+    spark = staging.events.sparkSession
+    root = staging_root.rstrip("/")
+    load_id = load_id or uuid.uuid4().hex
+    stamp = F.lit(loaded_at or dt.datetime.now(dt.timezone.utc)).cast("timestamp")
     for name in STAGING_TABLES:
         (staging.table(name).withColumn("loaded_at", stamp)
-         .write.mode("append").parquet(f"{staging_root.rstrip('/')}/{name}"))
-    return loaded_at
-
-
-def watermark(spark: SparkSession, warehouse_root: str):
-    path = f"{warehouse_root.rstrip('/')}/_watermarks"
-    if not path_exists(spark, path):
-        return None
-    return spark.read.parquet(path).agg(F.max("loaded_at")).collect()[0][0]
+         .write.mode("overwrite").parquet(f"{root}/{name}/load={load_id}"))
+    spark.createDataFrame([(load_id,)], "load_id string").write.mode("overwrite").parquet(f"{root}/_loads/{load_id}")
+    return load_id
 
 
-def _since(spark: SparkSession, staging_root: str, name: str, mark) -> DataFrame:
-    df = spark.read.parquet(f"{staging_root.rstrip('/')}/{name}")
-    if mark is not None:
-        df = df.where(F.col("loaded_at") > F.lit(mark).cast("timestamp"))
-    return df
+def complete_loads(spark: SparkSession, staging_root: str) -> set[str]:
+    root = f"{staging_root.rstrip('/')}/_loads"
+    return {d for d in list_dirs(spark, root) if path_exists(spark, f"{root}/{d}/_SUCCESS")}
 
 
-def incremental_load(spark: SparkSession, staging_root: str, warehouse_root: str,
-                     retry_orphans: bool = False, same_day_dedup: bool = False) -> Star:
-    """Process staging rows loaded after the last watermark; append to the warehouse.
-
-    ``same_day_dedup`` assumes a re-sent event keeps its timestamp and checks
-    event ids only against the fact partitions of the days in the batch
-    (instead of every event id ever loaded).
-    """
-    root = warehouse_root.rstrip("/")
-    mark = watermark(spark, root)
-    batch = {n: _since(spark, staging_root, n, mark) for n in STAGING_TABLES}
-    if retry_orphans and mark is not None and path_exists(spark, f"{root}/{FACT}"):
-        from ..operators.joins import lookup_join
-        earlier = spark.read.parquet(f"{staging_root.rstrip('/')}/stg_stream_events").where(
-            F.col("loaded_at") <= F.lit(mark).cast("timestamp"))
-        loaded_ids = spark.read.parquet(f"{root}/{FACT}").select("event_id")
-        unresolved = lookup_join(earlier, loaded_ids, "event_id", "left_anti")
-        batch["stg_stream_events"] = batch["stg_stream_events"].unionByName(unresolved)
-    new_mark = batch["stg_stream_events"].agg(F.max("loaded_at")).collect()[0][0]
-    for n in ("stg_artists", "stg_songs", "stg_users"):
-        m = batch[n].agg(F.max("loaded_at")).collect()[0][0]
-        if m is not None and (new_mark is None or m > new_mark):
-            new_mark = m
-    if new_mark is None:
+def processed_runs(spark: SparkSession, warehouse_root: str) -> tuple[int, set[str]]:
+    """Number of finished runs, and the loads they took."""
+    path = f"{warehouse_root.rstrip('/')}/_processed"
+    if not path_exists(spark, path):
+        return 0, set()
+    rows = spark.read.parquet(path).collect()   # one row per load
+    return len({r["run"] for r in rows}), {r["load_id"] for r in rows}
+
+
+def _existing_star(spark: SparkSession, root: str) -> Star:
+    """Tables written so far, each on its own; None for the others."""
+    def table(name: str):
+        path = f"{root}/{name}"
+        if not path_exists(spark, path):
+            return None
+        complete = name == FACT or path_exists(spark, f"{path}/_SUCCESS")
+        return spark.read.parquet(path) if complete else None
+    return Star(*[table(n) for n in (*DIMENSIONS, FACT)])
+
+
+def incremental_load(spark: SparkSession, staging_root: str, warehouse_root: str) -> Star:
+    """Process the landed loads that no run has taken yet; append to the warehouse."""
+    root, stage = warehouse_root.rstrip("/"), staging_root.rstrip("/")
+    run, taken = processed_runs(spark, root)
+    loads = sorted(complete_loads(spark, stage) - taken)
+    if not loads:
         return read_star(spark, root)
-    staging = Staging(*[batch[n].drop("loaded_at") for n in STAGING_TABLES])
-    from ..operators.dates import populate_once
-
-    # Populate-once guard: the calendar is written only if it is not there yet.
-    dates_path = f"{root}/dim_date"
-    current = spark.read.parquet(dates_path) if path_exists(spark, f"{dates_path}/_SUCCESS") else None
-    dates = populate_once(current, spark)
-    if current is None:
-        dates.write.mode("overwrite").parquet(dates_path)
-    existing = read_star(spark, root) if path_exists(spark, f"{root}/{FACT}") else None
-    start = key_high_water(spark, root, existing.fact_streams if existing else None)
-    delta = build_star_delta(spark, staging, existing, fact_start=start,
-                             same_day_dedup=same_day_dedup)
-    for name in ("dim_artists", "dim_users", "dim_songs"):
-        delta.table(name).write.mode("append").parquet(f"{root}/{name}")
-    top = delta.fact_streams.agg(F.max("stream_key")).collect()[0][0]
-    if top is not None:
-        load_id = int(new_mark.timestamp() * 1_000_000)
-        reserve_keys(spark, root, load_id, top)
-        delta.fact_streams.write.mode("append").partitionBy("date_key").parquet(f"{root}/{FACT}")
-    (spark.createDataFrame([(new_mark,)], "loaded_at timestamp")
-     .write.mode("append").parquet(f"{root}/_watermarks"))
+    batch = Staging(*[spark.read.parquet(*[f"{stage}/{n}/load={i}" for i in loads]).drop("loaded_at")
+                      for n in STAGING_TABLES])
+    delta = build_dims_delta(spark, batch, _existing_star(spark, root))
+    # New dimension rows: written once, so the same rows are appended and used below.
+    new = {n: written_once(delta.table(n), f"new-{n}") for n in ("dim_artists", "dim_users", "dim_songs")}
+    if not path_exists(spark, f"{root}/dim_date/_SUCCESS"):
+        delta.dim_date.write.mode("overwrite").parquet(f"{root}/dim_date")
+    for name, rows in new.items():
+        rows.write.mode("append").parquet(f"{root}/{name}")
+    now = _existing_star(spark, root)
+
+    events = batch.events
+    waiting = None
+    pending = f"{root}/_pending/run={run - 1}"
+    if path_exists(spark, f"{pending}/_SUCCESS"):
+        waiting = spark.read.parquet(pending).select(*events.columns)
+        # Looked up among all users and songs: a failed run may already have appended the row waited for.
+        known = lookup_join(waiting, now.dim_users.select("user_id"), "user_id", "left_semi")
+        retry = lookup_join(known, now.dim_songs.select("song_id"), "song_id", "left_semi")
+        still = (lookup_join(waiting, now.dim_users.select("user_id"), "user_id", "left_anti")
+                 .unionByName(lookup_join(known, now.dim_songs.select("song_id"), "song_id", "left_anti")))
+        events = events.unionByName(retry)
+
+    def append(rows: DataFrame, top: int) -> None:
+        reserve_keys(spark, root, run, top)
+        rows.write.mode("append").partitionBy("date_key").parquet(f"{root}/{FACT}")
+
+    unresolved = append_events(events, now.dim_users, now.dim_songs, now.dim_date, now.fact_streams,
+                               start=key_high_water(spark, root, now.fact_streams), append=append)
+    if waiting is not None:
+        unresolved = unresolved.unionByName(still).distinct()
+    unresolved.write.mode("overwrite").parquet(f"{root}/_pending/run={run}")
+    if not path_exists(spark, f"{root}/{FACT}"):
+        # Dimensions came first: an empty fact, so that the star can be read.
+        empty = build_fact_streams(events.limit(0), now.dim_users, now.dim_songs, now.dim_date)
+        empty.write.mode("append").parquet(f"{root}/{FACT}")
+    spark.createDataFrame([(run, i) for i in loads], "run int, load_id string").write.mode("append").parquet(f"{root}/_processed")
     return read_star(spark, root)
 
 

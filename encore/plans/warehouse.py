@@ -40,26 +40,28 @@ class Star(NamedTuple):
         return getattr(self, name)
 
 
-def build_star_delta(spark: SparkSession, staging: Staging, existing: Star | None = None,
-                     fact_partitions: int | None = None, fact_start: int | None = None,
-                     same_day_dedup: bool = False) -> Star:
-    """Only the rows to add: new natural keys of each dimension, new event ids.
+def build_dims_delta(spark: SparkSession, staging: Staging, existing: Star) -> Star:
+    """New rows of each dimension (natural keys that ``existing`` lacks); no fact.
 
-    Dimensions are built in dependency order; the song build resolves artists
-    against existing and new artists, the fact against existing and new users
-    and songs.
+    A table that ``existing`` does not have yet is None there: each is decided
+    on its own. Songs resolve artists against existing and new ones.
     """
-    dates = existing.dim_date if existing is not None else make_dim_date(spark)
+    dates = existing.dim_date if existing.dim_date is not None else make_dim_date(spark)
+    artists = build_dim_artists(staging.artists, existing.dim_artists)
+    users = build_dim_users(staging.users, existing.dim_users)
+    songs = build_dim_songs(staging.songs, _union(existing.dim_artists, artists), existing.dim_songs)
+    return Star(dates, artists, users, songs, None)
+
+
+def build_star_delta(spark: SparkSession, staging: Staging, existing: Star | None = None,
+                     fact_partitions: int | None = None) -> Star:
+    """Only the rows to add: new natural keys of each dimension, new event ids."""
     old = existing or Star(None, None, None, None, None)
-    new_artists = build_dim_artists(staging.artists, old.dim_artists)
-    all_artists = _union(old.dim_artists, new_artists)
-    new_users = build_dim_users(staging.users, old.dim_users)
-    new_songs = build_dim_songs(staging.songs, all_artists, old.dim_songs)
-    new_fact = build_fact_streams(staging.events, _union(old.dim_users, new_users),
-                                  _union(old.dim_songs, new_songs), dates, old.fact_streams,
-                                  num_partitions=fact_partitions, start=fact_start,
-                                  same_day_dedup=same_day_dedup)
-    return Star(dates, new_artists, new_users, new_songs, new_fact)
+    dims = build_dims_delta(spark, staging, old)
+    new_fact = build_fact_streams(staging.events, _union(old.dim_users, dims.dim_users),
+                                  _union(old.dim_songs, dims.dim_songs), dims.dim_date, old.fact_streams,
+                                  num_partitions=fact_partitions)
+    return dims._replace(fact_streams=new_fact)
 
 
 def _union(existing: DataFrame | None, new: DataFrame) -> DataFrame:

@@ -255,16 +255,74 @@ def q_surrogate_keys(spark, sf_dir):
 INCREMENTAL_CUT = _dt.datetime(2024, 1, 16)
 
 
+def _stamp(day: int) -> _dt.datetime:
+    return _dt.datetime(2024, 2, day, 1, 0, tzinfo=_dt.timezone.utc)
+
+
+def _only(stg: Staging, *tables: str) -> Staging:
+    """``stg`` with the rows of ``tables`` only; the others empty."""
+    return Staging(*[stg.table(n) if n in tables else stg.table(n).where(F.lit(False)) for n in loads.STAGING_TABLES])
+
+
+def _events_before(stg: Staging) -> DataFrame:
+    return stg.events.where(F.col("listened_at") < F.lit(INCREMENTAL_CUT).cast("timestamp"))
+
+
 @register("incremental_load", O.incremental_load_sql)
 def q_incremental_load(spark, sf_dir):
     stg = driver_staging_tables(spark, sf_dir)
     root = scratch_path(spark, "incremental")
-    first = Staging(stg.artists, stg.songs, stg.users,
-                    stg.events.where(F.col("listened_at") < F.lit(INCREMENTAL_CUT).cast("timestamp")))
-    loads.land(first, f"{root}/staging", _dt.datetime(2024, 1, 16, 1, 0, tzinfo=_dt.timezone.utc))
+    loads.land(stg._replace(events=_events_before(stg)), f"{root}/staging", _stamp(1))
     loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse")
-    # The next batch re-sends everything: only the unseen events are added.
-    loads.land(stg, f"{root}/staging", _dt.datetime(2024, 1, 31, 1, 0, tzinfo=_dt.timezone.utc))
+    # The next batch re-sends everything, stamped earlier: only the unseen events are added.
+    loads.land(stg, f"{root}/staging", _dt.datetime(2024, 1, 2, tzinfo=_dt.timezone.utc))
+    return loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse").fact_streams
+
+
+_FACT_WITHOUT_KEYS = ["event_id", "date_key", "listened_at", "duration_ms", "song_duration_ms", "was_skipped",
+                      "completion_pct", "platform", "country_code"]
+
+
+def _by_natural_key(star) -> DataFrame:
+    """The fact with natural keys: surrogate keys follow the order of arrival."""
+    return (star.fact_streams.join(star.dim_users.select("user_key", "user_id"), "user_key")
+            .join(star.dim_songs.select("song_key", "song_id"), "song_key").select(*_FACT_WITHOUT_KEYS, "user_id", "song_id"))
+
+
+@register("incremental_late_dims", O.fact_by_natural_key_sql)
+def q_incremental_late_dims(spark, sf_dir):
+    """A third of the users arrive with the sixth load; their events were landed with the first."""
+    stg = driver_staging_tables(spark, sf_dir)
+    root = scratch_path(spark, "late-dims")
+    late = F.pmod(F.col("user_id").cast("long"), F.lit(3)) == 0
+    loads.land(stg._replace(users=stg.users.where(~late)), f"{root}/staging", _stamp(1))
+    loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse")
+    for day in range(2, 6):
+        loads.land(_only(stg, "stg_artists"), f"{root}/staging", _stamp(day))
+        loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse")
+    loads.land(_only(stg._replace(users=stg.users.where(late)), "stg_users"), f"{root}/staging", _stamp(6))
+    return _by_natural_key(loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse"))
+
+
+@register("incremental_dims_first", O.incremental_load_sql)
+def q_incremental_dims_first(spark, sf_dir):
+    stg = driver_staging_tables(spark, sf_dir)
+    root = scratch_path(spark, "dims-first")
+    loads.land(_only(stg, "stg_artists", "stg_songs", "stg_users"), f"{root}/staging", _stamp(1))
+    loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse")
+    loads.land(_only(stg, "stg_stream_events"), f"{root}/staging", _stamp(2))
+    return loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse").fact_streams
+
+
+@register("incremental_after_failure", O.incremental_load_sql)
+def q_incremental_after_failure(spark, sf_dir):
+    """The first run ends after its dimensions are written; the next one takes the same load again."""
+    stg = driver_staging_tables(spark, sf_dir)
+    root = scratch_path(spark, "after-failure")
+    loads.land(stg, f"{root}/staging", _stamp(1))
+    dims = driver_star(spark, sf_dir)
+    for name in ("dim_artists", "dim_users", "dim_songs"):
+        dims.table(name).write.parquet(f"{root}/warehouse/{name}")
     return loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse").fact_streams
 
 
@@ -288,3 +346,46 @@ def q_stream_ingest(spark, sf_dir):
     run_stream_ingest(spark, f"{root}/sources/stream_events.json", out, dims_root=root,
                       max_files_per_trigger=2)
     return spark.read.parquet(f"{out}/fact_streams").select(*FACT_COLUMNS[1:])
+
+
+def _stream_dims(spark, sf_dir, dims: str, late=None) -> None:
+    star = driver_star(spark, sf_dir)
+    for name in ("dim_date", "dim_songs"):
+        star.table(name).write.parquet(f"{dims}/{name}")
+    users = star.dim_users if late is None else star.dim_users.where(~late)
+    users.write.parquet(f"{dims}/dim_users")
+
+
+@register("stream_ingest_late", O.stream_ingest_sql)
+def q_stream_ingest_late(spark, sf_dir):
+    """Events in six batches; a third of the users become known only before the last one."""
+    from .sources.json_source import write_json_lines
+    from .streaming.ingest import run_stream_ingest
+
+    root = scratch_path(spark, "stream-late")
+    late = F.pmod(F.col("user_id").cast("long"), F.lit(3)) == 0
+    _stream_dims(spark, sf_dir, f"{root}/dims", late)
+    events = driver_staging_tables(spark, sf_dir).events
+    part = F.pmod(F.xxhash64("event_id"), F.lit(6))
+    for i in range(6):
+        if i == 5:
+            driver_star(spark, sf_dir).dim_users.where(late).write.mode("append").parquet(f"{root}/dims/dim_users")
+        write_json_lines(events.where(part == i), f"{root}/source/b{i}")
+        run_stream_ingest(spark, f"{root}/source/*", f"{root}/out", dims_root=f"{root}/dims", checkpoint=f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out/fact_streams").select(*FACT_COLUMNS[1:])
+
+
+@register("stream_ingest_resend", O.stream_ingest_sql)
+def q_stream_ingest_resend(spark, sf_dir):
+    """All events are sent again with the next day's time: each id is loaded once, as first sent."""
+    from .sources.json_source import write_json_lines
+    from .streaming.ingest import run_stream_ingest
+
+    root = scratch_path(spark, "stream-resend")
+    _stream_dims(spark, sf_dir, f"{root}/dims")
+    events = driver_staging_tables(spark, sf_dir).events
+    again = events.withColumn("listened_at", F.col("listened_at") + F.expr("INTERVAL 1 DAY"))
+    for i, batch in enumerate((events, again)):
+        write_json_lines(batch, f"{root}/source/b{i}")
+        run_stream_ingest(spark, f"{root}/source/*", f"{root}/out", dims_root=f"{root}/dims", checkpoint=f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out/fact_streams").select(*FACT_COLUMNS[1:])

@@ -4,19 +4,19 @@ Events arrive as JSON Lines files in a folder (the hourly log files of the
 source system). The stream
 
 1. reads new files with a fixed all-string schema and parses each record
-   field by field (``sources.json_source.parse_objects``); rejected records go
-   to a quarantine folder;
-2. in ``foreachBatch``: re-reads the current user, song and date dimensions
-   (so a dimension row that arrived since the last batch is used), resolves the
-   keys of this batch's events plus the still-unresolved events of earlier
-   batches, and appends the new fact rows with insert-if-absent on
-   ``event_id`` (exactly-once across retries of the same batch and across
-   re-sent events);
-3. keeps events whose user or song is not known yet in a ``_pending`` table
-   (one version per batch) and retries them for ``max_retries`` batches, as
-   a re-run of the batch transform would pick them up once the dimension row
-   exists. Events of users that never become known (inactive users) are
-   dropped after that, exactly as the batch transform drops them.
+   field by field (``sources.json_source.parse_objects``);
+2. in ``foreachBatch`` writes the parsed batch once to the warehouse's
+   ``_batches/batch=<id>`` folder and works from there: rejected records go to
+   a quarantine folder of the batch, the others are resolved together with
+   the events still pending from an *earlier* batch, against the dimensions as
+   they are now, and inserted if their event id was never loaded;
+3. keeps events whose user or song is not known yet in ``_pending/batch=<id>``
+   until the dimension row arrives, however many batches that takes.
+
+A batch that is run again (after a failure, or twice) reads the same pending
+version, skips the event ids already loaded and rewrites its own pending
+version, so its result does not change. An event id is loaded once, whatever
+timestamp a re-sent copy carries.
 
 By default no watermark-based late-data drop is used: the result must contain
 every valid event, however late. Dedup state is the fact table itself, so the
@@ -29,16 +29,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas
-from ..operators.fact import build_fact_streams, quality_filter
-from ..operators.joins import lookup_join
+from ..operators.fact import append_events
 from ..plans.loads import key_high_water, list_dirs, path_exists, reserve_keys
 from ..plans.warehouse import FACT
 from ..session import scratch_path
 from ..sources.json_source import DEFAULTS_WHEN_ABSENT, accepted, parse_objects, rejected
 
+
 def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None,
                  dedup_watermark: str | None = None) -> DataFrame:
     """Parsed events from new files in ``source_dir``.
@@ -48,7 +47,7 @@ def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: in
     arriving within the delay are dropped before the sink, with state bounded by
     the delay. Spark drops events that arrive later than the watermark, so
     this trades completeness for state size and is off by default; the sink's
-    insert-if-absent keeps event ids unique for all time either way.
+    insert-if-absent loads an event id once either way.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
@@ -61,19 +60,17 @@ def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: in
     return parsed
 
 
-PENDING_SCHEMA = T.StructType(schemas.STG_EVENTS.fields + [T.StructField("_attempts", T.IntegerType())])
-
-
-def _latest_pending(spark: SparkSession, root: str) -> DataFrame | None:
-    versions = [d for d in list_dirs(spark, f"{root}/_pending") if d.startswith("batch=")]
-    if not versions:
+def pending_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
+    """The pending events that the latest batch before ``batch_id`` left."""
+    ids = [int(d.split("=", 1)[1]) for d in list_dirs(spark, f"{root}/_pending") if d.startswith("batch=")]
+    earlier = [i for i in ids if i < batch_id and path_exists(spark, f"{root}/_pending/batch={i}/_SUCCESS")]
+    if not earlier:
         return None
-    latest = max(versions, key=lambda d: int(d.split("=", 1)[1]))
-    return spark.read.schema(PENDING_SCHEMA).parquet(f"{root}/_pending/{latest}")
+    return spark.read.schema(schemas.STG_EVENTS).parquet(f"{root}/_pending/batch={max(earlier)}")
 
 
-def make_batch_writer(warehouse_root: str, dims_root: str, max_retries: int = 3):
-    """The ``foreachBatch`` function: resolve, insert-if-absent, park orphans.
+def make_batch_writer(warehouse_root: str, dims_root: str):
+    """The ``foreachBatch`` function: resolve, insert if absent, park what is unresolved.
 
     Stream keys: the batch records the key range it is about to use in an
     append-only ``_key_high_water`` table before appending its fact rows. A
@@ -85,33 +82,27 @@ def make_batch_writer(warehouse_root: str, dims_root: str, max_retries: int = 3)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bad = rejected(batch)
-        events = accepted(batch).withColumn("_attempts", F.lit(0))
+        landed = f"{root}/_batches/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(landed)
+        parsed = spark.read.schema(batch.schema).parquet(landed)
+        bad = rejected(parsed)
         if not bad.isEmpty():
-            bad.write.mode("append").json(f"{root}/_quarantine/batch={batch_id}")
-        pending = _latest_pending(spark, root)
+            bad.write.mode("overwrite").json(f"{root}/_quarantine/batch={batch_id}")
+        events = accepted(parsed)
+        pending = pending_before(spark, root, batch_id)
         if pending is not None:
-            events = events.unionByName(pending)
-        users = spark.read.parquet(f"{dims}/dim_users")
-        songs = spark.read.parquet(f"{dims}/dim_songs")
-        dates = spark.read.parquet(f"{dims}/dim_date")
-        existing = (spark.read.parquet(f"{root}/{FACT}") if path_exists(spark, f"{root}/{FACT}")
-                    else None)
-        start = key_high_water(spark, root, existing)
-        new_rows = build_fact_streams(events, users, songs, dates, existing, same_day_dedup=True,
-                                      start=start)
-        top = new_rows.agg(F.max("stream_key")).collect()[0][0]
-        if top is not None:
+            events = events.unionByName(pending.select(*events.columns))
+        users, songs, dates = (spark.read.parquet(f"{dims}/{n}") for n in ("dim_users", "dim_songs", "dim_date"))
+        fact = f"{root}/{FACT}"
+        existing = spark.read.parquet(fact) if path_exists(spark, fact) else None
+
+        def append(rows: DataFrame, top: int) -> None:
             reserve_keys(spark, root, batch_id, top)
-            new_rows.write.mode("append").partitionBy("date_key").parquet(f"{root}/{FACT}")
-        # Valid events whose user or song is not known yet: retried next batch.
-        valid = quality_filter(events.where(F.col("event_id").isNotNull()))
-        unknown_user = lookup_join(valid, users.select("user_id"), "user_id", "left_anti")
-        unknown_song = lookup_join(valid, songs.select("song_id"), "song_id", "left_anti")
-        orphans = (unknown_user.unionByName(unknown_song).dropDuplicates(["event_id"])
-                   .withColumn("_attempts", F.col("_attempts") + 1)
-                   .where(F.col("_attempts") <= max_retries))
-        orphans.write.mode("overwrite").parquet(f"{root}/_pending/batch={batch_id}")
+            rows.write.mode("append").partitionBy("date_key").parquet(fact)
+
+        unresolved = append_events(events, users, songs, dates, existing,
+                                   start=key_high_water(spark, root, existing), append=append)
+        unresolved.write.mode("overwrite").parquet(f"{root}/_pending/batch={batch_id}")
 
     return write_batch
 
@@ -119,11 +110,11 @@ def make_batch_writer(warehouse_root: str, dims_root: str, max_retries: int = 3)
 def run_stream_ingest(spark: SparkSession, source_dir: str, warehouse_root: str, dims_root: str,
                       checkpoint: str | None = None, max_files_per_trigger: int | None = None,
                       available_now: bool = True, processing_time: str | None = None,
-                      max_retries: int = 3, dedup_watermark: str | None = None):
+                      dedup_watermark: str | None = None):
     """Start the ingest; with ``available_now`` it processes what is there and stops."""
     checkpoint = checkpoint or scratch_path(spark, "stream-ingest-checkpoint")
     writer = (event_stream(spark, source_dir, max_files_per_trigger, dedup_watermark).writeStream
-              .foreachBatch(make_batch_writer(warehouse_root, dims_root, max_retries))
+              .foreachBatch(make_batch_writer(warehouse_root, dims_root))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

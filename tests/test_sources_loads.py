@@ -80,21 +80,17 @@ def test_full_refresh_versions(spark):
     assert loads.read_current(spark, table).count() == 3
 
 
-import pytest  # noqa: E402
-
-
-@pytest.mark.parametrize("same_day", [False, True])
-def test_incremental_load_matches_full_build(spark, make_staging, same_day):
+def test_incremental_load_matches_full_build(spark, make_staging):
     events = [event(f"e{i:02d}", at=f"2024-01-{1 + i:02d}T10:00:00+00:00") for i in range(20)]
     full = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")], events=events)
     first = make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")], events=events[:8])
     root = scratch_path(spark, "inc")
     loads.land(first, f"{root}/stg", dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc))
-    loads.incremental_load(spark, f"{root}/stg", f"{root}/wh", same_day_dedup=same_day)
+    loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
     loads.land(full, f"{root}/stg", dt.datetime(2024, 2, 2, tzinfo=dt.timezone.utc))
-    star = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh", same_day_dedup=same_day)
+    star = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
     # nothing new
-    again = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh", same_day_dedup=same_day)
+    again = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
     expected = build_star(spark, full).fact_streams
     cols = ["stream_key", "event_id", "date_key"]
     assert sorted(map(tuple, star.fact_streams.select(*cols).collect())) == \
@@ -110,7 +106,7 @@ def test_late_dimension_row_is_picked_up(spark, make_staging):
     assert loads.incremental_load(spark, f"{root}/stg", f"{root}/wh").fact_streams.count() == 1
     late = make_staging(users=[user("u2")])
     loads.land(late, f"{root}/stg", dt.datetime(2024, 2, 2, tzinfo=dt.timezone.utc))
-    star = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh", retry_orphans=True)
+    star = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
     assert sorted(r.event_id for r in star.fact_streams.collect()) == ["e1", "e2"]
 
 
@@ -185,3 +181,33 @@ def test_landing_report_counts_without_reparsing(spark, make_staging):
     got = sorted(map(tuple, landing_report(spark, f"{root}/staging").collect()))
     assert got == sorted(map(tuple, ingest_report(spark, f"{root}/sources").collect()))
     assert ("stream_events.json", 3, 1) in got
+
+
+def test_loads_are_a_set_not_a_high_mark(spark, make_staging):
+    """A load stamped earlier but landed later is taken; a load without its marker is not yet."""
+    root = scratch_path(spark, "set")
+    dims = dict(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")])
+    loads.land(make_staging(**dims, events=[event("e1")]), f"{root}/stg", dt.datetime(2024, 2, 2, tzinfo=dt.timezone.utc))
+    loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
+    loads.land(make_staging(events=[event("e2")]), f"{root}/stg", dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc))
+    stg = make_staging(events=[event("e3")])
+    stg.events.write.parquet(f"{root}/stg/stg_stream_events/load=unfinished")
+    star = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
+    assert sorted(r.event_id for r in star.fact_streams.collect()) == ["e1", "e2"]
+
+
+def test_dims_first_and_a_failed_first_run(spark, make_staging):
+    root = scratch_path(spark, "dims-first")
+    loads.land(make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1"), user("u2")]), f"{root}/stg")
+    assert loads.incremental_load(spark, f"{root}/stg", f"{root}/wh").fact_streams.count() == 0
+    loads.land(make_staging(songs=[song("s2")], users=[user("u1")], events=[event("e1", song_id="s2"), event("e2", user_id="u2")]),
+               f"{root}/stg")
+    star = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
+    assert sorted(r.event_id for r in star.fact_streams.collect()) == ["e1", "e2"]
+    assert sorted(r.user_key for r in star.dim_users.collect()) == [1, 2]
+    assert sorted(r.song_key for r in star.dim_songs.collect()) == [1, 2]
+    # the record of the last run is lost: the run is made again and changes nothing
+    fs, path = loads._fs(spark, f"{root}/wh/_processed")
+    fs.delete(path, True)
+    again = loads.incremental_load(spark, f"{root}/stg", f"{root}/wh")
+    assert again.fact_streams.count() == 2 and again.dim_users.count() == 2 and again.dim_songs.count() == 2

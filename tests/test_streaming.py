@@ -58,3 +58,37 @@ def test_watermark_dedup_drops_copies_in_stream(spark, make_staging):
     run_stream_ingest(spark, f"{src}/*", out, dims_root=dims, dedup_watermark="1 hour")
     got = sorted(r.event_id for r in spark.read.parquet(f"{out}/fact_streams").collect())
     assert got == ["e1", "e2"]
+
+
+def test_batch_run_again_and_resent_events(spark, make_staging):
+    """The batch writer gives one result however often a batch id is run; pending events have no limit of tries."""
+    from encore.sources.json_source import ingest
+    from encore.streaming.ingest import make_batch_writer
+
+    dims, out = scratch_path(spark, "again-dims"), scratch_path(spark, "again-out")
+    write_star(build_star(spark, make_staging(artists=[artist("a1")], songs=[song("s1")], users=[user("u1")])), dims)
+    write = make_batch_writer(out, dims)
+
+    def batch(*events):
+        src = scratch_path(spark, "again-src")
+        write_json_lines(make_staging(events=list(events)).events, src)
+        return ingest(spark, src, "stg_stream_events")
+
+    def loaded():
+        return sorted((r.event_id, r.date_key) for r in spark.read.parquet(f"{out}/fact_streams").collect())
+
+    first = batch(event("e1"), event("late", user_id="u2"))
+    for _ in range(3):
+        write(first, 0)
+    for i in range(1, 6):
+        write(batch(event(f"n{i}")), i)
+        write(batch(event(f"n{i}")), i)
+    # the same id on another day
+    write(batch(event("e1", at="2024-01-21T10:00:00+00:00")), 6)
+    users = spark.read.parquet(f"{dims}/dim_users")
+    users.selectExpr("CAST(2 AS BIGINT) AS user_key", "'u2' AS user_id", "country_code", "subscription_type", "age_group",
+                     "signup_date").write.mode("append").parquet(f"{dims}/dim_users")
+    write(batch(event("n7")), 7)
+    write(batch(event("n7")), 7)
+    day = 20240120
+    assert loaded() == sorted([("e1", day), ("late", day), ("n7", day), *[(f"n{i}", day) for i in range(1, 6)]])
