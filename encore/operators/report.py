@@ -16,10 +16,13 @@ Plan notes
 * When a dimension fails the broadcast check, the fact is first reduced to
   one row per join key (per song and listener, per genre and listener, per
   artist key and listener) so the shuffle join never sees raw plays.
-* Q3 reads the fact once into per (listener, platform, hour) cells joined
-  once with users; listener stats and both rankings roll up from that frame,
-  and each ranking is filtered to its first row before joining (no fan-out). Q4 builds its two distinct counts from one
-  shared distinct (artist, genre, country, window, user) set.
+* Q3: with users under the broadcast limit both rankings come from one
+  map-side join and one aggregate to (subscription, platform, hour), a few
+  hundred rows at most; above it from per (listener, platform, hour) cells.
+  Each ranking is filtered to its first row before joining (no fan-out). Q4
+  builds its two distinct counts from one shared distinct (artist, genre,
+  country, window, user) set.
+* Reports are ordered as they are printed, ties by the remaining columns.
 """
 
 from __future__ import annotations
@@ -42,7 +45,7 @@ def _as_date(as_of) -> dt.date:
     if isinstance(as_of, dt.date):
         return as_of
     if as_of is None:
-        return dt.date.today()
+        return dt.datetime.now(dt.timezone.utc).date()
     return dt.date.fromisoformat(str(as_of))
 
 
@@ -158,7 +161,7 @@ def genre_skip_rates(star) -> DataFrame:
         pct(F.col("premium_skips"), F.col("premium_plays"), 2).alias("premium_skip_rate_pct"),
         half_up(F.col("kept_bp"), F.col("kept") * 100, 1).alias("avg_listen_depth_pct"),
         half_up(F.col("sum_ms"), F.col("n_ms") * 1000, 0).alias("avg_song_duration_sec"),
-    )
+    ).orderBy(F.col("overall_skip_rate_pct").desc_nulls_last(), F.col("genre").asc_nulls_last())
 
 
 # ---------------------------------------------------------------------------
@@ -168,10 +171,8 @@ def genre_skip_rates(star) -> DataFrame:
 def _listener_cells(star) -> DataFrame:
     """Plays per (listener, platform, hour), with the listener's subscription.
 
-    One aggregate over the fact (a listener has a few platforms and hours, so
-    this is far smaller than the plays), joined once with users. The listener
-    stats and both rankings roll up from it; the two rankings need only the
-    play counts, so Catalyst prunes their copy and they share one exchange.
+    One aggregate over the fact, joined once with users; the way for users
+    above the broadcast limit, and for the listener stats.
     """
     fact = star.fact_streams.select(
         "user_key", "platform", F.hour("listened_at").cast("long").alias("hour"),
@@ -183,6 +184,21 @@ def _listener_cells(star) -> DataFrame:
     return lookup_join(cells, _subscriptions(star), "user_key", hot_from=star.fact_streams)
 
 
+def _subscription_cells(star) -> DataFrame:
+    """Plays per (subscription, platform, hour): what both rankings need.
+
+    Users under the broadcast limit are joined map-side and the fact is
+    aggregated straight to these few groups, so the shuffle carries at most one
+    row per group and task. Else from the listener cells.
+    """
+    users = _subscriptions(star)
+    if fits_broadcast(users):
+        plays = (star.fact_streams.select("user_key", "platform", F.hour("listened_at").cast("long").alias("hour"))
+                 .join(F.broadcast(users), "user_key"))
+        return plays.groupBy("subscription_type", "platform", "hour").agg(F.count(F.lit(1)).alias("plays"))
+    return _listener_cells(star).groupBy("subscription_type", "platform", "hour").agg(F.sum("plays").alias("plays"))
+
+
 def _listener_genres(star) -> DataFrame:
     """Distinct genres per listener.
 
@@ -200,6 +216,13 @@ def _listener_genres(star) -> DataFrame:
     return pairs.groupBy("user_key").agg(F.count_distinct("genre").alias("unique_genres"))
 
 
+def _listener_stats(star) -> DataFrame:
+    """Plays, skips and completion per listener, with the subscription: one row per listener is shuffled."""
+    per_user = star.fact_streams.select("user_key", "was_skipped", decimal_to_bp("completion_pct").alias("bp")).groupBy("user_key").agg(
+        F.count(F.lit(1)).alias("plays"), F.count_if("was_skipped").alias("skips"), F.sum("bp").alias("bp"))
+    return lookup_join(per_user, _subscriptions(star), "user_key", split_hot=False)
+
+
 def _subscriptions(star) -> DataFrame:
     return star.dim_users.select("user_key", "subscription_type")
 
@@ -220,7 +243,7 @@ def _user_stats(star, cells: DataFrame) -> DataFrame:
 
 def user_stats(star) -> DataFrame:
     """Per listener: plays, rounded average completion and skip rate (as units), genres."""
-    return _user_stats(star, _listener_cells(star))
+    return _user_stats(star, _listener_stats(star))
 
 
 def user_stats_report(star) -> DataFrame:
@@ -254,18 +277,18 @@ def _peak_hour(cells: DataFrame) -> DataFrame:
 
 def platform_rank(star) -> DataFrame:
     """Plays per (subscription, platform), ranked within the subscription."""
-    return _platform_rank(_listener_cells(star))
+    return _platform_rank(_subscription_cells(star))
 
 
 def peak_hour(star) -> DataFrame:
     """Plays per (subscription, UTC hour), ranked within the subscription."""
-    return _peak_hour(_listener_cells(star))
+    return _peak_hour(_subscription_cells(star))
 
 
 def free_vs_premium(star) -> DataFrame:
     """Listening behaviour per subscription type (user-weighted averages)."""
-    cells = _listener_cells(star)
-    us = _user_stats(star, cells)
+    cells = _subscription_cells(star)
+    us = _user_stats(star, _listener_stats(star))
     per_sub = us.groupBy("subscription_type").agg(
         F.count(F.lit(1)).alias("total_users"),
         F.sum("plays").alias("plays"),
@@ -292,7 +315,7 @@ def free_vs_premium(star) -> DataFrame:
         half_up(F.col("genres"), n, 1).alias("avg_unique_genres"),
         "top_platform",
         F.col("peak_hour_utc").cast("long").alias("peak_hour_utc"),
-    )
+    ).orderBy(F.col("subscription_type").asc_nulls_last())
 
 
 # ---------------------------------------------------------------------------
@@ -381,3 +404,26 @@ def breakout_artists(star, as_of, window_days: int = R.BREAKOUT_WINDOW_DAYS,
         F.col("breakout_score").desc(), F.col("recent_listeners").desc(),
         F.col("artist").asc_nulls_last(), F.col("genre").asc_nulls_last(),
         F.col("country_code").asc_nulls_last()).limit(k)
+
+
+# ---------------------------------------------------------------------------
+# The report as a unit
+# ---------------------------------------------------------------------------
+
+def weekly_report(star, as_of=None, window_days: int = R.BREAKOUT_WINDOW_DAYS) -> dict[str, DataFrame]:
+    """The four tables of the weekly report, by name, each in its printed order."""
+    as_of = _as_date(as_of)
+    return {"trending_songs": trending_songs(star, as_of), "genre_skip_rates": genre_skip_rates(star),
+            "free_vs_premium": free_vs_premium(star), "breakout_artists": breakout_artists(star, as_of, window_days)}
+
+
+def write_weekly_report(star, root: str, as_of=None, window_days: int = R.BREAKOUT_WINDOW_DAYS) -> dict[str, str]:
+    """Write the four tables as Parquet under ``root/as_of=<day>``, replacing an earlier report of the day; their paths.
+
+    Every table is small (a row per genre at most); it is written as one file so that its order is kept."""
+    as_of = _as_date(as_of)
+    paths = {}
+    for name, table in weekly_report(star, as_of, window_days).items():
+        paths[name] = f"{root.rstrip('/')}/as_of={as_of.isoformat()}/{name}"
+        table.coalesce(1).write.mode("overwrite").parquet(paths[name])
+    return paths

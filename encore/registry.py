@@ -119,9 +119,13 @@ def q_breakout_artists(spark, sf_dir):
     return report.breakout_artists(driver_star(spark, sf_dir), AS_OF, window_days=Q4_WINDOW_DAYS)
 
 
-@register("date_windows", lambda: O.date_windows_sql())
+@register("date_windows", lambda: O.window_plays_sql())
 def q_date_windows(spark, sf_dir):
-    return report.date_windows(driver_star(spark, sf_dir), AS_OF, Q4_WINDOW_DAYS)
+    """Plays and covered days of each labelled window."""
+    star = driver_star(spark, sf_dir)
+    windows = report.date_windows(star, AS_OF, Q4_WINDOW_DAYS)
+    return (report.fact_in_window(star, AS_OF, 2 * Q4_WINDOW_DAYS).join(F.broadcast(windows), "date_key")
+            .groupBy("window_label").agg(F.count(F.lit(1)).alias("plays"), F.count_distinct("date_key").alias("days")))
 
 
 @register("regional_listeners", lambda: O.regional_listeners_sql())
@@ -149,7 +153,10 @@ def q_row_counts_staging(spark, sf_dir):
 
 @register("dim_date_range", O.dim_date_range_sql)
 def q_dim_date_range(spark, sf_dir):
-    return quality.dim_date_range(driver_star(spark, sf_dir).dim_date)
+    """The calendar days that plays cover."""
+    star = driver_star(spark, sf_dir)
+    covered = F.broadcast(star.fact_streams.select("date_key").distinct())
+    return quality.dim_date_range(star.dim_date.join(covered, "date_key", "left_semi"))
 
 
 @register("null_event_ids", O.null_event_ids_sql)

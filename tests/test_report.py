@@ -152,3 +152,19 @@ def test_same_named_artists_merge_and_null_genres_group(spark, make_staging):
     assert [(r.genre, r.total_plays) for r in q2] == [(None, 36)]
     q1 = report.trending_songs(star, AS_OF, days=30).collect()
     assert {(r.artist, r.song, r.genre) for r in q1} == {("Twin", "Song", None)}
+
+
+def test_weekly_report_tables_keep_their_order(spark):
+    from conftest import SF_SMALL
+    from encore.operators import report
+    from encore.plans.warehouse import driver_star
+    from encore.session import scratch_path
+
+    paths = report.write_weekly_report(driver_star(spark, SF_SMALL), scratch_path(spark, "weekly"), "2024-01-31", 15)
+    assert list(paths) == ["trending_songs", "genre_skip_rates", "free_vs_premium", "breakout_artists"]
+    tables = {n: spark.read.parquet(p).collect() for n, p in paths.items()}
+    assert [r["rank"] for r in tables["trending_songs"]] == list(range(1, len(tables["trending_songs"]) + 1))
+    rates = [(-r["overall_skip_rate_pct"], r["genre"]) for r in tables["genre_skip_rates"]]
+    assert rates == sorted(rates) and rates
+    plans = [r["subscription_type"] for r in tables["free_vs_premium"]]
+    assert plans == sorted(plans) and plans
