@@ -17,15 +17,17 @@ the merge brings up. Here:
             ones are probed by binary search, candidates that reach T for the larger set are kept and
             compared with the exact bound.
   exact     links join sets to components. What may still be missing are links between sets of one list
-            that lie in different components. In each list the largest component is set against all
-            others, and each of these against every set outside its own component: all pairs that can
-            still change a component are probed, none inside one.
+            that lie in different components. Where one of the two components is a crowd (more than
+            CROWD sets), the sets of the smaller one are set against the larger one's, in blocks: no
+            row is made for a pair. Among the others, each set of a list outside the list's largest
+            component is paired with every set outside its own. So all pairs that can still change a
+            component are probed, none inside one.
 
 Defined results: words are [^\\x20\\x09-\\x0D]+ after lower-casing A-Z; with fewer words than a shingle has, the
 whole sequence is the one shingle; without words (null, empty, white space) the set is empty and
 links with nothing. Rows that repeat an id each give a row; their component is the least that any text
-of the id has. Rows with a null id link with nothing and have a null component. Shingles and sets
-are compared as 64-bit hashes.
+of the id has. Rows with a null id link with nothing and have a null component. Shingles are
+compared as 56-bit hashes, sets as 64-bit ones.
 An empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -38,6 +40,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,6 +51,8 @@ LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 #: A shingle in this many sampled sets counts as long; the sample is one set in SAMPLE.
 SAMPLE, LONG_IN_SAMPLE, MAX_LONG = 16, 2, 1 << 20
 BLOCK = 256
+#: A component of more sets is probed in blocks; a block holds at most this many shingles beside one set.
+CROWD, BLOCK_SHINGLES = 64, 1 << 22
 
 
 # ---- shingle sets ---------------------------------------------------------------
@@ -73,7 +78,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class Shingler:
-    """Sorted distinct 64-bit hashes of a text's word shingles, by prefix sums of a byte polynomial."""
+    """Sorted distinct 56-bit hashes of a text's word shingles, by prefix sums of a byte polynomial."""
 
     def __init__(self, words: int = 5):
         self.words, self.up, self.down = words, _powers(_BASE, 1 << 16), _powers(_INVERSE, 1 << 16)
@@ -97,9 +102,21 @@ class Shingler:
             h ^= h >> np.uint64(32)
             h *= np.uint64(0xD6E8FEB86659FD93)
             h ^= h >> np.uint64(32)
+            h >>= np.uint64(8)
         return np.unique(h)
 
 
+def pack(hashes: np.ndarray) -> bytes:
+    """Seven bytes a hash, little-endian."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 7, 8), dtype=np.uint8)
+    out[:, :7] = np.frombuffer(packed, np.uint8).reshape(-1, 7)
+    return out.view("<u8").ravel()
+
+
 def needed(n: int, percent: int) -> int:
     """T of a set of n: the least intersection with any partner."""
     return -(-percent * n // 100)
@@ -233,7 +250,7 @@ def _hashes_of(docs: DataFrame, sets: DataFrame, near: DataFrame, words: int) ->
             for x, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 h = shingle(value.as_py())
                 if len(h) and set_key(h) == x:  # an id may have several texts
-                    found.append({"x": x, "n": len(h), "bits": set_bits(h), "hashes": h.tobytes()})
+                    found.append({"x": x, "n": len(h), "bits": set_bits(h), "hashes": pack(h)})
                     size += h.nbytes
                 if size > 4 << 20:  # small batches: the hashes are larger than the texts they come from
                     yield pa.RecordBatch.from_pylist(found, schema=schema)
@@ -325,16 +342,82 @@ def _probe(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         query, members, names = None, [], []
         for member, x, hashes in zip(*[block[c].to_pylist() for c in ("member", "x", "hashes")], strict=True):
             if member:
-                members.append(np.frombuffer(hashes, np.uint64))
+                members.append(unpack(hashes))
                 names.append(x)
             else:
-                query = np.frombuffer(hashes, np.uint64)
+                query = unpack(hashes)
         found = [names[i] for i in block_links(query, members, percent)] if query is not None else []
         return pa.table({"a": pa.array([key[0].as_py()] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
 
     return rows.groupBy("a", "block").applyInArrow(run, "a long, b long")
 
 
+class Bitmaps:
+    """Bitmaps of a block's members, a matrix for each size, and the bound of ``most_common`` on all at once."""
+
+    def __init__(self, sizes: list[int], bits: list[bytes]):
+        self.sizes = np.asarray(sizes, dtype=np.int64)
+        places: dict[int, list[int]] = {}
+        for i, b in enumerate(bits):
+            places.setdefault(len(b), []).append(i)
+        self.groups = [(np.asarray(at), np.stack([np.frombuffer(bits[i], np.uint8) for i in at])) for at in places.values()]
+
+    def may_link(self, n: int, own: bytes, percent: int) -> list[int]:
+        found: list[int] = []
+        whole = np.frombuffer(own, np.uint8)
+        for at, matrix in self.groups:
+            m = self.sizes[at]
+            fits = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+            if not fits.any():
+                continue
+            at, m, other = at[fits], m[fits], matrix[fits]
+            size = min(len(whole), other.shape[1])
+            a = np.bitwise_or.reduce(whole.reshape(-1, size))
+            b = np.bitwise_or.reduce(other.reshape(len(at), -1, size), axis=1)
+            common = np.minimum(n - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64),
+                                m - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64))
+            found += at[linked(common, n, m, percent)].tolist()
+        return sorted(found)
+
+
+def _probe_crowds(at: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links of sets with larger components that are crowds and share a list with them.
+
+    ``at``: (h, x, n, comp, size). A crowd's sets are cut into blocks and its queries into slices, both
+    small enough for a worker; each (block, slice) is one group, which gives out links only."""
+    crowd_of = at.filter(F.col("size") > CROWD).select("h", F.col("comp").alias("crowd"), F.col("size").alias("crowd_size")).distinct()
+    asked = materialize(at.join(crowd_of, "h").filter(F.struct("size", "comp") < F.struct("crowd_size", "crowd"))
+                        .select(F.col("x").alias("a"), "crowd").distinct(), "crowd-queries")
+    each = F.least(F.lit(BLOCK), F.greatest(F.lit(4), F.floor(F.lit(BLOCK_SHINGLES) / F.max("n"))))
+    sets = at.filter(F.col("size") > CROWD).select("x", "n", F.col("comp").alias("crowd")).distinct()
+    # One row a crowd that is asked.
+    crowds = materialize(asked.groupBy("crowd").agg(F.count(F.lit(1)).alias("queries"))
+                         .join(sets.groupBy("crowd").agg(F.count(F.lit(1)).alias("sets"), each.alias("each")), "crowd")
+                         .select("crowd", F.ceil(F.col("sets") / F.col("each")).cast("int").alias("blocks"),
+                                 F.ceil(F.col("queries") / F.col("each")).cast("int").alias("slices")), "crowds")
+    place = lambda c, seed, parts: F.pmod(F.xxhash64(c, F.lit(seed)), F.col(parts)).cast("int")
+    all_of = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    wanted = (sets.join(crowds, "crowd").select("x", "crowd", place("x", 0, "blocks").alias("block"), all_of("slices").alias("slice"), F.lit(1).alias("member"))
+              .unionByName(asked.join(crowds, "crowd").select(F.col("a").alias("x"), "crowd", all_of("blocks").alias("block"),
+                                                              place("a", 1, "slices").alias("slice"), F.lit(0).alias("member"))))
+    ids = _checked(wanted.select("x").distinct(), "wanted")
+    rows = wanted.join(members.join(ids, "x", "left_semi"), "x").select("crowd", "block", "slice", "member", "x", "n", "bits", "hashes")
+
+    def run(table: pa.Table) -> pa.Table:
+        own = {m: table.filter(pc.equal(table["member"], m)) for m in (0, 1)}
+        names, lists = own[1]["x"].to_pylist(), [unpack(h) for h in own[1]["hashes"].to_pylist()]
+        bitmaps = Bitmaps(own[1]["n"].to_pylist(), own[1]["bits"].to_pylist())
+        a, b = [], []
+        for x, n, bits, hashes in zip(*[own[0][c].to_pylist() for c in ("x", "n", "bits", "hashes")], strict=True):
+            near = bitmaps.may_link(n, bits, percent)
+            found = [names[near[i]] for i in block_links(unpack(hashes), [lists[i] for i in near], percent)]
+            a += [x] * len(found)
+            b += found
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("crowd", "block", "slice").applyInArrow(run, "a long, b long")
+
+
 # ---- components -----------------------------------------------------------------
 
 def components(links: DataFrame) -> DataFrame:
@@ -393,8 +476,13 @@ def jaccard_components(docs: DataFrame, percent: int = 75, words: int = 5, doc_i
                  .groupBy(F.col("x").alias("b"), F.col("lead.x").alias("a")).agg(F.sum("lists").alias("lists"))
                  .groupBy("b").agg(F.max(F.struct("lists", "a"))["a"].alias("a")).select("a", "b"))
         comps, links = _grow(links, _probe(pairs, members, percent))
-    at = materialize(_with_components(postings, comps), "list-components")
-    # The rest, exactly: in each list every set outside the list's largest component, against all sets outside its own.
+    at = _with_components(postings, comps)
+    of_comp = at.select("x", "comp").distinct().groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+    lists = materialize(at.join(of_comp, "comp"), "list-components")
+    # The rest, exactly: sets against crowds, and in each list, without the crowds, every set outside the list's
+    # largest component against all sets outside its own.
+    crowded = _probe_crowds(lists, members, percent)
+    at = lists.filter(F.col("size") <= CROWD).drop("size")
     sizes = at.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("size"))
     largest = (sizes.groupBy("h").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
                .select("h", F.col("top.comp").alias("top")))
@@ -403,7 +491,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, words: int = 5, doc_i
     pairs = (minor.join(open_lists.select("h", F.col("x").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bcomp")), "h")
              .filter((F.col("acomp") != F.col("bcomp")) & _fits(F.col("an"), F.col("bn"), percent))
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    comps, links = _grow(links, _probe(pairs, members, percent))
+    comps, links = _grow(links, _probe(pairs, members, percent).unionByName(crowded))
 
     # Component ids: the least doc_id of the sets of a component.
     owned = _with_components(classes.groupBy("x").agg(F.min("doc_id").alias("least")), comps)

@@ -105,6 +105,39 @@ def test_ngram_chain_over_components(spark):
     assert found == brute_components(rows)
 
 
+def test_ngram_crowd_of_near_copies(spark, monkeypatch):
+    """Sets that a large component's sets share lists with, linked to none, some or all of them."""
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for k in range(rnd.choice([0, 1, 1, 2, 2, 3, 4, 6])):
+            w[rnd.randrange(60)] = f"e{i}_{k}"
+        rows.append((3 * i + 1, " ".join(w), None))
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    expected = brute_components(rows)
+    assert 20 < max(collections.Counter(c for _, c in expected.values()).values()) < 160
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 1000)  # several blocks and slices
+    monkeypatch.setattr(ngram_join, "CROWD", 20)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.jaccard_components(df).collect()}
+    assert found == expected
+
+
+def test_bitmaps_bound_never_too_low():
+    rnd = np.random.default_rng(3)
+    pool = rnd.integers(0, 1 << 56, 400, dtype=np.uint64)
+    sets = [np.unique(rnd.choice(pool, rnd.integers(1, 300))) for _ in range(60)]
+    assert all((ngram_join.unpack(ngram_join.pack(s)) == s).all() for s in sets)
+    bits = [ngram_join.set_bits(s) for s in sets]
+    bitmaps = ngram_join.Bitmaps([len(s) for s in sets], bits)
+    for s, own in zip(sets, bits):
+        near = set(bitmaps.may_link(len(s), own, 50))
+        assert near >= {i for i, m in enumerate(sets) if ngram_join.linked(len(np.intersect1d(s, m)), len(s), len(m), 50)}
+        assert near == {i for i, m in enumerate(sets) if 2 * min(len(s), len(m)) >= max(len(s), len(m)) and ngram_join.linked(
+            min(ngram_join.most_common(len(s), own, bits[i]), ngram_join.most_common(len(m), bits[i], own)), len(s), len(m), 50)}
+
+
 def test_divide_skip():
     rnd = random.Random(5)
     for _ in range(200):
