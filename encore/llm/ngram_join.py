@@ -10,8 +10,9 @@ the merge brings up. Here:
             gives exact results, this one keeps lists of common passages out of the merge.
   merge     Spark shuffles the postings of the n - T + 1 shortest lists of every set. Sets that share no
             list there can't link.
-  star      inside a list, sets are not paired with each other: each is proposed to the least set of
-            one of its lists only, so a turn has no more candidates than there are sets.
+  star      inside a list, sets are not paired with each other: each is proposed to the leader of one
+            of its lists only, so a turn has no more candidates than there are sets. First the set with
+            the fullest lists leads (the one that edits set least apart), then one by hash.
   bound     bitmaps of both sets bound their intersection from above; pairs that can't reach T go.
   probe     blocks of one query set and its candidates: a heap merges the block's short lists, the long
             ones are probed by binary search, candidates that reach T for the larger set are kept and
@@ -467,11 +468,13 @@ def jaccard_components(docs: DataFrame, percent: int = 75, words: int = 5, doc_i
     postings = materialize(shared.join(size_of, "x"), "postings")
     members = materialize(_hashes_of(known, classes, postings.select("x").distinct(), words), "members")
 
+    full = (postings.join(postings.groupBy("h").agg(F.count(F.lit(1)).alias("full")), "h")
+            .groupBy("x").agg(F.sum(F.col("full") * F.col("lists")).alias("fullness")))
     comps, links = None, None
-    for turn in range(2):
-        at = _with_components(postings, comps)
-        leader = at.groupBy("h").agg(F.min_by(F.struct("x", "n", "comp"), F.xxhash64("x", F.lit(turn))).alias("lead"))
-        # Of the least sets of its lists, a set is proposed to the one that it shares most lists with.
+    for first, second in ((F.lit(-1) * F.col("fullness"), F.col("x")), (F.xxhash64("x", F.lit(1)), F.col("x"))):
+        at = _with_components(postings.join(full, "x"), comps)
+        leader = at.groupBy("h").agg(F.min_by(F.struct("x", "n", "comp"), F.struct(first, second)).alias("lead"))
+        # Of the leaders of its lists, a set is proposed to the one that it shares most lists with.
         pairs = (at.join(leader, "h").filter((F.col("comp") != F.col("lead.comp")) & _fits(F.col("n"), F.col("lead.n"), percent))
                  .groupBy(F.col("x").alias("b"), F.col("lead.x").alias("a")).agg(F.sum("lists").alias("lists"))
                  .groupBy("b").agg(F.max(F.struct("lists", "a"))["a"].alias("a")).select("a", "b"))
