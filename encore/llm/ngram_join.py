@@ -54,6 +54,8 @@ SAMPLE, LONG_IN_SAMPLE, MAX_LONG = 16, 2, 1 << 20
 BLOCK = 256
 #: A component of more sets is probed in blocks; a block holds at most this many shingles beside one set.
 CROWD, BLOCK_SHINGLES = 64, 1 << 22
+#: The most sets of a list in a block of bitmaps.
+LIST_BLOCK = 4096
 
 
 # ---- shingle sets ---------------------------------------------------------------
@@ -419,6 +421,35 @@ def _probe_crowds(at: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("crowd", "block", "slice").applyInArrow(run, "a long, b long")
 
 
+def _list_pairs(big: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: pairs of sets of one list, in different components, whose bitmaps may link.
+
+    ``big``: (h, x, comp, total, longest). A list is cut into blocks of about the root of its size (BLOCK to
+    LIST_BLOCK sets, fewer if they are long); each two blocks, and each block with itself, are one
+    group. Rows grow with the size's power of 1.5, and pairs beyond the bound are never made."""
+    each = F.least(F.greatest(F.lit(BLOCK), F.least(F.lit(LIST_BLOCK), F.ceil(F.sqrt("total")))),
+                   F.greatest(F.lit(4), F.floor(F.lit(BLOCK_SHINGLES) / F.col("longest"))))
+    dealt = (big.withColumn("parts", F.ceil(F.col("total") / each).cast("int"))
+             .withColumn("own", F.pmod(F.xxhash64("x", "h"), F.col("parts")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "x", "comp"))
+    ids = _checked(big.select("x").distinct(), "listed")
+    rows = dealt.join(members.select("x", "n", "bits").join(ids, "x", "left_semi"), "x")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        first, second = key[1].as_py(), key[2].as_py()
+        asked = table.filter(pc.equal(table["own"], first))
+        others = asked if first == second else table.filter(pc.equal(table["own"], second))
+        names, comps = others["x"].to_pylist(), others["comp"].to_pylist()
+        bitmaps = Bitmaps(others["n"].to_pylist(), others["bits"].to_pylist())
+        found: set[tuple[int, int]] = set()
+        for x, comp, n, bits in zip(*[asked[c].to_pylist() for c in ("x", "comp", "n", "bits")], strict=True):
+            found.update((min(x, names[i]), max(x, names[i])) for i in bitmaps.may_link(n, bits, percent) if comps[i] != comp)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return rows.groupBy("h", "i", "j").applyInArrow(run, "a long, b long")
+
+
 # ---- components -----------------------------------------------------------------
 
 def components(links: DataFrame) -> DataFrame:
@@ -480,20 +511,23 @@ def jaccard_components(docs: DataFrame, percent: int = 75, words: int = 5, doc_i
                  .groupBy("b").agg(F.max(F.struct("lists", "a"))["a"].alias("a")).select("a", "b"))
         comps, links = _grow(links, _probe(pairs, members, percent))
     at = _with_components(postings, comps)
-    of_comp = at.select("x", "comp").distinct().groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    lists = materialize(at.join(of_comp, "comp"), "list-components")
+    crowds = at.select("x", "comp").distinct().groupBy("comp").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > CROWD)
+    lists = materialize(at.join(_checked(crowds, "crowd-sizes"), "comp", "left").withColumn("size", F.coalesce("size", F.lit(0))), "list-components")
     # The rest, exactly: sets against crowds, and in each list, without the crowds, every set outside the list's
     # largest component against all sets outside its own.
     crowded = _probe_crowds(lists, members, percent)
     at = lists.filter(F.col("size") <= CROWD).drop("size")
-    sizes = at.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("size"))
-    largest = (sizes.groupBy("h").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).filter("comps > 1")
-               .select("h", F.col("top.comp").alias("top")))
-    open_lists = at.join(largest, "h")
+    sizes = at.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("size"), F.max("n").alias("longest"))
+    largest = (sizes.groupBy("h").agg(F.max(F.struct("size", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"),
+                                      F.sum("size").alias("total"), F.max("longest").alias("longest")).filter("comps > 1")
+               .select("h", F.col("top.comp").alias("top"), "total", "longest"))
+    open_lists = materialize(at.join(largest, "h"), "open-lists")
+    in_blocks = _list_pairs(open_lists.filter(F.col("total") > CROWD), members, percent)
+    open_lists = open_lists.filter(F.col("total") <= CROWD)
     minor = open_lists.filter("comp != top").select("h", F.col("x").alias("a"), F.col("n").alias("an"), F.col("comp").alias("acomp"))
     pairs = (minor.join(open_lists.select("h", F.col("x").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bcomp")), "h")
              .filter((F.col("acomp") != F.col("bcomp")) & _fits(F.col("an"), F.col("bn"), percent))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionByName(in_blocks).distinct())
     comps, links = _grow(links, _probe(pairs, members, percent).unionByName(crowded))
 
     # Component ids: the least doc_id of the sets of a component.

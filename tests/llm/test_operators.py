@@ -124,6 +124,24 @@ def test_ngram_crowd_of_near_copies(spark, monkeypatch):
     assert found == expected
 
 
+def test_ngram_lists_of_many_small_components(spark, monkeypatch):
+    """A passage that many documents share: its lists hold many sets of different components, some linked."""
+    rnd = random.Random(5)
+    passage, rows = [f"p{i}" for i in range(30)], []
+    for i in range(60):
+        own = [f"o{i}_{k}" for k in range(rnd.randrange(4, 30))]
+        for copy in range(rnd.choice([1, 1, 2, 3])):
+            rows.append((7 * len(rows) + 2, " ".join(own[: len(own) - copy] + passage), None))
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    expected = brute_components(rows)
+    monkeypatch.setattr(ngram_join, "CROWD", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "LIST_BLOCK", 16)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.jaccard_components(df).collect()}
+    assert found == expected
+    assert len(set(c for _, c in found.values())) < len(rows)
+
+
 def test_bitmaps_bound_never_too_low():
     rnd = np.random.default_rng(3)
     pool = rnd.integers(0, 1 << 56, 400, dtype=np.uint64)
