@@ -426,7 +426,8 @@ def _list_pairs(big: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
     ``big``: (h, x, comp, total, longest). A list is cut into blocks of about the root of its size (BLOCK to
     LIST_BLOCK sets, fewer if they are long); each two blocks, and each block with itself, are one
-    group. Rows grow with the size's power of 1.5, and pairs beyond the bound are never made."""
+    group. Rows dealt out grow with the size's power of 1.5 up to LIST_BLOCK squared sets; bitmaps are still
+    compared for all pairs of similar size, but pairs beyond the bound make no row."""
     each = F.least(F.greatest(F.lit(BLOCK), F.least(F.lit(LIST_BLOCK), F.ceil(F.sqrt("total")))),
                    F.greatest(F.lit(4), F.floor(F.lit(BLOCK_SHINGLES) / F.col("longest"))))
     dealt = (big.withColumn("parts", F.ceil(F.col("total") / each).cast("int"))
