@@ -1,7 +1,7 @@
 """Language identification with string kernels.
 
 The kernel of two texts is the blended-spectrum presence kernel: the number of character n-grams
-(n = 1..3 over lower-cased letters, other characters as one blank) that both hold, normalised by
+(n = 1..3 over lower-cased letters of all Unicode planes, other characters as one blank) that both hold, normalised by
 both texts' own numbers; n-grams are hashed to ``BUCKETS`` presence bits. A bounded, documented
 sample of labelled rows (``per_language`` each) is drawn, ``landmarks`` of its texts span the
 Nyström approximation, and one-versus-rest kernel ridge regression is solved in that space.
@@ -32,7 +32,7 @@ UNDETERMINED = "und"
 
 
 def _letters() -> np.ndarray:
-    return np.fromiter((chr(i).isalpha() for i in range(1 << 16)), dtype=bool, count=1 << 16)
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
 
 
 class Presence:
@@ -46,7 +46,7 @@ class Presence:
         if not text:
             return None
         code = np.frombuffer(text.lower().encode("utf-32-le"), dtype=np.uint32)
-        letter = self.letter[np.minimum(code, 0xFFFF)] | (code > 0xFFFF)
+        letter = self.letter[code]
         if not letter.any():
             return None
         code = np.where(letter, code, np.uint32(32)).astype(np.uint32)

@@ -390,6 +390,19 @@ def test_language(spark, docs, empty):
 
 # ---- op8 ------------------------------------------------------------------------
 
+def test_letters_above_the_first_plane(spark):
+    texts = [("en", "the letters of this")] * 30 + [("de", "die Zeichen aus jenem")] * 30 + [("got", "𐌰𐌱𐌲 𐌳𐌴𐌵 𐌶𐌷𐌸")] * 30
+    model = langid.train(spark.createDataFrame([(i, t, y) for i, (y, t) in enumerate(texts)], "doc_id long, text string, lang string"),
+                         per_language=30, landmarks=8)
+    names, scores = model.predict(["🙂🎉", "🇩🇪 🇫🇷", "𝟎𝟏𝟐 𝟗", "𐌴𐌵𐌶", "𝒶𝒷𝒸", "𠀀𠀁"])
+    assert list(zip(names[:3], scores[:3])) == [("und", 0.0)] * 3
+    assert names[3] == "got" and "und" not in names[3:] and min(scores[3:]) > 0
+    # An emoji is a blank of an n-gram like any other character that is no letter.
+    presence = langid.Presence()
+    assert (presence("one 🙂 two") == presence("one - two")).all()
+    assert [i for i in range(0x110000) if presence.letter[i] != chr(i).isalpha()] == []
+
+
 def test_edited_neighbours(docs, rows):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     expected = []
