@@ -5,10 +5,14 @@ are the seeds of the bootstrap. One pass writes, for each document, its base spa
 *candidates*: tokens that look like an identifier (four digits or more, or an ``@``) and that no
 base span covers; base spans and candidates both come with the words around them. The contexts
 (two words before; word before and word after) are the lexical patterns of a graph with the distinct values as
-instances. Each round scores a pattern by the trusted share of its distinct values and an instance
-by its patterns (1 minus the product of the doubts); patterns above ``min_score`` with at least
-``min_seeds`` distinct trusted values make their instances trusted for the next round. Candidates
-trusted at the end are added as spans, with the kind that most of their pattern's seeds have.
+instances; a value is its whole span in lower case with Unicode digits as ASCII ones, kept as a
+128-bit hash. Each round scores a pattern by the trusted share of its distinct values; patterns
+above ``min_score`` with at least ``min_seeds`` distinct trusted values are trusted. Each distinct
+context of a value (its two patterns) has the belief 1 minus the product of the doubts of its
+trusted patterns, 0 if it has none, and a value has the mean of its contexts' beliefs, so contexts
+elsewhere count against it; from ``min_score`` it is trusted in the next round. At the end
+candidates with a trusted value and a trusted pattern of their own are added as spans, with the kind
+that most seeds of their value's best pattern have.
 
 Defined results: null and empty texts have no spans. Rows are told apart by position, not by id, so
 repeated rows and null ids each give their own row. Ties between kinds go to the earlier of email,
@@ -18,7 +22,9 @@ ip, card, phone. An empty table gives an empty result. Extra columns are ignored
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -92,10 +98,18 @@ def _word(text: str, span: tuple[int, int]) -> str:
     return text[span[0]: span[1]].strip(TRIM).lower()[:40]
 
 
+def identity(value: str) -> str:
+    """Of the whole value, however long: equal only for equal values but for case and the script of digits."""
+    value = value.lower()
+    if not value.isascii():
+        value = "".join(str(unicodedata.decimal(c, c)) for c in value)
+    return blake2b(value.encode(), digest_size=16).hexdigest()
+
+
 def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     """Base spans and candidates with their value and context patterns. A text without a digit and
     without an @ has none."""
-    if not spans and not DIGIT.search(text) and "@" not in text:
+    if not spans and not DIGIT.search(text) and "@" not in text and (text.isascii() or not any(map(str.isdigit, text))):
         return []
     tokens = [m.span() for m in TOKEN.finditer(text)]
     found: list[tuple[int, int, int, int, str | None]] = []  # first token, last token, start, end, kind
@@ -125,7 +139,7 @@ def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
         w1 = _word(text, tokens[first - 1]) if first else "^"
         w2 = _word(text, tokens[first - 2]) if first > 1 else "^"
         r1 = _word(text, tokens[last + 1]) if last + 1 < len(tokens) else "$"
-        out.append({"start": start, "end": end, "kind": kind, "value": re.sub(r"[^0-9a-z@]", "", text[start:end].lower())[:80],
+        out.append({"start": start, "end": end, "kind": kind, "value": identity(text[start:end]),
                     "patterns": [f"b {w2} {w1}", f"c {w1} _ {r1}"]})
     return out
 
@@ -165,8 +179,12 @@ def bootstrap(scanned: DataFrame, rounds: int = 3, min_score: float = 0.8, min_s
     edges = materialize(
         flat.select("value", "kind", F.explode("patterns").alias("pattern"))
         .groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "pii-edges")
+    # The distinct contexts of each value's candidates: all that speaks for or against it.
+    contexts = materialize(flat.filter("kind is null").select("value", "patterns").distinct(), "pii-contexts")
+    totals = contexts.groupBy("value").agg(F.count(F.lit(1)).alias("n_contexts"))
     seed_kind = [F.sum((F.col("trusted") & (F.col("kind") == k)).cast("int")).alias(f"n_{k}") for k in KINDS]
     scored = edges.withColumn("trusted", F.col("kind").isNotNull())
+    best, least = F.max("score"), F.min("score")
     for _ in range(rounds):
         patterns = (scored.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("trusted").cast("int")).alias("seeds"), *seed_kind)
                     .filter(F.col("seeds") >= min_seeds)
@@ -176,14 +194,20 @@ def bootstrap(scanned: DataFrame, rounds: int = 3, min_score: float = 0.8, min_s
                         F.struct(F.col(f"n_{k}").alias("n"), F.lit(-i).alias("rank"), F.lit(k).alias("kind"))
                         for i, k in enumerate(KINDS)])))[0]["kind"])
                     .select("pattern", "score", "pattern_kind"))
-        instances = (edges.filter("kind is null").join(patterns, "pattern")
-                     .groupBy("value").agg((1 - F.exp(F.sum(F.log1p(-F.col("score"))))).alias("belief"),
-                                           F.max_by("pattern_kind", F.struct("score", "pattern")).alias("new_kind"))
-                     .filter(F.col("belief") >= min_score).select("value", "new_kind"))
+        # Contexts with a trusted pattern; a context has one or both of its two.
+        backed = materialize(
+            contexts.withColumn("pattern", F.explode("patterns")).join(patterns, "pattern").groupBy("value", "patterns")
+            .agg(F.when(F.count(F.lit(1)) == 1, best).otherwise(best + least - best * least).alias("belief"),
+                 F.max(F.struct("score", "pattern", "pattern_kind")).alias("top")), "pii-backed")
+        instances = (backed.groupBy("value").agg(F.sum("belief").alias("belief"), F.max("top")["pattern_kind"].alias("new_kind"))
+                     .join(totals, "value")
+                     # Rounded, so that the order of the sum decides nothing.
+                     .filter(F.round(F.col("belief") / F.col("n_contexts"), 9) >= min_score).select("value", "new_kind"))
         found = materialize(instances, "pii-instances")
         scored = (edges.join(found, "value", "left").withColumn("trusted", F.col("kind").isNotNull() | F.col("new_kind").isNotNull())
                   .select("pattern", "value", F.coalesce("kind", "new_kind").alias("kind"), "trusted"))
-    return flat.filter("kind is null").join(found, "value").select("uid", "start", "end", F.col("new_kind").alias("kind"))
+    trusted = backed.join(found, "value").select("value", "patterns", "new_kind")
+    return flat.filter("kind is null").join(trusted, ["value", "patterns"]).select("uid", "start", "end", F.col("new_kind").alias("kind"))
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

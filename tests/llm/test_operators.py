@@ -477,6 +477,27 @@ def test_bootstrap_finds_unseen_identifiers(spark, docs, empty):
     assert pii.find(empty).count() == 0
 
 
+def test_contexts_elsewhere_count_against_a_value(spark):
+    rnd = random.Random(5)
+    after = ("today", "now", "soon", "again", "first", "tomorrow", "anytime", "daily", "weekdays", "early")
+    rows = [(i, f"please call us {'+1 (%03d) 555-%04d' % (rnd.randint(100, 999), i)} {after[i % 10]}") for i in range(60)]
+    # A year once in the context of phones and elsewhere; a number mostly in it and elsewhere.
+    rows += [(100, "please call us 2024 today"), (101, "room 2024 is free"), (102, "since 2024 they are here")]
+    rows += [(110 + i, f"please call us 5550-1234 {w}") for i, w in enumerate(after)] + [(120, "part 5550-1234 is sold")]
+    found = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[i] for i in (100, 101, 102)] == [""] * 3
+    assert [found[110 + i] for i in range(10)] == ["phone:15:24"] * 10
+    assert found[120] == ""
+
+
+def test_identity_is_the_whole_value():
+    def value(token):
+        return pii.mentions(f"see {token} here", [])[0]["value"]
+    assert value("http://h.example/1234" + "a" * 80 + "b") != value("http://h.example/1234" + "a" * 80 + "c")
+    assert value("٢٠٢٤") != value("٢٠٢٥") and value("a-1234") != value("a1234")
+    assert value("٢٠٢٤") == value("２０２４") == value("2024") == value("(2024).")
+
+
 # ---- all ------------------------------------------------------------------------
 
 def test_empty_tables(spark, empty):
