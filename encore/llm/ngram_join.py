@@ -1,9 +1,10 @@
-"""N-gram Jaccard join: exact T-occurrence search, in the manner of DivideSkip, and its components.
+"""N-gram Jaccard join: prefix filtering, verification by plain intersection, and its components.
 
 Two documents link when the Jaccard similarity of their sets of word shingles reaches ``percent``
-per cent. Of n shingles a partner must share at least T = ceil(percent n / 100). DivideSkip sets the
-T - 1 longest inverted lists aside, merges the n - T + 1 short ones, and probes the long ones for what
-the merge brings up. Here:
+per cent. Of n shingles a partner must share at least T = ceil(percent n / 100), so at least one of its
+n - T + 1 short lists once the T - 1 longest are set aside. DivideSkip would count occurrences in a merge of
+the short lists and probe the long ones for the rest; here one shared short list makes a candidate, and
+an intersection of both sets decides:
 
   sets      documents with equal sets are one class; what follows works on class representatives.
   order     shingles that a 1/16 sample finds in many sets are *long*; all others are short. Any order
@@ -14,9 +15,10 @@ the merge brings up. Here:
             of its lists only, so a turn has no more candidates than there are sets. First the set with
             the fullest lists leads (the one that edits set least apart), then one by hash.
   bound     bitmaps of both sets bound their intersection from above; pairs that can't reach T go.
-  probe     blocks of one query set and its candidates: a heap merges the block's short lists, the long
-            ones are probed by binary search, candidates that reach T for the larger set are kept and
-            compared with the exact bound.
+  probe     blocks of one query set and its candidates: the hashes of each candidate are intersected
+            with the query's, which is the exact overlap and what verifies a pair. ``divide_skip`` counts
+            these intersections once more by heap merge and binary search; it gives the same numbers and
+            saves no work.
   exact     links join sets to components. What may still be missing are links between sets of one list
             that lie in different components. Where one of the two components is a crowd (more than
             CROWD sets), the sets of the smaller one are set against the larger one's, in blocks: no
