@@ -1,11 +1,13 @@
-"""Exact deduplication by tree-merging sorted digest runs.
+"""Exact deduplication by aggregating digest runs in rounds.
 
-Each input partition is a *run* of (digest, row). Level 0 sorts and merges the rows of a run to
+Each input partition is a *run* of (digest, row). Level 0 aggregates the rows of a run to
 one entry per digest: the row that stays, the number of copies, and the key that verifies the
-digest. Each round then merges ``fan_in`` neighbouring runs of the level below, again to one entry
-per digest, until one run is left; a round is a shuffle on (digest, parent run), so a digest with a
-third of all rows reaches any task at most once per child run. The result goes back down the same
-way: to one entry per (digest, leaf run), then to the rows of that run.
+digest. Each round then aggregates ``fan_in`` neighbouring runs of the level below, again to one entry
+per digest, until one run is left; a round is a Spark aggregation on (digest, parent run), so a digest
+with a third of all rows reaches any task at most once per child run. Runs are not sorted and there is
+no multiway merge of sorted runs; up to ``fan_in`` input partitions there is one round, a plain grouping by
+digest after the one by run. The result goes back down the same way: to one entry per (digest, leaf
+run), then to the rows of that run.
 
 Defined results: texts are equal when identical as they are; null counts as empty. Of equal texts
 the row with the largest doc_id stays; a null id is smaller than any other; among rows that repeat
