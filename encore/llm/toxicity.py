@@ -5,7 +5,11 @@ the sample, in how many toxic and other documents each word and each word beginn
 whose association with the label is beyond chance (log-likelihood ratio) form the lexicon, a trie
 of whole words and of stems. Scoring: every distinct word of a text is looked up by intersecting
 its Levenshtein automaton with the trie (states are rows of the edit-distance table; a branch ends
-when its row exceeds the allowed distance). Each hit is then read in a window of its text, which
+when its row exceeds the allowed distance); two neighbouring letters that change places are one
+edit. Tokens between white space that hold digits or symbols among letters are also looked up whole,
+if none of their words is a hit: words of the lexicon by the automaton, stems with the odd character
+in place of a letter or between two. Terms have four letters or more; one of four is found
+misspelled only by a digit or one of ``$@*``, a stem only by characters that are no letters. Each hit is then read in a window of its text, which
 separates quotation (inside quotation marks, or near a reporting word) from abuse. A logistic
 model over the summed evidence, fitted on the same sample, gives the score.
 
@@ -30,6 +34,8 @@ from pyspark.sql import functions as F
 from .common import labelled_sample, materialize
 
 WORD = re.compile(r"[^\W\d_]+")
+TOKEN = re.compile(r"\S+")
+SIGNS = "$@*"  # stand for letters at the ends of a token too
 # Words that mark a quotation or report near a term.
 REPORTING = frozenset("""called calls cited cite quote quoted quotes said says word words term insult
 zitat sagte nannte wort cita dijo palabra dit mot citation""".split())
@@ -58,9 +64,17 @@ class Lexicon:
         self.tails = {w[len(w) // 2:] for w in self.words if len(w) >= 5}
         self.head_sizes = sorted({len(h) for h in self.heads})
         self.tail_sizes = sorted({len(t) for t in self.tails})
+        # A swap across the middle keeps neither half, but gives this beginning.
+        self.crossed = {w[: len(w) // 2 - 1] + w[len(w) // 2] for w in self.words if len(w) >= 5}
         self.longest = max(map(len, self.words), default=0)
-
-    def lookup(self, word: str) -> tuple[float, bool] | None:
+        # Stems without one letter, by what stands before and after it.
+        self.gapped: dict[tuple[str, str], float] = {}
+        for stem, weight in self.stems.items():
+            for i in range(len(stem)):
+                key = stem[:i], stem[i + 1:]
+                self.gapped[key] = max(weight, self.gapped.get(key, weight))
+
+    def lookup(self, word: str, swaps: bool = False) -> tuple[float, bool] | None:
         """(weight, exact) of the best lexicon match of a lower-case word."""
         if word in self.words:
             return self.words[word], True
@@ -69,19 +83,47 @@ class Lexicon:
             return stem, True
         if not 5 <= len(word) <= self.longest + 1:
             return None
-        if not (any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes)):
+        if not (any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes)
+                or swaps and any(word[:n] in self.crossed for n in self.head_sizes)):
+            return None
+        best = levenshtein_search(self.trie, word, 1, swaps)
+        return (best, False) if best is not None else None
+
+    def lookup_token(self, token: str) -> tuple[float, bool] | None:
+        """(weight, False) of the best match of a lower-case token with digits or symbols among its
+        letters; None if a word of it is a hit of its own."""
+        first, last = 0, len(token)
+        while first < last and not (token[first].isalnum() or token[first] in SIGNS):
+            first += 1
+        while last > first and not (token[last - 1].isalnum() or token[last - 1] in SIGNS):
+            last -= 1
+        core = token[first:last]
+        words = WORD.findall(core)
+        if not words or words == [core] or any(self.lookup(w, True) for w in words):
             return None
-        best = levenshtein_search(self.trie, word, 1)
+        found = []
+        for form in {core, core.strip(SIGNS)}:
+            odd = [i for i, c in enumerate(form[: max(STEM_LENGTHS)]) if not c.isalpha()]
+            least = 4 if any(c.isdigit() or c in SIGNS for c in form) else 5
+            if least <= len(form) <= self.longest + 1:
+                found.append(levenshtein_search(self.trie, form, 1, True, least))
+            for n in STEM_LENGTHS if len(odd) else ():
+                at = odd[0]
+                if at < n:
+                    found.append(self.gapped.get((form[:at], form[at + 1: n])) if n <= len(form) else None)
+                    found.append(self.stems.get(form[:at] + form[at + 1: n + 1]))
+        best = max((w for w in found if w is not None), default=None)
         return (best, False) if best is not None else None
 
 
-def levenshtein_search(trie: dict, word: str, distance: int) -> float | None:
-    """Greatest weight of a term of five letters or more within ``distance`` edits of ``word``."""
+def levenshtein_search(trie: dict, word: str, distance: int, swaps: bool = False, least: int = 5) -> float | None:
+    """Greatest weight of a term of ``least`` letters or more within ``distance`` edits of ``word``; with
+    ``swaps``, two neighbours that change places are one edit."""
     best = None
-    stack = [(trie, list(range(len(word) + 1)))]
+    stack = [(trie, list(range(len(word) + 1)), None, "")]
     while stack:
-        node, row = stack.pop()
-        if "" in node and row[-1] <= distance and len(node[""][0]) >= 5:
+        node, row, above, over = stack.pop()
+        if "" in node and row[-1] <= distance and len(node[""][0]) >= least:
             best = node[""][1] if best is None else max(best, node[""][1])
         for letter, child in node.items():
             if not letter:
@@ -89,8 +131,10 @@ def levenshtein_search(trie: dict, word: str, distance: int) -> float | None:
             step = [row[0] + 1]
             for i, c in enumerate(word, 1):
                 step.append(min(step[-1] + 1, row[i] + 1, row[i - 1] + (c != letter)))
+                if swaps and above is not None and i > 1 and c == over and word[i - 2] == letter:
+                    step[-1] = min(step[-1], above[i - 2] + 1)
             if min(step) <= distance:
-                stack.append((child, step))
+                stack.append((child, step, row, letter))
     return best
 
 
@@ -114,7 +158,7 @@ class Evidence:
     """Per-text evidence vectors, with a bounded cache of word look-ups."""
 
     def __init__(self, lexicon: Lexicon):
-        self.lexicon, self.cache = lexicon, {}
+        self.lexicon, self.cache, self.tokens = lexicon, {}, {}
 
     def __call__(self, text: str | None) -> list[float]:
         if not text:
@@ -125,13 +169,25 @@ class Evidence:
         for word in set(words):
             found = cache.get(word, 0)
             if found == 0:
-                found = self.lexicon.lookup(word)
+                found = self.lexicon.lookup(word, True)
                 if len(cache) >= CACHE:
                     cache.clear()
                 cache[word] = found
             if found is not None:
                 hits[word] = found
-        if not hits:
+        tokens, spelled = self.tokens, {}
+        for token in set(lower.split()):
+            if token.isalpha():
+                continue
+            found = tokens.get(token, 0)
+            if found == 0:
+                found = self.lexicon.lookup_token(token)
+                if len(tokens) >= CACHE:
+                    tokens.clear()
+                tokens[token] = found
+            if found is not None:
+                spelled[token] = found[0]
+        if not hits and not spelled:
             return [0.0] * N_FEATURES
         abuse = quoted = fuzzy = most = 0.0
         for m in WORD.finditer(lower):
@@ -145,6 +201,13 @@ class Evidence:
                 most = max(most, weight)
             else:
                 fuzzy += weight
+        for m in TOKEN.finditer(lower) if spelled else ():
+            if (weight := spelled.get(m.group())) is None:
+                continue
+            if is_quoted(lower, m.start(), m.end()):
+                quoted += weight
+            else:
+                fuzzy += weight
         return [math.log1p(abuse), math.log1p(quoted), math.log1p(fuzzy), most, float(abuse > 0),
                 100 * (abuse + quoted + fuzzy) / (100 + len(words))]
 

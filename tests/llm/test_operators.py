@@ -343,6 +343,30 @@ def test_levenshtein_automaton_equals_edit_distance():
         assert (lexicon.lookup(w) is not None) == expected, w
 
 
+def test_disguised_spellings_of_learned_terms(spark):
+    lexicon = toxicity.Lexicon({"idiot": 2.0, "trash": 3.0, "scum": 4.0, "moron": 5.0}, {"grun": 6.0})
+    read = toxicity.Evidence(lexicon)
+    for text, weight in {"id1ot": 2, "m*ron,": 5, "(tr4sh)": 3, "sc*m!": 4, "$cum": 4, "idi-ot": 2, "gr*ntling": 6, "gr.untling": 6,
+                         "idoit": 2, "moorn": 5, "tarsh": 3, "*tr4sh*": 3}.items():
+        assert read(f"you {text} go")[2] == pytest.approx(np.log1p(weight)), text
+    # Words of a token that are hits themselves count once, and most tokens are none.
+    assert read("idiot,trash")[0] == pytest.approx(np.log1p(5)) and read("idiot,trash")[2] == 0 and read("trash1")[2] == 0
+    for text in ("it's", "1234", "x1y2z3", "scam", "h1dden", "a.b@c.example"):
+        assert read(f"you {text} go") == [0.0] * toxicity.N_FEATURES, text
+    assert read('he said "id1ot" twice')[1:3] == [pytest.approx(np.log1p(2)), 0]
+    # Swaps against brute force.
+    rnd = random.Random(7)
+    for _ in range(200):
+        term = "".join(rnd.choice("abcd") for _ in range(rnd.randint(5, 8)))
+        i = rnd.randrange(len(term) - 1)
+        assert toxicity.Lexicon({term: 1.0}).lookup(term[:i] + term[i + 1] + term[i] + term[i + 2:], True) is not None
+    bad = lambda r: " ".join(r.choice(["alpha", "bravo", "carol"]) for _ in range(9)) + " " + r.choice(["insultus", "vilewretch", "gruntling"])
+    model = toxicity.train(*classified(spark, bad))
+    odd = ["alpha bravo carol ins*ltus", "alpha bravo carol v1lewretch", "alpha bravo carol gr0ntling", "alpha bravo carol"]
+    scores = [r["score"] for r in toxicity.with_score(spark.createDataFrame([(t,) for t in odd], "text string").coalesce(1), model).collect()]
+    assert min(scores[:3]) > scores[3]
+
+
 def test_quotation_is_told_from_abuse():
     text = 'he wrote "you gruntling" and left'
     at = text.index("gruntling")
