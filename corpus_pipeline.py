@@ -3,7 +3,7 @@ source and encoded.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept; all but the last return the
 columns of ``documents``. Rows with null ids or texts pass: a null text is scored, compared and
-mixed as an empty one, a null id is never a near copy. An empty table gives an empty result.
+mixed as an empty one (texts without words stay once in the mix), a null id is never a near copy. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ Every random choice is a hash of the seed and of ids, so reruns agree.
 
 Defined results: the size of a text is its number of words, 0 for null and empty ones; a source
 without words has target 0. A null source is a source of its own and comes last. Rows that repeat
-an id and a text share their draws' place but each gives its own row. An empty table gives an empty
+an id and a text share their draws' place but each gives its own row. Texts without words have no
+draws; ``mixed_documents`` gives each of them out once, in a shard by hash. An empty table gives an empty
 result. Extra columns are ignored by ``draws`` and kept by ``mixed_documents``.
 """
 
@@ -186,11 +187,15 @@ def taken(mix: DataFrame) -> Column:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: rows of ``docs``, whole, once for each draw; all columns stay.
+    """The mix itself: rows of ``docs``, whole, once for each draw, those without words once; all columns stay.
 
     Rows lie by shard and in its local order. Rows that repeat an id and a text are drawn alike, and
     each of them is given out."""
-    mix = (draws(docs, whole_documents=True, **options).filter(F.size("draws") > 0)
+    seed, depth = options.get("seed", 0), options.get("depth", 4)
+    wordless = F.array(F.struct(F.pmod(F.xxhash64(F.lit(seed + 5), "doc_id", "text_hash"), F.lit(1 << depth)).cast("int").alias("shard"),
+                                F.xxhash64(F.lit(seed + 4), "doc_id", "text_hash").alias("place"), F.lit(0).cast("long").alias("words")))
+    mix = (draws(docs, whole_documents=True, **options)
+           .withColumn("draws", F.when(F.col("size") == 0, wordless).otherwise(F.col("draws"))).filter(F.size("draws") > 0)
            .select(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_text"), F.col("source").alias("__llm_source"),
                    F.col("draws").alias("__llm_draws")).dropDuplicates(["__llm_id", "__llm_text", "__llm_source"]))
     tagged = docs.alias("d").join(

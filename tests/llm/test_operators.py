@@ -297,6 +297,13 @@ def test_repeated_rows_leave_one(spark):
     assert sorted((r["doc_id"] or 0, r["text"]) for r in exact_dedup.deduplicate(df).collect()) == [(0, "d"), (1, "a"), (2, "b"), (2, "c")]
 
 
+def test_texts_without_words_stay_once_in_the_mix(spark, docs, rows):
+    odd = [(900, None, "s1"), (901, "", "s2"), (902, " \n\t", None), (903, None, "nothing else"), (None, None, "s1"), (None, None, "s1")]
+    table = docs.select("doc_id", "text", "source").unionByName(spark.createDataFrame(odd, "doc_id long, text string, source string"))
+    found = [tuple(r) for r in mixing.mixed_documents(table, depth=2).collect() if not words_of(r["text"])]
+    assert sorted(map(str, found)) == sorted(str(r) for r in [*rows, *odd] if not words_of(r[1]))
+
+
 # ---- op6, op7, op10 -------------------------------------------------------------
 
 def classified(spark, positive, seed=3):
