@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact_dedup, fingerprints, langid, mixing, ngram_join, pii, quality, token_store, toxicity
+from . import bpe, exact_dedup, fingerprints, langid, mixing, ngram_join, pii, quality, suffix_dedup, token_store, toxicity
 from .common import fold, table
 
 THRESHOLD = 0.3
@@ -119,3 +119,8 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.a = d.doc_id
 """)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op12_suffix_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
