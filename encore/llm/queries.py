@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, exact_dedup, fingerprints, langid, mixing, ngram_join, pii, quality, suffix_dedup, token_store, toxicity
+from . import bpe, exact_dedup, fingerprints, langid, mixing, ngram_join, pii, quality, suffix_dedup, token_store, toxicity, whitening
 from .common import fold, table
 
 THRESHOLD = 0.3
@@ -124,3 +124,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op12_suffix_dedup")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@register("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
