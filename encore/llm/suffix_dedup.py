@@ -328,51 +328,57 @@ def _sort_buckets(width: int, shared: bool):
             run = np.cumsum(np.r_[True, h[o[1:]] != h[o[:-1]]]) - 1
             lead = o[np.flatnonzero(np.r_[True, run[1:] != run[:-1]])][run]
             o = o[(unit[o] != unit[lead]) | (at[o] != at[lead])]
-        return _replies(unit[o], at[o], span[o])
+        return unit[o], at[o], span[o]
 
-    def as_batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["block", "blob"])
+    def replies(held):
+        rows = list(_replies(*(np.concatenate(x) for x in zip(*held))))
+        for a in range(0, len(rows), 512):
+            part = rows[a:a + 512]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.binary())], ["block", "blob"])
 
     def run(batches):
-        bucket, blobs, ready = None, [], []
+        # what is settled is held over the task's buckets: a block of units gets one reply from a task, not one from a bucket
+        bucket, blobs, held, n = None, [], [], 0
         for batch in batches:
             for b, block, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "blob"))):
+                settled = None
                 if block is not None:
-                    ready.append((block, blob))
-                    continue
-                if b != bucket:
-                    if len(blobs) > 1:
-                        ready.extend(settle(blobs))
-                    bucket, blobs = b, []
-                blobs.append(blob)
-                if len(ready) >= 512:
-                    yield as_batch(ready)
-                    ready = []
-            for a in range(0, len(ready), 512):
-                yield as_batch(ready[a:a + 512])
-            ready = []
+                    settled = _reply(block, blob)
+                elif b == bucket:
+                    blobs.append(blob)
+                else:
+                    settled = settle(blobs) if len(blobs) > 1 else None
+                    bucket, blobs = b, [blob]
+                if settled is not None:
+                    held.append(settled)
+                    n += len(settled[0])
+                if n >= FLUSH:
+                    yield from replies(held)
+                    held, n = [], 0
         if len(blobs) > 1:
-            ready.extend(settle(blobs))
-        for a in range(0, len(ready), 512):
-            yield as_batch(ready[a:a + 512])
+            held.append(settle(blobs))
+        if held:
+            yield from replies(held)
     return run
 
 
+def _reply(block: int, blob: bytes):
+    """(unit, place, span) of a reply."""
+    n, view = len(blob) // 6, memoryview(blob)
+    low = np.frombuffer(view, np.uint8, n).astype(np.int64)
+    return (block << BLOCK_BITS) + low, _unplanes(view[n:], n, "<u4").astype(np.int64), np.frombuffer(view[5 * n:], np.uint8, n)
+
+
 def _by_unit(batches):
     """Blocks of replies, in order of the block, to one blob of places a unit."""
     def settle(block, blobs):
-        parts = []
-        for blob in blobs:
-            n = len(blob) // 6
-            view = memoryview(blob)
-            parts.append((np.frombuffer(view, np.uint8, n).astype(np.int64), _unplanes(view[n:], n, "<u4").astype(np.int64), np.frombuffer(view[5 * n:], np.uint8, n)))
-        unit, at, span = (np.concatenate(x) for x in zip(*parts))
+        unit, at, span = (np.concatenate(x) for x in zip(*(_reply(block, blob) for blob in blobs)))
         o = np.lexsort((at, unit))
         unit, at, span = unit[o], at[o], span[o]
         cuts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1], True])
         units, blobs = [], []
         for a, b in zip(cuts[:-1], cuts[1:]):
-            units.append((block << BLOCK_BITS) + int(unit[a]))
+            units.append(int(unit[a]))
             blobs.append(zlib.compress(_planes(np.diff(at[a:b], prepend=0), "<u4") + span[a:b].tobytes(), 1))
         return pa.RecordBatch.from_arrays([pa.array(units, pa.int64()), pa.array(blobs, pa.binary())], ["unit", "marks"])
 
