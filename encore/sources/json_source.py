@@ -3,9 +3,9 @@
 Layouts
     ``lines``  one JSON object per line (JSON Lines): splittable, one task per
                file split - the layout for event volumes.
-    ``array``  one pretty-printed JSON array per file (the reference's format):
-               each file is one task, so use it for dimension-sized files or
-               many files.
+    ``array``  one JSON array per file, indented or not: byte-range splits with
+               a search for record boundaries, so a file is read by many tasks
+               (``json_array``).
 
 Parsing
     Every record is first parsed with an all-string schema and then each field
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .json_array import array_objects
 from .staging import Staging
 
 # Loader defaults, applied only when the key is absent from the record.
@@ -55,8 +56,7 @@ def json_objects(spark: SparkSession, path: str, layout: str = "lines") -> DataF
     if layout == "lines":
         return spark.read.text(path).where(F.length(F.trim("value")) > 0)
     if layout == "array":
-        files = spark.read.text(path, wholetext=True)
-        return files.select(F.explode(F.from_json("value", "array<string>")).alias("value"))
+        return array_objects(spark, path)
     raise ValueError(f"unknown JSON layout {layout!r}")
 
 
