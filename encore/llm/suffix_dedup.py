@@ -46,7 +46,7 @@ WINDOW = 100
 V, D = 57, (0, 1, 3, 13, 32, 36, 43, 52)
 SAMPLE = WINDOW - V + 1
 #: Bytes of text handled at once, and records held before they are sent.
-PIECE, FLUSH = 1 << 22, 1 << 21
+PIECE, FLUSH = 1 << 20, 1 << 20
 #: A segment ends where a hash of the text at its place has SEGMENT_BITS zero bits, or after SEGMENT suffixes.
 SEGMENT_BITS, SEGMENT = 4, 64
 #: Units of a reply; buckets of a task; bytes of a task's records aimed at.
