@@ -6,8 +6,9 @@ driver holds d x k coefficients only. A step makes two distributed products:
   X v     the next left vector u, freed of all earlier left vectors. Left vectors have a row for each
           vector of the list, so they are not stored: each is X w for a coefficient vector w, and a
           pass makes X W beside X v and returns their inner products (full reorthogonalisation).
-  X^T u   with the norm of u in the same pass; freed of all earlier right vectors, it is the next right
-          vector.
+  X^T u   in the same pass as the norm of u and what rounding left along earlier left vectors (if more
+          than that, it is taken off and the pass made again); freed of all earlier right vectors,
+          it is the next right vector.
 
 What is left is a small upper bidiagonal matrix B with X V = U B; its singular values s give the
 eigenvalues s^2 / n of the covariance and V times its right singular vectors the components. Steps go on
@@ -38,6 +39,8 @@ SCALE, SHIFT = 64, 1_000_000
 BLOCK_ROWS = 4096
 #: Of the largest singular value: below, a vector is taken for zero; converged residuals are below the second.
 ZERO, CONVERGED = 1e-10, 1e-15
+#: Of a left vector's length: the part along earlier ones that is left to rounding.
+ORTHOGONAL = 1e-12
 
 OUTPUT = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
 
@@ -129,16 +132,16 @@ def bidiagonalise(fit: FitList, components: int) -> Iterator[tuple[np.ndarray, n
     v, beta = _fresh(rng, V), 0.0
     while v is not None:
         k = V.shape[1]
-        along, w = np.zeros(k), v
-        for _ in range(2 if k else 0):  # twice is enough
-            now, coefficients = w, W
-            c = fit.sum(lambda x: (x @ coefficients).T @ (x @ now))
-            along, w = along + c, w - W @ c
-        start = w
-        last = fit.sum(lambda x: np.r_[((x @ start) ** 2).sum(), x.T @ (x @ start)])
-        alpha = float(np.sqrt(last[0]))
+        w = v - W @ fit.sum(lambda x, W=W: (x @ W).T @ (x @ v)) if k else v
+        while True:
+            made = fit.sum(lambda x, W=W, w=w: np.r_[(u := x @ w) @ u, x.T @ u, (x @ W).T @ u])
+            alpha, along = float(np.sqrt(made[0])), made[1 + d:]
+            # what of the earlier left vectors is still in it; once more is enough
+            if alpha <= ZERO * norm or np.linalg.norm(along) <= ORTHOGONAL * alpha:
+                break
+            w = w - W @ along
         flat = alpha <= ZERO * norm
-        alpha, w, z = (0.0, w * 0, w * 0) if flat else (alpha, w / alpha, last[1:] / alpha)
+        alpha, w, z = (0.0, w * 0, w * 0) if flat else (alpha, w / alpha, made[1:1 + d] / alpha)
         B = np.pad(B, ((0, 1), (0, 1)))
         B[k, k] = alpha
         if k:
