@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 
@@ -22,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column name as a reference, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to shared scratch and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
@@ -36,6 +42,29 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % folds, F.lit(0))
 
 
+class WorkerModel:
+    """One model in the memory of a Python worker: workers are used again by other operators, so a model
+    goes when another is asked for or when ``clear`` is called at the start of a task that needs the room."""
+
+    def __init__(self):
+        self.key, self.model = None, None
+
+    def get(self, key, build):
+        if key != self.key:
+            self.clear()
+            self.key, self.model = key, build()
+        return self.model
+
+    def clear(self) -> None:
+        if self.key is not None:
+            self.key, self.model = None, None
+            gc.collect()
+
+
+#: Of this worker.
+worker_model = WorkerModel()
+
+
 def fold_of(doc_id, folds: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % folds
 

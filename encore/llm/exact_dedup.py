@@ -1,35 +1,41 @@
-"""Exact deduplication by aggregating digest runs in rounds.
+"""Exact deduplication by a tree-merge of sorted digest runs.
 
-Each input partition is a *run* of (digest, row). Level 0 aggregates the rows of a run to
-one entry per digest: the row that stays, the number of copies, and the key that verifies the
-digest. Each round then aggregates ``fan_in`` neighbouring runs of the level below, again to one entry
-per digest, until one run is left; a round is a Spark aggregation on (digest, parent run), so a digest
-with a third of all rows reaches any task at most once per child run. Runs are not sorted and there is
-no multiway merge of sorted runs; up to ``fan_in`` input partitions there is one round, a plain grouping by
-digest after the one by run. The result goes back down the same way: to one entry per (digest, leaf
-run), then to the rows of that run.
+Each input partition is a *run*: its rows sorted by digest, one entry per text with the identifier that
+stays, the number of copies and what verifies the digest. Runs are merged in binomial rounds: in round k
+slot i exchanges with slot i XOR 2^k, by the k-th bit of the digest, and every slot merges the sorted
+halves it holds, again to one entry per text. So after k rounds a slot has merged 2^k runs over a
+2^k-th of the digests: slots stay the size of a partition, as many as there are runs, and the last
+round leaves each digest in one slot, whatever number of rows had it. A digest that a third of all rows
+share is one entry of each run and halves its entries every round.
+
+In a merge, entries are equal only when the digest, the byte length and a second, independent hash
+are; among equal ones the larger identifier is kept and copies add up. The result goes back to one entry
+per (digest, run), then to the rows of that run.
 
 Defined results: texts are equal when identical as they are; null counts as empty. Of equal texts
 the row with the largest doc_id stays; a null id is smaller than any other; among rows that repeat
 an id, one of them stays. An empty table gives an empty result. A digest is the SHA-256 of the
-UTF-8 text, verified by byte length and a second, independent hash.
+UTF-8 text. Extra columns are kept by ``deduplicate``, whatever their names.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, quoted
 
 KEY = ["digest", "n_bytes", "check"]
 RUN_BITS = 33  # monotonically_increasing_id: partition above, row within it below
 
 
-def _order(doc_id: str = "doc_id", row: str = "row") -> Column:
-    """Larger is better: ids first, then the earlier row; null ids last."""
-    return F.struct(F.col(doc_id).isNotNull().alias("has_id"), F.col(doc_id).alias("doc_id"),
-                    (-F.col(row)).alias("earlier"))
+def _value(text: str) -> Column:
+    return F.coalesce(F.col(quoted(text)).cast("string"), F.lit(""))
 
 
 def digest_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -37,48 +43,145 @@ def digest_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     The text is read once and not shuffled. The digest is kept as binary.
     """
-    value = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.unhex(F.sha2(value, 256)).alias("digest"),
+    value = _value(text)
+    narrow = docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"), F.unhex(F.sha2(value, 256)).alias("digest"),
                          F.octet_length(value).cast("long").alias("n_bytes"), F.xxhash64(value).alias("check"),
                          F.monotonically_increasing_id().alias("row"))
     return materialize(narrow, "digest-runs").withColumn("run", F.shiftright("row", RUN_BITS))
 
 
-def merge_tree(rows: DataFrame, fan_in: int = 32) -> tuple[DataFrame, DataFrame]:
-    """(leaf entries, root entries): one row per (digest, leaf run) and one per digest."""
-    leaves = materialize(
-        rows.groupBy(*KEY, "run").agg(F.max(_order()).alias("best"), F.count(F.lit(1)).alias("copies")), "leaf-runs")
-    last_run = leaves.agg(F.max("run")).first()[0] or 0
-    level, width = leaves, fan_in
-    while True:
-        level = (level.withColumn("run", F.floor(F.col("run") / fan_in).cast("long"))
-                 .groupBy(*KEY, "run").agg(F.max("best").alias("best"), F.sum("copies").alias("copies")))
-        if width > last_run:
-            return leaves, level
-        width *= fan_in
+#: An entry of a run: the digest as four words (of its bytes in big-endian order), what verifies it, the row that stays, its copies.
+ENTRY = np.dtype([("d0", "<u8"), ("d1", "<u8"), ("d2", "<u8"), ("d3", "<u8"), ("n_bytes", "<i8"), ("check", "<i8"),
+                  ("has_id", "u1"), ("doc_id", "<i8"), ("row", "<i8"), ("copies", "<i8")])
+IDENTITY = ["d0", "d1", "d2", "d3", "n_bytes", "check"]
+RUN = "slot int, entries binary"
+#: Rounds between two writes to shared scratch: what a lost executor may have to repeat.
+ROUNDS_A_WRITE = 4
+
+
+def merge_runs(runs: list[np.ndarray]) -> np.ndarray:
+    """Sorted runs to one sorted run with an entry per text: the largest identifier, all copies."""
+    entries = np.concatenate(runs)
+    # the sort is stable and finds the runs in order; of equal texts the row that stays comes last
+    order = np.lexsort([-entries["row"], entries["doc_id"], entries["has_id"], *(entries[c] for c in reversed(IDENTITY))])
+    entries = entries[order]
+    last = np.ones(len(entries), bool)
+    last[:-1] = np.logical_or.reduce([entries[c][1:] != entries[c][:-1] for c in IDENTITY])
+    kept = entries[last].copy()
+    ends = np.flatnonzero(last)
+    kept["copies"] = np.diff(np.cumsum(entries["copies"])[ends], prepend=0)
+    return kept
+
+
+def _leaf_runs(batches) -> Iterator[pa.RecordBatch]:
+    """The rows of each run, sorted and reduced batch by batch; a run may come in several pieces."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        entries = np.zeros(len(batch), ENTRY)
+        digests = np.frombuffer(b"".join(batch.column("digest").to_pylist()), ">u8").reshape(-1, 4)
+        for c in range(4):
+            entries[f"d{c}"] = digests[:, c]
+        entries["has_id"] = np.asarray(batch.column("doc_id").is_valid())
+        for name in ("n_bytes", "check", "row"):
+            entries[name] = np.asarray(batch.column(name))
+        entries["doc_id"] = np.asarray(batch.column("doc_id").fill_null(0))
+        entries["copies"] = 1
+        run = entries["row"] >> RUN_BITS
+        yield _as_batch([(int(r), merge_runs([entries[run == r]]).tobytes()) for r in np.unique(run)])
+
+
+def _as_batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["slot", "entries"])
+
+
+def _send(low: int, bits: int):
+    """Each run's parts for the slots that differ from its own in ``bits`` bits from ``low`` on, by the digest's own bits there."""
+    mask = ((1 << bits) - 1) << low
+
+    def run(batches):
+        for batch in batches:
+            for slot, blob in zip(batch.column("slot").to_pylist(), batch.column("entries").to_pylist()):
+                entries = np.frombuffer(blob, ENTRY)
+                to = (slot & ~mask) | (entries["d3"].astype(np.int64) & mask)
+                yield _as_batch([(int(t), entries[to == t].tobytes()) for t in np.unique(to)])
+    return run
+
+
+def _merge(batches):
+    """Runs in order of their slot: each slot's runs merged to one."""
+    slot, runs = None, []
+    for batch in batches:
+        for s, blob in zip(batch.column("slot").to_pylist(), batch.column("entries").to_pylist()):
+            if s != slot and runs:
+                yield _as_batch([(slot, merge_runs(runs).tobytes())])
+                runs = []
+            slot = s
+            runs.append(np.frombuffer(blob, ENTRY))
+            if sum(map(len, runs)) > 2 * len(runs[0]) + (1 << 16):
+                runs = [merge_runs(runs)]
+    if runs:
+        yield _as_batch([(slot, merge_runs(runs).tobytes())])
+
+
+def rounds(n_runs: int, fan_in: int = 2) -> list[tuple[int, int]]:
+    """(lowest bit, bits) of each round that merges ``n_runs`` runs, ``fan_in`` (a power of two) at a time."""
+    depth, step = max(0, n_runs - 1).bit_length(), max(1, fan_in.bit_length() - 1)
+    return [(low, min(step, depth - low)) for low in range(0, depth, step)]
+
+
+def merge_tree(rows: DataFrame, fan_in: int = 2) -> DataFrame:
+    """(slot, entries) after the last round: every text in one slot, once."""
+    runs = materialize(rows.select("digest", "n_bytes", "check", "doc_id", "row").mapInArrow(_leaf_runs, RUN), "leaf-runs")
+    last_run = runs.agg(F.max("slot")).first()[0]
+    todo = rounds(0 if last_run is None else last_run + 1, fan_in) or [(0, 0)]   # pieces of a single run are merged too
+    tasks = max(1, min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 if last_run is None else last_run + 1))
+    for n, (low, bits) in enumerate(todo, 1):
+        sent = runs.mapInArrow(_send(low, bits), RUN)
+        runs = sent.repartition(tasks, "slot").sortWithinPartitions("slot").mapInArrow(_merge, RUN)
+        if n % ROUNDS_A_WRITE == 0:
+            runs = materialize(runs, f"round-{n}")
+    return runs
+
+
+def _root_entries(batches):
+    for batch in batches:
+        for blob in batch.column("entries").to_pylist():
+            e = np.frombuffer(blob, ENTRY)
+            digests = np.stack([e[f"d{c}"] for c in range(4)], axis=1).astype(">u8").tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([digests[a:a + 32] for a in range(0, len(digests), 32)], pa.binary()), *(pa.array(e[c].astype(np.int64)) for c in ("n_bytes", "check")),
+                 pa.array(e["doc_id"].astype(np.int64), mask=e["has_id"] == 0), *(pa.array(e[c].astype(np.int64)) for c in ("row", "copies"))],
+                ["digest", "n_bytes", "check", "keep_id", "keep_row", "copies"])
+
+
+def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fan_in: int = 2) -> DataFrame:
+    """Every row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _groups(digest_runs(docs, doc_id, text), fan_in).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fan_in: int = 32) -> DataFrame:
-    """Every row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = digest_runs(docs, doc_id, text)
-    leaves, root = merge_tree(rows, fan_in)
-    down = leaves.select(*KEY, "run").join(root.select(*KEY, "best", "copies"), KEY)
+def _groups(rows: DataFrame, fan_in: int) -> DataFrame:
+    root = merge_tree(rows, fan_in).mapInArrow(
+        _root_entries, "digest binary, n_bytes long, check long, keep_id long, keep_row long, copies long")
+    # Down the same way: one entry a (digest, run), then the rows of the run.
+    down = rows.select(*KEY, "run").distinct().join(root, KEY)
     found = rows.join(down, [*KEY, "run"])
-    return found.select("doc_id", F.col("best.doc_id").alias("keep_id"), F.col("copies").alias("group_size"),
-                        (_order() == F.col("best")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    return found.select("doc_id", "keep_id", F.col("copies").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"),
+                        F.lower(F.hex("digest")).alias("text_sha256"), "row")
 
 
-def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fan_in: int = 32) -> DataFrame:
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fan_in: int = 2) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; all columns stay.
 
     Kept rows are found by (id, digest); rows that repeat both are brought down to one after the
     join, in the same partitioning.
     """
+    own = uuid.uuid4().hex[:12]   # helper columns that no column of docs can be called
+    an_id, a_sha = f"__id_{own}", f"__sha_{own}"
     keep = (exact_groups(docs, doc_id, text, fan_in).filter("kept")
-            .select(F.col("doc_id").alias("__llm_id"), F.col("text_sha256").alias("__llm_sha")))
-    tagged = docs.withColumns({"__llm_id": F.col(doc_id).cast("long"),
-                               "__llm_sha": F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)})
+            .select(F.col("doc_id").alias(an_id), F.col("text_sha256").alias(a_sha)))
+    tagged = docs.withColumns({an_id: F.col(quoted(doc_id)).cast("long"), a_sha: F.sha2(_value(text), 256)})
     matched = tagged.alias("t").join(
-        keep.alias("k"), F.col("t.__llm_id").eqNullSafe(F.col("k.__llm_id")) & (F.col("t.__llm_sha") == F.col("k.__llm_sha")),
+        keep.alias("k"), F.col(f"t.{an_id}").eqNullSafe(F.col(f"k.{an_id}")) & (F.col(f"t.{a_sha}") == F.col(f"k.{a_sha}")),
         "left_semi")
-    return matched.dropDuplicates(["__llm_id", "__llm_sha"]).select(*docs.columns)
+    return matched.dropDuplicates([an_id, a_sha]).select(*map(quoted, docs.columns))
