@@ -16,7 +16,6 @@ strings inside a text become their special id, as the tokenizers library does by
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import sys
@@ -30,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GPT_CHUNK
+from .common import GPT_CHUNK, worker_model
 
 NEVER = 1 << 60
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
@@ -205,10 +204,9 @@ class PrefixBpe:
         return b"".join([token[i] for i in np.frombuffer(ids, dtype="<u4").tolist()]).decode("utf-8", errors="replace")
 
 
-@functools.lru_cache(maxsize=2)
 def load(path: str) -> PrefixBpe:
-    """One model for each worker and file."""
-    return PrefixBpe(path)
+    """The model in this worker."""
+    return worker_model.get(("bpe", path), lambda: PrefixBpe(path))
 
 
 def encode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:

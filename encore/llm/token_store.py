@@ -17,7 +17,6 @@ An empty table gives an empty store.
 
 from __future__ import annotations
 
-import functools
 import os
 import zlib
 from collections.abc import Iterable, Iterator
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import parallelism
+from .common import parallelism, worker_model
 
 SHARD_IDS = 1 << 20
 CACHE_CHUNKS, CACHED_LENGTH = 250_000, 48
@@ -227,9 +226,9 @@ class ChunkEncoder:
         return b"".join(found)
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    """The encoder in this worker."""
+    return worker_model.get(("token store", path), lambda: ChunkEncoder(path))
 
 
 # ---- writing and reading --------------------------------------------------------
