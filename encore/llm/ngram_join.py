@@ -1,10 +1,9 @@
-"""N-gram Jaccard join: prefix filtering, verification by plain intersection, and its components.
+"""N-gram Jaccard join: prefix filtering, T-occurrence search by DivideSkip, and its components.
 
 Two documents link when the Jaccard similarity of their sets of word shingles reaches ``percent``
 per cent. Of n shingles a partner must share at least T = ceil(percent n / 100), so at least one of its
-n - T + 1 short lists once the T - 1 longest are set aside. DivideSkip would count occurrences in a merge of
-the short lists and probe the long ones for the rest; here one shared short list makes a candidate, and
-an intersection of both sets decides:
+n - T + 1 short lists once the T - 1 longest are set aside. Across the cluster one shared short list makes a
+candidate; in blocks of candidates DivideSkip merges short lists, probes long ones and decides:
 
   sets      documents with equal sets are one class; what follows works on class representatives.
   order     shingles that a 1/16 sample finds in many sets are *long*; all others are short. Any order
@@ -15,10 +14,10 @@ an intersection of both sets decides:
             of its lists only, so a turn has no more candidates than there are sets. First the set with
             the fullest lists leads (the one that edits set least apart), then one by hash.
   bound     bitmaps of both sets bound their intersection from above; pairs that can't reach T go.
-  probe     blocks of one query set and its candidates: the hashes of each candidate are intersected
-            with the query's, which is the exact overlap and what verifies a pair. ``divide_skip`` counts
-            these intersections once more by heap merge and binary search; it gives the same numbers and
-            saves no work.
+  probe     blocks of one query set and its candidates: the candidates' hashes are turned into the
+            query's inverted lists over the block, and DivideSkip counts occurrences in them: a heap
+            merges the short lists, candidates that may still reach T are looked up in the long
+            ones by binary search. Its counts are the exact overlaps and decide every pair.
   exact     links join sets to components. What may still be missing are links between sets of one list
             that lie in different components. Where one of the two components is a crowd (more than
             CROWD sets), the sets of the smaller one are set against the larger one's, in blocks: no
@@ -48,14 +47,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, parallelism
+from .common import materialize, parallelism, worker_model
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: A shingle in this many sampled sets counts as long; the sample is one set in SAMPLE.
 SAMPLE, LONG_IN_SAMPLE, MAX_LONG = 16, 2, 1 << 20
 BLOCK = 256
 #: A component of more sets is probed in blocks; a block holds at most this many shingles beside one set.
-CROWD, BLOCK_SHINGLES = 64, 1 << 22
+CROWD, BLOCK_SHINGLES = 64, 1 << 21
+#: Sets that a task remembers so as not to give out their lists again; sampled shingles it counts at once.
+SEEN = 1 << 18
 #: The most sets of a list in a block of bitmaps.
 LIST_BLOCK = 4096
 
@@ -171,13 +172,21 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 def _long_shingles(docs: DataFrame, words: int) -> np.ndarray:
     """Sorted hashes of shingles that many sampled sets hold: an order hint, at most MAX_LONG (8 MB)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(words)
+        shingle, held, size = Shingler(words), [], 0
+
+        def counted():
+            h, c = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["h", "c"])
+
         for batch in batches:
-            seen: dict[int, int] = {}
             for value in batch.column(0):
-                for h in shingle(value.as_py()).view(np.int64).tolist():
-                    seen[h] = seen.get(h, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["h", "c"])
+                held.append(shingle(value.as_py()))
+                size += len(held[-1])
+                if size >= SEEN:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
 
     sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SAMPLE)) == 0).select("text")
     rows = (sample.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= LONG_IN_SAMPLE)
@@ -201,6 +210,7 @@ def _postings(docs: DataFrame, words: int, percent: int, long: np.ndarray) -> Da
     shared = docs.sparkSession.sparkContext.broadcast(long)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_model.clear()
         shingle, order, seen = Shingler(words), shared.value, set()
         for batch in batches:
             hs, xs = [], []
@@ -208,7 +218,7 @@ def _postings(docs: DataFrame, words: int, percent: int, long: np.ndarray) -> Da
                 h = shingle(value.as_py())
                 if not len(h) or (x := set_key(h)) in seen:
                     continue
-                if len(seen) >= 1_000_000:  # bounded; what is given out again is merged by Spark
+                if len(seen) >= SEEN:  # bounded; what is given out again is merged by Spark
                     seen.clear()
                 seen.add(x)
                 hs.append(short_lists(h, order, percent))
@@ -305,17 +315,23 @@ def divide_skip(query: list[int], lists: dict[int, list[int]], need: int) -> dic
 def block_links(query: np.ndarray, members: list[np.ndarray], percent: int) -> list[int]:
     """Places of the ``members`` that link with ``query``."""
     n = len(query)
-    lists: dict[int, list[int]] = {}
     fits = [i for i, m in enumerate(members) if 100 * min(n, len(m)) >= percent * max(n, len(m))]
-    if not fits:
+    if not n or not fits:
         return []
-    for i in fits:
-        for h in np.intersect1d(query, members[i], assume_unique=True).tolist():
-            lists.setdefault(h, []).append(i)
-    found = divide_skip(query.tolist(), lists, needed(n, percent))
+    found = divide_skip(query.tolist(), inverted_lists(query, members, fits), needed(n, percent))
     return [i for i, common in found.items() if linked(common, n, len(members[i]), percent)]
 
 
+def inverted_lists(query: np.ndarray, members: list[np.ndarray], fits: list[int]) -> dict[int, list[int]]:
+    """The query's shingles to the ascending places of the members that hold them, from one sort of the members' hashes."""
+    hashes = np.concatenate([members[i] for i in fits])
+    places = np.repeat(np.asarray(fits, dtype=np.int32), [len(members[i]) for i in fits])
+    order = np.argsort(hashes, kind="stable")   # members stay in order within a hash
+    hashes, places = hashes[order], places[order]
+    first, last = np.searchsorted(hashes, query, "left"), np.searchsorted(hashes, query, "right")
+    return {q: places[a:b].tolist() for q, a, b in zip(query.tolist(), first.tolist(), last.tolist()) if a < b}
+
+
 def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` that may link by their bitmaps: an exact filter, a thirtieth of the hashes' size."""
     def may_link(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -540,3 +540,17 @@ def test_empty_tables(spark, empty):
     path = scratch_path(spark, "store-empty")
     token_store.write_store(empty, path, public_tokenizers.path("word_bpe_49k.json"))
     assert token_store.read_documents(spark, path).count() == 0
+
+
+def test_block_links_by_divide_skip(monkeypatch):
+    """Links of a block equal a plain count, and are DivideSkip's: without its counts there are none."""
+    rnd = random.Random(8)
+    universe = rnd.sample(range(1, 1 << 56), 60)
+    for _ in range(60):
+        query = np.array(sorted(rnd.sample(universe, rnd.randint(1, 30))), dtype=np.uint64)
+        members = [np.array(sorted(rnd.sample(universe, rnd.randint(1, 30))), dtype=np.uint64) for _ in range(rnd.randint(0, 12))]
+        members += [np.array(sorted(set(query.tolist()) - {rnd.choice(query.tolist())} | {1}), dtype=np.uint64), query]
+        want = [i for i, m in enumerate(members) if 100 * len(set(m.tolist()) & set(query.tolist())) >= 75 * len(set(m.tolist()) | set(query.tolist()))]
+        assert sorted(ngram_join.block_links(query, members, 75)) == want
+    monkeypatch.setattr(ngram_join, "divide_skip", lambda *a: {})
+    assert ngram_join.block_links(query, members, 75) == []
