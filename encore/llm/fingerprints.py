@@ -21,11 +21,13 @@ neighbour. An empty table gives an empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import parallelism
+from .common import materialize, parallelism, quoted
 
 #: Positions of a signature: GROUPS rows of GROUP_SAMPLES, so that generated methods stay small enough to be compiled.
 GROUPS, GROUP_SAMPLES = 6, 4
@@ -35,14 +37,28 @@ BUCKETS_PER_PARTITION = 4
 
 # ---- the next document ----------------------------------------------------------
 
-def _bucket(value: Column, cuts: list[int]) -> Column:
-    """The number of ``cuts`` (ascending) at or below ``value``, by a balanced tree of comparisons; 0 for null."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value < F.lit(cuts[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-    return F.when(value.isNull(), F.lit(0)).otherwise(tree(0, len(cuts)))
+def _at_or_below(cuts: Column, value: Column, n: int) -> Column:
+    """How many of the ``cuts`` (ascending, at most ``n``) are at or below ``value``, by binary search; 0 for null."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.coalesce(F.get(cuts, low + step - 1) <= value, F.lit(False)), low + step).otherwise(low))
+
+
+def bucketed(rows: DataFrame, count: int) -> DataFrame:
+    """``rows`` with a column ``bucket``: about ``count`` buckets of neighbouring ids, of about equal size.
+
+    Cuts are quantiles in two levels, each of about the root of ``count``: the first in the plan, the
+    second, one row for each of the first, joined as data. So the plan stays small however many buckets there are."""
+    side = max(1, math.isqrt(max(0, count - 1)) + 1)
+    points = [i / side for i in range(1, side)] or [0.5]
+    quantiles = lambda: F.array_sort(F.percentile_approx("doc_id", points, max(10_000, 50 * side)))
+    first = sorted(set(rows.agg(quantiles().alias("c")).first()["c"] or []))
+    upper = _at_or_below(F.array(*map(F.lit, first)).cast("array<bigint>"), F.col("doc_id"), len(first))
+    placed = rows.withColumn("upper", upper)
+    # one row of about ``side`` numbers for each of about ``side`` values
+    inner = materialize(placed.groupBy("upper").agg(quantiles().alias("cuts")), "fingerprint-cuts")
+    known = placed.join(F.broadcast(inner), "upper")
+    lower = _at_or_below(F.coalesce(F.col("cuts"), F.array().cast("array<bigint>")), F.col("doc_id"), len(points))
+    return known.withColumn("bucket", F.col("upper") * (side + 1) + lower).drop("upper", "cuts")
 
 
 def edited_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -53,24 +69,18 @@ def edited_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     document is found inside a bucket and texts are shuffled once. Guests (``guest`` = 1) follow
     their bucket's own rows and have no edited text."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("body"))
-    count = parallelism(spark) * BUCKETS_PER_PARTITION
-    points = [i / count for i in range(1, count)]
-    cuts = rows.agg(F.percentile_approx("doc_id", points, max(10_000, 20 * count)).alias("c")).first()["c"] if points else None
-    bucketed = rows.withColumn("bucket", _bucket(F.col("doc_id"), sorted(set(cuts or []))).cast("int"))
-    # One row per bucket: its least id.
-    least = sorted((r["bucket"], r["has_null"], r["least"]) for r in bucketed.groupBy("bucket").agg(
-        F.max(F.col("doc_id").isNull()).alias("has_null"), F.coalesce(F.min("doc_id"), F.lit(0)).alias("least")).collect())
-    if not least:
-        least = [(0, False, 0)]
-    previous = {b: least[i - 1][0] for i, (b, _, _) in enumerate(least)}
-    is_first = F.coalesce(F.col("doc_id").isin([i for _, null, i in least if not null]), F.lit(False))
-    if least[0][1]:
-        is_first = is_first | F.col("doc_id").isNull()
-    before = F.element_at(F.create_map(*[F.lit(x) for pair in previous.items() for x in pair]), F.col("bucket"))
+    rows = docs.select(F.col(quoted(doc_id)).cast("long").alias("doc_id"), F.coalesce(F.col(quoted(text)).cast("string"), F.lit("")).alias("body"))
+    placed = bucketed(rows, parallelism(spark) * BUCKETS_PER_PARTITION)
+    # One row per bucket: its least id, and the bucket before it (of the first, the last).
+    in_order = Window.orderBy("bucket")
+    least = placed.groupBy("bucket").agg(F.max(F.col("doc_id").isNull()).alias("has_null"), F.min("doc_id").alias("min_id"))
+    least = materialize(least.select("bucket", F.when(~F.col("has_null"), F.col("min_id")).alias("least"),
+                                     F.coalesce(F.lag("bucket").over(in_order), F.max("bucket").over(Window.partitionBy())).alias("before")), "fingerprint-buckets")
+    known = placed.join(F.broadcast(least), "bucket")
+    is_first = F.col("doc_id").eqNullSafe(F.col("least"))
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("guest"))
-    guest = F.struct(before.alias("bucket"), F.lit(1).alias("guest"))
-    dealt = (bucketed.withColumn("place", F.explode(F.when(is_first, F.array(own, guest)).otherwise(F.array(own))))
+    guest = F.struct(F.col("before").alias("bucket"), F.lit(1).alias("guest"))
+    dealt = (known.withColumn("place", F.explode(F.when(is_first, F.array(own, guest)).otherwise(F.array(own))))
              .select("place.bucket", "place.guest", "doc_id", "body"))
     inside = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").asc_nulls_first(), "body")
     n = F.char_length("body")
