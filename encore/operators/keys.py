@@ -9,15 +9,14 @@ Dedup (first row wins)
 
 Dense surrogate keys
     ``SERIAL`` values become dense keys ordered by the natural key, starting at
-    ``max(existing) + 1``. A frame under a size check (16 MB estimate) is
-    numbered by one ordered ``row_number()``. Above it, no global
-    ``row_number()``: the frame is range
-    partitioned on the natural key and sorted within partitions; a
-    monotonically increasing id gives each row its index inside its partition;
-    the frame is checkpointed (reliable, to the shared checkpoint folder) so
-    range bounds and indexes stay fixed if a task is re-run; per-partition
-    counts (one row per partition, a proven bound) are turned into offsets and
-    broadcast back.
+    ``max(existing) + 1``. Rows are counted per range of the key first: ranges are
+    prefixes of the order columns' own values (leading characters, leading bits),
+    refined until none holds more than ``encore.keys.rangeRows`` rows. A range's
+    offset is the number of rows in the ranges before it, and a row's key is that
+    plus its rank within its range. Ranges and offsets follow from the values
+    alone, so a task that is run again gives the same keys: nothing is
+    checkpointed and no single task orders more than a range. A frame whose
+    size estimate is small is one range, without a count.
 
 Insert-if-absent
     dedup the batch, ``left_anti`` against the existing natural keys, assign
@@ -26,18 +25,21 @@ Insert-if-absent
 
 from __future__ import annotations
 
+import functools
+import operator
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import checkpoint_root, scratch_path
+from ..session import scratch_path
 from .joins import fits_broadcast, lookup_join
 
-_PID = "_k_pid"
-_MID = "_k_mid"
 _CNT = "_k_cnt"
 _OFF = "_k_off"
+_RANK = "_k_rank"
 
 
 def _as_list(cols) -> list[str]:
@@ -116,6 +118,48 @@ def max_key(existing: DataFrame | None, key: str) -> int:
     return int(row["m"] or 0)
 
 
+RANGE_ROWS = 1_000_000
+_RANGE = "_k_range"
+
+
+def range_rows(spark) -> int:
+    return int(spark.conf.get("encore.keys.rangeRows", str(RANGE_ROWS)))
+
+
+def _refinements(df: DataFrame, order_cols: list[str]):
+    """Ever finer lists of range columns, each constant on consecutive rows in the order of ``order_cols``."""
+    exact: list = []
+    for name in order_cols:
+        kind = df.schema[name].dataType
+        col = F.col(name)
+        if isinstance(kind, T.StringType):
+            low, high, longest = df.agg(F.min(col), F.max(col), F.max(F.length(col))).first()
+            common = len(os.path.commonprefix([low or "", high or ""]))   # shared by all values between
+            for length in range(common + 2, (longest or 0) + 2, 2):
+                yield [*exact, F.substring(col, 1, length)]
+        elif isinstance(kind, (T.IntegralType, T.DateType)):
+            number = F.unix_date(col) if isinstance(kind, T.DateType) else col.cast("long")
+            low, high = df.agg(F.min(number), F.max(number)).first()
+            bits = ((high or 0) - (low or 0)).bit_length()
+            for shift in range(bits - 8, 0, -8):
+                yield [*exact, F.shiftright(number - F.lit(low or 0), shift)]
+        exact = [*exact, col]
+        yield exact
+
+
+def key_ranges(df: DataFrame, order_cols: list[str], limit: int) -> tuple[list, DataFrame | None]:
+    """(range columns, rows per range) of the coarsest refinement whose ranges hold at most ``limit`` rows."""
+    if df.count() <= limit:
+        return [], None
+    keys = df.select(*order_cols)
+    for columns in _refinements(keys, order_cols):
+        named = [c.alias(f"{_RANGE}{i}") for i, c in enumerate(columns)]
+        counts = written_once(keys.groupBy(*named).agg(F.count(F.lit(1)).alias(_CNT)), "key-ranges")
+        if counts.agg(F.max(_CNT)).first()[0] <= limit:
+            break
+    return columns, counts
+
+
 def assign_dense_keys(df: DataFrame, order_cols: str | Sequence[str], key: str,
                       start: int = 0, num_partitions: int | None = None,
                       size_hint: int | None = None) -> DataFrame:
@@ -128,27 +172,33 @@ def assign_dense_keys(df: DataFrame, order_cols: str | Sequence[str], key: str,
     spark = df.sparkSession
     limit = small_frame_limit(spark)
     small = limit > 0 and ((size_hint < limit) if size_hint is not None else fits_broadcast(df, limit))
-    if small and (num_partitions is None or size_hint is not None):
-        # Small (size-checked) frame: one ordered pass is bounded and
-        # deterministic (unique keys), no checkpoint needed.
+    ranges: list = []
+    if not small or (num_partitions is not None and size_hint is None):
+        ranges, counts = key_ranges(df, order_cols, range_rows(spark))
+    if not ranges:
+        # One range: a single ordered pass, bounded by the size check or the count.
         rank = F.row_number().over(Window.orderBy(*order_cols))
         return df.select((F.lit(int(start)) + rank).cast("long").alias(key), *df.columns)
-    checkpoint_root(spark)
+    names = [f"{_RANGE}{i}" for i in range(len(ranges))]
+    # Offsets: within the leading range columns, then over them (one row per day, for the fact).
+    inner = Window.partitionBy(*names[:-1]).orderBy(names[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*names, F.coalesce(F.sum(_CNT).over(inner), F.lit(0)).alias(_OFF))
+    if len(names) > 1:
+        outer = Window.orderBy(*names[:-1]).rowsBetween(Window.unboundedPreceding, -1)
+        heads = (counts.groupBy(*names[:-1]).agg(F.sum(_CNT).alias(_CNT))
+                 .select(*[F.col(n).alias(f"{n}h") for n in names[:-1]], F.coalesce(F.sum(_CNT).over(outer), F.lit(0)).alias("_k_head")))
+        same = [F.col(n).eqNullSafe(F.col(f"{n}h")) for n in names[:-1]]
+        offsets = offsets.join(heads, functools.reduce(operator.and_, same)).select(*names, (F.col(_OFF) + F.col("_k_head")).alias(_OFF))
+    offsets = written_once(offsets.select(*[F.col(n).alias(f"{n}o") for n in names], _OFF), "key-offsets")
     n = num_partitions or default_partitions(spark)
-    ranged = (df.repartitionByRange(n, *order_cols)
-                .sortWithinPartitions(*order_cols)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_MID, F.monotonically_increasing_id()))
-    # Fix range bounds and in-partition indexes before they are used twice.
-    ranged = ranged.checkpoint(eager=True)
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition: bounded by the partition count.
-    offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
-    local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    keyed = ranged.join(F.broadcast(offsets), _PID).withColumn(
-        key, (F.lit(int(start)) + F.col(_OFF) + local + 1).cast("long"))
-    return keyed.select(key, *df.columns)
+    # Range partitions of whole key ranges: rows arrive ordered for a write by the leading column, and the
+    # window below needs no exchange of its own.
+    ranged = df.withColumns(dict(zip(names, ranges))).repartitionByRange(n, *names)
+    rank = F.row_number().over(Window.partitionBy(*names).orderBy(*order_cols))
+    ranked = ranged.withColumn(_RANK, rank)
+    side = F.broadcast(offsets) if fits_broadcast(offsets) else offsets
+    keyed = ranked.join(side, functools.reduce(operator.and_, [F.col(n).eqNullSafe(F.col(f"{n}o")) for n in names]))
+    return keyed.select((F.lit(int(start)) + F.col(_OFF) + F.col(_RANK)).cast("long").alias(key), *df.columns)
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame | None, nk: str | Sequence[str]) -> DataFrame:

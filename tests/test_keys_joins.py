@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import inspect
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from encore.operators import keys
 from encore.operators.joins import hot_keys, lookup_join
 from encore.operators.keys import assign_dense_keys, dedup_first, dedup_first_rare, insert_if_absent
 
@@ -77,3 +81,41 @@ def test_dedup_first_rare_equals_full_dedup(spark):
     df = spark.createDataFrame(rows, "k string, a int, b string").repartition(4)
     full = sorted(map(tuple, dedup_first(df, "k").collect()), key=str)
     assert sorted(map(tuple, dedup_first_rare(df, "k").collect()), key=str) == full
+
+
+def _ranged(spark, df, order, limit=50, **kw):
+    """Keys by the range path: no small-frame switch, ranges of at most ``limit`` rows."""
+    names = {"encore.keys.smallFrameBytes": "0", "encore.keys.rangeRows": str(limit)}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        return assign_dense_keys(df, order, "k", **kw)
+    finally:
+        for k in names:
+            spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("schema, make", [
+    ("nk string, v long", lambda r, i: (f"event-{i:07d}" if i % 3 else f"event-é{r.random()}", i)),
+    ("nk string, v long", lambda r, i: (None if i == 9 else "a" * (i % 40) + str(i), i)),
+    ("nk long, v long", lambda r, i: (None if i == 7 else (i - 300) * 10**9 if i % 2 else i, i)),
+    ("nk date, v long", lambda r, i: (dt.date(2000, 1, 1) + dt.timedelta(days=i), i)),
+    ("nk double, v long", lambda r, i: (i / 7 - 9, i))])
+def test_ranged_keys_equal_a_global_order(spark, schema, make):
+    rnd = random.Random(1)
+    df = spark.createDataFrame([make(rnd, i) for i in range(900)], schema).repartition(4)
+    keyed = _ranged(spark, df, ["nk", "v"], start=10)
+    expected = df.select((F.row_number().over(Window.orderBy("nk", "v")) + 10).cast("long").alias("k"), "nk", "v")
+    assert sorted(map(str, keyed.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_ranged_keys_of_days_and_ids(spark):
+    """One day with most rows: its ids are cut further; the plan shuffles rows once and has no checkpoint."""
+    rows = [(20240101 if i % 10 else 20240102 + i % 7, f"{random.Random(i).getrandbits(64):016x}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "date_key int, event_id string, v long").repartition(5)
+    keyed = _ranged(spark, df, ["date_key", "event_id"], num_partitions=6)
+    expected = df.select(F.row_number().over(Window.orderBy("date_key", "event_id")).cast("long").alias("k"), "*")
+    assert sorted(keyed.collect()) == sorted(expected.collect())
+    physical = keyed.select("*")._jdf.queryExecution().executedPlan().toString()   # not run yet: one plan
+    assert physical.count("rangepartitioning") == 1 and "hashpartitioning" not in physical and "SinglePartition" not in physical
+    assert ".checkpoint(" not in inspect.getsource(keys)
