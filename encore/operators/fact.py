@@ -12,6 +12,8 @@ already clustered by day for a ``date_key``-partitioned write.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +62,10 @@ def resolve_events(stg_events: DataFrame, dim_users: DataFrame, dim_songs: DataF
 
 def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: DataFrame,
                        dim_date: DataFrame, existing: DataFrame | None = None,
-                       num_partitions: int | None = None, start: int | None = None) -> DataFrame:
-    """New fact rows (keyed), skipping event ids already in ``existing``.
+                       num_partitions: int | None = None, start: int | None = None,
+                       known: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """New fact rows (keyed), skipping event ids already in ``existing``, or those of the batch
+    that ``known(batch)`` gives.
 
     ``start`` is the largest key already used, when the caller tracks it (else
     it is read from ``existing``).
@@ -80,12 +84,13 @@ def build_fact_streams(stg_events: DataFrame, dim_users: DataFrame, dim_songs: D
     rare = staged_bytes is None or staged_bytes >= rare_min
     if rare:
         resolved = written_once(resolved, "resolved-events")
-    known = None
-    if existing is not None:
-        if start is None:
-            start = max_key(existing, "stream_key")
-        known = known_ids(existing, resolved, "event_id")
-    return insert_if_absent(resolved, known, "event_id", "stream_key",
+    if existing is not None and start is None:
+        start = max_key(existing, "stream_key")
+    if known is not None:
+        loaded = known(resolved)
+    else:
+        loaded = None if existing is None else known_ids(existing, resolved, "event_id")
+    return insert_if_absent(resolved, loaded, "event_id", "stream_key",
                             order_cols=["date_key", "event_id"], num_partitions=num_partitions,
                             start=start or 0, rare_duplicates=rare, size_hint=staged_bytes)
 
@@ -97,22 +102,21 @@ def known_ids(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
 
 
 def append_events(events: DataFrame, users: DataFrame, songs: DataFrame, dates: DataFrame,
-                  existing: DataFrame | None, start: int, append) -> DataFrame:
-    """Resolve ``events``, hand the keyed new rows to ``append(rows, top_key)``; returns the valid
-    events (staging shape) whose user or song is not known, each distinct row once.
+                  existing: DataFrame | None, start: int, write, known: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Resolve ``events`` and hand the keyed new rows to ``write(rows)``, which returns them as written;
+    returns the valid events (staging shape) whose user or song is not known, each distinct row once.
 
-    The new rows are written once to shared scratch before their largest key is read. Events whose
-    id is loaded, now or before, are not returned.
+    ``known(ids)`` gives the ids that are loaded already (by default, a scan of ``existing``). Events
+    whose id is loaded, now or before, are not returned.
     """
-    new = written_once(build_fact_streams(events, users, songs, dates, existing, start=start), "new-events")
-    top = max_key(new, "stream_key")
-    if top:
-        append(new, top)
+    if known is None and existing is not None:
+        known = lambda ids: known_ids(existing, ids, "event_id")
+    new = write(build_fact_streams(events, users, songs, dates, start=start, known=known))
     valid = quality_filter(events.where(F.col("event_id").isNotNull()))
     unknown = (lookup_join(valid, users.select("user_id"), "user_id", "left_anti")
                .unionByName(lookup_join(valid, songs.select("song_id"), "song_id", "left_anti")))
     # Another copy of the same id may have been loaded with a known user and song.
     unknown = lookup_join(unknown, new.select("event_id"), "event_id", "left_anti", split_hot=False)
-    if existing is not None:
-        unknown = lookup_join(unknown, known_ids(existing, unknown, "event_id"), "event_id", "left_anti", split_hot=False)
+    if known is not None:
+        unknown = lookup_join(unknown, known(unknown.select("event_id")), "event_id", "left_anti", split_hot=False)
     return unknown.distinct()

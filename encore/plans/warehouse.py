@@ -17,12 +17,15 @@ import threading
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators.dates import dim_date as make_dim_date
 from ..operators.dimensions import build_dim_artists, build_dim_songs, build_dim_users
 from ..operators.fact import build_fact_streams
 from ..session import configure, scratch_path
 from .parallel import run_all
+from .publish import CREATED_AT, path_exists, read_or_none
 from ..sources.staging import Staging
 
 DIMENSIONS = ("dim_date", "dim_artists", "dim_users", "dim_songs")
@@ -80,15 +83,18 @@ def build_star(spark: SparkSession, staging: Staging, existing: Star | None = No
 
 
 def write_star(star: Star, root: str, mode: str = "overwrite") -> str:
+    """Write the star schema, its rows stamped ``created_at``. The calendar is populated once: one that is there stays."""
     from ..operators.quality import assert_no_pii
 
     assert_no_pii(star)   # personal data never reaches the analytics layer
     root = root.rstrip("/")
-    writes = [(lambda n=name: star.table(n).write.mode(mode).parquet(f"{root}/{n}"))
-              for name in DIMENSIONS]
+    populated = path_exists(star.dim_date.sparkSession, f"{root}/dim_date/_SUCCESS")
+    stamped = lambda n: star.table(n).withColumn(CREATED_AT, F.current_timestamp())
+    writes = [(lambda n=name: stamped(n).write.mode(mode).parquet(f"{root}/{n}"))
+              for name in DIMENSIONS if not (name == "dim_date" and populated)]
     # Rows are range-clustered by (date_key, event_id): few files per day.
     # A full replace of the fact (static): no day of an earlier build survives.
-    writes.append(lambda: star.fact_streams.write.mode(mode)
+    writes.append(lambda: stamped(FACT).write.mode(mode)
                   .option("partitionOverwriteMode", "static").partitionBy("date_key")
                   .parquet(f"{root}/{FACT}"))
     run_all(writes, max_workers=len(writes))
@@ -96,15 +102,15 @@ def write_star(star: Star, root: str, mode: str = "overwrite") -> str:
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
+    """The star schema by its declared schemas; a table that was never written is empty."""
     root = root.rstrip("/")
-    from .. import schemas as S
-
-    columns = {"dim_date": S.DIM_DATE_COLUMNS, "dim_artists": S.DIM_ARTISTS_COLUMNS,
-               "dim_users": S.DIM_USERS_COLUMNS, "dim_songs": S.DIM_SONGS_COLUMNS}
-    tables = {name: spark.read.parquet(f"{root}/{name}").select(*columns[name]) for name in DIMENSIONS}
-    fact = spark.read.parquet(f"{root}/{FACT}").select(*S.FACT_COLUMNS)
-    return Star(tables["dim_date"], tables["dim_artists"], tables["dim_users"],
-                tables["dim_songs"], fact)
+
+    def table(name: str) -> DataFrame:
+        rows = read_or_none(spark, f"{root}/{name}", schemas.STAR[name])
+        rows = spark.createDataFrame([], schemas.STAR[name]) if rows is None else rows
+        return rows.select(*schemas.STAR[name].fieldNames())
+
+    return Star(*[table(n) for n in (*DIMENSIONS, FACT)])
 
 
 def write_staging(staging: Staging, root: str, mode: str = "overwrite") -> str:

@@ -5,8 +5,8 @@ tables carry a dense surrogate key beside the natural key, and no personal
 data (``email`` stays in staging).
 """
 
-from pyspark.sql.types import (BooleanType, DateType, IntegerType, StringType, StructField,
-                               StructType, TimestampType)
+from pyspark.sql.types import (BooleanType, DateType, DecimalType, IntegerType, LongType, StringType,
+                               StructField, StructType, TimestampType)
 
 
 def _struct(*fields):
@@ -67,16 +67,41 @@ REQUIRED = {
 
 # ---- analytics layer -------------------------------------------------------
 
-DIM_DATE_COLUMNS = ["date_key", "full_date", "year", "quarter", "month", "month_name",
-                    "week_number", "day_of_week", "day_name", "is_weekend"]
-DIM_ARTISTS_COLUMNS = ["artist_key", "artist_id", "name", "country", "primary_genre"]
-DIM_USERS_COLUMNS = ["user_key", "user_id", "country_code", "subscription_type",
-                     "age_group", "signup_date"]
-DIM_SONGS_COLUMNS = ["song_key", "song_id", "title", "artist_key", "genre", "subgenre",
-                     "duration_ms", "release_date", "is_explicit"]
-FACT_COLUMNS = ["stream_key", "event_id", "user_key", "song_key", "artist_key", "date_key",
-                "listened_at", "duration_ms", "song_duration_ms", "was_skipped",
-                "completion_pct", "platform", "country_code"]
+DIM_DATE = _struct(
+    ("date_key", IntegerType()), ("full_date", DateType()), ("year", IntegerType()), ("quarter", IntegerType()),
+    ("month", IntegerType()), ("month_name", StringType()), ("week_number", IntegerType()),
+    ("day_of_week", IntegerType()), ("day_name", StringType()), ("is_weekend", BooleanType()),
+)
+DIM_ARTISTS = _struct(
+    ("artist_key", LongType()), ("artist_id", StringType()), ("name", StringType()), ("country", StringType()),
+    ("primary_genre", StringType()),
+)
+DIM_USERS = _struct(
+    ("user_key", LongType()), ("user_id", StringType()), ("country_code", StringType()),
+    ("subscription_type", StringType()), ("age_group", StringType()), ("signup_date", DateType()),
+)
+DIM_SONGS = _struct(
+    ("song_key", LongType()), ("song_id", StringType()), ("title", StringType()), ("artist_key", LongType()),
+    ("genre", StringType()), ("subgenre", StringType()), ("duration_ms", IntegerType()),
+    ("release_date", DateType()), ("is_explicit", BooleanType()),
+)
+FACT_STREAMS = _struct(
+    ("stream_key", LongType()), ("event_id", StringType()), ("user_key", LongType()), ("song_key", LongType()),
+    ("artist_key", LongType()), ("date_key", IntegerType()), ("listened_at", TimestampType()),
+    ("duration_ms", IntegerType()), ("song_duration_ms", IntegerType()), ("was_skipped", BooleanType()),
+    ("completion_pct", DecimalType(5, 2)), ("platform", StringType()), ("country_code", StringType()),
+)
+STAR = {"dim_date": DIM_DATE, "dim_artists": DIM_ARTISTS, "dim_users": DIM_USERS, "dim_songs": DIM_SONGS,
+        "fact_streams": FACT_STREAMS}
+
+DIM_DATE_COLUMNS = DIM_DATE.fieldNames()
+DIM_ARTISTS_COLUMNS = DIM_ARTISTS.fieldNames()
+DIM_USERS_COLUMNS = DIM_USERS.fieldNames()
+DIM_SONGS_COLUMNS = DIM_SONGS.fieldNames()
+FACT_COLUMNS = FACT_STREAMS.fieldNames()
+
+# Keys and columns of the fact that no row may lack.
+FACT_REQUIRED = ("event_id", "user_key", "song_key", "artist_key", "date_key", "listened_at")
 
 # Declared lengths of the relational contract: VARCHAR(n) / CHAR(n).
 LENGTH_CONTRACT = {

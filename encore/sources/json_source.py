@@ -116,7 +116,7 @@ def land_staging(spark: SparkSession, sources_root: str, staging_root: str,
     ``<table>/_load_status=rejected`` the quarantine (with the failed fields).
     Splitting by a partition column instead of filtering keeps the parse to one
     evaluation per record: a filter on the parse result would be pushed below
-    it and re-parse every record.
+    it and re-parse every record. Every record is stamped ``loaded_at``.
     """
     from ..plans.parallel import run_all
 
@@ -126,6 +126,7 @@ def land_staging(spark: SparkSession, sources_root: str, staging_root: str,
         parsed = ingest(spark, f"{sources_root}/{name}.json", table, layout)
         ok = F.col("_n_bad") == 0
         out = (parsed.withColumn("_rejected", F.when(~ok, F.col("_rejected")))
+               .withColumn("loaded_at", F.current_timestamp())
                .withColumn(LOAD_STATUS, F.when(ok, F.lit("accepted")).otherwise(F.lit("rejected")))
                .drop("_n_bad"))
         # A full replace: partitions absent from this load must not survive it.

@@ -10,13 +10,12 @@ source system). The stream
    a quarantine folder of the batch, the others are resolved together with
    the events still pending from an *earlier* batch, against the dimensions as
    they are now, and inserted if their event id was never loaded;
-3. keeps events whose user or song is not known yet in ``_pending/batch=<id>``
+3. keeps events whose user or song is not known yet in the run's ``pending`` table
    until the dimension row arrives, however many batches that takes.
 
-A batch that is run again (after a failure, or twice) reads the same pending
-version, skips the event ids already loaded and rewrites its own pending
-version, so its result does not change. An event id is loaded once, whatever
-timestamp a re-sent copy carries.
+A batch is published as a whole (``plans/publish.py``): run again after a failure, it starts anew; run
+again after its marker exists, it does nothing. An event id is loaded once, whatever timestamp a
+re-sent copy carries.
 
 By default no watermark-based late-data drop is used: the result must contain
 every valid event, however late. Dedup state is the fact table itself, so the
@@ -32,7 +31,8 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.fact import append_events
-from ..plans.loads import key_high_water, list_dirs, path_exists, reserve_keys
+from ..plans.loads import fact_writer, key_high_water, latest_pending, loaded_ids, processed_runs
+from ..plans.publish import Run, read_or_none, settle
 from ..plans.warehouse import FACT
 from ..session import scratch_path
 from ..sources.json_source import DEFAULTS_WHEN_ABSENT, accepted, parse_objects, rejected
@@ -60,28 +60,25 @@ def event_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: in
     return parsed
 
 
-def pending_before(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
-    """The pending events that the latest batch before ``batch_id`` left."""
-    ids = [int(d.split("=", 1)[1]) for d in list_dirs(spark, f"{root}/_pending") if d.startswith("batch=")]
-    earlier = [i for i in ids if i < batch_id and path_exists(spark, f"{root}/_pending/batch={i}/_SUCCESS")]
-    if not earlier:
-        return None
-    return spark.read.schema(schemas.STG_EVENTS).parquet(f"{root}/_pending/batch={max(earlier)}")
-
-
-def make_batch_writer(warehouse_root: str, dims_root: str):
+def make_batch_writer(warehouse_root: str, dims_root: str, stream: str = ""):
     """The ``foreachBatch`` function: resolve, insert if absent, park what is unresolved.
 
-    Stream keys: the batch records the key range it is about to use in an
-    append-only ``_key_high_water`` table before appending its fact rows. A
-    retry after a failure starts above the recorded range, so keys never
-    collide; a failure can only leave a gap, like a serial column.
+    Each batch is a run of its own (``plans/publish.py``): fact rows, ids and pending events are written
+    aside and belong to the warehouse once the run's marker exists. A batch that ``stream`` has
+    published is not run again; one that was broken off starts anew and leaves nothing behind.
     """
     root = warehouse_root.rstrip("/")
     dims = dims_root.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        settle(spark, root)
+        number, done = processed_runs(spark, root)
+        name = f"{stream}/{batch_id}"
+        if name in done:
+            return
+        run = Run(spark, root, number)
+        run.clear()
         landed = f"{root}/_batches/batch={batch_id}"
         batch.write.mode("overwrite").parquet(landed)
         parsed = spark.read.schema(batch.schema).parquet(landed)
@@ -89,20 +86,17 @@ def make_batch_writer(warehouse_root: str, dims_root: str):
         if not bad.isEmpty():
             bad.write.mode("overwrite").json(f"{root}/_quarantine/batch={batch_id}")
         events = accepted(parsed)
-        pending = pending_before(spark, root, batch_id)
+        pending = latest_pending(spark, root, number)
         if pending is not None:
             events = events.unionByName(pending.select(*events.columns))
-        users, songs, dates = (spark.read.parquet(f"{dims}/{n}") for n in ("dim_users", "dim_songs", "dim_date"))
-        fact = f"{root}/{FACT}"
-        existing = spark.read.parquet(fact) if path_exists(spark, fact) else None
-
-        def append(rows: DataFrame, top: int) -> None:
-            reserve_keys(spark, root, batch_id, top)
-            rows.write.mode("append").partitionBy("date_key").parquet(fact)
-
-        unresolved = append_events(events, users, songs, dates, existing,
-                                   start=key_high_water(spark, root, existing), append=append)
-        unresolved.write.mode("overwrite").parquet(f"{root}/_pending/batch={batch_id}")
+        users, songs, dates = (spark.read.schema(schemas.STAR[n]).parquet(f"{dims}/{n}") for n in ("dim_users", "dim_songs", "dim_date"))
+        existing = read_or_none(spark, f"{root}/{FACT}", schemas.FACT_STREAMS)
+        start = key_high_water(spark, root, existing)
+        write, top = fact_writer(run)
+        unresolved = append_events(events, users, songs, dates, existing, start, write, loaded_ids(spark, root, events, existing, run))
+        run.stage("pending", unresolved)
+        run.publish([name], top() or start)
+        settle(spark, root)
 
     return write_batch
 
@@ -114,7 +108,7 @@ def run_stream_ingest(spark: SparkSession, source_dir: str, warehouse_root: str,
     """Start the ingest; with ``available_now`` it processes what is there and stops."""
     checkpoint = checkpoint or scratch_path(spark, "stream-ingest-checkpoint")
     writer = (event_stream(spark, source_dir, max_files_per_trigger, dedup_watermark).writeStream
-              .foreachBatch(make_batch_writer(warehouse_root, dims_root))
+              .foreachBatch(make_batch_writer(warehouse_root, dims_root, stream=checkpoint))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
