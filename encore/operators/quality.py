@@ -35,7 +35,7 @@ def _labelled_counts(frames: Sequence[tuple[str, DataFrame]], label: str, count:
 def row_counts_staging(staging) -> DataFrame:
     return _labelled_counts([("stg_artists", staging.artists), ("stg_songs", staging.songs),
                              ("stg_users", staging.users),
-                             ("stg_stream_events", staging.events)], "tbl", "row_count")
+                             ("stg_stream_events", staging.events)], "tbl", "row_count").orderBy("tbl")
 
 
 def dim_date_range(dim_date: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def staging_skip_rate(stg_events: DataFrame, stg_users: DataFrame) -> DataFrame:
     g = joined.groupBy("subscription_type").agg(
         F.sum("skips").alias("skips"), F.sum("n").alias("total_events"))
     return g.select("subscription_type", pct(F.col("skips"), F.col("total_events"), 2).alias("skip_pct"),
-                    F.col("total_events").cast("long").alias("total_events"))
+                    F.col("total_events").cast("long").alias("total_events")).orderBy(F.col("subscription_type").asc_nulls_last())
 
 
 # ---- analytics checks (after the transform) --------------------------------
@@ -94,7 +94,7 @@ def staging_skip_rate(stg_events: DataFrame, stg_users: DataFrame) -> DataFrame:
 def row_counts_analytics(star) -> DataFrame:
     return _labelled_counts([(n, star.table(n)) for n in
                              ("dim_artists", "dim_users", "dim_songs", "dim_date", "fact_streams")],
-                            "table_name", "row_count")
+                            "table_name", "row_count").orderBy("table_name")
 
 
 def load_reconciliation(stg_events: DataFrame, fact: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def fact_sample(star, n: int = SAMPLE_ROWS) -> DataFrame:
          .join(artists, "artist_key").join(F.broadcast(dates), "date_key"))
     return j.select("stream_key", "subscription_type", "artist_name", "song_title", "genre",
                     "was_skipped", "completion_pct", "platform", "country_code", "day_name",
-                    F.col("week_number").cast("int").alias("week_number"))
+                    F.col("week_number").cast("int").alias("week_number")).orderBy("stream_key")
 
 
 def completion_bucket(pct_col: Column) -> Column:
@@ -152,7 +152,8 @@ def completion_distribution(fact: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("long").alias("plays"))
     # At most five groups: the share-of-total window runs on five rows.
     total = F.sum("plays").over(Window.partitionBy())
-    return buckets.select("completion_bucket", "plays", pct(F.col("plays"), total, 1).alias("pct_of_total"))
+    return (buckets.select("completion_bucket", "plays", pct(F.col("plays"), total, 1).alias("pct_of_total"))
+            .orderBy("completion_bucket"))
 
 
 def genre_skip_preview(star) -> DataFrame:
@@ -172,7 +173,8 @@ def genre_skip_preview(star) -> DataFrame:
     return g.select("genre", F.col("total_plays").cast("long").alias("total_plays"),
                     F.col("skips").cast("long").alias("skips"),
                     pct(F.col("skips"), F.col("total_plays"), 2).alias("skip_rate_pct"),
-                    half_up(F.col("sum_bp"), F.col("total_plays") * 100, 1).alias("avg_completion_pct"))
+                    half_up(F.col("sum_bp"), F.col("total_plays") * 100, 1).alias("avg_completion_pct")
+                    ).orderBy(F.col("skip_rate_pct").desc_nulls_last(), F.col("genre").asc_nulls_last())
 
 
 # ---- integrity and contracts -------------------------------------------------
@@ -195,7 +197,7 @@ def fk_audit(star) -> DataFrame:
             F.lit(child).alias("table_name"), F.lit(col).alias("column_name"),
             F.lit(parent).alias("parent_table"), F.col("missing").alias("violations"))
         out = one if out is None else out.unionByName(one)
-    return out
+    return out.orderBy("table_name", "column_name")
 
 
 def contract_report(df: DataFrame, table: str, rules: Iterable[tuple[str, str, Column]]) -> DataFrame:
@@ -229,7 +231,7 @@ def not_null_audit(staging) -> DataFrame:
     for name in ("stg_artists", "stg_songs", "stg_users", "stg_stream_events"):
         one = contract_report(staging.table(name), name, _not_null_and_length_rules(name))
         out = one if out is None else out.unionByName(one)
-    return out
+    return out.orderBy("table_name", "column_name", "rule")
 
 
 def contract_rules(table: str) -> list[tuple[str, str, Column]]:
@@ -274,7 +276,7 @@ def quality_contracts(staging) -> DataFrame:
     for name in ("stg_artists", "stg_songs", "stg_users", "stg_stream_events"):
         one = contract_report(staging.table(name), name, contract_rules(name))
         out = one if out is None else out.unionByName(one)
-    return out
+    return out.orderBy("table_name", "column_name", "rule")
 
 
 def assert_no_pii(star, pii_columns: Sequence[str] = ("email",)) -> None:

@@ -7,6 +7,7 @@ computed column identically.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 from collections.abc import Callable
 
@@ -16,11 +17,14 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .operators import quality, report
 from .operators.keys import assign_dense_keys, insert_if_absent
+from .operators import id_index
 from .plans import loads
-from .plans.warehouse import driver_staging_tables, driver_star, driver_warehouse
-from .schemas import FACT_COLUMNS
+from .plans.publish import CREATED_AT, ConstraintViolation, read_or_none
+from .plans.warehouse import driver_staging_tables, driver_star, driver_warehouse, write_star
+from .schemas import FACT_COLUMNS, STAR
 from .session import scratch_path
-from .sources.json_source import landing_report
+from .sources.json_array import write_json_array
+from .sources.json_source import SOURCE_SCHEMAS, land_staging, landing_report
 from .sources.staging import Staging
 
 AS_OF = O.AS_OF
@@ -396,3 +400,237 @@ def q_stream_ingest_resend(spark, sf_dir):
         write_json_lines(batch, f"{root}/source/b{i}")
         run_stream_ingest(spark, f"{root}/source/*", f"{root}/out", dims_root=f"{root}/dims", checkpoint=f"{root}/ckpt")
     return spark.read.parquet(f"{root}/out/fact_streams").select(*FACT_COLUMNS[1:])
+
+
+# ---- loads of several kinds, with planted content ---------------------------------------------
+
+
+@contextlib.contextmanager
+def settings(spark, **values):
+    """Session settings while plans are made (``a__b`` stands for ``a.b``)."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Every branch that a size check or a count keeps for large inputs.
+LARGE = {"encore__broadcast__limit__bytes": "0", "encore__keys__smallFrameBytes": "0", "encore__dedup__rareMinBytes": "0",
+         "encore__keys__rangeRows": "500"}
+
+
+def _planted_objects(stg: Staging, table: str, bad: tuple[str, str, int], absent: tuple[str, int, int] | None) -> DataFrame:
+    """JSON text of a table's records: a bad value in every n-th, a key absent where its id is r modulo m."""
+    rows, key = stg.table(table), SOURCE_SCHEMAS[table].fieldNames()[0]
+    number = F.col(key).cast("long")
+    column, value, every = bad
+
+    def text(names, broken):
+        fields = [F.lit(value).alias(n) if n == column and broken else F.col(n) for n in names]
+        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+    def either(names):
+        return F.when(F.pmod(number, F.lit(every)) == 0, text(names, True)).otherwise(text(names, False))
+
+    names = SOURCE_SCHEMAS[table].fieldNames()
+    if absent is None:
+        return rows.select(either(names).alias("value"))
+    flag, modulus, rest = absent
+    return rows.select(F.when(F.pmod(number, F.lit(modulus)) == rest, either([n for n in names if n != flag]))
+                       .otherwise(either(names)).alias("value"))
+
+
+@register("ingest_json_array", O.ingest_json_array_sql)
+def q_ingest_json_array(spark, sf_dir):
+    """One indented array a source, read in 64 KB splits; bad values, absent flags."""
+    stg = driver_staging_tables(spark, sf_dir)
+    root = scratch_path(spark, "array-sources")
+    planted = {"stg_artists": ("artists", ("monthly_listeners", "many", 25), None, None),
+               "stg_songs": ("songs", ("duration_ms", "x", 40), ("is_explicit", 3, 1), "is_explicit"),
+               "stg_users": ("users", ("signup_date", "never", 50), ("is_active", 4, 0), "is_active"),
+               "stg_stream_events": ("stream_events", ("duration_ms", "1e", 97), ("was_skipped", 5, 0), "was_skipped")}
+    for table, (source, bad, absent, _) in planted.items():
+        write_json_array(_planted_objects(stg, table, bad, absent), f"{root}/sources/{source}.json", files=1)
+    with settings(spark, spark__sql__files__maxPartitionBytes="64k", spark__sql__files__openCostInBytes="1k"):
+        land_staging(spark, f"{root}/sources", f"{root}/staging", layout="array")
+    out = None
+    for table, (source, _, _, flag) in planted.items():
+        rows = spark.read.parquet(f"{root}/staging/{table}")
+        ok, value = F.col("_load_status") == "accepted", F.col(flag) if flag else F.lit(None).cast("boolean")
+        one = rows.agg(F.count(F.lit(1)).alias("records"), F.count_if(~ok).alias("rejected"),
+                       F.count_if(ok & F.coalesce(value, F.lit(False))).alias("flag_true"),
+                       F.count_if(ok & value.isNull()).alias("flag_null")).select(F.lit(f"{source}.json").alias("source_file"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+class _Killed(Exception):
+    pass
+
+
+KILLED_AT = ("dim_users", "fact", "pending", "marker", "move")
+
+
+@register("incremental_killed_anywhere", O.fact_by_natural_key_sql)
+def q_incremental_killed(spark, sf_dir):
+    """Five loads, a third of the users in the last; every run is killed at another write and made again by the next."""
+    stg = driver_staging_tables(spark, sf_dir)
+    root = scratch_path(spark, "killed")
+    late = F.pmod(F.col("user_id").cast("long"), F.lit(3)) == 0
+    part = F.pmod(F.xxhash64("event_id"), F.lit(len(KILLED_AT)))
+    for i, step in enumerate(KILLED_AT):
+        last = i == len(KILLED_AT) - 1
+        batch = stg._replace(users=stg.users.where(late if last else ~late), events=stg.events.where(part == i))
+        loads.land(batch, f"{root}/staging", _stamp(1 + i))
+
+        def kill(at, step=step):
+            if at == step:
+                raise _Killed(at)
+
+        with contextlib.suppress(_Killed):
+            loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse", on_step=kill)
+    return _by_natural_key(loads.incremental_load(spark, f"{root}/staging", f"{root}/warehouse"))
+
+
+@register("constraint_refusal", O.constraint_refusal_sql)
+def q_constraint_refusal(spark, sf_dir):
+    """Four appends of keyed rows; the two with planted violations are refused as a whole."""
+    star = driver_star(spark, sf_dir)
+    root = scratch_path(spark, "refusal")
+    write_star(star._replace(fact_streams=star.fact_streams.where(F.lit(False))), root)
+    first = F.col("user_key") % 2 == 0
+    every = lambda n: F.pmod(F.col("event_id").cast("long"), F.lit(n)) == 0
+    plus = lambda c, n: F.when(every(n), F.col(c) + 1_000_000_000).otherwise(F.col(c))
+    clean = star.fact_streams.where(first)
+    rest = star.fact_streams.where(~first).withColumn("stream_key", F.col("stream_key") + 1_000_000_000)
+    batches = {"clean": clean, "orphans": rest.withColumns({"user_key": plus("user_key", 5), "song_key": plus("song_key", 7)}),
+               "nulls": rest.withColumn("song_key", F.when(~every(3), F.col("song_key"))), "rest": rest}
+    report = []
+    for name, rows in batches.items():
+        counts = {}
+        try:
+            loads.append_fact(spark, root, rows)
+        except ConstraintViolation as refused:
+            counts = refused.counts
+        report.append((name, not counts, counts.get("orphan_user_key", 0), counts.get("orphan_song_key", 0), counts.get("null_song_key", 0),
+                       read_or_none(spark, f"{root}/fact_streams", STAR["fact_streams"]).count()))
+    return spark.createDataFrame(report, "load string, published boolean, orphan_users long, orphan_songs long, null_songs long, fact_rows long")
+
+
+@register("planted_audit", O.planted_audit_sql)
+def q_planted_audit(spark, sf_dir):
+    """Foreign-key and NULL-id audits over rows with planted orphans and NULLs."""
+    star = driver_star(spark, sf_dir)
+    every = lambda n: F.pmod(F.col("event_id").cast("long"), F.lit(n)) == 0
+    broken = star.fact_streams.withColumns({
+        "user_key": F.when(every(50), F.col("user_key") + 1_000_000_000).otherwise(F.col("user_key")),
+        "song_key": F.when(~every(30), F.col("song_key")),
+        "artist_key": F.when(every(70), -F.col("artist_key")).otherwise(F.col("artist_key")),
+        "date_key": F.when(every(90), F.lit(19991231)).otherwise(F.col("date_key"))})
+    events = driver_staging_tables(spark, sf_dir).events
+    nulls = quality.null_event_ids(events.withColumn("event_id", F.when(~every(11), F.col("event_id"))))
+    return quality.fk_audit(star._replace(fact_streams=broken)).unionByName(nulls.select(
+        F.lit("stg_stream_events").alias("table_name"), F.lit("event_id").alias("column_name"),
+        F.lit(None).cast("string").alias("parent_table"), F.col("null_event_ids").alias("violations")))
+
+
+@register("partitioned_fact_months", O.months_fact_sql)
+def q_partitioned_fact_months(spark, sf_dir):
+    """Plays spread over four months; one month is written again and the others' files stay."""
+    fact = driver_star(spark, sf_dir).fact_streams
+    shift = F.pmod(F.col("event_id").cast("long"), F.lit(4)).cast("int") * 31
+    day = F.date_add(F.col("listened_at").cast("date"), shift)
+    spread = fact.select("event_id", "user_key", "song_key", "duration_ms", "was_skipped",
+                         F.date_format(day, "yyyyMMdd").cast("int").alias("date_key"))
+    path = scratch_path(spark, "fact-months")
+    loads.write_fact_by_month(spread, path)
+    february = (F.col("date_key") >= 20240201) & (F.col("date_key") < 20240301)
+    loads.write_fact_by_month(spread.where(february & ~F.col("was_skipped")), path)
+    return spark.read.parquet(path).select("year_month", "date_key", "event_id", "user_key", "song_key", "duration_ms", "was_skipped")
+
+
+@register("weekly_report", O.weekly_report_sql)
+def q_weekly_report(spark, sf_dir):
+    """The written report read back: each table's rows in their printed order."""
+    paths = report.write_weekly_report(driver_star(spark, sf_dir), scratch_path(spark, "weekly"), AS_OF, Q4_WINDOW_DAYS)
+    leading = {"trending_songs": ("song", "unique_listeners"), "genre_skip_rates": ("genre", "overall_skip_rate_pct"),
+               "free_vs_premium": ("subscription_type", "total_users"), "breakout_artists": ("artist", "breakout_score")}
+    out = None
+    for name, path in paths.items():
+        label, measure = leading[name]
+        # one file a table: its row order is the printed one
+        rows = spark.read.parquet(path).select(F.monotonically_increasing_id().alias("at"), label, measure)
+        one = rows.select(F.lit(name).alias("report"), (F.col("at") + 1).alias("place"), F.col(label).alias("label"),
+                          F.col(measure).cast("double").alias("measure"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("calendar_plays", O.calendar_plays_sql)
+def q_calendar_plays(spark, sf_dir):
+    """Plays by calendar day, over a warehouse written twice: the calendar is populated once and stays."""
+    star = driver_star(spark, sf_dir)
+    root = scratch_path(spark, "calendar")
+    write_star(star, root)
+    write_star(star._replace(dim_date=star.dim_date.where(F.lit(False))), root)   # would leave no day if written
+    again = loads.read_star(spark, root)
+    return (again.fact_streams.groupBy("date_key").agg(F.count(F.lit(1)).alias("plays"))
+            .join(F.broadcast(again.dim_date), "date_key")   # a row a day
+            .select("full_date", "month_name", "day_name", "week_number", "is_weekend", "plays"))
+
+
+@register("load_stamps", O.load_stamps_sql)
+def q_load_stamps(spark, sf_dir):
+    """Rows and stamped rows of every landed and built table."""
+    root = driver_warehouse(spark, sf_dir)
+    out = None
+    for name, stamp in [(n, "loaded_at") for n in loads.STAGING_TABLES] + [(n, CREATED_AT) for n in ("dim_artists", "dim_users", "dim_songs", "fact_streams")]:
+        one = spark.read.parquet(f"{root}/{name}").agg(
+            F.count(F.lit(1)).alias("rows"), F.count(stamp).alias("stamped"),
+            # written by one load: all stamps lie within a day
+            F.when(F.max(stamp) - F.min(stamp) < F.expr("INTERVAL 1 DAY"), 1).otherwise(2).cast("long").alias("load_days"))
+        one = one.select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("id_index_lookup", O.id_index_sql)
+def q_id_index_lookup(spark, sf_dir):
+    """Which of a small batch's event ids are loaded: asked of the touched buckets of the id index."""
+    star = driver_star(spark, sf_dir)
+    root = scratch_path(spark, "id-index")
+    loaded = star.fact_streams.where(F.col("listened_at") < F.lit(INCREMENTAL_CUT).cast("timestamp"))
+    id_index.index_rows(loaded, "event_id").write.partitionBy(id_index.BUCKET).parquet(root)
+    batch = (star.fact_streams.where(F.pmod(F.col("event_id").cast("long"), F.lit(500)) == 0).select("event_id")
+             .unionByName(spark.createDataFrame([("never",)], "event_id string")))
+    return id_index.known_ids(spark, root, batch, "event_id", id_index.touched_buckets(batch, "event_id"))
+
+
+# ---- the branches for large inputs ------------------------------------------------------------
+
+
+def _large(name: str, build):
+    """``name`` with every size switch set against the small branch while its plan is made."""
+    def run(spark, sf_dir):
+        driver_warehouse(spark, sf_dir)
+        with settings(spark, **LARGE):
+            return build(spark, sf_dir)
+    register(f"{name}_large", SQL[name])(run)
+
+
+def _rebuilt_fact(spark, sf_dir):
+    from .operators.fact import build_fact_streams
+
+    star = driver_star(spark, sf_dir)
+    return build_fact_streams(driver_staging_tables(spark, sf_dir).events, star.dim_users, star.dim_songs, star.dim_date)
+
+
+for _name, _build in {"fact_streams": _rebuilt_fact, "surrogate_keys": q_surrogate_keys, "insert_if_absent": q_insert_if_absent,
+                      "trending_songs": q_trending_songs, "genre_skip_rates": q_genre_skip_rates,
+                      "free_vs_premium": q_free_vs_premium, "breakout_artists": q_breakout_artists}.items():
+    _large(_name, _build)
