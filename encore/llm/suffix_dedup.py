@@ -139,8 +139,8 @@ def _replies(unit, at, span) -> Iterator[tuple[int, bytes]]:
 class _Sender:
     """Gathers the records of a task and sends them by bucket, one of each hash a flush."""
 
-    def __init__(self, buckets: int, width: int):
-        self.buckets, self.width, self.held, self.n = buckets, width, [], 0
+    def __init__(self, buckets: int, width: int, shared: bool):
+        self.buckets, self.width, self.shared, self.held, self.n = buckets, width, shared, [], 0
 
     def add(self, unit, at, span, bucket, h) -> Iterator[pa.RecordBatch]:
         if len(unit):
@@ -164,7 +164,10 @@ class _Sender:
         same = (h[o[1:]] == h[o[:-1]]) & (bucket[o[1:]] == bucket[o[:-1]])
         again = np.zeros(len(h), bool)
         again[o[1:]] = same
-        rows = [(int(block) % self.buckets, block, blob) for block, blob in _replies(unit[again], at[again], span[again])]
+        settled = again.copy()
+        if self.shared:   # the first of a repeated sample is shared as well
+            settled[o[:-1]] |= same
+        rows = [(int(block) % self.buckets, block, blob) for block, blob in _replies(unit[settled], at[settled], span[settled])]
         keep = np.flatnonzero(~again)
         keep = keep[np.argsort(bucket[keep], kind="stable")]
         cuts = np.flatnonzero(np.r_[True, np.diff(bucket[keep]) != 0, True])
@@ -240,7 +243,7 @@ def _marks(blob) -> tuple[np.ndarray, np.ndarray]:
 
 def _cover_samples(buckets: int):
     def run(batches):
-        out = _Sender(buckets, 5)
+        out = _Sender(buckets, 5, shared=True)
         for batch in batches:
             batch, unit = _units(batch)
             for piece in _pieces(batch, SAMPLE):
@@ -280,7 +283,7 @@ def _may_tie(piece: _Piece, samples: list) -> np.ndarray:
 def _suffixes(buckets: int, whole_segments: bool):
     """Records of segments of suffixes that may tie, or of the single suffixes outside resolved segments."""
     def run(batches):
-        out = _Sender(buckets, 8)
+        out = _Sender(buckets, 8, shared=False)
         for batch in batches:
             batch, unit = _units(batch)
             samples = [_marks(x) for x in batch.column("samples").to_pylist()]

@@ -29,8 +29,8 @@ def brute_force(rows, window=suffix_dedup.WINDOW):
     return sorted(out, key=str)
 
 
-def result(spark, rows, **changed):
-    docs = spark.createDataFrame([(*r, 1, "x", 2, 3) for r in rows], SCHEMA).repartition(3)
+def result(spark, rows, partitions=3):
+    docs = spark.createDataFrame([(*r, 1, "x", 2, 3) for r in rows], SCHEMA).repartition(partitions)
     return sorted((tuple(r) for r in suffix_dedup.repeated_passages(docs).collect()), key=str)
 
 
@@ -59,6 +59,17 @@ def test_against_every_string(spark, seed):
     assert result(spark, rows) == brute_force(rows)
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_a_passage_that_two_documents_share(spark, partitions):
+    """Repeats that one flush holds whole: the first occurrence is a shared sample too."""
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
+    passage = text(400)
+    rows = [(i, text(300)) for i in range(20)] + [(50, text(77) + passage + text(90)), (51, text(200) + passage + text(33)), (52, text(5) + passage[100:260])]
+    got = result(spark, rows, partitions)
+    assert got == brute_force(rows) and sum(r[2] > 0 for r in got) == 2
+
+
 def test_small_pieces_and_flushes(spark, monkeypatch):
     """Texts cut into many pieces, records sent in many flushes: one process holds all, so the small sizes reach it."""
     import pyarrow as pa
