@@ -34,7 +34,7 @@ from .common import GPT_CHUNK, worker_model
 NEVER = 1 << 60
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Entries of each worker's caches of words (two generations) and of pairs; results don't depend on them.
-CACHE_WORDS, CACHE_PAIRS, CACHED_LENGTH = 300_000, 600_000, 48
+CACHE_WORDS, CACHE_PAIRS, CACHED_LENGTH = 100_000, 200_000, 48
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -114,6 +114,10 @@ class PrefixBpe:
         self.cache: dict[str, bytes] = {}
         self.old_cache: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Empty the caches: what a task learned of its texts does not stay in the worker."""
+        self.pairs, self.cache, self.old_cache = {}, {}, {}
+
     @staticmethod
     def _edge(made: dict, token: int, side: int) -> list[tuple[int, int]]:
         """From the border byte up to the token: (node, rank of the merge that takes it up)."""
@@ -216,6 +220,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
         model = load(tokenizer)
         for texts in batches:
             yield pd.Series([model.encode(t) for t in texts], dtype=object)
+        model.forget()
     return docs.withColumn("ids", ids(F.col(text)))
 
 
@@ -253,5 +258,6 @@ def digests(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFram
                 columns.append(pa.array(all_ids, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        model.forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
