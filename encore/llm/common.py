@@ -28,6 +28,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``docs`` is called."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to shared scratch and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

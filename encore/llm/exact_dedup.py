@@ -20,7 +20,6 @@ UTF-8 text. Extra columns are kept by ``deduplicate``, whatever their names.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, quoted
+from .common import materialize, quoted, unused
 
 KEY = ["digest", "n_bytes", "check"]
 RUN_BITS = 33  # monotonically_increasing_id: partition above, row within it below
@@ -176,8 +175,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fan
     Kept rows are found by (id, digest); rows that repeat both are brought down to one after the
     join, in the same partitioning.
     """
-    own = uuid.uuid4().hex[:12]   # helper columns that no column of docs can be called
-    an_id, a_sha = f"__id_{own}", f"__sha_{own}"
+    an_id, a_sha = unused(docs, "__llm_id"), unused(docs, "__llm_sha")
     keep = (exact_groups(docs, doc_id, text, fan_in).filter("kept")
             .select(F.col("doc_id").alias(an_id), F.col("text_sha256").alias(a_sha)))
     tagged = docs.withColumns({an_id: F.col(quoted(doc_id)).cast("long"), a_sha: F.sha2(_value(text), 256)})

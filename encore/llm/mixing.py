@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD_RE, materialize
+from .common import WORD_RE, materialize, quoted, unused
 
 #: Blocks of a source: as many as its words fill, but at most BLOCKS (then the blocks grow).
 BLOCK_WORDS, BLOCKS = 65_536, 2048
@@ -196,12 +196,14 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
                                 F.xxhash64(F.lit(seed + 4), "doc_id", "text_hash").alias("place"), F.lit(0).cast("long").alias("words")))
     mix = (draws(docs, whole_documents=True, **options)
            .withColumn("draws", F.when(F.col("size") == 0, wordless).otherwise(F.col("draws"))).filter(F.size("draws") > 0)
-           .select(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_text"), F.col("source").alias("__llm_source"),
-                   F.col("draws").alias("__llm_draws")).dropDuplicates(["__llm_id", "__llm_text", "__llm_source"]))
+           .groupBy(F.col("doc_id").alias("m_id"), F.col("text_hash").alias("m_text"), F.col("source").alias("m_source"))
+           # equal rows may be cut differently: the same one of their draws is taken every time
+           .agg(F.max("draws").alias("m_draws")))
+    draw = unused(docs, "__llm_draw")
     tagged = docs.alias("d").join(
-        mix.alias("m"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("m.__llm_id"))
-        & (F.xxhash64(F.col("d.text").cast("string")) == F.col("m.__llm_text")) & F.col("d.source").cast("string").eqNullSafe(F.col("m.__llm_source")))
-    rows = tagged.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode("m.__llm_draws").alias("__llm_draw"))
+        mix.alias("m"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("m.m_id"))
+        & (F.xxhash64(F.col("d.text").cast("string")) == F.col("m.m_text")) & F.col("d.source").cast("string").eqNullSafe(F.col("m.m_source")))
+    rows = tagged.select(*[F.col(f"d.{quoted(c)}") for c in docs.columns], F.explode("m.m_draws").alias(draw))
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    return (rows.repartitionByRange(parts, "__llm_draw.shard", "__llm_draw.place")
-            .sortWithinPartitions("__llm_draw.shard", "__llm_draw.place").select(*docs.columns))
+    return (rows.repartitionByRange(parts, f"{draw}.shard", f"{draw}.place")
+            .sortWithinPartitions(f"{draw}.shard", f"{draw}.place").select(*map(quoted, docs.columns)))

@@ -95,7 +95,9 @@ def joined(spans: Iterable[tuple[str, int, int]]) -> str:
 
 
 def _word(text: str, span: tuple[int, int]) -> str:
-    return text[span[0]: span[1]].strip(TRIM).lower()[:40]
+    """A context word: as it is up to 40 characters, longer ones by a hash of the whole word."""
+    word = text[span[0]: span[1]].strip(TRIM).lower()
+    return word if len(word) <= 40 else identity(word)
 
 
 def identity(value: str) -> str:
