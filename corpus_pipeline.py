@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.llm import bpe, exact_dedup, mixing, ngram_join, toxicity
-from encore.llm.common import fold, materialize, table
+from encore.llm.common import fold, materialize, quoted, table, unused
 
 REJECT_FROM = 0.3
 
@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold of rejection; the model learns as in query op6."""
     labels = table(spark, sf_dir, "labels")
     model = toxicity.train(table(spark, sf_dir, "documents"), labels.filter(fold(F.col("doc_id"), 4) != 2))
-    return (toxicity.with_score(docs, model, score="__llm_score").filter(F.col("__llm_score") < REJECT_FROM)
-            .select(*docs.columns))
+    score = unused(docs, "__llm_score")
+    return toxicity.with_score(docs, model, score=score).filter(F.col(score) < REJECT_FROM).select(*map(quoted, docs.columns))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
