@@ -4,10 +4,10 @@
   the optimised plan, in bytes) against a configurable limit.
 * Above the limit the join is a shuffle join. A key that holds a large share of
   the fact rows (one user or one song with a third of all plays) would put all
-  those rows into one task, so hot keys are split off first: one pass of
-  Spark's frequent-items sketch over the raw key column finds every key above
-  ``hot_share`` of the rows, and returns at most ``1 / hot_share`` keys - a
-  bound by construction - so their dimension rows (at most that many, the
+  those rows into one task, so hot keys are split off first: one pass over the
+  raw key column, salted sketches of frequent keys merged by key, finds every
+  key above ``hot_share`` of the rows and returns at most ``2 / hot_share`` keys -
+  a bound by construction - so their dimension rows (at most that many, the
   dimension being unique on the key) are broadcast. Only the cold rows are
   shuffled. The result is exact either way; detection only affects speed.
 * AQE's skew-join split stays on as a second line of defence.
@@ -15,6 +15,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,19 +53,26 @@ def hot_keys(fact: DataFrame, key: str, hot_share: float = DEFAULT_HOT_SHARE,
              sample_fraction: float = 1.0, seed: int = 17) -> list:
     """Keys that may hold at least ``hot_share`` of the rows of ``fact``.
 
-    One pass of Spark's frequent-items sketch over the key column: it keeps at
-    most ``1 / hot_share`` counters per task, returns every key above the
-    share (and possibly a few below it), so the list is bounded by
-    ``1 / hot_share`` and misses no hot key. ``sample_fraction`` < 1 trades
-    that guarantee for less work.
+    Counted in two levels, so no task sees the sketches of all others: tasks are dealt to about the root of
+    their number of salts, each salt keeps a sketch of its most frequent keys, and the keys' counts are
+    then added up by key. A salt lists 4 / ``hot_share`` keys, so a key above the share loses at most a
+    third of its count; the list misses no hot key and holds at most 2 / ``hot_share``.
+    ``sample_fraction`` < 1 trades that guarantee for less work.
     """
-    column = fact.select(key).where(F.col(key).isNotNull())
+    column = fact.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
     if sample_fraction < 1.0:
         column = column.sample(fraction=sample_fraction, seed=seed)
-    found = column.stat.freqItems([key], support=max(hot_share, 1e-4)).collect()
-    if not found:
-        return []
-    return [k for k in found[0][0] if k is not None]
+    share = max(hot_share, 1e-4)
+    listed, bound = math.ceil(4 / share), math.ceil(2 / share)
+    salts = math.isqrt(int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))) + 1
+    sketches = (column.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts))).groupBy("salt")
+                .agg(F.expr(f"approx_top_k(k, {listed}, {4 * listed})").alias("top"), F.count(F.lit(1)).alias("n")))
+    # The number of rows goes along as the count of a key NULL.
+    rows = F.struct(F.lit(None).cast(column.schema["k"].dataType).alias("item"), F.col("n").alias("count"))
+    counts = (sketches.select(F.explode(F.concat("top", F.array(rows))).alias("e"))
+              .groupBy("e.item").agg(F.sum("e.count").alias("n")).orderBy(F.desc("n")).limit(bound + 1).collect())
+    total = next((r["n"] for r in counts if r["item"] is None), 0)
+    return [r["item"] for r in counts if r["item"] is not None and r["n"] >= share * total / 2]
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str, how: str = "inner",

@@ -119,3 +119,16 @@ def test_ranged_keys_of_days_and_ids(spark):
     physical = keyed.select("*")._jdf.queryExecution().executedPlan().toString()   # not run yet: one plan
     assert physical.count("rangepartitioning") == 1 and "hashpartitioning" not in physical and "SinglePartition" not in physical
     assert ".checkpoint(" not in inspect.getsource(keys)
+
+
+def test_hot_keys_are_counted_in_two_levels(spark):
+    """Keys above the share wherever their rows lie; long keys, numbers; no task merges all sketches."""
+    rnd = random.Random(4)
+    rows = [("hot", 1)] * 900 + [("late", 2)] * 400 + [(f"k{rnd.randint(0, 3000)}", 3 + i % 700) for i in range(4000)] + [(None, None)] * 300
+    fact = spark.createDataFrame(rows, "key string, n long").repartition(23)
+    assert sorted(hot_keys(fact, "key", hot_share=0.05)) == ["hot", "late"]
+    assert sorted(hot_keys(fact, "n", hot_share=0.05)) == [1, 2]
+    assert hot_keys(fact.where("key is null"), "key") == [] == hot_keys(fact.limit(0), "key")
+    by_file = spark.createDataFrame([(f"x{i}",) for i in range(5000)] + [("x7",)] * 60, "key string").repartition(40)
+    found = hot_keys(by_file, "key", hot_share=0.01)   # a little over the share, thin in each task
+    assert "x7" in found and len(found) <= 200
