@@ -34,7 +34,7 @@ from .common import GPT_CHUNK, worker_model
 NEVER = 1 << 60
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Entries of each worker's caches of words (two generations) and of pairs; results don't depend on them.
-CACHE_WORDS, CACHE_PAIRS, CACHED_LENGTH = 100_000, 200_000, 48
+CACHE_WORDS, CACHE_PAIRS, CACHED_LENGTH = 300_000, 600_000, 48
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -105,8 +105,10 @@ class PrefixBpe:
             left, right, whole = vocab[a], vocab[b], vocab[a + b]
             self.rank[left, right] = r
             made.setdefault(whole, (r, left, right))
-        self.right_edge = [self._edge(made, i, 2) for i in range(len(self.token))]
-        self.left_edge = [self._edge(made, i, 1) for i in range(len(self.token))]
+        self.made = made
+        #: Of the tokens that were asked for.
+        self.right_edge: dict[int, list[tuple[int, int]]] = {}
+        self.left_edge: dict[int, list[tuple[int, int]]] = {}
         self.split_special = (regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
                               if self.special else None)
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -114,10 +116,6 @@ class PrefixBpe:
         self.cache: dict[str, bytes] = {}
         self.old_cache: dict[str, bytes] = {}
 
-    def forget(self) -> None:
-        """Empty the caches: what a task learned of its texts does not stay in the worker."""
-        self.pairs, self.cache, self.old_cache = {}, {}, {}
-
     @staticmethod
     def _edge(made: dict, token: int, side: int) -> list[tuple[int, int]]:
         """From the border byte up to the token: (node, rank of the merge that takes it up)."""
@@ -137,7 +135,11 @@ class PrefixBpe:
         return known
 
     def _border_stays(self, first: int, second: int) -> bool:
-        left, right, i, j = self.right_edge[first], self.left_edge[second], 0, 0
+        left, right, i, j = self.right_edge.get(first), self.left_edge.get(second), 0, 0
+        if left is None:
+            left = self.right_edge[first] = self._edge(self.made, first, 2)
+        if right is None:
+            right = self.left_edge[second] = self._edge(self.made, second, 1)
         while True:
             (a, a_rank), (b, b_rank) = left[i], right[j]
             across = self.rank.get((a, b), NEVER)
@@ -220,7 +222,6 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
         model = load(tokenizer)
         for texts in batches:
             yield pd.Series([model.encode(t) for t in texts], dtype=object)
-        model.forget()
     return docs.withColumn("ids", ids(F.col(text)))
 
 
@@ -234,10 +235,11 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:
     return encoded.withColumn("decoded", text(F.col(ids)))
 
 
-def digests(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
+def digests(docs: DataFrame, tokenizer: str, with_ids: bool = False, keep_model: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text, ``with_ids`` also the ids.
 
     One pass, no shuffle: encodes and decodes inside one Arrow map, so texts don't go back to the JVM.
+    A worker keeps the model for its next task (``keep_model``), or frees its memory for other operators.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
 
@@ -258,6 +260,8 @@ def digests(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFram
                 columns.append(pa.array(all_ids, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
-        model.forget()
+        if not keep_model:
+            del model
+            worker_model.clear()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)

@@ -72,7 +72,7 @@ def merge_runs(runs: list[np.ndarray]) -> np.ndarray:
     return kept
 
 
-def _leaf_runs(batches) -> Iterator[pa.RecordBatch]:
+def _leaf_runs(batches) -> Iterator[tuple[int, np.ndarray]]:
     """The rows of each run, sorted and reduced batch by batch; a run may come in several pieces."""
     for batch in batches:
         if not len(batch):
@@ -87,40 +87,40 @@ def _leaf_runs(batches) -> Iterator[pa.RecordBatch]:
         entries["doc_id"] = np.asarray(batch.column("doc_id").fill_null(0))
         entries["copies"] = 1
         run = entries["row"] >> RUN_BITS
-        yield _as_batch([(int(r), merge_runs([entries[run == r]]).tobytes()) for r in np.unique(run)])
+        for r in np.unique(run):
+            yield int(r), merge_runs([entries[run == r]])
 
 
-def _as_batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["slot", "entries"])
-
-
-def _send(low: int, bits: int):
-    """Each run's parts for the slots that differ from its own in ``bits`` bits from ``low`` on, by the digest's own bits there."""
-    mask = ((1 << bits) - 1) << low
-
-    def run(batches):
-        for batch in batches:
-            for slot, blob in zip(batch.column("slot").to_pylist(), batch.column("entries").to_pylist()):
-                entries = np.frombuffer(blob, ENTRY)
-                to = (slot & ~mask) | (entries["d3"].astype(np.int64) & mask)
-                yield _as_batch([(int(t), entries[to == t].tobytes()) for t in np.unique(to)])
-    return run
-
-
-def _merge(batches):
+def _merged(batches) -> Iterator[tuple[int, np.ndarray]]:
     """Runs in order of their slot: each slot's runs merged to one."""
     slot, runs = None, []
     for batch in batches:
         for s, blob in zip(batch.column("slot").to_pylist(), batch.column("entries").to_pylist()):
             if s != slot and runs:
-                yield _as_batch([(slot, merge_runs(runs).tobytes())])
+                yield slot, merge_runs(runs)
                 runs = []
             slot = s
             runs.append(np.frombuffer(blob, ENTRY))
             if sum(map(len, runs)) > 2 * len(runs[0]) + (1 << 16):
                 runs = [merge_runs(runs)]
     if runs:
-        yield _as_batch([(slot, merge_runs(runs).tobytes())])
+        yield slot, merge_runs(runs)
+
+
+def _as_batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["slot", "entries"])
+
+
+def _sent(made, low: int, bits: int):
+    """What ``made`` gives, cut for the slots that differ from a run's own in ``bits`` bits from ``low`` on, by the
+    digest's own bits there."""
+    mask = ((1 << bits) - 1) << low
+
+    def run(batches):
+        for slot, entries in made(batches):
+            to = (slot & ~mask) | (entries["d3"].astype(np.int64) & mask)
+            yield _as_batch([(int(t), entries[to == t].tobytes()) for t in np.unique(to)])
+    return run
 
 
 def rounds(n_runs: int, fan_in: int = 2) -> list[tuple[int, int]]:
@@ -130,28 +130,29 @@ def rounds(n_runs: int, fan_in: int = 2) -> list[tuple[int, int]]:
 
 
 def merge_tree(rows: DataFrame, fan_in: int = 2) -> DataFrame:
-    """(slot, entries) after the last round: every text in one slot, once."""
-    runs = materialize(rows.select("digest", "n_bytes", "check", "doc_id", "row").mapInArrow(_leaf_runs, RUN), "leaf-runs")
-    last_run = runs.agg(F.max("slot")).first()[0]
+    """(slot, entries), runs of one slot together, as the last round is to merge them: every text in one slot.
+
+    Each task merges the runs it gets and sends them on in one pass."""
+    last_run = rows.agg(F.max("run")).first()[0]
     todo = rounds(0 if last_run is None else last_run + 1, fan_in) or [(0, 0)]   # pieces of a single run are merged too
     tasks = max(1, min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 if last_run is None else last_run + 1))
+    runs, made = rows.select("digest", "n_bytes", "check", "doc_id", "row"), _leaf_runs
     for n, (low, bits) in enumerate(todo, 1):
-        sent = runs.mapInArrow(_send(low, bits), RUN)
-        runs = sent.repartition(tasks, "slot").sortWithinPartitions("slot").mapInArrow(_merge, RUN)
+        sent = runs.mapInArrow(_sent(made, low, bits), RUN)
         if n % ROUNDS_A_WRITE == 0:
-            runs = materialize(runs, f"round-{n}")
+            sent = materialize(sent, f"round-{n}")
+        runs, made = sent.repartition(tasks, "slot").sortWithinPartitions("slot"), _merged
     return runs
 
 
 def _root_entries(batches):
-    for batch in batches:
-        for blob in batch.column("entries").to_pylist():
-            e = np.frombuffer(blob, ENTRY)
-            digests = np.stack([e[f"d{c}"] for c in range(4)], axis=1).astype(">u8").tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([digests[a:a + 32] for a in range(0, len(digests), 32)], pa.binary()), *(pa.array(e[c].astype(np.int64)) for c in ("n_bytes", "check")),
-                 pa.array(e["doc_id"].astype(np.int64), mask=e["has_id"] == 0), *(pa.array(e[c].astype(np.int64)) for c in ("row", "copies"))],
-                ["digest", "n_bytes", "check", "keep_id", "keep_row", "copies"])
+    """The last merge, a row for each text."""
+    for _, e in _merged(batches):
+        digests = np.stack([e[f"d{c}"] for c in range(4)], axis=1).astype(">u8").tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([digests[a:a + 32] for a in range(0, len(digests), 32)], pa.binary()), *(pa.array(e[c].astype(np.int64)) for c in ("n_bytes", "check")),
+             pa.array(e["doc_id"].astype(np.int64), mask=e["has_id"] == 0), *(pa.array(e[c].astype(np.int64)) for c in ("row", "copies"))],
+            ["digest", "n_bytes", "check", "keep_id", "keep_row", "copies"])
 
 
 def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fan_in: int = 2) -> DataFrame:
