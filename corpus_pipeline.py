@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of every row."""
-    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
+    return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True, keep_model=False)
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("ngram_jaccard_join", drop_near_copies),
