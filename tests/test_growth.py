@@ -76,3 +76,42 @@ def test_range_offsets_over_many_parts(spark):
         expected[a, b] = before
         before += n
     assert got == expected
+
+
+def _sent(df, at):
+    """Bytes of the relations that a run of ``df`` broadcast, from its final plan."""
+    df.write.parquet(at)
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "BroadcastExchange":
+            found.append(node.metrics().apply("dataSize").value())
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_few_text_keys_broadcast_take_no_page_of_memory(spark):
+    fact = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 70}") for i in range(900)] + [(901, None), (902, "")], "id long, key string")
+    dim = spark.createDataFrame([(f"k{i}", i) for i in range(50)] + [("hot", -1), ("k7", 70), (None, 5), ("", 6)], "key string, attr long")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain, joined = fact.join(dim, "key", how), joins.lookup_join(fact, dim, "key", how)
+        assert joined.columns == plain.columns
+        assert sorted(map(str, joined.collect())) == sorted(map(str, plain.collect())), how
+        sent = _sent(joined, scratch_path(spark, "sent"))
+        assert sent and max(sent) < 3 << 20, how
+    same = dim.select("key")   # a frame joined with itself
+    assert joins.lookup_join(same, same, "key", "left_semi").count() == 53
+    spark.conf.set("encore.broadcast.limit.bytes", "0")
+    try:
+        split = joins.lookup_join(fact, dim, "key", "inner", hot_share=0.1)
+        assert sorted(map(str, split.collect())) == sorted(map(str, fact.join(dim, "key").collect()))
+        assert max(_sent(split, scratch_path(spark, "sent"))) < 3 << 20
+    finally:
+        spark.conf.unset("encore.broadcast.limit.bytes")
