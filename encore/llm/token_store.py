@@ -23,6 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,9 @@ from pyspark.sql import types as T
 from .common import parallelism, worker_model
 
 SHARD_IDS = 1 << 20
-CACHE_CHUNKS, CACHED_LENGTH = 250_000, 48
+CACHE_WORDS, CACHE_OTHERS, CACHED_LENGTH = 400_000, 100_000, 48
+#: Text that is cut into pieces at once.
+BLOCK_BYTES = 8 << 20
 NULL_KEY = -(1 << 63)
 
 SHARD_SCHEMA = T.StructType([
@@ -139,12 +142,37 @@ class Shard:
 
 # ---- tokenizing -----------------------------------------------------------------
 
+#: A word of Latin-1 letters and the run of ASCII marks behind it: to the tokenizer two pieces, whatever the marks.
+WORD_AND_MARK = "^(?P<word>[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]{1,%d})(?P<mark>[!-/:-@\\[-`{-~]{0,8})$" % CACHED_LENGTH
+
+
+class Generations:
+    """A bounded cache: when the young generation is full it becomes the old one, so frequent keys stay."""
+
+    def __init__(self, room: int):
+        self.room, self.young, self.old = room, {}, {}
+
+    def get_all(self, keys: list[str], build) -> list[bytes]:
+        """The values of distinct ``keys``; ``build(list)`` makes those that are not there."""
+        found = list(map(self.young.get, keys))
+        gone = [i for i, v in enumerate(found) if v is None]
+        if gone:
+            older = self.old.get
+            new = [i for i in gone if (v := older(keys[i])) is None or found.__setitem__(i, v)]
+            for i, v in zip(new, build([keys[i] for i in new]) if new else (), strict=True):
+                found[i] = v
+            self.young.update((keys[i], found[i]) for i in gone if len(keys[i]) <= CACHED_LENGTH)
+            if len(self.young) > self.room:
+                self.old, self.young = self.young, {}
+        return found
+
+
 class ChunkEncoder:
     """The tokenizers library behind a cache of its answers for the pieces between white space.
 
     Valid for tokenizers that drop white space and never join text across it (the caller's word-end
-    vocabulary); a piece's ids don't depend on its neighbours. The cache has two generations: when
-    the young one is full it becomes the old one, so frequent pieces stay and memory is bounded.
+    vocabulary); a piece's ids don't depend on its neighbours. Texts are cut and their distinct pieces found
+    by Arrow, many texts at a time; only distinct words are looked up, and only new ones are encoded.
     """
 
     def __init__(self, path: str):
@@ -157,14 +185,13 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.dtype = "<u4" if self.wide else "<u2"
-        self.young: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
+        self.words, self.others = Generations(CACHE_WORDS), Generations(CACHE_OTHERS)
         self.word_end = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.word_end[i] = token.endswith("</w>")
-        self.marks = {m: np.asarray(self.tokenizer.encode(m, add_special_tokens=False).ids, dtype=self.dtype).tobytes() for m in ("", ".", ",")}
+
+    def _encode_each(self, pieces: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters only, encoded together: each ends with its one word-end token."""
@@ -174,56 +201,57 @@ class ChunkEncoder:
             ids = np.asarray(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype=self.dtype)
             ends = np.flatnonzero(self.word_end[ids]) + 1
             if len(ends) != len(part) or (len(ids) and ends[-1] != len(ids)):
-                return [np.asarray(e.ids, dtype=self.dtype).tobytes()
-                        for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+                return self._encode_each(words)
             packed, width, start = ids.tobytes(), ids.dtype.itemsize, 0
             for end in ends.tolist():
                 out.append(packed[start * width: end * width])
                 start = end
         return out
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that the cache lacks. A Latin-1 word, with or without a full stop or comma,
-        is put together from the ids of its lower-case letters and of the mark."""
-        known, split, words, other = {}, {}, set(), []
-        for p in pieces:
-            if (ids := self.old.get(p)) is not None:
-                known[p] = ids
-                continue
-            mark = p[-1] if p[-1] in ".," else ""
-            core = p[:-1] if mark else p
-            if len(core) <= CACHED_LENGTH and core.isalpha() and (core.isascii() or max(core) < "\u0100"):
-                core = core.lower()
-                split[p] = core, mark
-                if core not in self.words and core not in self.old_words:
-                    words.add(core)
-            else:
-                other.append(p)
-        new = list(words)
-        found = dict(zip(new, self._encode_words(new), strict=True))
-        known.update(zip(other, [np.asarray(e.ids, dtype=self.dtype).tobytes()
-                                 for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]))
-        self.words.update(found)
-        for p, (core, mark) in split.items():
-            ids = self.words.get(core)
-            known[p] = (self.old_words[core] if ids is None else ids) + self.marks[mark]
-        if len(self.words) > CACHE_CHUNKS:
-            self.old_words, self.words = self.words, {}
-        self.young.update((p, b) for p, b in known.items() if len(p) <= CACHED_LENGTH)
-        if len(self.young) > CACHE_CHUNKS:
-            self.old, self.young = self.young, {"": b""}
-        return known
+    def _ids(self, distinct: pa.Array, cache: Generations, encode) -> pa.Array:
+        """Ids of ``distinct`` strings (null: no ids) as one binary array."""
+        coded = distinct.dictionary_encode()
+        ids = pa.array(cache.get_all(coded.dictionary.to_pylist(), encode), pa.large_binary())
+        return ids.take(coded.indices).fill_null(b"")
+
+    def _piece_ids(self, pieces: pa.Array) -> pa.Array:
+        """Ids of distinct pieces. A word with or without marks is put together from the ids of its
+        lower-case letters and of the marks; every other piece is encoded as it is."""
+        split = pc.extract_regex(pieces, WORD_AND_MARK)
+        is_word = split.is_valid()
+        word, mark = (pc.if_else(is_word, pc.struct_field(split, i), None) for i in (0, 1))
+        other = pc.if_else(is_word, None, pieces)
+        return pc.binary_join_element_wise(self._ids(pc.utf8_lower(word), self.words, self._encode_words),
+                                           self._ids(pc.fill_null(mark, ""), self.others, self._encode_each),
+                                           self._ids(other, self.others, self._encode_each), pa.scalar(b"", pa.large_binary()))
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; null counts as empty."""
+        # These three are white space to the tokenizer too, whatever its table holds besides them and the space.
+        for space in "\n\t\r":
+            texts = pc.replace_substring(texts, space, " ")
+        pieces = pc.split_pattern(texts.fill_null(""), " ")
+        coded = pieces.flatten().dictionary_encode()
+        ids = self._piece_ids(coded.dictionary).take(coded.indices)
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(ids).to_numpy())])
+        bounds = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(pieces).to_numpy())])].tolist()
+        start, payload = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset], ids.buffers()[2]
+        packed = memoryview(payload)[start:] if payload is not None else b""
+        return [bytes(packed[a:b]) for a, b in zip(bounds, bounds[1:])]
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        # These four are white space to the tokenizer too, whatever its table holds besides them.
-        pieces = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        found = list(map(self.young.get, pieces))
-        if None in found:
-            known = self._learn({p for p, b in zip(pieces, found) if b is None})
-            found = [known[p] if b is None else b for p, b in zip(pieces, found)]
-        return b"".join(found)
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+
+def text_blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about BLOCK_BYTES of text, or one longer text."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        end = int(np.searchsorted(total, (total[start - 1] if start else 0) + BLOCK_BYTES, "right"))
+        end = max(end, start + 1)
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def encoder(path: str) -> ChunkEncoder:
@@ -271,11 +299,11 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([_shard_row(part, shard, model.dtype, keys, occurrences, chunks)], schema=arrow)
 
-        for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for batch in (block for whole in batches for block in text_blocks(whole)):
+            for key, ids in zip(batch.column(0).to_pylist(), model.encode_all(batch.column(1)), strict=True):
                 occurrence = occurrence + 1 if key == previous else 0
                 previous = key
-                ids = model.encode(value.as_py()) + end
+                ids += end
                 if keys and size + len(ids) > shard_ids * np.dtype(model.dtype).itemsize:
                     yield flush()
                     shard, size, keys, occurrences, chunks = shard + 1, 0, [], [], []

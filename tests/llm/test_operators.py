@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -266,6 +267,19 @@ def test_chunked_tokens_equal_whole_texts():
         assert np.frombuffer(model.encode(text), model.dtype).tolist() == e.ids
 
 
+def test_a_word_is_encoded_once_whatever_its_capitals_and_marks():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, model = tokenizer("word_bpe_49k.json"), token_store.ChunkEncoder(path)
+    asked, encode = [], model._encode_words
+    model._encode_words = lambda words: asked.extend(words) or encode(words)
+    texts = ["Streaming streaming*** STREAMING!! streaming.", None, "", " \t", "(streaming), don't stop", "\u00c9t\u00e9&&& \u00e9t\u00e9 x<|endoftext|>", "a" * 60 + "##"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, model.dtype).tolist() for b in model.encode_all(pa.array(texts, pa.string()))] == want
+    assert sorted(asked) == ["stop", "streaming", "\u00e9t\u00e9"]
+    blocks = list(token_store.text_blocks(pa.record_batch({"doc_id": [1, 2, 3], "text": ["a" * token_store.BLOCK_BYTES, None, "b"]})))
+    assert [b.num_rows for b in blocks] == [2, 1]
+
+
 def test_perfect_hash_is_minimal_and_refuses_strangers():
     for n in (1, 2, 7, 500):
         hashes = token_store.key_hash(np.arange(n) * 13, np.zeros(n, np.uint32))
