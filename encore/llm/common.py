@@ -36,6 +36,19 @@ def unused(docs: DataFrame, name: str) -> str:
     return name
 
 
+#: Text of one Arrow batch to a Python worker. Spark's limit is 10,000 rows or 64 MB: batches of texts then took tens of
+#: MB beside the heap, in buffers that grow by doubling and are kept, and as much in the worker.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most about BATCH_BYTES from here on; a lower limit of the session stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    limit = spark.conf.get(name, None)
+    if limit is None or not limit.isdigit() or not 0 < int(limit) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to shared scratch and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, parallelism, worker_model
+from .common import materialize, parallelism, small_batches, worker_model
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: A shingle in this many sampled sets counts as long; the sample is one set in SAMPLE.
@@ -509,6 +509,7 @@ def _fits(n: Column, m: Column, percent: int) -> Column:
 
 def jaccard_components(docs: DataFrame, percent: int = 75, words: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row of ``docs``: doc_id, n_shingles, component_id (least id reachable by links, itself included)."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     sets = materialize(_sets(rows, words), "sets")
     known = rows.filter("doc_id is not null")

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, materialize, worker_model
+from .common import labelled_sample, materialize, small_batches, worker_model
 
 WORD = re.compile(r"[^\W\d_]+")
 TOKEN = re.compile(r"\S+")
@@ -305,6 +305,7 @@ class ToxicityModel:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = 20_000) -> ToxicityModel:
     """Lexicon and weights from at most ``max_rows`` labelled rows (the caller's training rows)."""
+    small_batches(docs.sparkSession)
     sample = materialize(labelled_sample(docs, labels, label, max_rows).select("text", "label"), "toxicity-sample")
     lexicon = learn_lexicon(sample)
 
@@ -327,6 +328,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: in
 def with_score(docs: DataFrame, model: ToxicityModel, text: str = "text", score: str = "score") -> DataFrame:
     """``docs`` with a column ``score`` (0 to 1). One pass over the texts, no shuffle; the model
     (at most ``max_terms`` terms) is the only thing sent to the executors."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from encore.llm import bpe, exact_dedup, fingerprints, langid, mixing, ngram_join, pii, quality, token_store, toxicity
+from encore.llm.common import BATCH_BYTES, small_batches
 from encore.session import scratch_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, label int, score double, x long, h long"
@@ -568,3 +569,24 @@ def test_block_links_by_divide_skip(monkeypatch):
         assert sorted(ngram_join.block_links(query, members, 75)) == want
     monkeypatch.setattr(ngram_join, "divide_skip", lambda *a: {})
     assert ngram_join.block_links(query, members, 75) == []
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    texts = spark.range(12).coalesce(1).select(F.col("id").alias("doc_id"), F.expr("repeat('ab cd ', 200000)").alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], names=["bytes"])
+
+    spark.conf.unset(name)
+    try:
+        assert {r["component_id"] for r in ngram_join.jaccard_components(texts).collect()} == {0}
+        found = [r["bytes"] for r in texts.select("text").mapInArrow(sizes, "bytes long").collect()]
+        assert len(found) > 1 and max(found) <= BATCH_BYTES + 1_300_000
+        spark.conf.set(name, "1000000")
+        small_batches(spark)
+        assert spark.conf.get(name) == "1000000"
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
