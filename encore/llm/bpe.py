@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GPT_CHUNK, worker_model
+from .common import GPT_CHUNK, free_memory, worker_model
 
 NEVER = 1 << 60
 LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
@@ -262,6 +262,6 @@ def digests(docs: DataFrame, tokenizer: str, with_ids: bool = False, keep_model:
             yield pa.RecordBatch.from_arrays(columns, names=names)
         if not keep_model:
             del model
-            worker_model.clear()
+            free_memory()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)

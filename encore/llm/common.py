@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,6 +88,17 @@ class WorkerModel:
 worker_model = WorkerModel()
 
 
+def free_memory() -> None:
+    """Give back to the system what earlier tasks of this Python worker left: its model, and the free pages
+    that Arrow's and the C library's allocators keep. Workers of all stages live as long as their executor."""
+    worker_model.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):   # not glibc
+        pass
+
+
 def fold_of(doc_id, folds: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % folds
 

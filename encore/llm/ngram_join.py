@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, parallelism, small_batches, worker_model
+from .common import free_memory, materialize, parallelism, small_batches
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: A shingle in this many sampled sets counts as long; the sample is one set in SAMPLE.
@@ -157,7 +157,7 @@ def set_key(hashes: np.ndarray) -> int:
 def _sets(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n, x): one narrow row per document; x names the set, null for empty sets."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_model.clear()
+        free_memory()
         shingle = Shingler(words)
         for batch in batches:
             n, x = [], []
@@ -173,6 +173,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 def _long_shingles(docs: DataFrame, words: int) -> np.ndarray:
     """Sorted hashes of shingles that many sampled sets hold: an order hint, at most MAX_LONG (8 MB)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         shingle, held, size = Shingler(words), [], 0
 
         def counted():
@@ -211,7 +212,7 @@ def _postings(docs: DataFrame, words: int, percent: int, long: np.ndarray) -> Da
     shared = docs.sparkSession.sparkContext.broadcast(long)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_model.clear()
+        free_memory()
         shingle, order, seen = Shingler(words), shared.value, set()
         for batch in batches:
             hs, xs = [], []
@@ -259,6 +260,7 @@ def _hashes_of(docs: DataFrame, sets: DataFrame, near: DataFrame, words: int) ->
     chosen = _checked(chosen, "chosen")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         shingle = Shingler(words)
         schema = pa.schema([("x", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("hashes", pa.binary())])
         for batch in batches:
@@ -336,6 +338,7 @@ def inverted_lists(query: np.ndarray, members: list[np.ndarray], fits: list[int]
 def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The ``pairs`` that may link by their bitmaps: an exact filter, a thirtieth of the hashes' size."""
     def may_link(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         for batch in batches:
             keep = [linked(min(most_common(n, x, y), most_common(m, y, x)), n, m, percent)
                     for n, x, m, y in zip(*[batch.column(c).to_pylist() for c in ("a_n", "a_bits", "b_n", "b_bits")], strict=True)]

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, materialize, small_batches, worker_model
+from .common import free_memory, labelled_sample, materialize, small_batches
 
 WORD = re.compile(r"[^\W\d_]+")
 TOKEN = re.compile(r"\S+")
@@ -233,7 +233,7 @@ def learn_lexicon(sample: DataFrame, min_gain: float = 18.0, min_odds: float = 2
         return Lexicon()
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        worker_model.clear()
+        free_memory()
         for batch in batches:
             found: dict[str, list[int]] = {}
             for text, label in zip(batch["text"], batch["label"], strict=True):
@@ -333,7 +333,7 @@ def with_score(docs: DataFrame, model: ToxicityModel, text: str = "text", score:
 
     @F.pandas_udf("double")
     def score_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        worker_model.clear()
+        free_memory()
         own = shared.value
         read = Evidence(own.lexicon)
         for texts in batches:

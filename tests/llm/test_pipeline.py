@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import os
+import platform
 import re
 
 import corpus_pipeline
@@ -124,3 +126,25 @@ def test_encoding_is_exact(stages):
         assert (r["n_tokens"], r["ids_sha256"], bytes(r["ids"])) == (len(ids), hashlib.sha256(raw).hexdigest(), raw)
         decoded = library.decode(ids, skip_special_tokens=False)
         assert r["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/status") or platform.libc_ver()[0] != "glibc", reason="reads Linux's memory figures")
+def test_join_tasks_give_back_what_earlier_stages_left():
+    """A Python worker serves all stages in turn: pages freed by an earlier one must not stay beside the join."""
+    from encore.llm import ngram_join
+
+    def anonymous_mb():
+        with open("/proc/self/status") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("RssAnon")) / 1024
+
+    class Tasks:
+        def mapInArrow(self, run, schema):
+            return run
+
+    task = ngram_join._sets(Tasks(), 5)
+    held = [bytes([i % 251]) * 1000 for i in range(150_000)]   # beyond Python's own allocator
+    kept = held[-1:]   # at the end of the heap: what is before it stays with the process
+    del held
+    before = anonymous_mb()
+    assert list(task(iter(()))) == []
+    assert before - anonymous_mb() > 70 and len(kept) == 1
