@@ -97,3 +97,28 @@ def test_large_input_paths_give_the_same_star(spark, skewed):
         spark.conf.unset("encore.keys.smallFrameBytes")
         spark.conf.unset("encore.broadcast.limit.bytes")
         spark.conf.unset("encore.dedup.rareMinBytes")
+
+
+def test_hot_users_of_the_driver_events_are_counted_on_the_scan(spark, tmp_path, monkeypatch):
+    """Not on the frame joined with the songs, which would be made once more for the count."""
+    from encore.operators import joins
+    from encore.sources import driver_tables
+
+    schemas = {"events": "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+               "part": "p_partkey long, p_size int", "nation": "n_nationkey int, n_name string, n_regionkey int", "region": "r_regionkey int, r_name string",
+               "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"}
+    for name, schema in schemas.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    asked = []
+
+    def seen(fact, key, *args):
+        asked.append((key, "Join" in fact._jdf.queryExecution().optimizedPlan().toString()))
+        return []
+
+    monkeypatch.setattr(joins, "hot_keys", seen)
+    spark.conf.set("encore.broadcast.limit.bytes", "0")
+    try:
+        driver_tables.stg_stream_events(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("encore.broadcast.limit.bytes")
+    assert asked == [("song_id", False), ("user_id", False)]
